@@ -1,4 +1,4 @@
 """All registered queries and their DuckDB oracles."""
 
-from . import columns, reads  # noqa: F401  (registration side effects)
+from . import columns, reads, state  # noqa: F401  (registration side effects)
 from .base import ORACLES, QUERIES
