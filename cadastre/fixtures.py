@@ -136,7 +136,7 @@ FROM {orders}
 GROUP BY o_custkey""",
 }
 
-_PLACEHOLDER = re.compile(r"\{(\w+)\}")
+_PLACEHOLDER = re.compile(r"\{([A-Za-z_]\w*)\}")
 
 
 def dependencies(name: str) -> list[str]:
