@@ -1,4 +1,4 @@
 """All registered queries and their DuckDB oracles."""
 
-from . import columns, discovery, reads, search, state  # noqa: F401  (registration side effects)
+from . import columns, discovery, ingest, reads, search, state  # noqa: F401  (registration side effects)
 from .base import ORACLES, QUERIES
