@@ -4,8 +4,12 @@ plus the size-checked broadcast used for the code (domain) tables.
 Plan shape of J1 (checked with ``explain``): estabelecimento, empresa and
 simples are each shuffled once on ``cnpj_basico`` and meet in two sort-merge
 joins that share that partitioning (3 exchanges, no re-shuffle); the four
-code tables are broadcast only after a bounded row count proves them small,
-otherwise they join by shuffle like any other table.
+code tables are broadcast only after one bounded row count (a single job for
+all four) proves them small, otherwise they join by shuffle like any other
+table.  The two big joins carry no hint: Catalyst picks broadcast only when
+the statistics say the side is under the threshold, and AQE re-plans with the
+measured sizes and splits skewed key partitions (a company with a very large
+share of branches) at run time.
 """
 
 from __future__ import annotations
@@ -33,13 +37,22 @@ BROADCAST_MAX_ROWS = 200_000
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` when a bounded count shows at most ``max_rows`` rows,
     else ``df`` unchanged (the join then shuffles; AQE may still convert it)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return small_sides({"_": df}, max_rows)["_"]
 
 
-def _code_table(df: DataFrame, alias: str, out: str, broadcast: bool) -> DataFrame:
-    d = df.select(F.col("codigo").alias(f"_{alias}_codigo"), F.col("descricao").alias(out))
-    return small_side(d) if broadcast else d
+def small_sides(frames: dict[str, DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, DataFrame]:
+    """``small_side`` for several frames with one job: each input contributes at
+    most ``max_rows + 1`` rows to a tagged count, so the check itself is bounded."""
+    probe = None
+    for tag, df in frames.items():
+        p = df.limit(max_rows + 1).select(F.lit(tag).alias("_tag"))
+        probe = p if probe is None else probe.unionByName(p)
+    counts = {r["_tag"]: r["n"] for r in probe.groupBy("_tag").agg(F.count("*").alias("n")).collect()}
+    return {t: (F.broadcast(df) if counts.get(t, 0) <= max_rows else df) for t, df in frames.items()}
+
+
+def _code_table(df: DataFrame, alias: str, out: str) -> DataFrame:
+    return df.select(F.col("codigo").alias(f"_{alias}_codigo"), F.col("descricao").alias(out))
 
 
 def registry_view(tables: dict[str, DataFrame], broadcast_codes: bool = True) -> DataFrame:
@@ -51,10 +64,15 @@ def registry_view(tables: dict[str, DataFrame], broadcast_codes: bool = True) ->
     )
     emp = tables["empresa"].select("cnpj_basico", "razao_social", F.col("natureza_juridica").alias("_nat"))
     s = tables["simples"].select("cnpj_basico", "opcao_pelo_simples", "opcao_mei")
-    cnae = _code_table(tables["cnae"], "cnae", "cnae_fiscal_principal_descricao", broadcast_codes)
-    mun = _code_table(tables["municipio"], "mun", "_mun_desc", broadcast_codes)
-    mot = _code_table(tables["motivo_situacao_cadastral"], "mot", "_mot_desc", broadcast_codes)
-    nat = _code_table(tables["natureza_juridica"], "nat", "_nat_desc", broadcast_codes)
+    codes = {
+        "cnae": _code_table(tables["cnae"], "cnae", "cnae_fiscal_principal_descricao"),
+        "mun": _code_table(tables["municipio"], "mun", "_mun_desc"),
+        "mot": _code_table(tables["motivo_situacao_cadastral"], "mot", "_mot_desc"),
+        "nat": _code_table(tables["natureza_juridica"], "nat", "_nat_desc"),
+    }
+    if broadcast_codes:
+        codes = small_sides(codes)
+    cnae, mun, mot, nat = codes["cnae"], codes["mun"], codes["mot"], codes["nat"]
 
     j = (
         e.join(emp, "cnpj_basico", "left")

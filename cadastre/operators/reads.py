@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cnpj_clean, cnpj_full, zero_int, zero_text
-from .joins import small_side
 
 KEYS3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
 
@@ -83,15 +82,17 @@ def change_history(log: DataFrame, requests: DataFrame, column: str = "requested
     """Q4 (bulk): change-log rows of each requested company (first 8 characters
     of the cleaned key) with the company's ``total_count``; newest first.
 
-    The log is semi-joined to the request list, counts come from a partial
-    aggregate, and are attached with a size-checked broadcast (one row per
-    requested company), so a company holding a large share of the log does not
-    funnel through one task.  Companies without history return no rows.
+    The log is semi-joined to the request list; counts come from a partial
+    (map-side combined) aggregate and are joined back on the company key — no
+    window over a company, so a company holding a large share of the log is
+    not funnelled through one task (AQE splits a skewed join partition, and
+    broadcasts the per-company counts when they measure small).  Companies
+    without history return no rows.
     """
     wanted = requests.select(F.substring(cnpj_clean(column), 1, 8).alias("cnpj_basico")).distinct()
-    hist = log.join(small_side(wanted, 5_000_000), "cnpj_basico", "left_semi")
+    hist = log.join(wanted, "cnpj_basico", "left_semi")
     counts = hist.groupBy("cnpj_basico").agg(F.count("*").alias("total_count"))
-    out = hist.join(small_side(counts, 5_000_000), "cnpj_basico", "inner")
+    out = hist.join(counts, "cnpj_basico", "inner")
     return out.orderBy("cnpj_basico", F.desc("detectado_em"), "tabela", "campo")
 
 

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions import clamp_limit, cnpj_full, contains_pattern, name_tokens, prefix_terms_py, uf_condition
 from ..functions import zero_int, zero_text
-from .joins import small_side
 
 KEYS3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
 DOC_COLUMNS = ["cnpj", "razao_social", "nome_fantasia", "uf", "cnae"]
@@ -48,6 +47,15 @@ def _top(df: DataFrame, k: int, order: list[Column] | None = None) -> DataFrame:
     return df.orderBy(*(order or [F.col(c) for c in KEYS3])).limit(k)
 
 
+def _with_company_names(top: DataFrame, companies: DataFrame) -> DataFrame:
+    """Attach razao_social to at most k branch rows without shuffling the
+    company table: the k keys are broadcast into a semi join (bound: k), and
+    the matching companies (≤ k, the key is unique) are broadcast back."""
+    keys = F.broadcast(top.select("cnpj_basico").distinct())
+    names = companies.join(keys, "cnpj_basico", "left_semi")
+    return top.join(F.broadcast(names), "cnpj_basico", "left")
+
+
 def two_branch_search(
     tables: dict[str, DataFrame],
     company_match: Column | None,
@@ -69,11 +77,12 @@ def two_branch_search(
     if branch_match is not None:
         b = branches if branch_keys is None else branches.join(branch_keys, KEYS3, "left_semi")
         b = _top(b.where(branch_match), k)
-        # k rows at most: the join to the company table is size-bounded.
-        parts.append(b.join(companies, "cnpj_basico", "left"))
+        parts.append(_with_company_names(b, companies))
     if company_match is not None:
         c = companies if company_keys is None else companies.join(company_keys, "cnpj_basico", "left_semi")
-        c = small_side(c.where(company_match), 1_000_000)
+        # Matched companies have no size bound (a common word): no hint, AQE
+        # broadcasts them only if the measured size is under its threshold.
+        c = c.where(company_match)
         parts.append(_top(branches.join(c, "cnpj_basico", "inner"), k))
     u = parts[0]
     for p in parts[1:]:
@@ -172,9 +181,9 @@ def search_fuzzy(tables: dict[str, DataFrame], q: str, uf: str | None = None, li
     companies = _companies(tables)
     order = [F.desc("score"), *[F.col(c) for c in KEYS3]]
     b = branches.withColumn("score", fuzzy_column_score("nome_fantasia", words)).where(F.col("score").isNotNull())
-    b = _top(b, k, order).join(companies, "cnpj_basico", "left")
+    b = _with_company_names(_top(b, k, order), companies)
     c = companies.withColumn("_cscore", fuzzy_column_score("razao_social", words)).where(F.col("_cscore").isNotNull())
-    c = branches.join(small_side(c, 1_000_000), "cnpj_basico", "inner")
+    c = branches.join(c, "cnpj_basico", "inner")
     c = c.withColumn("score", F.greatest(F.col("_cscore"), F.coalesce(fuzzy_column_score("nome_fantasia", words), F.lit(0.0))))
     c = _top(c.drop("_cscore"), k, order)
     u = b.unionByName(c.select(*b.columns))

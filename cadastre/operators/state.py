@@ -88,17 +88,22 @@ def diff(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
     return j.withColumn("_class", cls)
 
 
-def classify_counts(d: DataFrame, table: str) -> DataFrame:
-    """U4 summary: incoming / new / changed / unchanged counts (and kept-absent rows)."""
+def classify_counts(d: DataFrame, table: str, spec: TableSpec | None = None) -> DataFrame:
+    """U4 summary: incoming / new / changed / unchanged counts (and kept-absent
+    rows); with ``spec`` also the number of change-log entries, in the same pass."""
     c = F.col("_class")
-    return d.agg(
+    aggs = [
         F.lit(table).alias("tabela"),
         F.count_if(c != ABSENT).alias("incoming"),
         F.count_if(c == NEW).alias("new"),
         F.count_if(c == CHANGED).alias("changed"),
         F.count_if(c == UNCHANGED).alias("unchanged"),
         F.count_if(c == ABSENT).alias("kept_absent"),
-    )
+    ]
+    if spec is not None:
+        n = F.size(F.filter(_entries(spec), lambda e: e["valor_antigo"] != e["valor_novo"]))
+        aggs.append(F.coalesce(F.sum(F.when(c == CHANGED, n)), F.lit(0)).cast("bigint").alias("log_rows"))
+    return d.agg(*aggs)
 
 
 def classify(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
@@ -107,13 +112,10 @@ def classify(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFram
     return d.select(*spec.keys, "_class")
 
 
-def change_entries(d: DataFrame, spec: TableSpec, competencia: str, detected_at: str) -> DataFrame:
-    """U5 from a ``diff``: one row per differing column of a changed row,
-    values in comparison form.  Built as one filtered array per row and a
-    single ``explode`` — no unpivot of unchanged columns."""
-    keys = list(spec.keys)
-    other = [c for c in spec.column_names if c not in keys]
-    entries = F.array(
+def _entries(spec: TableSpec) -> Column:
+    """(campo, old, new) in comparison form for every non-key column of a diff row."""
+    other = [c for c in spec.column_names if c not in spec.keys]
+    return F.array(
         *[
             F.struct(
                 F.lit(c).alias("campo"),
@@ -123,6 +125,14 @@ def change_entries(d: DataFrame, spec: TableSpec, competencia: str, detected_at:
             for c in other
         ]
     )
+
+
+def change_entries(d: DataFrame, spec: TableSpec, competencia: str, detected_at: str) -> DataFrame:
+    """U5 from a ``diff``: one row per differing column of a changed row,
+    values in comparison form.  Built as one filtered array per row and a
+    single ``explode`` — no unpivot of unchanged columns."""
+    keys = list(spec.keys)
+    entries = _entries(spec)
     changed = d.where(F.col("_class") == CHANGED).select(
         F.col(keys[0]).alias("cnpj_basico"),
         F.explode(F.filter(entries, lambda e: e["valor_antigo"] != e["valor_novo"])).alias("e"),

@@ -63,10 +63,12 @@ def tracked_upsert(
     snap = conform(dedupe_snapshot(incoming, spec, order), spec)
     d = diff(prev, snap, spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = classify_counts(d, spec.name).collect()[0].asDict()
-        n = tx.write_table(spec.name, state_after(d, spec), sort_by=list(spec.keys))
+        # One pass over the joined rows gives every count (state and log rows too).
+        counts = classify_counts(d, spec.name, spec).collect()[0].asDict()
+        n = counts["incoming"] + counts["kept_absent"]
+        tx.write_table(spec.name, state_after(d, spec), sort_by=list(spec.keys), rows=n)
         log = change_entries(d, spec, competencia, detected_at)
-        counts["log_rows"] = tx.append(f"change_log/{spec.name}", log)
+        tx.append(f"change_log/{spec.name}", log, rows=counts["log_rows"])
         counts["rows"] = n
     finally:
         d.unpersist()
