@@ -74,10 +74,15 @@ def registry_view(tables: dict[str, DataFrame], broadcast_codes: bool = True) ->
         codes = small_sides(codes)
     cnae, mun, mot, nat = codes["cnae"], codes["mun"], codes["mot"], codes["nat"]
 
+    # empresa and simples are both unique per cnpj_basico, so one full outer
+    # join of the two (narrow rows) followed by a single estabelecimento ⟕ join
+    # is the same as two chained left joins — but leaves one sort-merge join
+    # whose children are plain shuffle stages, the shape AQE can split when one
+    # company owns a large share of the branches (chained joins are not split).
+    company = emp.join(s, "cnpj_basico", "full_outer")
     j = (
-        e.join(emp, "cnpj_basico", "left")
-        .join(s, "cnpj_basico", "left")
-        .join(cnae, F.col("cnae_fiscal_principal") == F.col("_cnae_codigo"), "left")
+        e.join(company, "cnpj_basico", "left")
+        .join(cnae,F.col("cnae_fiscal_principal") == F.col("_cnae_codigo"), "left")
         .join(mun, F.col("municipio") == F.col("_mun_codigo"), "left")
         .join(mot, F.col("motivo_situacao_cadastral") == F.col("_mot_codigo"), "left")
         .join(nat, F.col("_nat") == F.col("_nat_codigo"), "left")
