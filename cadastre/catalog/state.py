@@ -113,14 +113,17 @@ def _d_counts(table: str) -> str:
     other = [c for c in spec.column_names if c not in spec.keys]
     same = " AND ".join(_d_same(table, c) for c in other)
     k0 = spec.keys[0]
+    incomplete = " OR ".join(f"{k} IS NULL" for k in spec.keys)
     return f"""
 SELECT '{table}' AS tabela,
-  CAST(count_if(n.{k0} IS NOT NULL) AS BIGINT) AS incoming,
+  (SELECT CAST(count(*) AS BIGINT) FROM n_{table}) AS incoming,
   CAST(count_if(o.{k0} IS NULL) AS BIGINT) AS new,
-  CAST(count_if(o.{k0} IS NOT NULL AND n.{k0} IS NOT NULL AND NOT ({same})) AS BIGINT) AS changed,
-  CAST(count_if(o.{k0} IS NOT NULL AND n.{k0} IS NOT NULL AND ({same})) AS BIGINT) AS unchanged,
-  CAST(count_if(n.{k0} IS NULL) AS BIGINT) AS kept_absent
-FROM o_{table} o FULL OUTER JOIN n_{table} n ON {_d_join_on(table)}"""
+  CAST(count_if(o.{k0} IS NOT NULL AND n._p IS NOT NULL AND NOT ({same})) AS BIGINT) AS changed,
+  CAST(count_if(o.{k0} IS NOT NULL AND n._p IS NOT NULL AND ({same})) AS BIGINT) AS unchanged,
+  CAST(count_if(n._p IS NULL) AS BIGINT) AS kept_absent,
+  (SELECT CAST(count(*) AS BIGINT) FROM n_{table} WHERE {incomplete}) AS rejected
+FROM o_{table} o FULL OUTER JOIN (SELECT *, 1 AS _p FROM n_{table} WHERE NOT ({incomplete})) n
+  ON {_d_join_on(table)}"""
 
 
 def _pair_ctes() -> str:

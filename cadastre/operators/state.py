@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.values import canonical_of_typed
 from ..schema import TEXT, TableSpec
 
-NEW, CHANGED, UNCHANGED, ABSENT = "new", "changed", "unchanged", "absent"
+NEW, CHANGED, UNCHANGED, ABSENT, REJECTED = "new", "changed", "unchanged", "absent", "rejected"
 
 
 def first_by_key(df: DataFrame, keys: list[str], order: list[str], keep_order: bool = False) -> DataFrame:
@@ -79,8 +79,12 @@ def diff(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
     same = F.lit(True)
     for c in other:
         same = same & _equal(F.col("o_" + c), F.col("n_" + c), spec.type_of(c))
+    incomplete = F.lit(False)
+    for k in keys:
+        incomplete = incomplete | F.col(k).isNull()
     cls = (
-        F.when(F.col("_old").isNull(), F.lit(NEW))
+        F.when(incomplete, F.lit(REJECTED))
+        .when(F.col("_old").isNull(), F.lit(NEW))
         .when(F.col("_new").isNull(), F.lit(ABSENT))
         .when(same, F.lit(UNCHANGED))
         .otherwise(F.lit(CHANGED))
@@ -99,6 +103,7 @@ def classify_counts(d: DataFrame, table: str, spec: TableSpec | None = None) ->
         F.count_if(c == CHANGED).alias("changed"),
         F.count_if(c == UNCHANGED).alias("unchanged"),
         F.count_if(c == ABSENT).alias("kept_absent"),
+        F.count_if(c == REJECTED).alias("rejected"),
     ]
     if spec is not None:
         n = F.size(F.filter(_entries(spec), lambda e: e["valor_antigo"] != e["valor_novo"]))
@@ -153,12 +158,20 @@ def change_log(state: DataFrame, incoming: DataFrame, spec: TableSpec, competenc
     return change_entries(diff(state, incoming, spec), spec, competencia, detected_at)
 
 
+def rejected_rows(d: DataFrame, spec: TableSpec) -> DataFrame:
+    """Incoming rows of a ``diff`` whose key was incomplete."""
+    keys = list(spec.keys)
+    other = [c for c in spec.column_names if c not in keys]
+    return d.where(F.col("_class") == REJECTED).select(*keys, *[F.col("n_" + c).alias(c) for c in other])
+
+
 def state_after(d: DataFrame, spec: TableSpec) -> DataFrame:
-    """U6 from a ``diff``: the incoming row where present, else the stored one."""
+    """U6 from a ``diff``: the incoming row where present, else the stored one
+    (rows with an incomplete key are not part of the state)."""
     keys = list(spec.keys)
     other = [c for c in spec.column_names if c not in keys]
     take_new = F.col("_new").isNotNull()
-    return d.select(
+    return d.where(F.col("_class") != REJECTED).select(
         *keys, *[F.when(take_new, F.col("n_" + c)).otherwise(F.col("o_" + c)).alias(c) for c in other]
     )
 

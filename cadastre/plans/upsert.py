@@ -21,6 +21,7 @@ from ..operators.state import (
     diff,
     first_by_key,
     insert_ignore,
+    rejected_rows,
     state_after,
 )
 from ..schema import CHANGE_LOG, TableSpec, conform
@@ -29,12 +30,33 @@ from .store import Store, Transaction
 ORDER_COLUMNS = ["_file", "_ord"]
 
 
+def _incomplete_key(spec: TableSpec):
+    bad = None
+    for k in spec.keys:
+        c = F.col(k).isNull()
+        bad = c if bad is None else bad | c
+    return bad
+
+
 def dedupe_snapshot(incoming: DataFrame, spec: TableSpec, order: list[str] | None) -> DataFrame:
-    """B1 fix: first row per key by (file name, ordinal) wins; one comparison per key."""
+    """B1 fix: first row per key by (file name, ordinal) wins; one comparison per key.
+
+    Rows with an incomplete key get a unique discriminator so they are neither
+    merged with each other nor lost; the diff marks them rejected (B7)."""
     keys = list(spec.keys)
+    rid = F.when(_incomplete_key(spec), F.monotonically_increasing_id()).alias("_rid")
     if order and all(c in incoming.columns for c in order):
-        return first_by_key(incoming.select(*spec.column_names, *order), keys, order)
-    return incoming.dropDuplicates(keys)
+        df = incoming.select(*spec.column_names, *order, rid)
+        return first_by_key(df, keys + ["_rid"], order).drop("_rid")
+    return incoming.select(*spec.column_names, rid).dropDuplicates(keys + ["_rid"]).drop("_rid")
+
+
+def _write_rejects(tx: Transaction, spec: TableSpec, rejects: DataFrame, rows: int | None = None) -> int:
+    """Rows whose key is incomplete are kept in ``rejects/<table>`` with a
+    reason instead of being compared or loaded (the reference crashed on them)."""
+    cols = [c for c in spec.column_names if c in rejects.columns]
+    out = rejects.select(*[F.col(c).cast("string") for c in cols], F.lit("incomplete key").alias("reason"))
+    return tx.append(f"rejects/{spec.name}", out, rows=rows)
 
 
 def tracked_upsert(
@@ -50,25 +72,33 @@ def tracked_upsert(
     store: Store = tx.store
     prev = previous if previous is not None else store.read(spec.name, spec.struct)
     prev = conform(prev, spec)
+    order = order if order and all(c in incoming.columns for c in order) else None
     if not spec.tracked:
-        inc = conform(incoming, spec) if not order else incoming
         if not spec.keys:
             new_state = append_multiset(prev, conform(incoming, spec))
+            rejected = 0
         else:
-            new_state = insert_ignore(prev, inc, list(spec.keys), order if order and all(
-                c in incoming.columns for c in order) else None).select(*spec.column_names)
+            # Code tables: a few thousand rows, a separate filter pass is cheap.
+            bad = _incomplete_key(spec)
+            rejected = _write_rejects(tx, spec, incoming.where(bad))
+            good = incoming.where(~bad)
+            inc = good if order else conform(good, spec)
+            new_state = insert_ignore(prev, inc, list(spec.keys), order).select(*spec.column_names)
         n = tx.write_table(spec.name, new_state, sort_by=list(spec.keys[:1]) or None)
-        return {"tabela": spec.name, "rows": n}
+        return {"tabela": spec.name, "rows": n, "rejected": rejected}
 
     snap = conform(dedupe_snapshot(incoming, spec, order), spec)
     d = diff(prev, snap, spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # One pass over the joined rows gives every count (state and log rows too).
+        # One pass over the joined rows gives every count (state, log and rejects too);
+        # the source files are read once.
         counts = classify_counts(d, spec.name, spec).collect()[0].asDict()
-        n = counts["incoming"] + counts["kept_absent"]
+        n = counts["incoming"] - counts["rejected"] + counts["kept_absent"]
         tx.write_table(spec.name, state_after(d, spec), sort_by=list(spec.keys), rows=n)
         log = change_entries(d, spec, competencia, detected_at)
         tx.append(f"change_log/{spec.name}", log, rows=counts["log_rows"])
+        if counts["rejected"]:
+            _write_rejects(tx, spec, rejected_rows(d, spec), rows=counts["rejected"])
         counts["rows"] = n
     finally:
         d.unpersist()

@@ -102,3 +102,20 @@ def test_uncommitted_run_is_invisible(spark, fx):
     # no commit: readers still see version 1
     assert store.read("empresa").count() == n1
     assert store.current_version() == 1
+
+
+def test_incomplete_keys_are_rejected_not_lost(spark):
+    from cadastre.plans.store import Store as _Store
+
+    spec = TABLES["estabelecimento"]
+    rows = [("11111111", "0001", "01", "A"), ("11111111", None, "02", "B"), (None, "0001", "03", "C"), (None, "0001", "03", "C")]
+    inc = conform(
+        spark.createDataFrame(rows, "cnpj_basico string, cnpj_ordem string, cnpj_dv string, nome_fantasia string"), spec
+    )
+    store = _Store(spark, scratch_path(spark, "test-rejects"))
+    tx = store.begin(PREV_MONTH)
+    c = tracked_upsert(tx, spec, inc, PREV_MONTH, DETECTED_AT, order=None)
+    tx.commit()
+    assert c["rejected"] == 3 and c["new"] == 1
+    assert store.read("estabelecimento").count() == 1
+    assert store.read("rejects/estabelecimento").count() == 3
