@@ -9,7 +9,7 @@ from ..operators.ledger import latest_processed
 from ..operators.reads import change_history, page, search_documents, stats_exact, stats_final
 from ..operators.search import fuzzy_words, max_distance, search, search_contains, search_fuzzy, search_prefix
 from ..operators.state import change_log
-from ..plans.indexes import build_index, indexed_contains, indexed_prefix
+from ..plans.indexes import build_index, indexed_contains, indexed_fuzzy, indexed_prefix
 from ..plans.store import Store
 from ..schema import TABLES, conform
 from ..session import scratch_path
@@ -246,3 +246,10 @@ def k4_indexed_prefix(fx: Fixtures):
     """K4: build token postings, then answer Q8 through them."""
     t = fx.registry()
     return indexed_prefix(t, _index(fx, t), PREFIX_Q, None, LIMIT)
+
+
+@register("k4_indexed_fuzzy", _d_fuzzy(FUZZY_Q, LIMIT))
+def k4_indexed_fuzzy(fx: Fixtures):
+    """Q10 through K4: Levenshtein over the token vocabulary, then postings."""
+    t = fx.registry()
+    return indexed_fuzzy(t, _index(fx, t), FUZZY_Q, None, LIMIT)

@@ -158,8 +158,14 @@ def word_distance(token: Column, word: str) -> Column:
 def fuzzy_column_score(column: str, words: list[str]) -> Column:
     """Score of one name column, NULL unless every word matches some token."""
     toks = name_tokens(column)
-    dists = [F.array_min(F.transform(toks, _distance_to(w))) for w in words]
-    total = sum((F.lit(1.0) / (F.lit(1.0) + d) for d in dists), F.lit(0.0))
+    return score_from_distances([F.array_min(F.transform(toks, _distance_to(w))) for w in words])
+
+
+def score_from_distances(dists: list[Column]) -> Column:
+    """Σ 1/(1+d) in word order, +0.5 when every d = 0; NULL unless every word matched."""
+    total = F.lit(0.0)
+    for d in dists:
+        total = total + F.lit(1.0) / (F.lit(1.0) + d)
     exact = F.lit(True)
     for d in dists:
         exact = exact & (d == 0)

@@ -81,6 +81,14 @@ def build_index(spark: SparkSession, tables: dict[str, DataFrame], base: str) ->
                 .write.mode("overwrite")
                 .parquet(idx.path(kind, column))
             )
+        # Vocabulary for typo-tolerant search: one row per distinct token with its
+        # length and document count, sorted by (length, token) so a length window
+        # skips row groups.  Built from the written postings (a partial aggregate).
+        vocab = idx.read("token", column).groupBy("token").agg(F.count("*").alias("docs"))
+        vocab = vocab.withColumn("len", F.char_length("token"))
+        vocab.repartitionByRange("len", "token").sortWithinPartitions("len", "token").write.mode(
+            "overwrite"
+        ).parquet(idx.path("vocab", column))
     return idx
 
 
@@ -147,3 +155,56 @@ def indexed_prefix(
         company_keys=_candidates(idx, "token", "razao_social", conds),
         branch_keys=_candidates(idx, "token", "nome_fantasia", conds),
     )
+
+
+def _fuzzy_column(idx: SearchIndex, column: str, words: list[str]) -> DataFrame:
+    """Per document key of ``column``: the accepted distance of every query word
+    (NULL when a word has no accepted token) and the Q10 score.
+
+    The Levenshtein work runs over the distinct vocabulary (length-windowed),
+    not over every document; matched tokens then meet the postings in one join
+    and one aggregate per key.
+    """
+    from ..operators.search import max_distance, score_from_distances, word_distance
+
+    _, keys = NAME_COLUMNS[column]
+    vocab = idx.read("vocab", column)
+    matched = None
+    for i, w in enumerate(words):
+        # |len(token) - len(word)| <= distance; the transposition case has equal length.
+        n, md = len(w), max_distance(len(w))
+        m = vocab.where(F.col("len").between(n - md, n + md)).select(
+            "token", F.lit(i).alias("_w"), word_distance(F.col("token"), w).alias("_d")
+        )
+        m = m.where(F.col("_d").isNotNull())
+        matched = m if matched is None else matched.unionByName(m)
+    hits = idx.read("token", column).join(matched, "token")
+    per_key = hits.groupBy(*keys).agg(
+        *[F.min(F.when(F.col("_w") == i, F.col("_d"))).alias(f"_d{i}") for i in range(len(words))]
+    )
+    dists = [F.col(f"_d{i}") for i in range(len(words))]
+    return per_key.select(*keys, score_from_distances(dists).alias("score")).where(F.col("score").isNotNull())
+
+
+def indexed_fuzzy(
+    tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20
+) -> DataFrame:
+    """Q10 through the token postings: same rule and ranking as the scan form."""
+    from ..operators.search import _branches, _doc, _top, _with_company_names, fuzzy_words
+
+    words = fuzzy_words(q)
+    k = clamp_limit(limit)
+    branches = _branches(tables, uf)
+    companies = tables["empresa"].select("cnpj_basico", "razao_social")
+    order = [F.desc("score"), *[F.col(c) for c in KEYS3]]
+    fan = _fuzzy_column(idx, "nome_fantasia", words)
+    raz = _fuzzy_column(idx, "razao_social", words).withColumnRenamed("score", "_cscore")
+    b = _top(branches.join(fan, KEYS3, "inner"), k, order)
+    b = _with_company_names(b, companies)
+    c = branches.join(raz, "cnpj_basico", "inner").join(fan.withColumnRenamed("score", "_fscore"), KEYS3, "left")
+    c = c.withColumn("score", F.greatest(F.col("_cscore"), F.coalesce(F.col("_fscore"), F.lit(0.0))))
+    c = _with_company_names(_top(c.drop("_cscore", "_fscore"), k, order), companies)
+    u = b.unionByName(c.select(*b.columns))
+    best = u.groupBy(*KEYS3).agg(F.max_by(F.struct(*[x for x in u.columns if x not in KEYS3]), F.col("score")).alias("r"))
+    best = best.select(*KEYS3, "r.*")
+    return _doc(_top(best, k, order), "score")

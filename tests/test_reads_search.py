@@ -100,3 +100,15 @@ def test_ledger_before_after(spark):
 
     row = spark.createDataFrame([("2026-08", "Empresas0.zip", "SUCCESS", datetime.datetime(2026, 9, 1))], FILE_LEDGER)
     assert is_processed(ledger.unionByName(row), "2026-08", "Empresas0.zip").count() == 1
+
+
+def test_indexed_fuzzy_equals_scan(spark, fx):
+    from cadastre.operators.search import search_fuzzy
+    from cadastre.plans.indexes import indexed_fuzzy
+
+    t = fx.registry()
+    idx = build_index(spark, t, scratch_path(spark, "test-fuzzy"))
+    for q in ("widgte", "blue widgte", "smal rign", "custmer", "red"):
+        a = sorted(tuple(r) for r in search_fuzzy(t, q, None, 50).collect())
+        b = sorted(tuple(r) for r in indexed_fuzzy(t, idx, q, None, 50).collect())
+        assert a == b, q
