@@ -126,10 +126,11 @@ def profiles(tables: dict[str, DataFrame], requests: DataFrame, column: str = "r
     characters after cleaning) are returned with ``found = false``.
     """
     w = wanted_keys(requests, column)
-    valid = w.where("is_valid").select("cnpj_basico", "cnpj_ordem", "cnpj_dv").distinct()
+    # Semi joins need no de-duplicated right side: no extra aggregation here.
+    valid = w.where("is_valid").select("cnpj_basico", "cnpj_ordem", "cnpj_dv")
     keys3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
     e = tables["estabelecimento"].join(valid, keys3, "left_semi")
-    companies = valid.select("cnpj_basico").distinct()
+    companies = valid.select("cnpj_basico")
     emp = tables["empresa"].join(companies, "cnpj_basico", "left_semi").select("cnpj_basico", "razao_social")
     s = tables["simples"].join(companies, "cnpj_basico", "left_semi").select(
         "cnpj_basico", "opcao_pelo_simples", "opcao_mei"

@@ -76,17 +76,20 @@ def diff(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
     o = state.select(*keys, *[F.col(c).alias("o_" + c) for c in other], F.lit(True).alias("_old"))
     n = incoming.select(*keys, *[F.col(c).alias("n_" + c) for c in other], F.lit(True).alias("_new"))
     j = o.join(n, keys, "full_outer")
-    same = F.lit(True)
+    # Number of differing columns (comparison forms), shared by the class, the
+    # log-row count and nothing else: plain integer arithmetic, no arrays.
+    ndiff = F.lit(0)
     for c in other:
-        same = same & _equal(F.col("o_" + c), F.col("n_" + c), spec.type_of(c))
+        ndiff = ndiff + F.when(_equal(F.col("o_" + c), F.col("n_" + c), spec.type_of(c)), 0).otherwise(1)
     incomplete = F.lit(False)
     for k in keys:
         incomplete = incomplete | F.col(k).isNull()
+    j = j.withColumn("_ndiff", ndiff)
     cls = (
         F.when(incomplete, F.lit(REJECTED))
         .when(F.col("_old").isNull(), F.lit(NEW))
         .when(F.col("_new").isNull(), F.lit(ABSENT))
-        .when(same, F.lit(UNCHANGED))
+        .when(F.col("_ndiff") == 0, F.lit(UNCHANGED))
         .otherwise(F.lit(CHANGED))
     )
     return j.withColumn("_class", cls)
@@ -106,8 +109,7 @@ def classify_counts(d: DataFrame, table: str, spec: TableSpec | None = None) ->
         F.count_if(c == REJECTED).alias("rejected"),
     ]
     if spec is not None:
-        n = F.size(F.filter(_entries(spec), lambda e: e["valor_antigo"] != e["valor_novo"]))
-        aggs.append(F.coalesce(F.sum(F.when(c == CHANGED, n)), F.lit(0)).cast("bigint").alias("log_rows"))
+        aggs.append(F.coalesce(F.sum(F.when(c == CHANGED, F.col("_ndiff"))), F.lit(0)).cast("bigint").alias("log_rows"))
     return d.agg(*aggs)
 
 

@@ -100,17 +100,24 @@ def _prefix(x: str):
     return lambda t: t.startswith(x)
 
 
-def _candidates(idx: SearchIndex, kind: str, column: str, conds: list[F.Column]) -> DataFrame:
-    """Keys whose postings satisfy every condition (one condition per term)."""
+def _candidates(idx: SearchIndex, kind: str, column: str, conds: list) -> DataFrame:
+    """Keys whose postings satisfy every condition (one condition per term).
+
+    One scan with the OR of the conditions (pushed to parquet), one aggregate
+    per key holding a flag per term — no per-term scans, no joins between terms.
+    """
     _, keys = NAME_COLUMNS[column]
-    p = idx.read(kind, column)
     term = F.col(kind)
-    hit = None
-    for i, c in enumerate(conds):
-        part = p.where(c(term) if callable(c) else c).select(*keys, F.lit(i).alias("_term"))
-        hit = part if hit is None else hit.unionByName(part)
-    n = len(conds)
-    return hit.groupBy(*keys).agg(F.countDistinct("_term").alias("_n")).where(F.col("_n") == n).select(*keys)
+    preds = [c(term) for c in conds]
+    any_pred = preds[0]
+    for p in preds[1:]:
+        any_pred = any_pred | p
+    hits = idx.read(kind, column).where(any_pred)
+    flags = hits.groupBy(*keys).agg(*[F.max(F.when(p, 1)).alias(f"_t{i}") for i, p in enumerate(preds)])
+    every = F.lit(True)
+    for i in range(len(preds)):
+        every = every & (F.col(f"_t{i}") == 1)
+    return flags.where(every).select(*keys)
 
 
 def indexed_contains(

@@ -34,7 +34,9 @@ class Registry:
 
     # ---- state -------------------------------------------------------------------
     def tables(self) -> dict[str, DataFrame]:
-        return {t: self.store.read(t, TABLES[t].struct) for t in TABLES}
+        """Every table at one consistent committed version."""
+        commits = self.store.commits()
+        return {t: self.store.read(t, TABLES[t].struct, commits) for t in TABLES}
 
     def load_month(self, archives: list[str], month: str, detected_at: str, force: bool = False) -> dict:
         """Load one month's archives, then rebuild the search postings (K3/K4)."""
