@@ -1,15 +1,16 @@
 """Joins: J1 registry_view, J2 profiles, J3 lookup_existing, J4 new keys,
 plus the size-checked broadcast used for the code (domain) tables.
 
-Plan shape of J1 (checked with ``explain``): estabelecimento, empresa and
-simples are each shuffled once on ``cnpj_basico`` and meet in two sort-merge
-joins that share that partitioning (3 exchanges, no re-shuffle); the four
-code tables are broadcast only after one bounded row count (a single job for
-all four) proves them small, otherwise they join by shuffle like any other
-table.  The two big joins carry no hint: Catalyst picks broadcast only when
-the statistics say the side is under the threshold, and AQE re-plans with the
-measured sizes and splits skewed key partitions (a company with a very large
-share of branches) at run time.
+Plan shape of J1 (checked with ``explain`` on a skewed input): empresa ⟗
+simples (both unique per company, narrow rows) and then one estabelecimento ⟕
+company sort-merge join whose children are plain shuffle stages — the shape
+AQE's skew join splits (``SortMergeJoin(skew=true)``) when one company owns a
+large share of the branches; two chained left joins on the same key are not
+split.  The four code tables are broadcast only after one bounded row count
+(a single job for all four) proves them small, otherwise they join by
+shuffle.  The big joins carry no hint: Catalyst broadcasts only when the
+statistics put a side under the threshold, and AQE re-plans with measured
+sizes.
 """
 
 from __future__ import annotations
@@ -82,7 +83,7 @@ def registry_view(tables: dict[str, DataFrame], broadcast_codes: bool = True) ->
     company = emp.join(s, "cnpj_basico", "full_outer")
     j = (
         e.join(company, "cnpj_basico", "left")
-        .join(cnae,F.col("cnae_fiscal_principal") == F.col("_cnae_codigo"), "left")
+        .join(cnae, F.col("cnae_fiscal_principal") == F.col("_cnae_codigo"), "left")
         .join(mun, F.col("municipio") == F.col("_mun_codigo"), "left")
         .join(mot, F.col("motivo_situacao_cadastral") == F.col("_mot_codigo"), "left")
         .join(nat, F.col("_nat") == F.col("_nat_codigo"), "left")
