@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import cnpj_clean, cnpj_full, zero_int, zero_text
 
 KEYS3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
+HISTORY_SALT = 8
 
 
 def _tagged_union(frames: dict[str, DataFrame]) -> DataFrame:
@@ -83,16 +84,20 @@ def change_history(log: DataFrame, requests: DataFrame, column: str = "requested
     of the cleaned key) with the company's ``total_count``; newest first.
 
     The log is semi-joined to the request list; counts come from a partial
-    (map-side combined) aggregate and are joined back on the company key — no
+    (map-side combined) aggregate and are joined back on (company, slot): no
     window over a company, so a company holding a large share of the log is
-    not funnelled through one task (AQE splits a skewed join partition, and
-    broadcasts the per-company counts when they measure small).  Companies
-    without history return no rows.
+    not funnelled through one task.  Companies without history return no rows.
     """
     wanted = requests.select(F.substring(cnpj_clean(column), 1, 8).alias("cnpj_basico")).distinct()
     hist = log.join(wanted, "cnpj_basico", "left_semi")
     counts = hist.groupBy("cnpj_basico").agg(F.count("*").alias("total_count"))
-    out = hist.join(counts, "cnpj_basico", "inner")
+    # Salted join-back: each history row takes one of SALT slots round-robin, the
+    # per-company count is copied to every slot (a fixed SALT-fold copy of the
+    # small side), so one company's rows spread over SALT tasks.  Any slot gives
+    # the same answer, so the slot need not be reproducible on a task retry.
+    slot = F.pmod(F.monotonically_increasing_id(), F.lit(HISTORY_SALT))
+    salted = counts.select("cnpj_basico", "total_count", F.explode(F.sequence(F.lit(0), F.lit(HISTORY_SALT - 1))).alias("_slot"))
+    out = hist.withColumn("_slot", slot).join(salted, ["cnpj_basico", "_slot"], "inner").drop("_slot")
     return out.orderBy("cnpj_basico", F.desc("detectado_em"), "tabela", "campo")
 
 
