@@ -119,24 +119,10 @@ def wanted_keys(requests: DataFrame, column: str = "requested") -> DataFrame:
     )
 
 
-def profiles(tables: dict[str, DataFrame], requests: DataFrame, column: str = "requested") -> DataFrame:
-    """J2 (bulk form): one profile row per requested key, ``found`` = a branch exists.
-
-    The request list is semi-joined into each big table first, so only the
-    wanted branches and companies reach the joins.  Invalid keys (not 14
-    characters after cleaning) are returned with ``found = false``.
-    """
-    w = wanted_keys(requests, column)
-    # Semi joins need no de-duplicated right side: no extra aggregation here.
-    valid = w.where("is_valid").select("cnpj_basico", "cnpj_ordem", "cnpj_dv")
+def _profile_rows(e: DataFrame, emp: DataFrame, s: DataFrame) -> DataFrame:
+    """F2-F6 projection of branches joined to their company and opt-in rows."""
     keys3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
-    e = tables["estabelecimento"].join(valid, keys3, "left_semi")
-    companies = valid.select("cnpj_basico")
-    emp = tables["empresa"].join(companies, "cnpj_basico", "left_semi").select("cnpj_basico", "razao_social")
-    s = tables["simples"].join(companies, "cnpj_basico", "left_semi").select(
-        "cnpj_basico", "opcao_pelo_simples", "opcao_mei"
-    )
-    prof = e.join(emp, "cnpj_basico", "left").join(s, "cnpj_basico", "left").select(
+    return e.join(emp, "cnpj_basico", "left").join(s, "cnpj_basico", "left").select(
         *keys3,
         cnpj_full().alias("cnpj"),
         zero_text("razao_social").alias("razao_social"),
@@ -153,6 +139,47 @@ def profiles(tables: dict[str, DataFrame], requests: DataFrame, column: str = "r
         opt_in_default("opcao_pelo_simples").alias("opcao_simples"),
         opt_in_default("opcao_mei").alias("opcao_mei"),
     )
+
+
+def profile(tables: dict[str, DataFrame], cnpj: str) -> DataFrame:
+    """J2 single form: literal key filters reach the parquet scans (min/max and
+    row-group skipping on the key-range layout), ``LIMIT 1``; empty when the key
+    is invalid or unknown (the reference answers 404)."""
+    import re
+
+    clean = re.sub(r"[^a-zA-Z0-9]", "", cnpj)
+    if len(clean) != 14:
+        return _profile_rows(
+            tables["estabelecimento"].where(F.lit(False)), tables["empresa"].select("cnpj_basico", "razao_social"),
+            tables["simples"].select("cnpj_basico", "opcao_pelo_simples", "opcao_mei"),
+        ).drop("cnpj_basico", "cnpj_ordem", "cnpj_dv")
+    b, o, d = clean[:8], clean[8:12], clean[12:14]
+    e = tables["estabelecimento"].where(
+        (F.col("cnpj_basico") == b) & (F.col("cnpj_ordem") == o) & (F.col("cnpj_dv") == d)
+    )
+    emp = tables["empresa"].where(F.col("cnpj_basico") == b).select("cnpj_basico", "razao_social")
+    s = tables["simples"].where(F.col("cnpj_basico") == b).select("cnpj_basico", "opcao_pelo_simples", "opcao_mei")
+    return _profile_rows(e, emp, s).limit(1).drop("cnpj_basico", "cnpj_ordem", "cnpj_dv")
+
+
+def profiles(tables: dict[str, DataFrame], requests: DataFrame, column: str = "requested") -> DataFrame:
+    """J2 (bulk form): one profile row per requested key, ``found`` = a branch exists.
+
+    The request list is semi-joined into each big table first, so only the
+    wanted branches and companies reach the joins.  Invalid keys (not 14
+    characters after cleaning) are returned with ``found = false``.
+    """
+    w = wanted_keys(requests, column)
+    # Semi joins need no de-duplicated right side: no extra aggregation here.
+    valid = w.where("is_valid").select("cnpj_basico", "cnpj_ordem", "cnpj_dv")
+    keys3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
+    e = tables["estabelecimento"].join(valid, keys3, "left_semi")
+    companies = valid.select("cnpj_basico")
+    emp = tables["empresa"].join(companies, "cnpj_basico", "left_semi").select("cnpj_basico", "razao_social")
+    s = tables["simples"].join(companies, "cnpj_basico", "left_semi").select(
+        "cnpj_basico", "opcao_pelo_simples", "opcao_mei"
+    )
+    prof = _profile_rows(e, emp, s)
     out = w.join(prof, keys3, "left").withColumn("found", F.col("cnpj").isNotNull())
     return out.drop(*keys3)
 

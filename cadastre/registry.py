@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators.joins import profiles, registry_view
+from .operators.joins import profile, profiles, registry_view
 from .operators.ledger import latest_processed
 from .operators.reads import change_history, search_documents, stats_exact, stats_final, stats_from_commits
 from .operators.search import search, search_fuzzy
@@ -59,6 +59,10 @@ class Registry:
     def view(self) -> DataFrame:
         return registry_view(self.tables())
 
+    def profile(self, cnpj: str) -> DataFrame:
+        """One key: literal filters reach the scans (key-range layout skips files)."""
+        return profile(self.tables(), cnpj)
+
     def profiles(self, requests: DataFrame, column: str = "requested") -> DataFrame:
         return profiles(self.tables(), requests, column)
 

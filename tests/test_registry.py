@@ -26,6 +26,10 @@ def test_registry_two_months(spark, fx):
     req = spark.createDataFrame([(f"{key[0]}{key[1]}{key[2]}",), ("00000000999999",)], "requested string")
     prof = {r["requested"]: r for r in reg.profiles(req).collect()}
     assert prof[f"{key[0]}{key[1]}{key[2]}"]["found"] and not prof["00000000999999"]["found"]
+    one = reg.profile(f"{key[0]}.{key[1]}/{key[2]}").collect()
+    bulk = prof[f"{key[0]}{key[1]}{key[2]}"].asDict()
+    assert len(one) == 1 and all(one[0][c] == bulk[c] for c in one[0].asDict())
+    assert reg.profile("00000000999999").count() == 0 and reg.profile("123").count() == 0
     hist = reg.history(spark.createDataFrame([(key[0],)], "requested string"))
     assert hist.count() >= 0
     res = reg.search("ring", limit=10).collect()
