@@ -8,8 +8,8 @@ per-row Python is needed.  Reader options (probed on Spark 4.1):
 * ``escape='"'`` — doubled quotes inside a quoted field;
 * ``unescapedQuoteHandling='STOP_AT_CLOSING_QUOTE'`` — lazy quotes;
 * ``multiLine`` — quoted newlines; it disables splitting inside one file, so
-  it is only turned on when asked (big tables arrive as many numbered files,
-  which keeps file-level parallelism either way).
+  ``multi_line="auto"`` first checks (one splittable text scan) whether any
+  line has an odd number of quotes and only then turns it on.
 """
 
 from __future__ import annotations
@@ -33,7 +33,19 @@ CSV_OPTIONS = {
 }
 
 
-def read_registry_csv(spark: SparkSession, paths, spec: TableSpec, multi_line: bool = True) -> DataFrame:
+def has_quoted_newlines(spark: SparkSession, paths) -> bool:
+    """True when some physical line holds an odd number of quote characters —
+    the only way a field can continue on the next line.  A splittable text scan
+    that stops at the first such line (``limit(1)``); quotes are ASCII, so the
+    Latin-1 bytes need no decoding for this."""
+    if isinstance(paths, str):
+        paths = [paths]
+    v = F.col("value")
+    quotes = F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit("")))
+    return spark.read.text(paths).where(F.pmod(quotes, F.lit(2)) == 1).limit(1).count() > 0
+
+
+def read_registry_csv(spark: SparkSession, paths, spec: TableSpec, multi_line: bool | str = True) -> DataFrame:
     """Raw positional strings of ``spec`` plus ``_file`` and ``_ord`` (file order).
 
     ``_ord`` = (block start, monotonically increasing id) taken right after the
@@ -42,6 +54,10 @@ def read_registry_csv(spark: SparkSession, paths, spec: TableSpec, multi_line: b
     """
     if isinstance(paths, str):
         paths = [paths]
+    if multi_line == "auto":
+        # multiLine disables splitting inside a file (one task per multi-GB
+        # file); only pay for it when a quoted newline actually exists.
+        multi_line = has_quoted_newlines(spark, paths)
     raw = (
         spark.read.schema(spec.raw_struct)
         .options(**CSV_OPTIONS)
@@ -57,7 +73,7 @@ def read_registry_csv(spark: SparkSession, paths, spec: TableSpec, multi_line: b
     )
 
 
-def load_typed(spark: SparkSession, paths, spec: TableSpec, multi_line: bool = True, nulls: str = "null") -> DataFrame:
+def load_typed(spark: SparkSession, paths, spec: TableSpec, multi_line: bool | str = True, nulls: str = "null") -> DataFrame:
     """S8 + S10 + S11: typed rows of one table from its files."""
     return sanitize(read_registry_csv(spark, paths, spec, multi_line), spec, nulls)
 

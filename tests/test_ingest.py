@@ -72,3 +72,20 @@ def test_expand_archives(spark):
 def test_safe_member():
     assert safe_member("../x") is None and safe_member("a/../../x") is None
     assert safe_member("a/b.csv") == "a/b.csv" and safe_member("d/") is None
+
+
+def test_multiline_auto(spark):
+    from cadastre.sources.csv import has_quoted_newlines
+
+    d = scratch_path(spark, "test-ml")
+    plain, broken = os.path.join(d, "plain.csv"), os.path.join(d, "broken.csv")
+    with open(plain, "w", encoding="latin-1") as f:
+        f.write('"1";"A ""B"" C"\n"2";"D"\n')
+    with open(broken, "w", encoding="latin-1") as f:
+        f.write('"1";"LINHA\nQUEBRADA"\n"2";"D"\n')
+    assert not has_quoted_newlines(spark, [plain])
+    assert has_quoted_newlines(spark, [plain, broken])
+    rows = {r["cnpj_basico"]: r["razao_social"] for r in load_typed(spark, [broken], TABLES["empresa"], "auto").collect()}
+    assert rows == {"1": "LINHA\nQUEBRADA", "2": "D"}
+    rows = {r["cnpj_basico"]: r["razao_social"] for r in load_typed(spark, [plain], TABLES["empresa"], "auto").collect()}
+    assert rows == {"1": 'A "B" C', "2": "D"}
