@@ -19,6 +19,7 @@ from ..functions import clamp_limit, cnpj_full, contains_pattern, name_tokens, p
 from ..functions import zero_int, zero_text
 
 KEYS3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
+MAX_K = 100
 DOC_COLUMNS = ["cnpj", "razao_social", "nome_fantasia", "uf", "cnae"]
 
 
@@ -44,16 +45,32 @@ def _companies(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _top(df: DataFrame, k: int, order: list[Column] | None = None) -> DataFrame:
-    return df.orderBy(*(order or [F.col(c) for c in KEYS3])).limit(k)
-
-
-def _with_company_names(top: DataFrame, companies: DataFrame) -> DataFrame:
-    """Attach razao_social to at most k branch rows without shuffling the
-    company table: the k keys are broadcast into a semi join (bound: k), and
-    the matching companies (≤ k, the key is unique) are broadcast back."""
-    keys = F.broadcast(top.select("cnpj_basico").distinct())
-    names = companies.join(keys, "cnpj_basico", "left_semi")
-    return top.join(F.broadcast(names), "cnpj_basico", "left")
+    """Top-k in two steps: the first k of every partition (local sort + local
+    limit), gathered through one single-partition exchange, then the final k.
+    The exchange is an ordinary plan node, so when the same top-k feeds two
+    places of a plan (keys for a semi join and the rows themselves) Spark
+    reuses it instead of scanning twice; at most k × partitions rows move."""
+    order = order or [F.col(c) for c in KEYS3]
+    return df.sortWithinPartitions(*order).limit(k).orderBy(*order).limit(k)
+
+
+def _with_company_names(top: DataFrame, companies: DataFrame, k: int = MAX_K) -> DataFrame:
+    """Attach razao_social to a top-k of branch rows (two-phase search).
+
+    The top-k (≤ k ≤ 100 rows, F7) is computed once and brought back as the
+    search answer itself; its company keys then become a literal ``IN`` filter
+    that reaches the parquet scan of the company table, where the key-range
+    layout (K2) skips every row group but the matching ones.  No shuffle of
+    the company table, no second evaluation of the branch search.
+    """
+    rows = top.collect()
+    if len(rows) > k:
+        raise ValueError(f"top-k produced {len(rows)} rows, more than {k}")
+    spark = top.sparkSession
+    keys = sorted({r["cnpj_basico"] for r in rows if r["cnpj_basico"] is not None})
+    names = companies.where(F.col("cnpj_basico").isin(keys)) if keys else companies.where(F.lit(False))
+    local = spark.createDataFrame(rows, top.schema)
+    return local.join(F.broadcast(names), "cnpj_basico", "left")
 
 
 def two_branch_search(
@@ -77,7 +94,7 @@ def two_branch_search(
     if branch_match is not None:
         b = branches if branch_keys is None else branches.join(branch_keys, KEYS3, "left_semi")
         b = _top(b.where(branch_match), k)
-        parts.append(_with_company_names(b, companies))
+        parts.append(_with_company_names(b, companies, k))
     if company_match is not None:
         c = companies if company_keys is None else companies.join(company_keys, "cnpj_basico", "left_semi")
         # Matched companies have no size bound (a common word): no hint, AQE
@@ -187,7 +204,7 @@ def search_fuzzy(tables: dict[str, DataFrame], q: str, uf: str | None = None, li
     companies = _companies(tables)
     order = [F.desc("score"), *[F.col(c) for c in KEYS3]]
     b = branches.withColumn("score", fuzzy_column_score("nome_fantasia", words)).where(F.col("score").isNotNull())
-    b = _with_company_names(_top(b, k, order), companies)
+    b = _with_company_names(_top(b, k, order), companies, k)
     c = companies.withColumn("_cscore", fuzzy_column_score("razao_social", words)).where(F.col("_cscore").isNotNull())
     c = branches.join(c, "cnpj_basico", "inner")
     c = c.withColumn("score", F.greatest(F.col("_cscore"), F.coalesce(fuzzy_column_score("nome_fantasia", words), F.lit(0.0))))

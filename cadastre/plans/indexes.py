@@ -207,10 +207,10 @@ def indexed_fuzzy(
     fan = _fuzzy_column(idx, "nome_fantasia", words)
     raz = _fuzzy_column(idx, "razao_social", words).withColumnRenamed("score", "_cscore")
     b = _top(branches.join(fan, KEYS3, "inner"), k, order)
-    b = _with_company_names(b, companies)
+    b = _with_company_names(b, companies, k)
     c = branches.join(raz, "cnpj_basico", "inner").join(fan.withColumnRenamed("score", "_fscore"), KEYS3, "left")
     c = c.withColumn("score", F.greatest(F.col("_cscore"), F.coalesce(F.col("_fscore"), F.lit(0.0))))
-    c = _with_company_names(_top(c.drop("_cscore", "_fscore"), k, order), companies)
+    c = _with_company_names(_top(c.drop("_cscore", "_fscore"), k, order), companies, k)
     u = b.unionByName(c.select(*b.columns))
     best = u.groupBy(*KEYS3).agg(F.max_by(F.struct(*[x for x in u.columns if x not in KEYS3]), F.col("score")).alias("r"))
     best = best.select(*KEYS3, "r.*")
