@@ -42,8 +42,14 @@ def run_month(
     force: bool = False,
     multi_line: bool | str = "auto",
     parallel_tables: int = 4,
+    nulls: str = "null",
+    untracked_mode: str = "insert",
 ) -> dict:
-    """Load ``archives`` (paths of one month's zip files) into ``store``."""
+    """Load ``archives`` (paths of one month's zip files) into ``store``.
+
+    ``nulls="zero"`` types fields in the columnar-backend mode (S12: 0 / 0.00 /
+    '' instead of NULL); ``untracked_mode="latest"`` makes code tables take
+    the newest row per key (U2) instead of keeping the stored one (U1)."""
     current = store.latest_competencia()
     if current is not None and month < current and not force:
         raise StaleMonthError(f"state is at {current}; refusing {month} without force=True")
@@ -67,8 +73,10 @@ def run_month(
     # do not wait behind the big ones.  Any failure is raised before the commit.
     def load(name: str) -> tuple[str, dict]:
         paths = [m["path"] for m in members if m["table"] == name]
-        typed = load_typed(spark, paths, TABLES[name], multi_line)
-        return name, tracked_upsert(tx, TABLES[name], typed, month, detected_at, order=ORDER_COLUMNS)
+        typed = load_typed(spark, paths, TABLES[name], multi_line, nulls)
+        return name, tracked_upsert(
+            tx, TABLES[name], typed, month, detected_at, order=ORDER_COLUMNS, untracked_mode=untracked_mode
+        )
 
     routed = [n for n in TABLES if any(m["table"] == n for m in members)]
     with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:

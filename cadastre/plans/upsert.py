@@ -21,6 +21,7 @@ from ..operators.state import (
     diff,
     first_by_key,
     insert_ignore,
+    latest_by_key,
     rejected_rows,
     state_after,
 )
@@ -59,6 +60,21 @@ def _write_rejects(tx: Transaction, spec: TableSpec, rejects: DataFrame, rows: i
     return tx.append(f"rejects/{spec.name}", out, rows=rows)
 
 
+def replace_latest(prev: DataFrame, incoming: DataFrame, spec: TableSpec, order: list[str] | None) -> DataFrame:
+    """U2 as a load mode: stored rows rank before this run's rows, and inside
+    the run the last row by (file, ordinal) wins (``max_by``, map-side combined)."""
+    cols = spec.column_names
+    seq_in = [F.lit(1).alias("_run")] + ([F.col(c).alias(f"_s{i}") for i, c in enumerate(order)] if order else [])
+    seq_old = [F.lit(0).alias("_run")] + (
+        [F.lit(None).cast(incoming.schema[c].dataType).alias(f"_s{i}") for i, c in enumerate(order)] if order else []
+    )
+    both = prev.select(*cols, F.struct(*seq_old).alias("_seq")).unionByName(
+        conform(incoming, spec).select(*cols).withColumn("_seq", F.struct(*seq_in)) if not order
+        else incoming.select(*cols, F.struct(*seq_in).alias("_seq"))
+    )
+    return latest_by_key(both, list(spec.keys), ["_seq"]).select(*cols)
+
+
 def tracked_upsert(
     tx: Transaction,
     spec: TableSpec,
@@ -67,8 +83,13 @@ def tracked_upsert(
     detected_at: str,
     order: list[str] | None = ORDER_COLUMNS,
     previous: DataFrame | None = None,
+    untracked_mode: str = "insert",
 ) -> dict:
-    """Write state n of ``spec`` and its change-log entries into ``tx``; return the counts."""
+    """Write state n of ``spec`` and its change-log entries into ``tx``; return the counts.
+
+    Untracked keyed tables: ``untracked_mode="insert"`` keeps stored rows (U1,
+    the reference's behaviour, B14) or ``"latest"`` lets the newest file row
+    replace them (U2, replacing-merge semantics)."""
     store: Store = tx.store
     prev = previous if previous is not None else store.read(spec.name, spec.struct)
     prev = conform(prev, spec)
@@ -83,7 +104,10 @@ def tracked_upsert(
             rejected = _write_rejects(tx, spec, incoming.where(bad))
             good = incoming.where(~bad)
             inc = good if order else conform(good, spec)
-            new_state = insert_ignore(prev, inc, list(spec.keys), order).select(*spec.column_names)
+            if untracked_mode == "latest":
+                new_state = replace_latest(prev, inc, spec, order)
+            else:
+                new_state = insert_ignore(prev, inc, list(spec.keys), order).select(*spec.column_names)
         n = tx.write_table(spec.name, new_state, sort_by=list(spec.keys[:1]) or None)
         return {"tabela": spec.name, "rows": n, "rejected": rejected}
 

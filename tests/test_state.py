@@ -119,3 +119,25 @@ def test_incomplete_keys_are_rejected_not_lost(spark):
     assert c["rejected"] == 3 and c["new"] == 1
     assert store.read("estabelecimento").count() == 1
     assert store.read("rejects/estabelecimento").count() == 3
+
+
+def test_untracked_latest_mode(spark):
+    from cadastre.plans.store import Store as _Store
+
+    spec = TABLES["municipio"]
+    store = _Store(spark, scratch_path(spark, "test-latest"))
+    old = spark.createDataFrame([(1, "VELHO"), (2, "DOIS")], spec.struct)
+    new = spark.createDataFrame([(1, "NOVO A", "f1", 1), (1, "NOVO B", "f1", 2), (3, "TRES", "f1", 3)],
+                                "codigo bigint, descricao string, _file string, _ord bigint")
+    tx = store.begin(PREV_MONTH)
+    tracked_upsert(tx, spec, old, PREV_MONTH, DETECTED_AT, order=None)
+    tx.commit()
+    tx = store.begin(CURR_MONTH)
+    tracked_upsert(tx, spec, new, CURR_MONTH, DETECTED_AT, untracked_mode="latest")
+    tx.commit()
+    got = {r["codigo"]: r["descricao"] for r in store.read("municipio").collect()}
+    assert got == {1: "NOVO B", 2: "DOIS", 3: "TRES"}
+    tx = store.begin(CURR_MONTH)
+    tracked_upsert(tx, spec, new, CURR_MONTH, DETECTED_AT)  # insert mode: stored rows win
+    tx.commit()
+    assert {r["codigo"]: r["descricao"] for r in store.read("municipio").collect()}[1] == "NOVO B"
