@@ -55,6 +55,21 @@ class Registry:
             return None
         return SearchIndex(self.spark, path)
 
+    def reset_month(self, month: str) -> int:
+        """Drop one month's ledger rows (a new version) so the month loads
+        again; the data tables are untouched."""
+        from pyspark.sql import functions as F
+
+        from .schema import FILE_LEDGER
+
+        commits = self.store.commits()
+        tx = self.store.begin(None)
+        files = self.store.read("file_ledger", FILE_LEDGER, commits)
+        months = self.store.read("month_ledger", MONTH_LEDGER, commits)
+        tx.write_table("file_ledger", files.where(F.col("data_month") != month))
+        tx.write_table("month_ledger", months.where(F.col("data_month") != month))
+        return tx.commit()
+
     # ---- questions -----------------------------------------------------------------
     def view(self) -> DataFrame:
         return registry_view(self.tables())

@@ -16,6 +16,10 @@ def test_registry_two_months(spark, fx):
     # loading the same archives again: nothing pending, the month is still recorded
     again = reg.load_month(stage_month(fx, "_curr", CURR_MONTH, root + "/again"), CURR_MONTH, DETECTED_AT)
     assert again["tables"] == {} or all(v.get("log_rows", 0) == 0 for v in again["tables"].values())
+    # After a reset the same archives are pending again
+    reg.reset_month(CURR_MONTH)
+    redo = reg.load_month(stage_month(fx, "_curr", CURR_MONTH, root + "/redo"), CURR_MONTH, DETECTED_AT)
+    assert redo["tables"]["empresa"]["changed"] == 0 and redo["tables"]["empresa"]["new"] == 0
     # an older month is refused
     try:
         reg.load_month([], "2026-01", DETECTED_AT)
