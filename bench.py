@@ -42,7 +42,7 @@ from cadastre.operators.search import search_contains, search_fuzzy, search_pref
 from cadastre.plans.indexes import build_index, indexed_contains, indexed_fuzzy, indexed_prefix  # noqa: E402
 from cadastre.plans.run_month import run_month  # noqa: E402
 from cadastre.plans.store import Store  # noqa: E402
-from cadastre.plans.upsert import read_change_log, tracked_upsert  # noqa: E402
+from cadastre.plans.upsert import read_change_log, upsert_tables  # noqa: E402
 from cadastre.registry import Registry  # noqa: E402
 from cadastre.schema import TABLES, conform  # noqa: E402
 from cadastre.session import get_spark, scratch_path  # noqa: E402
@@ -69,9 +69,7 @@ def timed(fn, reps: int) -> float:
 def publish(spark, fx: Fixtures, base: str, suffix: str, month: str, store: Store | None = None) -> Store:
     store = store or Store(spark, base)
     tx = store.begin(month)
-    reg = fx.registry(suffix)
-    for t, df in reg.items():
-        tracked_upsert(tx, TABLES[t], df, month, DETECTED_AT, order=None)
+    upsert_tables(tx, fx.registry(suffix), month, DETECTED_AT, order=None)
     tx.commit()
     return store
 
@@ -92,8 +90,8 @@ def main() -> None:
         store = publish(spark, fx, scratch_path(spark, "bench-store"), "_prev", PREV_MONTH)
         t0 = time.perf_counter()
         tx = store.begin(CURR_MONTH)
-        for t in TRACKED:
-            tracked_upsert(tx, TABLES[t], conform(fx[f"fx_{t}_curr"], TABLES[t]), CURR_MONTH, DETECTED_AT, order=None)
+        frames = {t: conform(fx[f"fx_{t}_curr"], TABLES[t]) for t in TRACKED}
+        upsert_tables(tx, frames, CURR_MONTH, DETECTED_AT, order=None)
         tx.commit()
         runs.append(time.perf_counter() - t0)
     q["u8_tracked_upsert"] = statistics.median(runs)

@@ -69,26 +69,38 @@ class SearchIndex:
         return self.spark.read.parquet(self.path(kind, column))
 
 
-def build_index(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> SearchIndex:
-    """K3 + K4: write trigram and token postings for both name columns."""
+def build_index(spark: SparkSession, tables: dict[str, DataFrame], base: str, parallel: int = 4) -> SearchIndex:
+    """K3 + K4: write trigram and token postings for both name columns, then
+    the token vocabulary; the independent writes run as concurrent jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
     idx = SearchIndex(spark, base)
-    for column, (_, keys) in NAME_COLUMNS.items():
-        for kind, fn, term in (("gram", trigram_postings, "gram"), ("token", token_postings, "token")):
-            p = fn(tables, column)
-            (
-                p.repartitionByRange(term, *keys)
-                .sortWithinPartitions(term, *keys)
-                .write.mode("overwrite")
-                .parquet(idx.path(kind, column))
-            )
-        # Vocabulary for typo-tolerant search: one row per distinct token with its
-        # length and document count, sorted by (length, token) so a length window
-        # skips row groups.  Built from the written postings (a partial aggregate).
+
+    def postings(job: tuple[str, str]) -> None:
+        column, kind = job
+        _, keys = NAME_COLUMNS[column]
+        fn = trigram_postings if kind == "gram" else token_postings
+        p = fn(tables, column)
+        (
+            p.repartitionByRange(kind, *keys)
+            .sortWithinPartitions(kind, *keys)
+            .write.mode("overwrite")
+            .parquet(idx.path(kind, column))
+        )
+
+    def vocabulary(column: str) -> None:
+        # One row per distinct token with its length and document count, sorted
+        # by (length, token) so a length window skips row groups.  Built from the
+        # written postings (a partial aggregate).
         vocab = idx.read("token", column).groupBy("token").agg(F.count("*").alias("docs"))
         vocab = vocab.withColumn("len", F.char_length("token"))
         vocab.repartitionByRange("len", "token").sortWithinPartitions("len", "token").write.mode(
             "overwrite"
         ).parquet(idx.path("vocab", column))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(postings, [(c, k) for c in NAME_COLUMNS for k in ("gram", "token")]))
+        list(pool.map(vocabulary, list(NAME_COLUMNS)))
     return idx
 
 

@@ -13,7 +13,6 @@ member list (metadata: one row per file) and the commit rows.
 from __future__ import annotations
 
 import datetime as _dt
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +24,7 @@ from ..sources.csv import load_typed
 from ..sources.listing import pending_files
 from ..sources.routing import route_column
 from .store import Store
-from .upsert import ORDER_COLUMNS, tracked_upsert
+from .upsert import ORDER_COLUMNS, upsert_tables
 
 
 class StaleMonthError(ValueError):
@@ -71,17 +70,14 @@ def run_month(
     # Tables are independent: their jobs are submitted concurrently (Spark runs
     # jobs from several driver threads side by side), so the small code tables
     # do not wait behind the big ones.  Any failure is raised before the commit.
-    def load(name: str) -> tuple[str, dict]:
-        paths = [m["path"] for m in members if m["table"] == name]
-        typed = load_typed(spark, paths, TABLES[name], multi_line, nulls)
-        return name, tracked_upsert(
-            tx, TABLES[name], typed, month, detected_at, order=ORDER_COLUMNS, untracked_mode=untracked_mode
-        )
-
     routed = [n for n in TABLES if any(m["table"] == n for m in members)]
-    with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:
-        for name, counts in pool.map(load, routed):
-            summary["tables"][name] = counts
+    frames = {
+        n: load_typed(spark, [m["path"] for m in members if m["table"] == n], TABLES[n], multi_line, nulls)
+        for n in routed
+    }
+    summary["tables"] = upsert_tables(
+        tx, frames, month, detected_at, order=ORDER_COLUMNS, untracked_mode=untracked_mode, parallel=parallel_tables
+    )
 
     # Every routed member loaded (a failure above raised before this point).
     outcome_rows = [(m["archive"], m["member"], True) for m in members]

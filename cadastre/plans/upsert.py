@@ -129,6 +129,30 @@ def tracked_upsert(
     return counts
 
 
+def upsert_tables(
+    tx: Transaction,
+    frames: dict[str, DataFrame],
+    competencia: str,
+    detected_at: str,
+    order: list[str] | None = ORDER_COLUMNS,
+    untracked_mode: str = "insert",
+    parallel: int = 4,
+) -> dict[str, dict]:
+    """U8/U1/U3 for several tables of one run; their jobs are independent, so
+    they are submitted concurrently from a few driver threads."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ..schema import TABLES
+
+    def one(name: str) -> tuple[str, dict]:
+        return name, tracked_upsert(
+            tx, TABLES[name], frames[name], competencia, detected_at, order=order, untracked_mode=untracked_mode
+        )
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return dict(pool.map(one, list(frames)))
+
+
 def read_change_log(store: Store) -> DataFrame:
     """All committed change-log entries of every tracked table."""
     parts = [
