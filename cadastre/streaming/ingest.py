@@ -46,8 +46,8 @@ def run_available(df: DataFrame, sink: str, checkpoint: str, extra: dict | None
     q.awaitTermination()
 
 
-def stream_upsert(stream: DataFrame, store, spec: TableSpec, detected_at: str, checkpoint: str, query_name: str):
-    """Every micro-batch goes through the tracked upsert, month by month."""
+def batch_upsert(store, spec: TableSpec, detected_at: str, query_name: str):
+    """The ``foreachBatch`` function of T2 (idempotent per ``batch_id``)."""
     from ..plans.upsert import tracked_upsert
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -68,6 +68,12 @@ def stream_upsert(stream: DataFrame, store, spec: TableSpec, detected_at: str, c
         finally:
             batch.unpersist()
 
+    return apply
+
+
+def stream_upsert(stream: DataFrame, store, spec: TableSpec, detected_at: str, checkpoint: str, query_name: str):
+    """Every micro-batch goes through the tracked upsert, month by month."""
+    apply = batch_upsert(store, spec, detected_at, query_name)
     q = (
         stream.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)

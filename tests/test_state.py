@@ -141,3 +141,22 @@ def test_untracked_latest_mode(spark):
     tracked_upsert(tx, spec, new, CURR_MONTH, DETECTED_AT)  # insert mode: stored rows win
     tx.commit()
     assert {r["codigo"]: r["descricao"] for r in store.read("municipio").collect()}[1] == "NOVO B"
+
+
+def test_stream_batch_is_idempotent(spark, fx):
+    """A retried micro-batch (same batch id) publishes nothing twice."""
+    from cadastre.plans.store import Store as _Store
+    from cadastre.streaming.ingest import batch_upsert
+
+    spec = TABLES["empresa"]
+    store = _Store(spark, scratch_path(spark, "test-t2"))
+    apply = batch_upsert(store, spec, DETECTED_AT, "q")
+    batch = conform(fx["fx_empresa_prev"], spec).withColumn("_file", F.lit("f")).withColumn("_month", F.lit(PREV_MONTH))
+    apply(batch, 0)
+    v = store.current_version()
+    apply(batch, 0)
+    assert store.current_version() == v
+    nxt = conform(fx["fx_empresa_curr"], spec).withColumn("_file", F.lit("g")).withColumn("_month", F.lit(CURR_MONTH))
+    apply(nxt, 1)
+    assert store.current_version() == v + 1
+    assert store.read("empresa").count() == fx["fx_empresa_prev"].unionByName(fx["fx_empresa_curr"]).select("cnpj_basico").distinct().count()
