@@ -1,4 +1,4 @@
-"""Column-function queries: S11-S13, F1/F2, F10, F11, F12."""
+"""Column-function queries: S11-S13 (and the load quality report), F1/F2, F10, F11, F12."""
 
 from __future__ import annotations
 
@@ -19,6 +19,7 @@ from ..functions import (
 )
 from ..functions.search_terms import OPERATOR_CHARACTERS
 from ..functions.values import WHITESPACE
+from ..operators.quality import quality_report
 from ..oracle_sql import WS, d_bulk, d_int, d_num, d_text, d_trim
 from ..schema import INTEGER, NUMERIC, TEXT
 from .base import register
@@ -188,4 +189,22 @@ def f12_client_key(fx: Fixtures):
     return req.select("event_id", "forwarded_for", "remote_addr", client_key("forwarded_for", "remote_addr").alias("client_key"))
 
 
+def _d_quality() -> str:
+    parts = []
+    for c, k in RAW_FIELDS:
+        v = {NUMERIC: d_num, INTEGER: d_int, TEXT: d_text}[k](c)
+        parts.append(
+            f"SELECT '{c}' AS campo, '{k}' AS tipo, CAST(count(*) AS BIGINT) AS rows, "
+            f"CAST(count_if({d_text(c)} IS NOT NULL) AS BIGINT) AS filled, "
+            f"CAST(count_if({d_text(c)} IS NOT NULL AND ({v}) IS NULL) AS BIGINT) AS invalid FROM fx_raw"
+        )
+    return duckdb_with("fx_raw") + "\nUNION ALL\n".join(parts)
+
+
+@register("s11_quality_report", _d_quality())
+def s11_quality_report(fx: Fixtures):
+    """Filled and unparsable values per raw field (one aggregate pass)."""
+    return quality_report(fx["fx_raw"], RAW_FIELDS)
+
+
 __all__ = ["WS"]
