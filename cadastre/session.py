@@ -57,3 +57,37 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int) -> dict[str, str]:
+    """Starting configuration for a large cluster, derived from the size of the
+    largest table one job shuffles (``input_bytes``).
+
+    * shuffle partitions: enough that each holds ~256 MB of that table and at
+      least 3 waves of the cluster's cores (capped so shuffle metadata on the
+      driver stays bounded); AQE then coalesces the small ones and splits
+      skewed ones (a key holding a third of a table);
+    * file splits of 256 MB for the parquet and CSV scans;
+    * broadcast threshold kept at a size an executor can hold many times over.
+    """
+    cores = max(1, executors * cores_per_executor)
+    by_size = int(input_bytes // (256 * 1024 * 1024)) + 1
+    partitions = min(max(cores * 3, by_size), MAX_SHUFFLE_PARTITIONS)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -134,3 +134,13 @@ def test_client_key(spark, xff, addr, want):
 
 def test_clamp_limit():
     assert [clamp_limit(x) for x in (0, -1, 101, 20, 100, 1)] == [20, 20, 20, 20, 100, 1]
+
+
+def test_cluster_settings_scale_with_input():
+    from cadastre.session import cluster_settings
+
+    small = cluster_settings(10 * 2**30, 10, 4)
+    big = cluster_settings(100 * 2**40, 1000, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 120
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(cluster_settings(2 * 2**40, 1000, 8)["spark.sql.shuffle.partitions"]) == 24_000
