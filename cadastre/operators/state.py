@@ -95,12 +95,11 @@ def diff(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
     return j.withColumn("_class", cls)
 
 
-def classify_counts(d: DataFrame, table: str, spec: TableSpec | None = None) -> DataFrame:
-    """U4 summary: incoming / new / changed / unchanged counts (and kept-absent
-    rows); with ``spec`` also the number of change-log entries, in the same pass."""
+def class_count_exprs(with_log: bool = True) -> list[Column]:
+    """Aggregates of a ``diff``: incoming / new / changed / unchanged / kept-absent /
+    rejected rows and (``with_log``) the number of change-log entries."""
     c = F.col("_class")
     aggs = [
-        F.lit(table).alias("tabela"),
         F.count_if(c != ABSENT).alias("incoming"),
         F.count_if(c == NEW).alias("new"),
         F.count_if(c == CHANGED).alias("changed"),
@@ -108,9 +107,15 @@ def classify_counts(d: DataFrame, table: str, spec: TableSpec | None = None) ->
         F.count_if(c == ABSENT).alias("kept_absent"),
         F.count_if(c == REJECTED).alias("rejected"),
     ]
-    if spec is not None:
+    if with_log:
         aggs.append(F.coalesce(F.sum(F.when(c == CHANGED, F.col("_ndiff"))), F.lit(0)).cast("bigint").alias("log_rows"))
-    return d.agg(*aggs)
+    return aggs
+
+
+def classify_counts(d: DataFrame, table: str, spec: TableSpec | None = None) -> DataFrame:
+    """U4 summary: incoming / new / changed / unchanged counts (and kept-absent
+    rows); with ``spec`` also the number of change-log entries, in the same pass."""
+    return d.agg(F.lit(table).alias("tabela"), *class_count_exprs(spec is not None))
 
 
 def classify(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:

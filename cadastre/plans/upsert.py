@@ -2,22 +2,25 @@
 
 Per tracked table the whole comparison is **one** full outer join on the key
 (J3 ⋉, J4 ▷, U4, U5, U6 all read the same joined rows).  The joined frame is
-persisted once because three outputs read it (state, log, counts); Spark
-recomputes a lost partition from lineage, whose root is the previous
-version's parquet files, so executor loss costs a recomputation only.
+persisted once because two writes read it (change log — which also gathers
+all counts through an Observation — and state); Spark recomputes a lost
+partition from lineage, whose root is the previous version's parquet files,
+so executor loss costs a recomputation only.
 Untracked tables fall back to U1 (insert-ignore) and ``socios`` to U3.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.state import (
     append_multiset,
     change_entries,
-    classify_counts,
+    class_count_exprs,
     diff,
     first_by_key,
     insert_ignore,
@@ -114,13 +117,16 @@ def tracked_upsert(
     snap = conform(dedupe_snapshot(incoming, spec, order), spec)
     d = diff(prev, snap, spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # One pass over the joined rows gives every count (state, log and rejects too);
-        # the source files are read once.
-        counts = classify_counts(d, spec.name, spec).collect()[0].asDict()
+        # The change-log write also gathers every count (an Observation on the
+        # joined rows before the log filter), so there is no separate counting
+        # pass; it materialises the persisted join that the state write reuses.
+        obs = Observation(f"upsert-{spec.name}-{uuid.uuid4().hex[:8]}")
+        log = change_entries(d.observe(obs, *class_count_exprs()), spec, competencia, detected_at)
+        tx.append(f"change_log/{spec.name}", log, rows=-1)
+        counts = {"tabela": spec.name, **obs.get}
+        tx.set_rows(f"change_log/{spec.name}", counts["log_rows"])
         n = counts["incoming"] - counts["rejected"] + counts["kept_absent"]
         tx.write_table(spec.name, state_after(d, spec), sort_by=list(spec.keys), rows=n)
-        log = change_entries(d, spec, competencia, detected_at)
-        tx.append(f"change_log/{spec.name}", log, rows=counts["log_rows"])
         if counts["rejected"]:
             _write_rejects(tx, spec, rejected_rows(d, spec), rows=counts["rejected"])
         counts["rows"] = n
