@@ -125,6 +125,10 @@ def _candidates(idx: SearchIndex, kind: str, column: str, conds: list) -> DataFr
     for p in preds[1:]:
         any_pred = any_pred | p
     hits = idx.read(kind, column).where(any_pred)
+    if len(preds) == 1:
+        # One term: the posting rows are the candidates (a semi join tolerates
+        # a key listed under several matching tokens) — no aggregate needed.
+        return hits.select(*keys)
     flags = hits.groupBy(*keys).agg(*[F.max(F.when(p, 1)).alias(f"_t{i}") for i, p in enumerate(preds)])
     every = F.lit(True)
     for i in range(len(preds)):

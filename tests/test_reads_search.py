@@ -127,3 +127,15 @@ def test_keyset_paging_covers_all(spark):
         seen += [r["cnpj"] for r in page_rows]
         after = page_rows[-1]["cnpj"]
     assert seen == sorted(r["cnpj"] for r in docs.collect())
+
+
+def test_single_term_indexed(spark, fx):
+    t = fx.registry()
+    idx = build_index(spark, t, scratch_path(spark, "test-one-term"))
+    for q in ("rin", "wid"):
+        a = sorted(tuple(r) for r in search_contains(t, q, None, 100).collect())
+        b = sorted(tuple(r) for r in indexed_contains(t, idx, q, None, 100).collect())
+        assert a == b
+        a = sorted(tuple(r) for r in search_prefix(t, q, None, 100).collect())
+        b = sorted(tuple(r) for r in indexed_prefix(t, idx, q, None, 100).collect())
+        assert a == b
