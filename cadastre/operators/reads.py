@@ -101,6 +101,19 @@ def change_history(log: DataFrame, requests: DataFrame, column: str = "requested
     return out.orderBy("cnpj_basico", F.desc("detectado_em"), "tabela", "campo")
 
 
+def company_history(log: DataFrame, cnpj: str) -> DataFrame:
+    """Q4 for one company (the API form): the first 8 characters of the cleaned
+    key become a literal filter that reaches the parquet scan (the log files are
+    company-sorted, so min/max statistics skip the other row groups); then the
+    bulk form above, so even a very large history is counted without a window.
+    No history → empty, never an error."""
+    import re
+
+    basico = re.sub(r"[^a-zA-Z0-9]", "", cnpj)[:8]
+    one = log.sparkSession.createDataFrame([(basico,)], "requested string")
+    return change_history(log.where(F.col("cnpj_basico") == F.lit(basico)), one)
+
+
 def search_documents(tables: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
     """Q5: one zero-valued search document per branch, ordered by key."""
     e = tables["estabelecimento"].select(*KEYS3, "nome_fantasia", "uf", "cnae_fiscal_principal")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .operators.joins import profile, profiles, registry_view
 from .operators.ledger import latest_processed
-from .operators.reads import change_history, search_documents, stats_exact, stats_final, stats_from_commits
+from .operators.reads import change_history, company_history, search_documents, stats_exact, stats_final, stats_from_commits
 from .operators.search import search, search_fuzzy
 from .plans.indexes import SearchIndex, build_index, indexed_contains, indexed_prefix
 from .plans.run_month import run_month
@@ -81,6 +81,10 @@ class Registry:
     def profiles(self, requests: DataFrame, column: str = "requested") -> DataFrame:
         return profiles(self.tables(), requests, column)
 
+    def history_of(self, cnpj: str) -> DataFrame:
+        """Q4 for one company: literal key filter on the company-sorted log files."""
+        return company_history(read_change_log(self.store), cnpj)
+
     def history(self, requests: DataFrame, column: str = "requested") -> DataFrame:
         return change_history(read_change_log(self.store), requests, column)
 
