@@ -16,7 +16,7 @@ from ..operators.state import (
 )
 from ..oracle_sql import FX_COLUMNS, d_conform
 from ..plans.store import Store
-from ..plans.upsert import tracked_upsert
+from ..plans.upsert import upsert_tables
 from ..schema import TABLES, TEXT, conform
 from ..session import scratch_path
 from .base import register
@@ -193,14 +193,8 @@ def u6_apply_changes(fx: Fixtures):
 def u8_tracked_upsert(fx: Fixtures):
     """Load month n-1, tracked-upsert month n into a fresh store, read back."""
     store = Store(fx.spark, scratch_path(fx.spark, "u8-store"))
-    tx = store.begin(PREV_MONTH)
-    for t in TRACKED:
-        prev, _ = _pair(fx, t)
-        tracked_upsert(tx, TABLES[t], prev, PREV_MONTH, DETECTED_AT, order=None)
-    tx.commit()
-    tx = store.begin(CURR_MONTH)
-    for t in TRACKED:
-        _, curr = _pair(fx, t)
-        tracked_upsert(tx, TABLES[t], curr, CURR_MONTH, DETECTED_AT, order=None)
-    tx.commit()
+    for i, month in enumerate((PREV_MONTH, CURR_MONTH)):
+        tx = store.begin(month)
+        upsert_tables(tx, {t: _pair(fx, t)[i] for t in TRACKED}, month, DETECTED_AT, order=None)
+        tx.commit()
     return store.read("estabelecimento")

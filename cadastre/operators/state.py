@@ -75,7 +75,15 @@ def diff(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
     other = [c for c in spec.column_names if c not in keys]
     o = state.select(*keys, *[F.col(c).alias("o_" + c) for c in other], F.lit(True).alias("_old"))
     n = incoming.select(*keys, *[F.col(c).alias("n_" + c) for c in other], F.lit(True).alias("_new"))
-    j = o.join(n, keys, "full_outer")
+    if "_rid" in incoming.columns:
+        # Join on (key, _rid): stored rows carry _rid = 0 like every complete
+        # incoming key, so the result is the keyed join, and the snapshot's
+        # (key, _rid) partitioning from de-duplication is reused as is.
+        o = o.withColumn("_rid", F.lit(0).cast("bigint"))
+        n = n.withColumn("_rid", incoming["_rid"])
+        j = o.join(n, keys + ["_rid"], "full_outer").drop("_rid")
+    else:
+        j = o.join(n, keys, "full_outer")
     # Number of differing columns (comparison forms), shared by the class, the
     # log-row count and nothing else: plain integer arithmetic, no arrays.
     ndiff = F.lit(0)

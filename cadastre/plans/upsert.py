@@ -45,14 +45,20 @@ def _incomplete_key(spec: TableSpec):
 def dedupe_snapshot(incoming: DataFrame, spec: TableSpec, order: list[str] | None) -> DataFrame:
     """B1 fix: first row per key by (file name, ordinal) wins; one comparison per key.
 
-    Rows with an incomplete key get a unique discriminator so they are neither
-    merged with each other nor lost; the diff marks them rejected (B7)."""
+    Output: the declared columns (typed) plus ``_rid`` — 0 for every row with a
+    complete key, a unique id for a row whose key is incomplete, so such rows
+    are neither merged with each other nor lost (the diff marks them rejected,
+    B7).  Grouping on (key, ``_rid``) leaves the snapshot hash-partitioned on
+    exactly the columns the diff joins on, so the join needs no second shuffle
+    of the snapshot."""
     keys = list(spec.keys)
-    rid = F.when(_incomplete_key(spec), F.monotonically_increasing_id()).alias("_rid")
+    rid = F.when(_incomplete_key(spec), F.monotonically_increasing_id() + 1).otherwise(F.lit(0)).alias("_rid")
+    typed = conform(incoming, spec).columns
+    cols = [F.col(c).cast(spec.struct[c].dataType).alias(c) for c in typed]
     if order and all(c in incoming.columns for c in order):
-        df = incoming.select(*spec.column_names, *order, rid)
-        return first_by_key(df, keys + ["_rid"], order).drop("_rid")
-    return incoming.select(*spec.column_names, rid).dropDuplicates(keys + ["_rid"]).drop("_rid")
+        df = incoming.select(*cols, *order, rid)
+        return first_by_key(df, keys + ["_rid"], order)
+    return incoming.select(*cols, rid).dropDuplicates(keys + ["_rid"])
 
 
 def _write_rejects(tx: Transaction, spec: TableSpec, rejects: DataFrame, rows: int | None = None) -> int:
@@ -114,7 +120,7 @@ def tracked_upsert(
         n = tx.write_table(spec.name, new_state, sort_by=list(spec.keys[:1]) or None)
         return {"tabela": spec.name, "rows": n, "rejected": rejected}
 
-    snap = conform(dedupe_snapshot(incoming, spec, order), spec)
+    snap = dedupe_snapshot(incoming, spec, order)
     d = diff(prev, snap, spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # The change-log write also gathers every count (an Observation on the
