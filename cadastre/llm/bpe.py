@@ -189,8 +189,9 @@ def decode_ids(ids: np.ndarray, path: str) -> np.ndarray:
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
-           spans: bool = False) -> DataFrame:
-    """``keep`` columns, ``ids`` (array<int>) and, with ``spans``, ``char_start``
+           spans: bool = False, decoded: bool = False) -> DataFrame:
+    """``keep`` columns, ``ids`` (array<int>), with ``decoded`` what they decode
+    to (binary, as :func:`decode` gives) in the same pass, and with ``spans`` ``char_start``
     and ``char_end`` (array<int>): the characters of the text that each token
     touches (a token that holds only part of a character touches it whole)."""
 
@@ -199,6 +200,9 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
         ids = np.frombuffer(b"".join(parts), "<u4").astype(np.int32)
         at = np.concatenate([[0], np.cumsum([len(b) // 4 for b in parts], dtype=np.int64)])
         out = {"ids": list_array(ids, at, pa.int32())}
+        if decoded:
+            size = np.concatenate([[0], np.cumsum(_token_table(ranks_path)[2][ids])])
+            out["decoded"] = binary_array(decode_ids(ids, ranks_path).tobytes(), size[at])
         if spans:
             raw, rows = text_bytes(batch.column(0))
             heads = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])  # characters begun before each byte
@@ -210,7 +214,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
             out["char_end"] = list_array((heads[ends] - base).astype(np.int32), at, pa.int32())
         return out
 
-    added = "ids array<int>" + (", char_start array<int>, char_end array<int>" if spans else "")
+    added = "ids array<int>" + (", decoded binary" if decoded else "") + (", char_start array<int>, char_end array<int>" if spans else "")
     return map_batches(df, (text_col,), keep, added, fn)
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+#: About how many bytes of a batch an operator handles at once.
+PIECE_BYTES = 4 << 20
 _SHIPPED: set[str] = set()
 
 
@@ -84,13 +86,14 @@ def map_batches(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = pa.RecordBatch.from_arrays(
-                batch.columns[n_keep:], names=[f"_{i}" for i in range(batch.num_columns - n_keep)])
-            made = fn(own)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:n_keep], *[made[n] for n in names]], names=[f"k{i}" for i in range(n_keep)] + names)
+            step = max(1, PIECE_BYTES * batch.num_rows // max(1, batch.nbytes))
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
+                own = pa.RecordBatch.from_arrays(
+                    part.columns[n_keep:], names=[f"_{i}" for i in range(part.num_columns - n_keep)])
+                made = fn(own)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:n_keep], *[made[n] for n in names]], names=[f"k{i}" for i in range(n_keep)] + names)
 
     src = df.select(*[df[c].alias(f"k{i}") for i, c in enumerate(keep)],
                     *[df[c].alias(f"c{i}") for i, c in enumerate(columns)])

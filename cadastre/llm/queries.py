@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, secret_scan
+from . import bpe, langid, ngram_join, packing, secret_scan, substring_dedup, suffix_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,9 +28,8 @@ def register(key: str, oracle: str | None = None):
 @register("op2_byte_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    back = bpe.decode(ids, path, keep=("doc_id", "ids"))
-    return back.select(
+    both = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True)
+    return both.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -57,6 +56,23 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=("doc_id", "held_out"))
 
 
+@register("op5_substring_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register("op8_ngram_jaccard_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
+@register("op9_suffix_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op10_power_of_two_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
