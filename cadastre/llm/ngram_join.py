@@ -274,8 +274,9 @@ def _signature_links(docs: DataFrame) -> DataFrame:
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90,
             block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row per row: the id, ``n_shingles`` (set size) and ``component_id``
-    (smallest id reachable by links of similarity ``percent`` / 100 or more)."""
+    """One row per row: the id, ``n_shingles`` (set size), ``component_id``
+    (smallest id reachable by links of similarity ``percent`` / 100 or more) and
+    ``text_hash`` (xxhash64), which tells rows of one id apart."""
     spark = df.sparkSession
     ship(spark)
     shared = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
@@ -320,11 +321,23 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
         links = _across_blocks(hot, links, percent, block_rows)
     joined = components(links)
     of = docs.where("digest is not null").join(joined.withColumnRenamed("node", "digest"), "digest", "left").select(
-        "id", "n_shingles", F.coalesce("component", "digest").alias("class"))
+        "id", "th", "n_shingles", F.coalesce("component", "digest").alias("class"))
     least = of.groupBy("class").agg(F.min("id").alias("component_id"))
-    out = of.join(least, "class").select("id", "n_shingles", "component_id").union(
-        docs.where("digest is null").select("id", "n_shingles", "id"))
-    return out.toDF(id_col, "n_shingles", "component_id")
+    out = of.join(least, "class").select("id", "n_shingles", "component_id", "th").union(
+        docs.where("digest is null").select("id", "n_shingles", "id", "th"))
+    return out.toDF(id_col, "n_shingles", "component_id", "text_hash")
+
+
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``df`` without near duplicates: of each class the row of its
+    smallest id (once, if that row is repeated).  Rows without words stay; of a
+    class without any id, one row for each different text."""
+    found = classes(df, id_col, text_col, n, percent)
+    name = lambda c: F.concat_ws("/", F.coalesce(F.col(c).cast("string"), F.lit("-")), "text_hash")
+    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(name(id_col).alias("_row")).distinct()
+    keyed = df.withColumn("text_hash", F.xxhash64(text_col)).withColumn("_row", name(id_col)).drop("text_hash")
+    first = Window.partitionBy("_row").orderBy(F.lit(0))
+    return keyed.join(kept, "_row").withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*df.columns)
 
 
 def _across_blocks(hot: DataFrame, links: DataFrame, percent: int, block_rows: int) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, ngram_join, packing, secret_scan, substring_dedup, suffix_dedup
+from . import bpe, embedding_dedup, langid, license_scan, ngram_join, packing, secret_scan, substring_dedup, suffix_dedup, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def register(key: str, oracle: str | None = None):
     return deco
 
 
+@register("op1_embedding_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.links(table(spark, sf_dir, "embeddings"))
+
+
 @register("op2_byte_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -62,9 +67,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@register("op7_exact_top_k")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @register("op8_ngram_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.classes(table(spark, sf_dir, "documents"))
+    return ngram_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @register("op9_suffix_dedup")
@@ -77,3 +87,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path, with_ids=False)
+
+
+@register("op6_license_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = license_scan.scan(docs, license_scan.learn(docs))
+    return found.select("doc_id", "n_paragraphs", "n_predicted",
+                        F.array_join(F.array_sort(F.array_distinct("licenses.family")), ",").alias("families"), "licenses")

@@ -1,5 +1,10 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet
-and read again as the next one's input."""
+and read again as the next one's input.
+
+Every stage but the last returns the columns of documents.  Nulls in other
+columns, repeated rows and clashing names pass through; each stage's operator
+defines what it does with odd texts.
+"""
 
 from __future__ import annotations
 
@@ -7,22 +12,40 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastre.llm import langid, packing, secret_scan
+from cadastre.llm import langid, ngram_join, packing, secret_scan, substring_dedup
 from cadastre.llm.common import staged, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Near duplicates share this many in a hundred of their five-word shingles.
+SHINGLE, SIMILAR = 5, 80
+
+
+def _documents(df: DataFrame, text: str) -> DataFrame:
+    """The columns of documents, with another column as the text."""
+    return df.select("doc_id", F.col(text).alias("text"), "lang", "source", F.length(text).cast("bigint").alias("n_chars"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language (null text or no letter)."""
+    """Drops documents without a language: a null text, or no letter in it."""
     model = langid.learn(docs.where(~langid.held_out()))
     return langid.predict(docs, model, keep=COLUMNS).where(F.col("lang_pred") != langid.UND).select(*COLUMNS)
 
 
-def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates, that of the smallest id."""
+    return ngram_join.representatives(docs.select(*COLUMNS), n=SHINGLE, percent=SIMILAR)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts words in repeated 35-word windows; a document of which nothing is left goes."""
+    found = substring_dedup.remove(docs, keep=COLUMNS)
+    kept = found.where((F.col("n_removed") == 0) | (F.col("kept_text") != ""))
+    return _documents(kept.withColumn("new", F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept_text"))), "new")
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks what the scan reports; no document goes."""
-    found = secret_scan.scan(docs, keep=COLUMNS, redact="[SECRET]")
-    return found.select("doc_id", F.col("redacted").alias("text"), "lang", "source", F.length("redacted").cast("bigint").alias("n_chars"))
+    return _documents(secret_scan.scan(docs, keep=COLUMNS, redact="[SECRET]"), "redacted")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,13 +53,20 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("language_id", language_id), ("secret_scans", secret_scans), ("packing", pack)]
+STAGES = [
+    ("language_id", language_id),
+    ("ngram_jaccard_join", near_duplicates),
+    ("substring_dedup", repeated_passages),
+    ("secret_scans", secrets),
+    ("packing", pack),
+]
 
-#: Tokenizer ids, compressed sizes and mixture inference are beyond SQL.
+#: Mixture inference, compressed sizes and tokenizer ids are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces that packing gives, from the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -99,10 +99,17 @@ def rows(request, odd_rows):
 
 
 def test_classes(docs_of, rows):
-    got = ngram_join.classes(docs_of(rows)).collect()
+    got = ngram_join.classes(docs_of(rows)).drop("text_hash").collect()
     assert sorted(map(tuple, got), key=repr) == brute_classes(rows)
 
 
+def test_representatives(docs_of, rows):
+    got = ngram_join.representatives(docs_of(rows)).collect()
+    words = {d: c for d, _, c in brute_classes(rows, 5, 80)}
+    want = {(d, t) for d, t in rows if words[d] == d}
+    assert {(r["doc_id"], r["text"]) for r in got} == want and len(got) == len(want)
+
+
 def test_classes_in_blocks(docs_of):
     rows = []
     rng = random.Random(4)
@@ -115,7 +122,7 @@ def test_classes_in_blocks(docs_of):
         rows.append((i, " ".join(w)))
         if i % 10 == 0:
             base[rng.randrange(60)] = f"z{i}"
-    got = ngram_join.classes(docs_of(rows), block_rows=8).collect()
+    got = ngram_join.classes(docs_of(rows), block_rows=8).drop("text_hash").collect()
     assert sorted(map(tuple, got), key=repr) == brute_classes(rows)
 
 
