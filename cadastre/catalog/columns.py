@@ -20,7 +20,7 @@ from ..functions import (
 from ..functions.search_terms import OPERATOR_CHARACTERS
 from ..functions.values import WHITESPACE
 from ..operators.quality import quality_report
-from ..oracle_sql import WS, d_bulk, d_int, d_num, d_text, d_trim
+from ..oracle_sql import d_bulk, d_int, d_num, d_text, d_trim
 from ..schema import INTEGER, NUMERIC, TEXT
 from .base import register
 
@@ -207,4 +207,3 @@ def s11_quality_report(fx: Fixtures):
     return quality_report(fx["fx_raw"], RAW_FIELDS)
 
 
-__all__ = ["WS"]

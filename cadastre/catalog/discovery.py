@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..fixtures import Fixtures, duckdb_with
-from ..operators.ledger import archive_outcome, latest_processed, reset_month
+from ..operators.ledger import SUCCESS, append_files, archive_outcome, is_processed, latest_processed, reset_month
 from ..schema import TABLES
 from ..sources.listing import (
     ARCHIVE_PATTERN,
@@ -108,7 +108,7 @@ def _d_route(col: str) -> str:
     whens = []
     for spec in TABLES.values():
         for m in spec.markers:
-            whens.append(f"WHEN contains(upper({col}), '{m}') THEN '{spec.name}'")
+            whens.append(f"WHEN contains(upper(split_part({col}, '/', -1)), '{m}') THEN '{spec.name}'")
     return "CASE " + " ".join(whens) + " END"
 
 
@@ -121,32 +121,66 @@ def s9_route_files(fx: Fixtures):
     return route_files(fx["fx_members"].select("p_partkey", "member", "archive"), "member")
 
 
+# Members of an archive lie in folders whose names hold a marker, too; only the base name routes.
+FOLDERS_SQL = """
+SELECT concat(CASE p_partkey % 3 WHEN 0 THEN 'EMPRESAS/SOCIOS/' WHEN 1 THEN 'dados/' ELSE '' END, member) AS member, archive, load_ok
+FROM {fx_members}"""
+
+
 @register(
     "u10_archive_outcome",
-    duckdb_with("fx_members")
-    + f"""
+    duckdb_with("fx_members").rstrip()
+    + f""", inside AS ({FOLDERS_SQL.replace("{fx_members}", "fx_members")})
 SELECT archive, CAST(count(*) AS BIGINT) AS members, CAST(count_if(r IS NOT NULL) AS BIGINT) AS routed,
   CASE WHEN count_if(r IS NOT NULL) = 0 THEN 'NO_MATCH'
        WHEN bool_and(CASE WHEN r IS NOT NULL THEN load_ok ELSE TRUE END) THEN 'SUCCESS' ELSE 'FAILED' END AS status
-FROM (SELECT archive, load_ok, {_d_route('member')} AS r FROM fx_members) GROUP BY archive""",
+FROM (SELECT archive, load_ok, {_d_route('member')} AS r FROM inside) GROUP BY archive""",
 )
 def u10_archive_outcome(fx: Fixtures):
     """Ledger outcome of each archive from its members' routing and load results."""
-    return archive_outcome(fx["fx_members"])
+    return archive_outcome(fx.sql(FOLDERS_SQL))
 
 
 @register(
     "u11_latest_processed",
     duckdb_with("fx_ledger")
     + """
-SELECT arg_max(data_month, data_month || '|' || filename) AS latest_processed, max(data_month) AS max_month,
+SELECT arg_max(data_month, filename || '|' || data_month) AS latest_processed, max(data_month) AS max_month,
   CAST(count(*) AS BIGINT) AS ledger_rows
-FROM fx_ledger WHERE status = 'SUCCESS' AND data_month <> (SELECT max(data_month) FROM fx_ledger)""",
+FROM fx_ledger WHERE status = 'SUCCESS' AND data_month <> (SELECT max(data_month) FROM fx_ledger)
+  AND NOT (filename = 'Estabelecimentos4.zip' AND data_month > '1996')""",
 )
 def u11_latest_processed(fx: Fixtures):
-    """Month ledger (SUCCESS file rows in record order) after the
-    newest month is reset; the latest processed month is the last recorded."""
+    """Month ledger in record order (file, then month) after the newest
+    month is reset; the last file was not recorded after 1996, so the latest
+    processed month is not the largest one."""
     ledger = fx["fx_ledger"]
     newest = ledger.select(F.max("data_month")).scalar()
     after = reset_month(ledger, month_col=newest).where(F.col("status") == "SUCCESS")
-    return latest_processed(after, ["data_month", "filename"])
+    after = after.where(~((F.col("filename") == "Estabelecimentos4.zip") & (F.col("data_month") > "1996")))
+    return latest_processed(after, ["filename", "data_month"])
+
+
+CHECKED = ("1995-03", "Estabelecimentos4.zip")
+
+
+@register(
+    "u9_file_ledger",
+    duckdb_with("fx_files", "fx_ledger").rstrip()
+    + f""", after AS (
+  SELECT * FROM fx_ledger UNION ALL
+  SELECT data_month, filename, 'SUCCESS' FROM fx_files f WHERE (data_month, filename) NOT IN (SELECT (data_month, filename) FROM fx_ledger))
+SELECT data_month, status, CAST(count(*) AS BIGINT) AS rows FROM after GROUP BY 1, 2
+UNION ALL
+SELECT '{CHECKED[0]}', 'processed', CAST(count(*) AS BIGINT) FROM after
+WHERE data_month = '{CHECKED[0]}' AND filename = '{CHECKED[1]}' AND status = 'SUCCESS'""",
+)
+def u9_file_ledger(fx: Fixtures):
+    """Files without a ledger row appended as loaded; rows per month and
+    status, and the check of one file."""
+    ledger = fx["fx_ledger"]
+    fresh = fx["fx_files"].join(ledger.select("data_month", "filename"), ["data_month", "filename"], "left_anti")
+    after = append_files(ledger, fresh.withColumn("status", F.lit(SUCCESS)))
+    counts = after.groupBy("data_month", "status").agg(F.count("*").alias("rows"))
+    one = is_processed(after, *CHECKED).agg(F.count("*").alias("rows"))
+    return counts.unionByName(one.select(F.lit(CHECKED[0]).alias("data_month"), F.lit("processed").alias("status"), "rows"))

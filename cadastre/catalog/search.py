@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..fixtures import CURR_MONTH, DETECTED_AT, Fixtures, duckdb_with
 from ..operators.ledger import latest_processed
-from ..operators.reads import change_history, page, search_documents, stats_exact, stats_final
-from ..operators.search import fuzzy_words, max_distance, search, search_contains, search_fuzzy, search_prefix
+from ..operators.reads import change_history, page, search_documents, stats_exact, stats_final, stats_from_commits
+from ..operators.search import search, search_contains, search_fuzzy, search_prefix
 from ..operators.state import change_log
 from ..plans.indexes import build_index, indexed_contains, indexed_fuzzy, indexed_prefix
 from ..plans.store import Store
@@ -73,9 +73,9 @@ def q2_stats_estimate(fx: Fixtures):
     for name in ("empresa", "estabelecimento", "socios"):
         tx.write_table(name, t[name])
     tx.commit()
-    c = fx.spark.read.parquet(f"{store.base}/_commits")
-    pick = lambda n: F.greatest(F.max_by(F.when(F.col("item") == n, F.col("rows")), F.when(F.col("item") == n, F.col("version"))), F.lit(0))
-    return c.agg(pick("empresa").alias("empresas"), pick("estabelecimento").alias("estabelecimentos"), pick("socios").alias("socios"))
+    n = stats_from_commits(store.commits())
+    return fx.spark.createDataFrame(
+        [(n["empresa"], n["estabelecimento"], n["socios"])], "empresas bigint, estabelecimentos bigint, socios bigint")
 
 
 @register(
@@ -196,14 +196,13 @@ def q9_search(fx: Fixtures):
 
 
 def _d_fuzzy(q: str, limit: int) -> str:
-    words = fuzzy_words(q)
+    words = q.lower().split()
 
     def dist(c, w):
-        n = len(w)
         lev = f"levenshtein(x, '{w}')"
-        ok = f"{lev} <= {max_distance(n)}"
-        if 5 <= n <= 8:
-            ok = f"({ok} OR ({lev} = 2 AND length(x) = {n} AND list_sort(string_split(x, '')) = list_sort(string_split('{w}', ''))))"
+        edits = f"CASE WHEN length('{w}') < 5 THEN 0 WHEN length('{w}') < 9 THEN 1 ELSE 2 END"
+        swapped = f"length('{w}') BETWEEN 5 AND 8 AND {lev} = 2 AND list_sort(string_split(x, '')) = list_sort(string_split('{w}', ''))"
+        ok = f"({lev} <= {edits} OR ({swapped}))"
         return f"list_min(list_transform({_d_tokens(c)}, lambda x: CASE WHEN {ok} THEN {lev} END))"
 
     def score(c):

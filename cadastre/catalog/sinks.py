@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from ..fixtures import Fixtures, duckdb_with
-from ..oracle_sql import d_bulk
+from pyspark.sql import functions as F
+
+from ..fixtures import CURR_MONTH, Fixtures, duckdb_with
 from ..operators.reads import search_documents
+from ..oracle_sql import FX_COLUMNS, d_bulk
 from ..plans.sinks import export_index, export_tsv, layout
-from ..schema import NUMERIC, TABLES
+from ..plans.store import Store
+from ..schema import NUMERIC, TABLES, conform
 from ..session import scratch_path
 from ..sources.csv import to_registry_text
 from .base import register
@@ -16,6 +19,49 @@ from .state import U6_SQL, _pair
 KEYS3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
 
 
+def _lengths(t: str, have: list[str], cast: str) -> str:
+    """Characters of all typed values of a table."""
+    return " + ".join(f"coalesce(length(CAST({c} AS {cast})), 0)" for c in TABLES[t].column_names if c in have)
+
+
+_K1_VIEWS = {
+    "empresa": "fx_empresa", "estabelecimento": "fx_estabelecimento", "simples": "fx_simples", "socios": "fx_socios", "cnae": "fx_cnae",
+    "municipio": "fx_municipio", "motivo_situacao_cadastral": "fx_motivo", "natureza_juridica": "fx_natureza", "pais": "fx_natureza",
+    "qualificacao_socio": "fx_cnae",
+}
+
+
+def _k1_have(t: str) -> list[str]:
+    return FX_COLUMNS.get(t, ["codigo", "descricao"])
+
+
+@register(
+    "k1_write_tables",
+    duckdb_with(*sorted(set(_K1_VIEWS.values())))
+    + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS tabela, CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT {TABLES[t].column_names[0]}) AS BIGINT) AS keys, "
+        f"CAST(sum({_lengths(t, _k1_have(t), 'VARCHAR')}) AS BIGINT) AS characters FROM {v}"
+        for t, v in _K1_VIEWS.items()
+    ),
+)
+def k1_write_tables(fx: Fixtures):
+    """K1: all ten typed tables published in one commit and read back: rows,
+    different first keys, and the characters of all their values."""
+    store = Store(fx.spark, scratch_path(fx.spark, "k1"))
+    tx = store.begin(CURR_MONTH)
+    for t, v in _K1_VIEWS.items():
+        tx.write_table(t, conform(fx[v], TABLES[t]), sort_by=[TABLES[t].column_names[0]])
+    tx.commit()
+    commits, out = store.commits(), None
+    for t in _K1_VIEWS:
+        df = store.read(t, TABLES[t].struct, commits)
+        n = df.agg(
+            F.lit(t).alias("tabela"), F.count("*").alias("rows"), F.count_distinct(TABLES[t].column_names[0]).alias("keys"),
+            F.sum(F.expr(_lengths(t, TABLES[t].column_names, "STRING"))).cast("bigint").alias("characters"))
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
 @register("k2_layout", U6_SQL.split("\nSELECT * FROM n_estabelecimento")[0] + "\nSELECT * FROM o_estabelecimento")
 def k2_layout(fx: Fixtures):
     """K2: stored branches re-laid out by key range with bloom filters, read back."""
@@ -27,7 +73,7 @@ def k2_layout(fx: Fixtures):
 
 @register("k5_index_export", REG.rstrip() + DOCS_SQL + f"SELECT {DOC_COLS} FROM docs")
 def k5_index_export(fx: Fixtures):
-    """K5: search documents exported as JSON lines (1000 per file), read back."""
+    """K5: search documents exported as JSON lines, read back."""
     path = scratch_path(fx.spark, "k5")
     export_index(search_documents(fx.registry(), ordered=False), path)
     docs = fx.spark.read.schema("cnpj string, razao_social string, nome_fantasia string, uf string, cnae bigint")

@@ -119,11 +119,9 @@ def wanted_keys(requests: DataFrame, column: str = "requested") -> DataFrame:
     )
 
 
-def _profile_rows(e: DataFrame, emp: DataFrame, s: DataFrame) -> DataFrame:
-    """F2-F6 projection of branches joined to their company and opt-in rows."""
-    keys3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
-    return e.join(emp, "cnpj_basico", "left").join(s, "cnpj_basico", "left").select(
-        *keys3,
+def _profile_columns() -> list:
+    """F2-F6 projection of a branch beside its company and opt-in row."""
+    return [
         cnpj_full().alias("cnpj"),
         zero_text("razao_social").alias("razao_social"),
         zero_text("nome_fantasia").alias("nome_fantasia"),
@@ -138,7 +136,12 @@ def _profile_rows(e: DataFrame, emp: DataFrame, s: DataFrame) -> DataFrame:
         zero_text("correio_eletronico").alias("email"),
         opt_in_default("opcao_pelo_simples").alias("opcao_simples"),
         opt_in_default("opcao_mei").alias("opcao_mei"),
-    )
+    ]
+
+
+def _profile_rows(e: DataFrame, emp: DataFrame, s: DataFrame) -> DataFrame:
+    return e.join(emp, "cnpj_basico", "left").join(s, "cnpj_basico", "left").select(
+        "cnpj_basico", "cnpj_ordem", "cnpj_dv", *_profile_columns())
 
 
 def profile(tables: dict[str, DataFrame], cnpj: str) -> DataFrame:
@@ -162,26 +165,35 @@ def profile(tables: dict[str, DataFrame], cnpj: str) -> DataFrame:
     return _profile_rows(e, emp, s).limit(1).drop("cnpj_basico", "cnpj_ordem", "cnpj_dv")
 
 
+BRANCH_COLUMNS = [
+    "nome_fantasia", "situacao_cadastral", "data_inicio_atividade", "uf", "municipio", "tipo_logradouro", "logradouro", "numero",
+    "complemento", "bairro", "cep", "ddd_1", "telefone_1", "correio_eletronico",
+]
+
+
 def profiles(tables: dict[str, DataFrame], requests: DataFrame, column: str = "requested") -> DataFrame:
     """J2 (bulk form): one profile row per requested key, ``found`` = a branch exists.
 
-    The request list is semi-joined into each big table first, so only the
-    wanted branches and companies reach the joins.  Invalid keys (not 14
-    characters after cleaning) are returned with ``found = false``.
+    The valid requests meet company, opt-in and branch in three left joins that
+    all hash on the company key, so each input is shuffled once: the joins with
+    the company-keyed tables come first and fix the partitioning, which the
+    three-part key of the branch join then keeps.  Invalid keys (not 14
+    characters after cleaning) never reach a join; they are added at the end
+    with ``found = false``.
     """
     w = wanted_keys(requests, column)
-    # Semi joins need no de-duplicated right side: no extra aggregation here.
-    valid = w.where("is_valid").select("cnpj_basico", "cnpj_ordem", "cnpj_dv")
     keys3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
-    e = tables["estabelecimento"].join(valid, keys3, "left_semi")
-    companies = valid.select("cnpj_basico")
-    emp = tables["empresa"].join(companies, "cnpj_basico", "left_semi").select("cnpj_basico", "razao_social")
-    s = tables["simples"].join(companies, "cnpj_basico", "left_semi").select(
-        "cnpj_basico", "opcao_pelo_simples", "opcao_mei"
-    )
-    prof = _profile_rows(e, emp, s)
-    out = w.join(prof, keys3, "left").withColumn("found", F.col("cnpj").isNotNull())
-    return out.drop(*keys3)
+    emp = tables["empresa"].select("cnpj_basico", "razao_social")
+    s = tables["simples"].select("cnpj_basico", "opcao_pelo_simples", "opcao_mei")
+    e = tables["estabelecimento"].select(*keys3, *BRANCH_COLUMNS, F.lit(True).alias("_branch"))
+    rows = w.where("is_valid").join(emp, "cnpj_basico", "left").join(s, "cnpj_basico", "left").join(e, keys3, "left")
+    found = F.col("_branch").isNotNull()
+    names = ["requested", "cnpj_clean", "is_valid"]
+    good = rows.select(*names, found.alias("found"), F.struct(*_profile_columns()).alias("_p"))
+    good = good.select(*names, *[F.when(F.col("found"), F.col(f"_p.{f.name}")).alias(f.name) for f in good.schema["_p"].dataType], "found")
+    bad = w.where("not is_valid or is_valid is null").select(
+        *names, *[F.lit(None).cast(f.dataType).alias(f.name) for f in good.schema if f.name not in (*names, "found")], F.lit(False).alias("found"))
+    return good.unionByName(bad)
 
 
 def lookup_existing(state: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:

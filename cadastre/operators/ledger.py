@@ -40,7 +40,8 @@ def archive_outcome(members: DataFrame, archive: str = "archive", member: str =
 
 
 def latest_processed(month_ledger: DataFrame, seq: list[str]) -> DataFrame:
-    """The last *recorded* month (by ``seq``), not the maximum month."""
+    """The last *recorded* month (by ``seq``, the run that recorded it), not
+    the maximum month."""
     return month_ledger.agg(
         F.max_by("data_month", F.struct(*[F.col(c) for c in seq])).alias("latest_processed"),
         F.max("data_month").alias("max_month"),

@@ -50,13 +50,14 @@ def stats_exact(tables: dict[str, DataFrame], latest_month: DataFrame | None = N
 
 
 def stats_from_commits(commits: list[dict], items=("empresa", "estabelecimento", "socios")) -> dict[str, int]:
-    """Q2: row estimate from stored metadata only (the commit log), no scan;
-    negative or missing → 0."""
+    """Q2: row estimate from stored metadata only (the commit log), no scan: the
+    newest snapshot and what was appended since; negative or missing → 0."""
     out = {}
     for it in items:
         mine = [c for c in commits if c["item"] == it]
-        n = max(mine, key=lambda c: c["version"])["rows"] if mine else 0
-        out[it] = max(int(n or 0), 0)
+        last = max((c["version"] for c in mine if c["kind"] == "snapshot"), default=-1)
+        n = sum(c["rows"] or 0 for c in mine if c["version"] > last or c["version"] == last and c["kind"] == "snapshot")
+        out[it] = max(int(n), 0)
     return out
 
 
@@ -98,7 +99,8 @@ def change_history(log: DataFrame, requests: DataFrame, column: str = "requested
     slot = F.pmod(F.monotonically_increasing_id(), F.lit(HISTORY_SALT))
     salted = counts.select("cnpj_basico", "total_count", F.explode(F.sequence(F.lit(0), F.lit(HISTORY_SALT - 1))).alias("_slot"))
     out = hist.withColumn("_slot", slot).join(salted, ["cnpj_basico", "_slot"], "inner").drop("_slot")
-    return out.orderBy("cnpj_basico", F.desc("detectado_em"), "tabela", "campo")
+    # entries of one detection stamp: the later month first, as its run came later
+    return out.orderBy("cnpj_basico", F.desc("detectado_em"), F.desc("competencia"), "tabela", "campo")
 
 
 def company_history(log: DataFrame, cnpj: str) -> DataFrame:

@@ -45,13 +45,9 @@ def _companies(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _top(df: DataFrame, k: int, order: list[Column] | None = None) -> DataFrame:
-    """Top-k in two steps: the first k of every partition (local sort + local
-    limit), gathered through one single-partition exchange, then the final k.
-    The exchange is an ordinary plan node, so when the same top-k feeds two
-    places of a plan (keys for a semi join and the rows themselves) Spark
-    reuses it instead of scanning twice; at most k × partitions rows move."""
-    order = order or [F.col(c) for c in KEYS3]
-    return df.sortWithinPartitions(*order).limit(k).orderBy(*order).limit(k)
+    """The first k rows by ``order``.  Spark plans it as one top-k per partition
+    and a merge of at most k x partitions rows."""
+    return df.orderBy(*(order or [F.col(c) for c in KEYS3])).limit(k)
 
 
 def _with_company_names(top: DataFrame, companies: DataFrame, k: int = MAX_K) -> DataFrame:
@@ -79,27 +75,20 @@ def two_branch_search(
     branch_match: Column | None,
     uf: str | None,
     limit: int,
-    company_keys: DataFrame | None = None,
-    branch_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Union (distinct) of branches matched on their own name and branches of
-    companies matched on theirs; top ``limit`` by key, 5 search columns.
-
-    ``*_keys`` optionally restrict the scans to index candidates (semi joins).
-    """
+    companies matched on theirs; top ``limit`` by key, 5 search columns."""
     k = clamp_limit(limit)
     branches = _branches(tables, uf)
     companies = _companies(tables)
     parts = []
     if branch_match is not None:
-        b = branches if branch_keys is None else branches.join(branch_keys, KEYS3, "left_semi")
-        b = _top(b.where(branch_match), k)
+        b = _top(branches.where(branch_match), k)
         parts.append(_with_company_names(b, companies, k))
     if company_match is not None:
-        c = companies if company_keys is None else companies.join(company_keys, "cnpj_basico", "left_semi")
         # Matched companies have no size bound (a common word): no hint, AQE
         # broadcasts them only if the measured size is under its threshold.
-        c = c.where(company_match)
+        c = companies.where(company_match)
         parts.append(_top(branches.join(c, "cnpj_basico", "inner"), k))
     u = parts[0]
     for p in parts[1:]:
@@ -108,13 +97,23 @@ def two_branch_search(
     return _doc(_top(u, k))
 
 
-def search_contains(tables: dict[str, DataFrame], q: str, uf: str | None = None, limit: int = 20) -> DataFrame:
-    """Q7: case-insensitive LIKE '%q%' on either name (wildcards kept), F8, F7."""
+#: Letters with accents, and what an accent-insensitive collation compares them as.
+ACCENTED, PLAIN = "áàâãäåéèêëíìîïóòôõöúùûüçñý", "aaaaaaeeeeiiiiooooouuuucny"
+
+
+def search_contains(
+    tables: dict[str, DataFrame], q: str, uf: str | None = None, limit: int = 20, fold_accents: bool = False
+) -> DataFrame:
+    """Q7: case-insensitive LIKE '%q%' on either name (wildcards kept), F8, F7;
+    with ``fold_accents`` accents make no difference either."""
     pat = contains_pattern(q)
+    fold = (lambda c: F.translate(F.lower(F.col(c)), ACCENTED, PLAIN)) if fold_accents else (lambda c: F.lower(F.col(c)))
+    if fold_accents:
+        pat = pat.translate(str.maketrans(ACCENTED, PLAIN))
     return two_branch_search(
         tables,
-        F.lower(F.col("razao_social")).like(pat),
-        F.lower(F.col("nome_fantasia")).like(pat),
+        fold("razao_social").like(pat),
+        fold("nome_fantasia").like(pat),
         uf,
         limit,
     )
@@ -163,9 +162,9 @@ def word_distance(token: Column, word: str) -> Column:
     Levenshtein within ``max_distance``; additionally a same-length 5-8
     character anagram at distance 2 (a transposition) is accepted as 2.
     """
-    d = F.levenshtein(token, F.lit(word))
+    d = F.levenshtein(token, F.lit(word), 2)  # -1 beyond two edits: no rule accepts more
     n = len(word)
-    ok = d <= max_distance(n)
+    ok = (d >= 0) & (d <= max_distance(n))
     if 5 <= n <= 8:
         same_letters = F.array_sort(F.split(token, "")) == F.array_sort(F.split(F.lit(word), ""))
         ok = ok | ((d == 2) & (F.char_length(token) == n) & same_letters)

@@ -43,11 +43,15 @@ latest_by_key = last_by_key
 
 def insert_ignore(state: DataFrame, incoming: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Add incoming rows whose key is unseen; stored rows win; inside the
-    input the first row by ``order`` (file, ordinal) wins.  Keyless → append."""
+    input the first row by ``order`` (file, ordinal) wins, without an order the
+    smallest by its values.  Keyless → append."""
     if not keys:
         return append_multiset(state, incoming)
     cols = state.columns
-    inc = first_by_key(incoming, keys, order) if order else incoming.dropDuplicates(keys)
+    if order:
+        inc = first_by_key(incoming, keys, order)
+    else:  # no order known: the smallest row by its values, so that a retry gives the same
+        inc = first_by_key(incoming, keys, [c for c in incoming.columns if c not in keys], keep_order=True)
     fresh = inc.join(state.select(*keys), keys, "left_anti")
     return state.unionByName(fresh.select(*cols))
 
@@ -64,35 +68,30 @@ def _equal(old: Column, new: Column, kind: str) -> Column:
     return old.eqNullSafe(new)
 
 
-def diff(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
-    """One full outer join of stored and incoming rows on the key.
-
-    Output: the key, ``o_<col>`` / ``n_<col>`` for every other column, the
-    presence flags and ``_class`` (new / changed / unchanged / absent).
-    ``incoming`` must be unique per key (see ``first_by_key``).
-    """
+def _sides(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both inputs of the comparison, and the columns they join on."""
     keys = list(spec.keys)
     other = [c for c in spec.column_names if c not in keys]
+    row_id = ["_rid"] if "_rid" in incoming.columns else []
     o = state.select(*keys, *[F.col(c).alias("o_" + c) for c in other], F.lit(True).alias("_old"))
-    n = incoming.select(*keys, *[F.col(c).alias("n_" + c) for c in other], F.lit(True).alias("_new"))
-    if "_rid" in incoming.columns:
-        # Join on (key, _rid): stored rows carry _rid = 0 like every complete
-        # incoming key, so the result is the keyed join, and the snapshot's
-        # (key, _rid) partitioning from de-duplication is reused as is.
+    if row_id:
+        # Stored rows carry _rid = 0 like every complete incoming key, so this is the
+        # keyed join, and the partitioning from de-duplication is used as it is.
         o = o.withColumn("_rid", F.lit(0).cast("bigint"))
-        n = n.withColumn("_rid", incoming["_rid"])
-        j = o.join(n, keys + ["_rid"], "full_outer").drop("_rid")
-    else:
-        j = o.join(n, keys, "full_outer")
-    # Number of differing columns (comparison forms), shared by the class, the
-    # log-row count and nothing else: plain integer arithmetic, no arrays.
+    n = incoming.select(*keys, *row_id, *[F.col(c).alias("n_" + c) for c in other], F.lit(True).alias("_new"))
+    return o, n, keys + row_id
+
+
+def _classified(j: DataFrame, spec: TableSpec) -> DataFrame:
+    """``_ndiff`` (differing columns, in comparison form) and ``_class`` of joined rows."""
     ndiff = F.lit(0)
-    for c in other:
-        ndiff = ndiff + F.when(_equal(F.col("o_" + c), F.col("n_" + c), spec.type_of(c)), 0).otherwise(1)
+    for c in spec.column_names:
+        if c not in spec.keys:
+            ndiff = ndiff + F.when(_equal(F.col("o_" + c), F.col("n_" + c), spec.type_of(c)), 0).otherwise(1)
     incomplete = F.lit(False)
-    for k in keys:
+    for k in spec.keys:
         incomplete = incomplete | F.col(k).isNull()
-    j = j.withColumn("_ndiff", ndiff)
+    j = j.drop("_rid").withColumn("_ndiff", ndiff)
     cls = (
         F.when(incomplete, F.lit(REJECTED))
         .when(F.col("_old").isNull(), F.lit(NEW))
@@ -103,6 +102,24 @@ def diff(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
     return j.withColumn("_class", cls)
 
 
+def diff(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
+    """One full outer join of stored and incoming rows on the key.
+
+    Output: the key, ``o_<col>`` / ``n_<col>`` for every other column, the
+    presence flags and ``_class`` (new / changed / unchanged / absent).
+    ``incoming`` must be unique per key (see ``first_by_key``).
+    """
+    o, n, on = _sides(state, incoming, spec)
+    return _classified(o.join(n, on, "full_outer"), spec)
+
+
+def compare_incoming(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
+    """``diff`` without the absent rows: each incoming row beside the stored row
+    of its key.  What a load needs, as absent rows stay where they are."""
+    o, n, on = _sides(state, incoming, spec)
+    return _classified(n.join(o, on, "left"), spec)
+
+
 def class_count_exprs(with_log: bool = True) -> list[Column]:
     """Aggregates of a ``diff``: incoming / new / changed / unchanged / kept-absent /
     rejected rows and (``with_log``) the number of change-log entries."""

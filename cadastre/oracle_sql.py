@@ -8,10 +8,14 @@ parquet views; the registry-shaped fixtures are inlined as CTEs
 
 from __future__ import annotations
 
-from .functions.values import INTEGER_PATTERN, NUMBER_PATTERN, WHITESPACE
 from .schema import INTEGER, NUMERIC, TABLES
 
-WS = "'" + WHITESPACE + "'"
+# The typing rules spelled once more, apart from the operators that they check:
+# what a Unicode trim removes, whole numbers, and decimals with an optional exponent.
+SPACES = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+WS = "'" + "".join(map(chr, SPACES)) + "'"
+INTEGER_PATTERN = "^[-+]?\\d+$"
+NUMBER_PATTERN = "^[-+]?(\\d+([.]\\d*)?|[.]\\d+)([eE][-+]?\\d+)?$"
 
 
 def d_trim(x: str) -> str:

@@ -1,34 +1,48 @@
-"""Search access paths built after the load: K3 trigram postings and K4 token
-postings, and the indexed forms of Q7 (contains) and Q8 (prefix).
-
-Postings hold only (gram-or-token, key) pairs, de-duplicated per document,
-written range-partitioned and sorted by (term, key): a term lookup is a
-min/max-skipping filter at the parquet scan, and a very common term is split
-over several files because the key is part of the range.  Candidates are
-intersected with one aggregate per key (no pairwise joins between terms) and
-re-checked with the exact predicate, so results equal the scan forms.
+"""Search access paths: K3 trigram postings and K4 token postings, and the
+indexed forms of Q7 (contains), Q8 (prefix) and Q10 (typo-tolerant).
+
+A posting is one row per (term, branch): the branch's key and what a search
+needs to decide about it — its uf and both names in lower case.  Files are
+range-partitioned and sorted by (term, key), so a very common term is spread
+over several, and a vocabulary holds the number of documents of each term.  A
+search takes its rarest term, reads only that term's postings (a filter that
+reaches the scan), applies the exact predicate there, and takes the first
+k keys; the k documents are then fetched by literal key.  No name column is
+scanned and no postings are intersected.
+
+Postings are added for the new and changed documents of each run, under the
+run's commit; old ones stay.  What a search returns is checked against the
+documents as they are now, so an outdated posting only costs its check: a
+search reads on until k documents hold or the term's postings end.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import clamp_limit, contains_pattern, name_tokens, prefix_terms_py
-from ..operators.search import KEYS3, tokens_match_prefixes, two_branch_search
+from ..functions import clamp_limit, contains_pattern, name_tokens, prefix_terms_py, uf_condition
+from ..operators.search import (
+    DOC_COLUMNS,
+    KEYS3,
+    _doc,
+    fuzzy_column_score,
+    fuzzy_words,
+    max_distance,
+    search_contains,
+    tokens_match_prefixes,
+    word_distance,
+)
+from ..schema import TABLES
 
 GRAM = 3
+KINDS = ("gram", "token")
 
-# name column → (table, key columns)
-NAME_COLUMNS = {
-    "razao_social": ("empresa", ["cnpj_basico"]),
-    "nome_fantasia": ("estabelecimento", KEYS3),
-}
 
-
-def trigrams(c) -> F.Column:
+def trigrams(c) -> Column:
     """Distinct lower-cased 3-grams of a string (empty for shorter strings)."""
     low = F.lower(F.col(c) if isinstance(c, str) else c)
     n = F.char_length(low)
@@ -41,193 +55,174 @@ def trigrams_py(q: str) -> list[str]:
     return sorted({low[i : i + GRAM] for i in range(len(low) - GRAM + 1)})
 
 
-def _postings(df: DataFrame, column: str, keys: list[str], terms: F.Column, name: str) -> DataFrame:
-    return df.select(*keys, F.explode(terms).alias(name)).where(F.col(name) != "").dropDuplicates([name, *keys])
+def documents(tables: dict[str, DataFrame], delta: dict[str, DataFrame | None] | None = None) -> DataFrame:
+    """Key, uf and both names of every branch; with ``delta``, of the branches
+    that are new or changed themselves or through their company."""
+    e = tables["estabelecimento"].select(*KEYS3, "uf", "nome_fantasia")
+    emp = tables["empresa"].select("cnpj_basico", "razao_social")
+    if delta is not None and None not in (delta.get("estabelecimento", 0), delta.get("empresa", 0)):
+        own, of = delta.get("estabelecimento"), delta.get("empresa")
+        parts = []
+        if own is not None:
+            parts.append(e.join(own.select(*KEYS3), KEYS3, "left_semi"))
+        if of is not None:
+            parts.append(e.join(of.select("cnpj_basico"), "cnpj_basico", "left_semi"))
+        e = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]).dropDuplicates(KEYS3)
+    return e.join(emp, "cnpj_basico", "left")
+
 
+def postings(docs: DataFrame, kind: str) -> DataFrame:
+    """One row per (term, branch) of both names; a name's terms are distinct, so
+    rows need no further de-duplication."""
+    terms = (lambda c: trigrams(c)) if kind == "gram" else (lambda c: name_tokens(c))
+    both = F.array_union(F.coalesce(terms("razao_social"), F.array().cast("array<string>")), F.coalesce(terms("nome_fantasia"), F.array().cast("array<string>")))
+    return docs.select(
+        F.explode(F.array_distinct(both)).alias("term"), *KEYS3, "uf",
+        F.lower("razao_social").alias("razao_social"), F.lower("nome_fantasia").alias("nome_fantasia")).where(F.col("term") != "")
 
-def trigram_postings(tables: dict[str, DataFrame], column: str) -> DataFrame:
-    table, keys = NAME_COLUMNS[column]
-    return _postings(tables[table], column, keys, trigrams(column), "gram")
 
+def _laid_out(df: DataFrame) -> DataFrame:
+    return df.repartitionByRange("term", *KEYS3).sortWithinPartitions("term", *KEYS3)
 
-def token_postings(tables: dict[str, DataFrame], column: str) -> DataFrame:
-    table, keys = NAME_COLUMNS[column]
-    return _postings(tables[table], column, keys, F.array_distinct(name_tokens(column)), "token")
+
+def _vocabulary(df: DataFrame) -> DataFrame:
+    """Documents of each term, sorted by (length, term) so a length window skips row groups."""
+    vocab = df.groupBy("term").agg(F.count("*").alias("docs")).withColumn("len", F.char_length("term"))
+    return vocab.repartitionByRange("len", "term").sortWithinPartitions("len", "term")
 
 
 @dataclass
 class SearchIndex:
-    """Paths of the four posting tables of one published state."""
+    """The folders of each posting table, one or more runs' together."""
 
     spark: SparkSession
-    base: str
-
-    def path(self, kind: str, column: str) -> str:
-        return f"{self.base.rstrip('/')}/{kind}_{column}"
-
-    def read(self, kind: str, column: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(kind, column))
-
-
-def build_index(spark: SparkSession, tables: dict[str, DataFrame], base: str, parallel: int = 4) -> SearchIndex:
-    """K3 + K4: write trigram and token postings for both name columns, then
-    the token vocabulary; the independent writes run as concurrent jobs."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    idx = SearchIndex(spark, base)
-
-    def postings(job: tuple[str, str]) -> None:
-        column, kind = job
-        _, keys = NAME_COLUMNS[column]
-        fn = trigram_postings if kind == "gram" else token_postings
-        p = fn(tables, column)
-        (
-            p.repartitionByRange(kind, *keys)
-            .sortWithinPartitions(kind, *keys)
-            .write.mode("overwrite")
-            .parquet(idx.path(kind, column))
-        )
-
-    def vocabulary(column: str) -> None:
-        # One row per distinct token with its length and document count, sorted
-        # by (length, token) so a length window skips row groups.  Built from the
-        # written postings (a partial aggregate).
-        vocab = idx.read("token", column).groupBy("token").agg(F.count("*").alias("docs"))
-        vocab = vocab.withColumn("len", F.char_length("token"))
-        vocab.repartitionByRange("len", "token").sortWithinPartitions("len", "token").write.mode(
-            "overwrite"
-        ).parquet(idx.path("vocab", column))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        list(pool.map(postings, [(c, k) for c in NAME_COLUMNS for k in ("gram", "token")]))
-        list(pool.map(vocabulary, list(NAME_COLUMNS)))
+    paths: dict[str, list[str]]
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(*self.paths[name])
+
+
+def build_index(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> SearchIndex:
+    """K3 + K4 of all documents, outside any store."""
+    idx = SearchIndex(spark, {})
+    docs = documents(tables)
+    for kind in KINDS:
+        path = f"{base.rstrip('/')}/{kind}"
+        _laid_out(postings(docs, kind)).write.mode("overwrite").parquet(path)
+        idx.paths[kind] = [path]
+        _vocabulary(idx.read(kind)).write.mode("overwrite").parquet(f"{path}_vocabulary")
+        idx.paths[f"{kind}_vocabulary"] = [f"{path}_vocabulary"]
     return idx
 
 
-def _equals(g: str):
-    return lambda t: t == F.lit(g)
-
-
-def _prefix(x: str):
-    return lambda t: t.startswith(x)
-
-
-def _candidates(idx: SearchIndex, kind: str, column: str, conds: list) -> DataFrame:
-    """Keys whose postings satisfy every condition (one condition per term).
-
-    One scan with the OR of the conditions (pushed to parquet), one aggregate
-    per key holding a flag per term — no per-term scans, no joins between terms.
-    """
-    _, keys = NAME_COLUMNS[column]
-    term = F.col(kind)
-    preds = [c(term) for c in conds]
-    any_pred = preds[0]
-    for p in preds[1:]:
-        any_pred = any_pred | p
-    hits = idx.read(kind, column).where(any_pred)
-    if len(preds) == 1:
-        # One term: the posting rows are the candidates (a semi join tolerates
-        # a key listed under several matching tokens) — no aggregate needed.
-        return hits.select(*keys)
-    flags = hits.groupBy(*keys).agg(*[F.max(F.when(p, 1)).alias(f"_t{i}") for i, p in enumerate(preds)])
-    every = F.lit(True)
-    for i in range(len(preds)):
-        every = every & (F.col(f"_t{i}") == 1)
-    return flags.where(every).select(*keys)
-
-
-def indexed_contains(
-    tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20
-) -> DataFrame:
+def index_changes(tx) -> int:
+    """Postings of the documents that this run made or changed, published with
+    its commit; nothing is written if there are none.  Returns the postings."""
+    if not tx.delta.keys() & {"empresa", "estabelecimento"}:
+        return 0
+    commits = [c for c in tx.store.commits() if c["item"] not in {i["item"] for i in tx.items if i["kind"] == "snapshot"}]
+    commits += [{"version": tx.version, "competencia": tx.competencia, **i} for i in tx.items]
+    tables = {t: tx.store.read(t, TABLES[t].struct, commits) for t in ("empresa", "estabelecimento")}
+    docs = documents(tables, tx.delta)
+    n = 0
+    for kind in KINDS:
+        n += tx.append(f"index/{kind}", _laid_out(postings(docs, kind)))
+        written = tx.store.spark.read.parquet(tx.path(f"index/{kind}"))
+        tx.append(f"index/{kind}_vocabulary", _vocabulary(written))
+    return n
+
+
+def committed_index(store, commits: list[dict]) -> SearchIndex | None:
+    """The index at one version of the store; None if a part was never published."""
+    paths = {n: [p for c in store.parts(f"index/{n}", commits) for p in c["paths"]] for k in KINDS for n in (k, f"{k}_vocabulary")}
+    return SearchIndex(store.spark, paths) if all(paths.values()) else None
+
+
+# ---- searches ------------------------------------------------------------------------
+
+
+def fetch(tables: dict[str, DataFrame], keys: list[tuple]) -> DataFrame:
+    """Branches of a few keys with their company's name; the keys are literals
+    that reach both scans."""
+    spark = tables["empresa"].sparkSession
+    roots = sorted({k[0] for k in keys})
+    wanted = spark.createDataFrame(keys, "cnpj_basico string, cnpj_ordem string, cnpj_dv string")
+    e = tables["estabelecimento"].select(*KEYS3, "nome_fantasia", "uf", "cnae_fiscal_principal").where(F.col("cnpj_basico").isin(roots))
+    emp = tables["empresa"].select("cnpj_basico", "razao_social").where(F.col("cnpj_basico").isin(roots))
+    return e.join(F.broadcast(wanted), KEYS3, "left_semi").join(F.broadcast(emp), "cnpj_basico", "left")
+
+
+def _rarest(idx: SearchIndex, kind: str, conditions: list[Column]) -> int | None:
+    """Which condition has the fewest documents; None if one has none."""
+    vocab = idx.read(f"{kind}_vocabulary")
+    row = vocab.agg(*[F.sum(F.when(c, F.col("docs"))).alias(f"n{i}") for i, c in enumerate(conditions)]).first()
+    counts = [row[f"n{i}"] for i in range(len(conditions))]
+    return None if None in counts else min(range(len(counts)), key=counts.__getitem__)
+
+
+def _answer(tables: dict[str, DataFrame], hits: DataFrame, holds: Column, k: int, score: Column | None = None) -> DataFrame:
+    """The first k documents of ``hits`` that still hold, read on in steps while
+    outdated postings take places.  With ``score``, best first; a posting's score
+    never is below what it was when it was written, so order is checked again."""
+    spark = tables["empresa"].sparkSession
+    order = ([F.desc("score")] if score is not None else []) + [F.col(c) for c in KEYS3]
+    keys = hits.groupBy(*KEYS3).agg(F.max("score").alias("score")) if score is not None else hits.select(*KEYS3).distinct()
+    take = k
+    while True:
+        rows = keys.orderBy(*order).limit(take).collect()
+        found = fetch(tables, [tuple(r[c] for c in KEYS3) for r in rows]) if rows else fetch(tables, [("", "", "")])
+        found = found.withColumn("score", score if score is not None else F.lit(0.0)).where(holds)
+        if score is not None:
+            found = found.where(F.col("score").isNotNull())
+        best = found.orderBy(*order).limit(k).collect()
+        # certain: no more postings, or the k-th document stands before every posting not read yet
+        key = lambda r: (-(r["score"]) if score is not None else 0, *[r[c] for c in KEYS3])
+        if len(rows) < take or len(best) == k and key(best[-1]) <= key(rows[-1] if score is not None else {**rows[-1].asDict(), "score": 0.0}):
+            return spark.createDataFrame(best, found.schema)
+        take *= 4
+
+
+def indexed_contains(tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20) -> DataFrame:
     """K3: Q7 answered through trigram postings (queries under 3 characters or
     holding wildcards fall back to the scan form)."""
-    from ..operators.search import search_contains
-
     if len(q) < GRAM or "%" in q or "_" in q:
         return search_contains(tables, q, uf, limit)
-    grams = trigrams_py(q)
-    conds = [_equals(g) for g in grams]
-    pat = contains_pattern(q)
-    return two_branch_search(
-        tables,
-        F.lower(F.col("razao_social")).like(pat),
-        F.lower(F.col("nome_fantasia")).like(pat),
-        uf,
-        clamp_limit(limit),
-        company_keys=_candidates(idx, "gram", "razao_social", conds),
-        branch_keys=_candidates(idx, "gram", "nome_fantasia", conds),
-    )
-
-
-def indexed_prefix(
-    tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20
-) -> DataFrame | None:
+    pattern, grams = contains_pattern(q), trigrams_py(q)
+    match = F.lower("razao_social").like(pattern) | F.lower("nome_fantasia").like(pattern)
+    return _search(tables, idx, "gram", [F.col("term") == g for g in grams], match, uf, limit)
+
+
+def indexed_prefix(tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20) -> DataFrame | None:
     """K4: Q8 answered through token postings (a prefix is a pushed-down
-    ``startswith`` range on the sorted token column)."""
+    ``startswith`` range on the sorted term)."""
     terms = prefix_terms_py(q)
     if terms is None:
         return None
     terms = [t.lower() for t in terms]
-    conds = [_prefix(x) for x in terms]
-    return two_branch_search(
-        tables,
-        tokens_match_prefixes("razao_social", terms),
-        tokens_match_prefixes("nome_fantasia", terms),
-        uf,
-        clamp_limit(limit),
-        company_keys=_candidates(idx, "token", "razao_social", conds),
-        branch_keys=_candidates(idx, "token", "nome_fantasia", conds),
-    )
-
-
-def _fuzzy_column(idx: SearchIndex, column: str, words: list[str]) -> DataFrame:
-    """Per document key of ``column``: the accepted distance of every query word
-    (NULL when a word has no accepted token) and the Q10 score.
-
-    The Levenshtein work runs over the distinct vocabulary (length-windowed),
-    not over every document; matched tokens then meet the postings in one join
-    and one aggregate per key.
-    """
-    from ..operators.search import max_distance, score_from_distances, word_distance
-
-    _, keys = NAME_COLUMNS[column]
-    vocab = idx.read("vocab", column)
-    matched = None
-    for i, w in enumerate(words):
-        # |len(token) - len(word)| <= distance; the transposition case has equal length.
-        n, md = len(w), max_distance(len(w))
-        m = vocab.where(F.col("len").between(n - md, n + md)).select(
-            "token", F.lit(i).alias("_w"), word_distance(F.col("token"), w).alias("_d")
-        )
-        m = m.where(F.col("_d").isNotNull())
-        matched = m if matched is None else matched.unionByName(m)
-    hits = idx.read("token", column).join(matched, "token")
-    per_key = hits.groupBy(*keys).agg(
-        *[F.min(F.when(F.col("_w") == i, F.col("_d"))).alias(f"_d{i}") for i in range(len(words))]
-    )
-    dists = [F.col(f"_d{i}") for i in range(len(words))]
-    return per_key.select(*keys, score_from_distances(dists).alias("score")).where(F.col("score").isNotNull())
-
-
-def indexed_fuzzy(
-    tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20
-) -> DataFrame:
-    """Q10 through the token postings: same rule and ranking as the scan form."""
-    from ..operators.search import _branches, _doc, _top, _with_company_names, fuzzy_words
-
-    words = fuzzy_words(q)
-    k = clamp_limit(limit)
-    branches = _branches(tables, uf)
-    companies = tables["empresa"].select("cnpj_basico", "razao_social")
-    order = [F.desc("score"), *[F.col(c) for c in KEYS3]]
-    fan = _fuzzy_column(idx, "nome_fantasia", words)
-    raz = _fuzzy_column(idx, "razao_social", words).withColumnRenamed("score", "_cscore")
-    b = _top(branches.join(fan, KEYS3, "inner"), k, order)
-    b = _with_company_names(b, companies, k)
-    c = branches.join(raz, "cnpj_basico", "inner").join(fan.withColumnRenamed("score", "_fscore"), KEYS3, "left")
-    c = c.withColumn("score", F.greatest(F.col("_cscore"), F.coalesce(F.col("_fscore"), F.lit(0.0))))
-    c = _with_company_names(_top(c.drop("_cscore", "_fscore"), k, order), companies, k)
-    u = b.unionByName(c.select(*b.columns))
-    best = u.groupBy(*KEYS3).agg(F.max_by(F.struct(*[x for x in u.columns if x not in KEYS3]), F.col("score")).alias("r"))
-    best = best.select(*KEYS3, "r.*")
-    return _doc(_top(best, k, order), "score")
+    match = tokens_match_prefixes("razao_social", terms) | tokens_match_prefixes("nome_fantasia", terms)
+    return _search(tables, idx, "token", [F.col("term").startswith(t) for t in terms], match, uf, limit)
+
+
+def _search(tables: dict[str, DataFrame], idx: SearchIndex, kind: str, terms: list[Column], match: Column, uf: str | None, limit: int) -> DataFrame:
+    place = uf_condition(uf)
+    holds = F.coalesce(match if place is None else match & place, F.lit(False))
+    rarest = _rarest(idx, kind, terms)
+    hits = idx.read(kind).where(F.lit(False) if rarest is None else terms[rarest]).where(holds)
+    return _doc(_answer(tables, hits, holds, clamp_limit(limit))).select(*DOC_COLUMNS)
+
+
+def indexed_fuzzy(tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20) -> DataFrame:
+    """Q10 through the token postings: same rule and ranking as the scan form.
+    Distances are measured over the vocabulary, in a window of lengths; the word
+    that matches the fewest documents names the postings that are scored."""
+    words, k = fuzzy_words(q), clamp_limit(limit)
+    near: Callable[[str], Column] = lambda w: F.col("len").between(len(w) - max_distance(len(w)), len(w) + max_distance(len(w))) & (
+        word_distance(F.col("term"), w).isNotNull())
+    score = F.greatest(fuzzy_column_score("razao_social", words), fuzzy_column_score("nome_fantasia", words))
+    place = uf_condition(uf)
+    holds = F.lit(True) if place is None else F.coalesce(place, F.lit(False))
+    rarest = _rarest(idx, "token", [near(w) for w in words]) if words else None
+    vocab = idx.read("token_vocabulary").where(F.lit(False) if rarest is None else near(words[rarest])).select("term").distinct()
+    hits = idx.read("token").join(vocab, "term", "left_semi").where(holds)
+    hits = hits.withColumn("score", score).where(F.col("score").isNotNull())
+    return _doc(_answer(tables, hits, holds, k, score), "score")

@@ -3,7 +3,8 @@
 S5 pending archives → S7 expand (one archive per task) → S9 route members →
 S8/S10/S11 typed read per table (all files of a table in one scan) → U8
 tracked upsert / U1 insert-ignore / U3 append → U10 archive outcome → U9 file
-ledger → U11 month ledger → one commit (U7).  Nothing is visible until the
+ledger → U11 month ledger → postings of new and changed documents (K3/K4) → one
+commit (U7) → search-document export (K5), if the documents changed.  Nothing is visible until the
 commit row lands; a failure anywhere leaves the previous version current and
 the retry redoes the whole run (state and log are pure functions of the
 previous version and this run's files).  Driver-side work is limited to the
@@ -17,12 +18,15 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ledger import SUCCESS, archive_outcome
+from ..operators.ledger import NO_MATCH, SUCCESS, append_files, archive_outcome
+from ..operators.reads import search_documents
 from ..schema import FILE_LEDGER, MONTH_LEDGER, TABLES
 from ..sources.archives import expand_archives
 from ..sources.csv import load_typed
 from ..sources.listing import pending_files
-from ..sources.routing import route_column
+from ..sources.routing import base_name, route_column
+from .indexes import index_changes
+from .sinks import export_index
 from .store import Store
 from .upsert import ORDER_COLUMNS, upsert_tables
 
@@ -43,19 +47,22 @@ def run_month(
     parallel_tables: int = 4,
     nulls: str = "null",
     untracked_mode: str = "insert",
+    index: bool = True,
+    export: bool = True,
 ) -> dict:
     """Load ``archives`` (paths of one month's zip files) into ``store``.
 
     ``nulls="zero"`` types fields in the columnar-backend mode (S12: 0 / 0.00 /
     '' instead of NULL); ``untracked_mode="latest"`` makes code tables take
-    the newest row per key (U2) instead of keeping the stored one (U1)."""
+    the newest row per key (U2) instead of keeping the stored one (U1).  The
+    summary has, besides each table's counts (rejected and duplicate keys, too),
+    the archives in which no member belongs to a table, and the export's path."""
     current = store.latest_competencia()
     if current is not None and month < current and not force:
         raise StaleMonthError(f"state is at {current}; refusing {month} without force=True")
     processed_at = _dt.datetime.fromisoformat(detected_at)
     tx = store.begin(month)
     ledger = store.read("file_ledger", FILE_LEDGER)
-    months = store.read("month_ledger", MONTH_LEDGER)
 
     listed = spark.createDataFrame(
         [(month, p.rsplit("/", 1)[-1], p) for p in archives], "data_month string, filename string, path string"
@@ -64,7 +71,7 @@ def run_month(
     summary: dict = {"month": month, "version": tx.version, "tables": {}}
 
     members = expand_archives(pending.withColumnRenamed("path", "archive"), f"{staging_dir.rstrip('/')}/{month}")
-    members = members.withColumn("table", route_column(F.regexp_extract("member", r"([^/]*)$", 1))).collect()
+    members = members.withColumn("table", route_column("member")).collect()
     summary["archives"] = len({m["archive"] for m in members})
 
     # Tables are independent: their jobs are submitted concurrently (Spark runs
@@ -81,21 +88,26 @@ def run_month(
 
     # Every routed member loaded (a failure above raised before this point).
     outcome_rows = [(m["archive"], m["member"], True) for m in members]
+    summary["no_match"] = []
     if outcome_rows:
-        outcome = archive_outcome(
-            spark.createDataFrame(outcome_rows, "archive string, member string, load_ok boolean")
-        ).where(F.col("status") == SUCCESS)
-        new_files = outcome.select(
-            F.lit(month).alias("data_month"),
-            F.regexp_extract("archive", r"([^/]*)$", 1).alias("filename"),
-            F.lit(SUCCESS).alias("status"),
-            F.lit(processed_at).cast("timestamp_ntz").alias("processed_at"),
-        )
-        tx.write_table("file_ledger", ledger.unionByName(new_files))
+        outcome = archive_outcome(spark.createDataFrame(outcome_rows, "archive string, member string, load_ok boolean"))
+        outcome = outcome.select(base_name("archive").alias("filename"), "status").cache()
+        summary["no_match"] = sorted(r["filename"] for r in outcome.where(F.col("status") == NO_MATCH).collect())
+        loaded = outcome.where(F.col("status") == SUCCESS).select(
+            F.lit(month).alias("data_month"), "filename", "status", F.lit(processed_at).cast("timestamp_ntz").alias("processed_at"))
+        # Rows are added to the ledger, never written again.
+        tx.append("file_ledger", append_files(spark.createDataFrame([], FILE_LEDGER), loaded))
+        outcome.unpersist()
     # The month is recorded even when nothing was pending (rows may repeat).
-    month_row = spark.createDataFrame([(month, processed_at)], MONTH_LEDGER)
-    tx.write_table("month_ledger", months.unionByName(month_row))
+    tx.append("month_ledger", spark.createDataFrame([(month, processed_at, tx.version)], MONTH_LEDGER))
+    summary["indexed"] = index_changes(tx) if index else 0
     tx.commit(processed_at)
+    # K5: the documents as they are now, for an outside search engine; only if they changed.
+    if export and tx.delta.keys() & {"empresa", "estabelecimento"}:
+        commits = store.commits()
+        now = {t: store.read(t, TABLES[t].struct, commits) for t in ("empresa", "estabelecimento")}
+        summary["export"] = f"{store.base}/export/v={tx.tag}"
+        export_index(search_documents(now, ordered=False), summary["export"])
     return summary
 
 

@@ -1,35 +1,43 @@
 """U8 tracked upsert: snapshot n + state n-1 → state n + change log n.
 
-Per tracked table the whole comparison is **one** full outer join on the key
-(J3 ⋉, J4 ▷, U4, U5, U6 all read the same joined rows).  The joined frame is
-persisted once because two writes read it (change log — which also gathers
-all counts through an Observation — and state); Spark recomputes a lost
-partition from lineage, whose root is the previous version's parquet files,
-so executor loss costs a recomputation only.
-Untracked tables fall back to U1 (insert-ignore) and ``socios`` to U3.
+A load writes what changed, not what there is.  The snapshot is de-duplicated
+and compared with the stored rows in one left join; new and changed rows (with
+the old values) are written once, as the run's *delta*.  The change log, the
+counts and the new state all come from that small table.
+
+The state lies in buckets of the company key, one folder each.  Only buckets
+that hold a new or changed row are written again (stored rows without the
+delta's keys, and the delta's rows); the commit names the folders of the other
+buckets as they are.  A snapshot without changes writes no state at all.
+Nothing is persisted on executors: a lost one costs the recomputation of its
+tasks from files.
+
+Untracked tables fall back to U1 (insert-ignore); ``socios`` (U3) is appended,
+and readers see all versions together.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..operators.joins import BROADCAST_MAX_ROWS
 from ..operators.state import (
-    append_multiset,
+    CHANGED,
+    NEW,
+    REJECTED,
     change_entries,
     class_count_exprs,
-    diff,
+    compare_incoming,
     first_by_key,
     insert_ignore,
     latest_by_key,
     rejected_rows,
-    state_after,
 )
-from ..schema import CHANGE_LOG, TableSpec, conform
-from .store import Store, Transaction
+from ..schema import CHANGE_LOG, SPARK_TYPES, TableSpec, conform
+from .store import BUCKET, Store, Transaction, bucket_column, bucket_of, buckets_in
 
 ORDER_COLUMNS = ["_file", "_ord"]
 
@@ -58,7 +66,9 @@ def dedupe_snapshot(incoming: DataFrame, spec: TableSpec, order: list[str] | Non
     if order and all(c in incoming.columns for c in order):
         df = incoming.select(*cols, *order, rid)
         return first_by_key(df, keys + ["_rid"], order)
-    return incoming.select(*cols, rid).dropDuplicates(keys + ["_rid"])
+    # no order known: the smallest row by its values, so that a retry gives the same
+    df = incoming.select(*cols, rid)
+    return first_by_key(df, keys + ["_rid"], [c for c in typed if c not in keys], keep_order=True)
 
 
 def _write_rejects(tx: Transaction, spec: TableSpec, rejects: DataFrame, rows: int | None = None) -> int:
@@ -91,7 +101,6 @@ def tracked_upsert(
     competencia: str,
     detected_at: str,
     order: list[str] | None = ORDER_COLUMNS,
-    previous: DataFrame | None = None,
     untracked_mode: str = "insert",
 ) -> dict:
     """Write state n of ``spec`` and its change-log entries into ``tx``; return the counts.
@@ -100,49 +109,101 @@ def tracked_upsert(
     the reference's behaviour, B14) or ``"latest"`` lets the newest file row
     replace them (U2, replacing-merge semantics)."""
     store: Store = tx.store
-    prev = previous if previous is not None else store.read(spec.name, spec.struct)
-    prev = conform(prev, spec)
     order = order if order and all(c in incoming.columns for c in order) else None
+    raw = Observation(f"raw-{spec.name}-{uuid.uuid4().hex[:8]}")
+    incoming = incoming.observe(raw, F.count(F.lit(1)).alias("rows"))
     if not spec.tracked:
-        if not spec.keys:
-            new_state = append_multiset(prev, conform(incoming, spec))
-            rejected = 0
+        if not spec.keys:  # U3: the new rows only; readers unite the versions
+            n = tx.append(spec.name, conform(incoming, spec))
+            return {"tabela": spec.name, "rows": store.rows(spec.name) + n, "rejected": 0, "duplicates": 0}
+        prev = conform(store.read(spec.name, spec.struct), spec)
+        # Code tables: a few thousand rows, a separate filter pass is cheap.
+        bad = _incomplete_key(spec)
+        rejected = _write_rejects(tx, spec, incoming.where(bad))
+        good = incoming.where(~bad)
+        inc = good if order else conform(good, spec)
+        if untracked_mode == "latest":
+            new_state = replace_latest(prev, inc, spec, order)
         else:
-            # Code tables: a few thousand rows, a separate filter pass is cheap.
-            bad = _incomplete_key(spec)
-            rejected = _write_rejects(tx, spec, incoming.where(bad))
-            good = incoming.where(~bad)
-            inc = good if order else conform(good, spec)
-            if untracked_mode == "latest":
-                new_state = replace_latest(prev, inc, spec, order)
-            else:
-                new_state = insert_ignore(prev, inc, list(spec.keys), order).select(*spec.column_names)
+            new_state = insert_ignore(prev, inc, list(spec.keys), order).select(*spec.column_names)
         n = tx.write_table(spec.name, new_state, sort_by=list(spec.keys[:1]) or None)
         return {"tabela": spec.name, "rows": n, "rejected": rejected}
 
+    commits = store.commits()
+    folders = [p for c in store.parts(spec.name, commits) for p in c["paths"]]
+    buckets = buckets_in(folders) or buckets_for(store.spark)
     snap = dedupe_snapshot(incoming, spec, order)
-    d = diff(prev, snap, spec).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # The change-log write also gathers every count (an Observation on the
-        # joined rows before the log filter), so there is no separate counting
-        # pass; it materialises the persisted join that the state write reuses.
-        obs = Observation(f"upsert-{spec.name}-{uuid.uuid4().hex[:8]}")
-        log = change_entries(d.observe(obs, *class_count_exprs()), spec, competencia, detected_at)
-        # Sorted by company inside each file (no extra exchange): a one-company
-        # history skips every row group whose min/max range misses it.
-        tx.append(f"change_log/{spec.name}", log, rows=-1, sort_within=["cnpj_basico"])
-        counts = {"tabela": spec.name, **obs.get}
-        tx.set_rows(f"change_log/{spec.name}", counts["log_rows"])
-        n = counts["incoming"] - counts["rejected"] + counts["kept_absent"]
-        tx.write_table(spec.name, state_after(d, spec), sort_by=list(spec.keys), rows=n)
-        if counts["rejected"]:
-            _write_rejects(tx, spec, rejected_rows(d, spec), rows=counts["rejected"])
-        counts["rows"] = n
-    finally:
-        d.unpersist()
+    prev = conform(store.read(spec.name, spec.struct, commits), spec)
+
+    obs = Observation(f"upsert-{spec.name}-{uuid.uuid4().hex[:8]}")
+    if not folders:
+        return first_load(tx, spec, snap, raw, obs, buckets)
+    # One pass over both inputs: the delta is written, the counts are observed.
+    delta = compare_incoming(prev, snap, spec).observe(obs, *class_count_exprs()).where(F.col("_class").isin(NEW, CHANGED, REJECTED))
+    staged = f"{tx.path('delta/' + spec.name)}"
+    delta.withColumn(BUCKET, bucket_column(spec.keys[0], buckets)).write.mode("overwrite").parquet(staged)
+    delta = store.spark.read.parquet(staged)
+    counts = {"tabela": spec.name, **obs.get}
+    counts["kept_absent"] = store.rows(spec.name, commits) - counts["changed"] - counts["unchanged"]
+    counts["duplicates"] = raw.get["rows"] - counts["incoming"]
+    counts["rows"] = counts["incoming"] - counts["rejected"] + counts["kept_absent"]
+    if counts["rejected"]:
+        _write_rejects(tx, spec, rejected_rows(delta, spec), rows=counts["rejected"])
+    # Sorted by company inside each file (no extra exchange): a one-company
+    # history skips every row group whose min/max range misses it.
+    if counts["log_rows"]:
+        log = change_entries(delta, spec, competencia, detected_at)
+        tx.append(f"change_log/{spec.name}", log, rows=counts["log_rows"], sort_within=["cnpj_basico"])
+    if counts["new"] + counts["changed"]:
+        tx.delta[spec.name] = delta.where(F.col("_class") != REJECTED)
+        write_touched(tx, spec, tx.delta[spec.name], counts, folders)
     return counts
 
 
+def first_load(tx: Transaction, spec: TableSpec, snap: DataFrame, raw: Observation, obs: Observation, buckets: int) -> dict:
+    """The first state of a table: every complete row is new, nothing is compared."""
+    keys = list(spec.keys)
+    bad = _incomplete_key(spec)
+    seen = snap.observe(obs, F.count(F.lit(1)).alias("incoming"), F.count_if(bad).alias("rejected"))
+    rows = seen.where(~bad).select(*spec.column_names, bucket_column(keys[0], buckets).alias(BUCKET))
+    tx.write_buckets(spec.name, rows.repartition(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(4))), keys, -1)
+    seen_ = obs.get
+    counts = {"tabela": spec.name, "incoming": seen_["incoming"], "new": seen_["incoming"] - seen_["rejected"], "changed": 0, "unchanged": 0,
+              "kept_absent": 0, "rejected": seen_["rejected"], "log_rows": 0, "duplicates": raw.get["rows"] - seen_["incoming"]}
+    counts["rows"] = counts["new"]
+    tx.set_rows(spec.name, counts["rows"])
+    if counts["rejected"]:
+        _write_rejects(tx, spec, snap.where(bad), rows=counts["rejected"])
+    if counts["new"]:
+        tx.delta[spec.name] = None  # every row
+    return counts
+
+
+def buckets_for(spark) -> int:
+    """Buckets of a new table: as many as the session shuffles into, 16 at least."""
+    return max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def write_touched(tx: Transaction, spec: TableSpec, delta: DataFrame, counts: dict, folders: list[str]) -> None:
+    """The state's buckets that hold a row of ``delta``, written anew; the others stay."""
+    keys = list(spec.keys)
+    rows = delta.select(*keys, *[F.col("n_" + c).alias(c) for c in spec.column_names if c not in keys], BUCKET)
+    touched = {r[BUCKET] for r in delta.select(BUCKET).distinct().collect()}  # at most the number of buckets
+    old = [p for p in folders if bucket_of(p) is None or bucket_of(p) in touched]
+    changed = counts["new"] + counts["changed"]
+    if old:
+        small = changed <= BROADCAST_MAX_ROWS
+        gone = delta.where(F.col("_class") == CHANGED).select(*keys)
+        base = tx.store.spark.read.schema(spec.struct).parquet(*old)
+        kept = base.join(F.broadcast(gone) if small else gone, keys, "left_anti")
+        kept = kept.withColumn(BUCKET, bucket_column(keys[0], buckets_in(folders) or buckets_for(tx.store.spark)))
+        rows = kept.unionByName(rows.select(*kept.columns))
+    # One task a bucket, or a few for a company that holds much of one.
+    spread = F.pmod(F.xxhash64(*keys), F.lit(4))
+    out = rows.repartition(BUCKET, spread).select(*[F.col(c).cast(SPARK_TYPES[k]).alias(c) for c, k in spec.columns], BUCKET)
+    tx.write_buckets(spec.name, out, keys, counts["rows"], [p for p in folders if p not in set(old)])
+
+
 def upsert_tables(
     tx: Transaction,
     frames: dict[str, DataFrame],
@@ -179,4 +240,3 @@ def read_change_log(store: Store) -> DataFrame:
     return out
 
 
-__all__ = ["tracked_upsert", "read_change_log", "dedupe_snapshot", "F"]

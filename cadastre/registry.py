@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators.joins import profile, profiles, registry_view
 from .operators.ledger import latest_processed
 from .operators.reads import change_history, company_history, search_documents, stats_exact, stats_final, stats_from_commits
-from .operators.search import search, search_fuzzy
-from .plans.indexes import SearchIndex, build_index, indexed_contains, indexed_prefix
+from .operators.search import search, search_contains, search_fuzzy
+from .plans.indexes import committed_index, indexed_contains, indexed_fuzzy, indexed_prefix
 from .plans.run_month import run_month
 from .plans.sinks import export_index
 from .plans.store import Store
@@ -39,25 +39,13 @@ class Registry:
         return {t: self.store.read(t, TABLES[t].struct, commits) for t in TABLES}
 
     def load_month(self, archives: list[str], month: str, detected_at: str, force: bool = False) -> dict:
-        """Load one month's archives, then rebuild the search postings (K3/K4)."""
-        out = run_month(
-            self.spark, self.store, archives, month, detected_at, scratch_path(self.spark, "staging"), force=force
-        )
-        build_index(self.spark, self.tables(), f"{self.base}/index/v={out['version']}")
-        return out
-
-    def _index(self) -> SearchIndex | None:
-        v = self.store.current_version()
-        path = f"{self.base}/index/v={v}"
-        try:
-            self.spark.read.parquet(f"{path}/token_razao_social").schema  # noqa: B018
-        except Exception:  # noqa: BLE001 - no index for this version yet
-            return None
-        return SearchIndex(self.spark, path)
+        """Load one month's archives, with the postings (K3/K4) and the
+        export (K5) of what it changes; with nothing pending neither is touched."""
+        return run_month(self.spark, self.store, archives, month, detected_at, scratch_path(self.spark, "staging"), force=force)
 
     def reset_month(self, month: str) -> int:
         """Drop one month's ledger rows (a new version) so the month loads
-        again; the data tables are untouched."""
+        again; the data tables and the postings are untouched."""
         from pyspark.sql import functions as F
 
         from .schema import FILE_LEDGER
@@ -88,20 +76,24 @@ class Registry:
     def history(self, requests: DataFrame, column: str = "requested") -> DataFrame:
         return change_history(read_change_log(self.store), requests, column)
 
-    def search(self, q: str, uf: str | None = None, limit: int = 20, ranked: bool = False) -> DataFrame:
-        """Q9 cascade; uses the K3/K4 postings when they exist for the current version."""
+    def search(self, q: str, uf: str | None = None, limit: int = 20, ranked: bool = False, fold_accents: bool = False) -> DataFrame:
+        """Q9 cascade through the K3/K4 postings, or by scan if none were ever
+        published; ``ranked`` asks for Q10.  ``fold_accents`` compares names
+        without accents, as a case- and accent-insensitive collation does (scan)."""
         from pyspark.sql import functions as F
 
-        t = self.tables()
+        commits = self.store.commits()
+        t = {n: self.store.read(n, TABLES[n].struct, commits) for n in ("empresa", "estabelecimento")}
+        source = lambda df, name: df.withColumn("source", F.lit(name))
+        if fold_accents:
+            return source(search_contains(t, q, uf, limit, fold_accents=True), "contains")
+        idx = committed_index(self.store, commits)
         if ranked:
-            return search_fuzzy(t, q, uf, limit).drop("score").withColumn("source", F.lit("fuzzy"))
-        idx = self._index()
+            return source((search_fuzzy(t, q, uf, limit) if idx is None else indexed_fuzzy(t, idx, q, uf, limit)).drop("score"), "fuzzy")
         if idx is None:
             return search(t, q, uf, limit)
         p = indexed_prefix(t, idx, q, uf, limit)
-        if p is not None:
-            return p.withColumn("source", F.lit("prefix"))
-        return indexed_contains(t, idx, q, uf, limit).withColumn("source", F.lit("contains"))
+        return source(p, "prefix") if p is not None else source(indexed_contains(t, idx, q, uf, limit), "contains")
 
     def stats(self, how: str = "exact"):
         t = self.tables()
@@ -110,7 +102,7 @@ class Registry:
         if how == "final":
             return stats_final(t)
         months = self.store.read("month_ledger", MONTH_LEDGER)
-        return stats_exact(t, latest_processed(months, ["processed_at", "data_month"]))
+        return stats_exact(t, latest_processed(months, ["seq"]))
 
     def export_search_documents(self, path: str) -> None:
         export_index(search_documents(self.tables(), ordered=False), path)

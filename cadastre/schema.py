@@ -51,77 +51,141 @@ class TableSpec:
         return [c for c in self.column_names if c not in self.keys]
 
 
-def _cols(spec: str) -> tuple[tuple[str, str], ...]:
-    kinds = {"T": TEXT, "I": INTEGER, "N": NUMERIC}
-    out = []
-    for item in spec.split():
-        name, kind = item.split(":")
-        out.append((name, kinds[kind]))
-    return tuple(out)
-
-
 # Table names, file-name markers (tested in this order, first
 # substring match wins), positional columns with their generic types, primary
 # keys and whether the table is change-tracked. They must equal the published
 # record layouts for the files to load correctly.
-_CODE_COLUMNS = _cols("codigo:I descricao:T")
-
-TABLES: dict[str, TableSpec] = {
-    s.name: s
-    for s in [
-        TableSpec(
-            "empresa",
-            ("EMPRE",),
-            _cols(
-                "cnpj_basico:T razao_social:T natureza_juridica:I qualificacao_responsavel:I "
-                "capital_social:N porte_empresa:I ente_federativo_responsavel:T"
-            ),
-            ("cnpj_basico",),
-            True,
+CODE_COLUMNS = (
+    ("codigo", INTEGER),
+    ("descricao", TEXT),
+)
+
+TABLE_LIST = (
+    TableSpec(
+        "empresa",
+        ("EMPRE",),
+        (
+            ("cnpj_basico", TEXT),
+            ("razao_social", TEXT),
+            ("natureza_juridica", INTEGER),
+            ("qualificacao_responsavel", INTEGER),
+            ("capital_social", NUMERIC),
+            ("porte_empresa", INTEGER),
+            ("ente_federativo_responsavel", TEXT),
         ),
-        TableSpec(
-            "estabelecimento",
-            ("ESTABELE", "ESTAB"),
-            _cols(
-                "cnpj_basico:T cnpj_ordem:T cnpj_dv:T identificador_matriz_filial:I nome_fantasia:T "
-                "situacao_cadastral:I data_situacao_cadastral:I motivo_situacao_cadastral:I "
-                "nome_cidade_exterior:T pais:T data_inicio_atividade:I cnae_fiscal_principal:I "
-                "cnae_fiscal_secundaria:T tipo_logradouro:T logradouro:T numero:T complemento:T "
-                "bairro:T cep:T uf:T municipio:I ddd_1:T telefone_1:T ddd_2:T telefone_2:T "
-                "ddd_fax:T fax:T correio_eletronico:T situacao_especial:T data_situacao_especial:I"
-            ),
-            ("cnpj_basico", "cnpj_ordem", "cnpj_dv"),
-            True,
+        ("cnpj_basico",),
+        True,
+    ),
+    TableSpec(
+        "estabelecimento",
+        ("ESTABELE", "ESTAB"),
+        (
+            ("cnpj_basico", TEXT),
+            ("cnpj_ordem", TEXT),
+            ("cnpj_dv", TEXT),
+            ("identificador_matriz_filial", INTEGER),
+            ("nome_fantasia", TEXT),
+            ("situacao_cadastral", INTEGER),
+            ("data_situacao_cadastral", INTEGER),
+            ("motivo_situacao_cadastral", INTEGER),
+            ("nome_cidade_exterior", TEXT),
+            ("pais", TEXT),
+            ("data_inicio_atividade", INTEGER),
+            ("cnae_fiscal_principal", INTEGER),
+            ("cnae_fiscal_secundaria", TEXT),
+            ("tipo_logradouro", TEXT),
+            ("logradouro", TEXT),
+            ("numero", TEXT),
+            ("complemento", TEXT),
+            ("bairro", TEXT),
+            ("cep", TEXT),
+            ("uf", TEXT),
+            ("municipio", INTEGER),
+            ("ddd_1", TEXT),
+            ("telefone_1", TEXT),
+            ("ddd_2", TEXT),
+            ("telefone_2", TEXT),
+            ("ddd_fax", TEXT),
+            ("fax", TEXT),
+            ("correio_eletronico", TEXT),
+            ("situacao_especial", TEXT),
+            ("data_situacao_especial", INTEGER),
         ),
-        TableSpec(
-            "socios",
-            ("SOCIO",),
-            _cols(
-                "cnpj_basico:T identificador_socio:I nome_socio_razao_social:T cpf_cnpj_socio:T "
-                "qualificacao_socio:I data_entrada_sociedade:I pais:I representante_legal:T "
-                "nome_do_representante:T qualificacao_representante_legal:I faixa_etaria:I"
-            ),
-            (),
-            False,
+        ("cnpj_basico", "cnpj_ordem", "cnpj_dv"),
+        True,
+    ),
+    TableSpec(
+        "socios",
+        ("SOCIO",),
+        (
+            ("cnpj_basico", TEXT),
+            ("identificador_socio", INTEGER),
+            ("nome_socio_razao_social", TEXT),
+            ("cpf_cnpj_socio", TEXT),
+            ("qualificacao_socio", INTEGER),
+            ("data_entrada_sociedade", INTEGER),
+            ("pais", INTEGER),
+            ("representante_legal", TEXT),
+            ("nome_do_representante", TEXT),
+            ("qualificacao_representante_legal", INTEGER),
+            ("faixa_etaria", INTEGER),
         ),
-        TableSpec(
-            "simples",
-            ("SIMPLES", "SIMPLECS", "SIMPLE"),
-            _cols(
-                "cnpj_basico:T opcao_pelo_simples:T data_opcao_simples:I data_exclusao_simples:I "
-                "opcao_mei:T data_opcao_mei:I data_exclusao_mei:I"
-            ),
-            ("cnpj_basico",),
-            True,
+        (),
+    ),
+    TableSpec(
+        "simples",
+        ("SIMPLES", "SIMPLECS", "SIMPLE"),
+        (
+            ("cnpj_basico", TEXT),
+            ("opcao_pelo_simples", TEXT),
+            ("data_opcao_simples", INTEGER),
+            ("data_exclusao_simples", INTEGER),
+            ("opcao_mei", TEXT),
+            ("data_opcao_mei", INTEGER),
+            ("data_exclusao_mei", INTEGER),
         ),
-        TableSpec("cnae", ("CNAE",), _CODE_COLUMNS, ("codigo",)),
-        TableSpec("motivo_situacao_cadastral", ("MOTI",), _CODE_COLUMNS, ("codigo",)),
-        TableSpec("municipio", ("MUNIC",), _CODE_COLUMNS, ("codigo",)),
-        TableSpec("natureza_juridica", ("NATJU",), _CODE_COLUMNS, ("codigo",)),
-        TableSpec("pais", ("PAIS",), _CODE_COLUMNS, ("codigo",)),
-        TableSpec("qualificacao_socio", ("QUALS", "QUAL"), _CODE_COLUMNS, ("codigo",)),
-    ]
-}
+        ("cnpj_basico",),
+        True,
+    ),
+    TableSpec(
+        "cnae",
+        ("CNAE",),
+        CODE_COLUMNS,
+        ("codigo",),
+    ),
+    TableSpec(
+        "motivo_situacao_cadastral",
+        ("MOTI",),
+        CODE_COLUMNS,
+        ("codigo",),
+    ),
+    TableSpec(
+        "municipio",
+        ("MUNIC",),
+        CODE_COLUMNS,
+        ("codigo",),
+    ),
+    TableSpec(
+        "natureza_juridica",
+        ("NATJU",),
+        CODE_COLUMNS,
+        ("codigo",),
+    ),
+    TableSpec(
+        "pais",
+        ("PAIS",),
+        CODE_COLUMNS,
+        ("codigo",),
+    ),
+    TableSpec(
+        "qualificacao_socio",
+        ("QUALS", "QUAL"),
+        CODE_COLUMNS,
+        ("codigo",),
+    ),
+)
+
+TABLES: dict[str, TableSpec] = {s.name: s for s in TABLE_LIST}
 
 TRACKED = [n for n, s in TABLES.items() if s.tracked]
 DOMAIN_TABLES = ["cnae", "motivo_situacao_cadastral", "municipio", "natureza_juridica", "pais", "qualificacao_socio"]
@@ -136,7 +200,11 @@ FILE_LEDGER = T.StructType(
     ]
 )
 MONTH_LEDGER = T.StructType(
-    [T.StructField("data_month", T.StringType()), T.StructField("processed_at", T.TimestampNTZType())]
+    [
+        T.StructField("data_month", T.StringType()),
+        T.StructField("processed_at", T.TimestampNTZType()),
+        T.StructField("seq", T.LongType()),  # the version that recorded it
+    ]
 )
 CHANGE_LOG = T.StructType(
     [

@@ -1,8 +1,8 @@
 """Session construction and the shared scratch location.
 
 Everything that must outlive a task (checkpoints, staged members, published
-versions) goes under ``spark.checkpoint.dir`` as the cluster names it; a
-private temporary folder is only made when the setting is absent (tests).
+versions) goes under ``spark.checkpoint.dir`` as the cluster names it; only a
+local master (tests) may go without.
 """
 
 from __future__ import annotations
@@ -36,17 +36,20 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide folder for checkpoints and staged data.
-
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local tests) a private folder is created and registered.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster-wide folder for checkpoints and staged data:
+    ``spark.checkpoint.dir`` of the session.  Only a local master may go without
+    it (tests) and then gets a folder of its own; on a cluster a folder of one
+    machine would be wrong, so that is an error."""
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="cadastre-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
+    if sc.master.startswith("local") and path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
     return path
 
 

@@ -1,18 +1,22 @@
 """S7 expand_archives as a Spark job.
 
-Input: a DataFrame with one row per archive path.  Each task opens its
-archives through ``pyarrow.fs`` (local, HDFS, S3, GCS — whatever the shared
-folder is) and streams every member into ``<target>/<archive stem>/<member>``
-in fixed-size chunks, so a multi-GB member never sits in memory and never
-passes through the driver (``binaryFile`` would cap a row at 2 GB).  Member
-names that clean to a ``..`` prefix (path escape) and directories are
-skipped.  Output: (archive, member, path, bytes).
+Input: a DataFrame with one row per archive path.  Each task opens one archive
+through ``pyarrow.fs`` (local, HDFS, S3, GCS, Azure) and streams every member
+into ``<target>/<archive stem>/<member>`` in fixed-size chunks, so a multi-GB
+member never sits in memory and never passes through the driver
+(``binaryFile`` would cap a row at 2 GB).  A member is written under a name of
+its own attempt and then renamed, so a retried or speculative task never
+touches what another attempt writes, and a half-written file is never seen.
+Directories and names that clean to a leading ``..`` are skipped.  Output:
+(archive, member, path, bytes).
 """
 
 from __future__ import annotations
 
 import posixpath
+import re
 import sys
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -24,12 +28,19 @@ CHUNK = 8 * 1024 * 1024
 MEMBER_SCHEMA = "archive string, member string, path string, bytes bigint"
 
 
+#: Schemes of Hadoop connectors, under the names that pyarrow has for the same stores.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def _fs(uri: str):
+    """File system and path of a URI; no scheme, or ``file:``, is local."""
     from pyarrow import fs
 
-    if "://" in uri:
-        return fs.FileSystem.from_uri(uri)
-    return fs.LocalFileSystem(), uri
+    found = re.match(r"([A-Za-z][A-Za-z0-9+.-]+):(.*)", uri)
+    scheme, rest = found.groups() if found else ("file", uri)
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/") if rest.startswith("/") else rest
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
 
 
 def safe_member(name: str) -> str | None:
@@ -37,7 +48,7 @@ def safe_member(name: str) -> str | None:
     if name.endswith("/"):
         return None
     clean = posixpath.normpath(name.replace("\\", "/")).lstrip("/")
-    if clean == ".." or clean.startswith("../") or clean in ("", "."):
+    if clean.startswith("..") or clean in ("", "."):
         return None
     return clean
 
@@ -63,25 +74,26 @@ def _expand(target: str, column: str):
                         dest = f"{out_root.rstrip('/')}/{stem}/{rel}"
                         out_fs.create_dir(posixpath.dirname(dest), recursive=True)
                         n = 0
-                        with zf.open(info) as src, out_fs.open_output_stream(dest) as dst:
+                        attempt = f"{posixpath.dirname(dest)}/_{uuid.uuid4().hex}"
+                        with zf.open(info) as src, out_fs.open_output_stream(attempt) as dst:
                             while True:
                                 buf = src.read(CHUNK)
                                 if not buf:
                                     break
                                 dst.write(buf)
                                 n += len(buf)
-                        shown = dest if "://" not in target else target.split("://")[0] + "://" + dest
-                        rows.append((archive, rel, shown, n))
+                        out_fs.move(attempt, dest)
+                        rows.append((archive, rel, f"{target.rstrip('/')}/{stem}/{rel}", n))
             yield pd.DataFrame(rows, columns=["archive", "member", "path", "bytes"])
 
     return run
 
 
 def _spread(df: DataFrame, column: str) -> DataFrame:
-    """About one file per task: the list is metadata-sized, and an explicit
-    partition count is not coalesced away by AQE."""
-    n = max(1, df.count())
-    return df.repartition(n, column)
+    """One file per task: the list is metadata-sized; dealt out row by row from
+    one partition (a hash of the name would put several into one task), with an
+    explicit count, which AQE does not coalesce away."""
+    return df.select(column, *[c for c in df.columns if c != column]).coalesce(1).repartition(max(1, df.count()))
 
 
 def expand_archives(archives: DataFrame, target_dir: str, column: str = "archive") -> DataFrame:
@@ -95,9 +107,8 @@ def list_files(root: str, suffix: str = "") -> list[str]:
 
     f, base = _fs(root)
     infos = f.get_file_info(fs.FileSelector(base, recursive=True))
-    prefix = root.split("://")[0] + "://" if "://" in root else ""
     return sorted(
-        prefix + i.path
+        root.rstrip("/") + i.path[len(base.rstrip("/")) :]
         for i in infos
         if i.type == fs.FileType.File and i.path.endswith(suffix) and not posixpath.basename(i.path).startswith(("_", "."))
     )
@@ -136,4 +147,4 @@ def _pack(column_src: str, column_archive: str, column_member: str):
 def pack_archives(files: DataFrame, src: str = "src", archive: str = "archive", member: str = "member") -> DataFrame:
     """Inverse of S7 (used to stage test months): zip each source file into its
     own archive under the given member name, one file per task."""
-    return _spread(files.select(src, archive, member), archive).mapInPandas(_pack(src, archive, member), PACK_SCHEMA)
+    return _spread(files.select(src, archive, member), archive).select(src, archive, member).mapInPandas(_pack(src, archive, member), PACK_SCHEMA)

@@ -7,9 +7,10 @@ per-row Python is needed.  Reader options (probed on Spark 4.1):
 
 * ``escape='"'`` — doubled quotes inside a quoted field;
 * ``unescapedQuoteHandling='STOP_AT_CLOSING_QUOTE'`` — lazy quotes;
-* ``multiLine`` — quoted newlines; it disables splitting inside one file, so
-  ``multi_line="auto"`` first checks (one splittable text scan) whether any
-  line has an odd number of quotes and only then turns it on.
+* ``multiLine`` — quoted newlines; it disables splitting inside one file.
+  ``multi_line="auto"`` decides for each file: one that is a single split anyway
+  is read whole at once; a larger one is first scanned (in splits) for a line
+  with an odd number of quotes, and only a file that has one stays unsplit.
 """
 
 from __future__ import annotations
@@ -33,16 +34,35 @@ CSV_OPTIONS = {
 }
 
 
-def has_quoted_newlines(spark: SparkSession, paths) -> bool:
-    """True when some physical line holds an odd number of quote characters —
-    the only way a field can continue on the next line.  A splittable text scan
-    that stops at the first such line (``limit(1)``); quotes are ASCII, so the
-    Latin-1 bytes need no decoding for this."""
-    if isinstance(paths, str):
-        paths = [paths]
+def quoted_newline_files(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Files in which some physical line holds an odd number of quote characters
+    — the only way a field can continue on the next line.  A splittable text
+    scan and one flag a file; quotes are ASCII, so the Latin-1 bytes need no
+    decoding for this."""
     v = F.col("value")
-    quotes = F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit("")))
-    return spark.read.text(paths).where(F.pmod(quotes, F.lit(2)) == 1).limit(1).count() > 0
+    odd = F.pmod(F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit(""))), F.lit(2)) == 1
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), odd.alias("odd"))
+    return {r["file"] for r in lines.where("odd").select("file").distinct().collect()}
+
+
+def has_quoted_newlines(spark: SparkSession, paths) -> bool:
+    return bool(quoted_newline_files(spark, [paths] if isinstance(paths, str) else list(paths)))
+
+
+def _unsplit(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
+    """The paths to read whole, and those that may be split."""
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    conf, hadoop = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    whole, large = [], []
+    for p in paths:
+        path = hadoop(p)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        (whole if status.isFile() and status.getLen() <= split else large).append(p)
+    odd = quoted_newline_files(spark, large) if large else set()
+    plain = lambda f: f.split("://")[-1].removeprefix("file:").lstrip("/")
+    found = {plain(f) for f in odd}
+    holds = lambda p: any(f == plain(p) or f.startswith(plain(p).rstrip("/") + "/") for f in found)
+    return whole + [p for p in large if holds(p)], [p for p in large if not holds(p)]
 
 
 def read_registry_csv(spark: SparkSession, paths, spec: TableSpec, multi_line: bool | str = True) -> DataFrame:
@@ -52,25 +72,21 @@ def read_registry_csv(spark: SparkSession, paths, spec: TableSpec, multi_line: b
     scan, before any shuffle: inside a file it follows the file's row order,
     which U1 needs for "first row wins".
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    if multi_line == "auto":
-        # multiLine disables splitting inside a file (one task per multi-GB
-        # file); only pay for it when a quoted newline actually exists.
-        multi_line = has_quoted_newlines(spark, paths)
-    raw = (
-        spark.read.schema(spec.raw_struct)
-        .options(**CSV_OPTIONS)
-        .option("multiLine", "true" if multi_line else "false")
-        .csv(paths)
-    )
-    return raw.select(
-        *spec.column_names,
-        F.col("_metadata.file_path").alias("_file"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias(
-            "_ord"
-        ),
-    )
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    whole, split = _unsplit(spark, paths) if multi_line == "auto" else (paths, []) if multi_line else ([], paths)
+
+    def read(some: list[str], unsplit: bool) -> DataFrame:
+        raw = spark.read.schema(spec.raw_struct).options(**CSV_OPTIONS).option("multiLine", str(unsplit).lower()).csv(some)
+        return raw.select(
+            *spec.column_names,
+            F.col("_metadata.file_path").alias("_file"),
+            F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias(
+                "_ord"
+            ),
+        )
+
+    parts = [read(some, unsplit) for some, unsplit in ((whole, True), (split, False)) if some]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def load_typed(spark: SparkSession, paths, spec: TableSpec, multi_line: bool | str = True, nulls: str = "null") -> DataFrame:

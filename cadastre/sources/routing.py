@@ -1,5 +1,5 @@
 """S9 route_files: file name → table, first declared marker contained in the
-upper-cased member name wins (declared table order matters)."""
+upper-cased base name wins (declared table order matters; folders never route)."""
 
 from __future__ import annotations
 
@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 from ..schema import TABLES
 
 
+def base_name(path) -> Column:
+    return F.regexp_extract(F.col(path) if isinstance(path, str) else path, r"([^/]*)$", 1)
+
+
 def route_column(name) -> Column:
-    up = F.upper(F.col(name) if isinstance(name, str) else name)
+    up = F.upper(base_name(name))
     expr = None
     for spec in TABLES.values():
         for marker in spec.markers:

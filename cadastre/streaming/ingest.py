@@ -5,10 +5,15 @@ T1: a file stream over the folder the monthly files land in; each run with
 then stops — the "run daily, pick up only new files" loop of the reference,
 with the file ledger replaced by the stream checkpoint.
 
-T2: ``foreachBatch`` hands each micro-batch to the tracked upsert (U8).  A
-batch is published with one commit that also records the batch id, and a
-batch whose id is already committed is skipped, so a retried batch (after a
-driver or executor loss) never applies twice.
+T2: ``foreachBatch`` hands each micro-batch to the tracked upsert (U8), month by
+month.  Each month of a batch is one commit that also marks (batch, month), and
+a month whose mark is there is passed over, so a batch that is retried after a
+driver or executor loss applies nothing twice.  A month older than the
+published state is refused as in the batch load (B13): its rows go to
+``rejects/<table>`` with the reason.
+
+The month is the file's own folder (``…/2026-09/file``); a file that is not in
+such a folder is rejected too.
 """
 
 from __future__ import annotations
@@ -20,12 +25,16 @@ from ..functions.values import sanitize
 from ..schema import TableSpec
 from ..sources.csv import CSV_OPTIONS
 
-MONTH_IN_PATH = r"(\d{4}-\d{2})"
+#: The month folder that holds the file.
+MONTH_IN_PATH = r"/(\d{4}-\d{2})/[^/]*$"
+LATE, NO_MONTH = "older than the published state", "not in a month folder"
 
 
-def ingest_stream(spark: SparkSession, path: str, spec: TableSpec, multi_line: bool = False) -> DataFrame:
+def ingest_stream(spark: SparkSession, path: str, spec: TableSpec, multi_line: bool = True) -> DataFrame:
     """Typed streaming rows of ``spec`` from registry text files under ``path``,
-    with ``_file`` and the month folder the file came from."""
+    with ``_file``, ``_block`` and the month folder the file came from ('' if
+    none).  Quoted newlines are read whole, as in the batch load; files known to
+    have none may be split with ``multi_line=False``."""
     raw = (
         spark.readStream.schema(spec.raw_struct)
         .options(**CSV_OPTIONS)
@@ -33,7 +42,7 @@ def ingest_stream(spark: SparkSession, path: str, spec: TableSpec, multi_line: b
         .option("recursiveFileLookup", "true")
         .csv(path)
     )
-    typed = sanitize(raw.select(*spec.column_names, F.col("_metadata.file_path").alias("_file")), spec)
+    typed = sanitize(raw.select(*spec.column_names, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")), spec)
     return typed.withColumn("_month", F.regexp_extract("_file", MONTH_IN_PATH, 1))
 
 
@@ -47,26 +56,36 @@ def run_available(df: DataFrame, sink: str, checkpoint: str, extra: dict | None
 
 
 def batch_upsert(store, spec: TableSpec, detected_at: str, query_name: str):
-    """The ``foreachBatch`` function of T2 (idempotent per ``batch_id``)."""
+    """The ``foreachBatch`` function of T2 (idempotent per batch id and month)."""
     from ..plans.upsert import tracked_upsert
 
+    def reject(tx, rows: DataFrame, reason: str) -> None:
+        out = rows.select(*[F.col(c).cast("string") for c in spec.column_names], F.lit(reason).alias("reason"))
+        tx.append(f"rejects/{spec.name}", out)
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        marker = f"stream/{query_name}/{batch_id}"
-        if store.has(marker):
-            return  # already published by an earlier attempt of this batch
-        batch = batch.persist()
+        marker = f"stream/{query_name}"
+        commits = store.commits()
+        done = {c["competencia"] for c in commits if c["item"] == marker and c["rows"] == batch_id}
+        block = F.col("_block") if "_block" in batch.columns else F.lit(0)
+        # the row's place in its file, as the batch reader numbers it (before any shuffle)
+        rows = batch.withColumn("_ord", F.struct(block.alias("block"), F.monotonically_increasing_id().alias("row"))).persist()
         try:
             # Month folders present in this batch: a handful of values.
-            months = sorted(r["_month"] for r in batch.select("_month").distinct().collect())
-            for month in months:
-                rows = batch.where(F.col("_month") == month).select(*spec.column_names, "_file")
+            for month in sorted(r["_month"] for r in rows.select("_month").distinct().collect()):
+                if month in done:
+                    continue  # already published by an earlier attempt of this batch
+                own = rows.where(F.col("_month") == month).select(*spec.column_names, "_file", "_ord")
                 tx = store.begin(month)
-                tracked_upsert(tx, spec, rows, month, detected_at, order=["_file"])
-                if month == months[-1]:
-                    tx.items.append((marker, "append", 0))
+                newest = store.latest_competencia() or ""
+                if not month or month < newest:
+                    reject(tx, own, LATE if month else NO_MONTH)
+                else:
+                    tracked_upsert(tx, spec, own, month, detected_at)
+                tx.mark(marker, batch_id)
                 tx.commit()
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     return apply
 
