@@ -26,14 +26,15 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
-from math import ceil, floor, log
+from math import floor, log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import binary_array, map_batches, ship, slices, staged, text_bytes
+from . import sketch
+from .common import map_batches, ship, slices, staged, text_bytes
 from .components import components
 from .hashing import LOWER, mix, prefix_sums, spans, word_spans
 
@@ -240,6 +241,10 @@ def _search(frame: DataFrame, percent: int, labelled: bool) -> DataFrame:
         run, "a binary, b binary")
 
 
+def _hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield batch.column(0).to_numpy().view(np.uint64)
+
+
 def _signature_links(docs: DataFrame) -> DataFrame:
     """Links (a, b) of keys that share a part; ``docs``: key, parts.  Each task
     links its own sets and passes on its least key of each part."""
@@ -301,14 +306,21 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     held = docs.where("key is not null").join(named.withColumnRenamed("node", "key"), "key")
     one = staged(held.groupBy("digest", "component").agg(F.min(F.struct("id", "th")).alias("row"), F.max("n_shingles").alias("n")).select(
         "digest", "component", "n", F.col("row.id").alias("id"), F.col("row.th").alias("th")), "asked")
-    left, right = shared.alias("l"), one.alias("r")
-    texts = left.join(right, F.col("l.th").eqNullSafe(F.col("r.th")) & F.col("l.id").eqNullSafe(F.col("r.id"))).select(
-        "r.component", "r.digest", "l.text")
+    # a filter of the texts asked for keeps the others from the shuffle; it lets some more pass, never fewer
+    bits = sketch.width_bits(one.count())
+    asked = spark.sparkContext.broadcast(sketch.merged(one.select("th"), _hashes, bits, (1,))[0])
 
     def again(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        return {"grams": pa.array([s.tobytes() for s in shingle_sets(batch.column(0), n)], pa.binary())}
-
-    made = map_batches(texts, ("text",), ("component", "digest"), "grams binary", again)
+        pick = sketch.reaches(asked.value, batch.column(1).to_numpy().view(np.uint64), bits)
+        grams = [None] * len(pick)
+        for i, s in zip(np.flatnonzero(pick).tolist(), shingle_sets(batch.column(0).filter(pa.array(pick)), n), strict=True):
+            grams[i] = s.tobytes()
+        return {"grams": pa.array(grams, pa.binary())}
+
+    left = map_batches(shared, ("text", "th"), ("id", "th"), "grams binary", again).where("grams is not null").alias("l")
+    right = one.hint("merge").alias("r")
+    made = left.join(right, F.col("l.th").eqNullSafe(F.col("r.th")) & F.col("l.id").eqNullSafe(F.col("r.id"))).select(
+        "r.component", "r.digest", "l.grams")
     size = one.groupBy("component").agg(F.greatest(F.count("*"), F.sum("n") / BLOCK_SHINGLES).alias("size"))
     blocks = F.ceil(F.col("size") / block_rows).cast("int")
     found = staged(made.join(size, "component").withColumn("blocks", blocks).withColumn(
@@ -322,7 +334,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     joined = components(links)
     of = docs.where("digest is not null").join(joined.withColumnRenamed("node", "digest"), "digest", "left").select(
         "id", "th", "n_shingles", F.coalesce("component", "digest").alias("class"))
-    least = of.groupBy("class").agg(F.min("id").alias("component_id"))
+    least = staged(of.groupBy("class").agg(F.min("id").alias("component_id")), "least")
     out = of.join(least, "class").select("id", "n_shingles", "component_id", "th").union(
         docs.where("digest is null").select("id", "n_shingles", "id", "th"))
     return out.toDF(id_col, "n_shingles", "component_id", "text_hash")
