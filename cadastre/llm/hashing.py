@@ -35,7 +35,7 @@ def powers(which: int, n: int, inverse: bool = False) -> np.ndarray:
     have = _POWERS.get((which, inverse))
     if have is None or len(have) < n:
         base = BASES[which] if not inverse else pow(BASES[which], -1, 2**64)
-        size = max(1 << 20, 1 << max(0, n - 1).bit_length())
+        size = max(1 << 18, 1 << max(0, n - 1).bit_length())
         have = np.full(size, base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)

@@ -43,7 +43,7 @@ from .hashing import mix, powers, prefix_sums, spans
 from .substring_dedup import covered, least_in_windows
 
 #: Bytes of an anchor's gram; occurrences from which an anchor is hot; bytes of segments sorted together; segments a task gathers.
-GRAM, HOT, SORT_BYTES, FLUSH_BYTES = 64, 1000, 2 << 20, 32 << 20
+GRAM, HOT, SORT_BYTES, FLUSH_BYTES = 64, 1000, 1 << 20, 12 << 20
 #: A perfect difference set: every remainder mod 31 is a difference of two of its members.
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
 LEAD = 32  # leading bytes sorted before ranks are asked; at least the period
@@ -152,6 +152,12 @@ def equal_strings(text: np.ndarray, at: np.ndarray, bucket: np.ndarray, length:
     return group
 
 
+def cut(text: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The pieces of ``text``, one after another."""
+    view = memoryview(np.ascontiguousarray(text))
+    return np.frombuffer(b"".join([view[a : a + n] for a, n in zip(start.tolist(), size.tolist(), strict=True)]), np.uint8)
+
+
 class Segments:
     """Segments in columns, and their bytes one after another."""
 
@@ -164,8 +170,7 @@ class Segments:
         self.start = np.cumsum(self.size) - self.size
 
     def pick(self, some: np.ndarray) -> Segments:
-        inside = np.arange(int(self.size[some].sum())) - np.repeat(np.cumsum(self.size[some]) - self.size[some], self.size[some])
-        return Segments(tuple(c[some] for c in self.columns), self.text[np.repeat(self.start[some], self.size[some]) + inside], self.length)
+        return Segments(tuple(c[some] for c in self.columns), cut(self.text, self.start[some], self.size[some]), self.length)
 
     def dumped(self) -> bytes:
         return pack((self.anchor, self.h1, self.h2, self.first, self.count, self.ahead, self.key), self.text)
@@ -243,7 +248,7 @@ def mark(df: DataFrame, length: int = 400, text_col: str = "text", hot: int = HO
 
     def anchors(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         raw, rows = text_bytes(batch.column(0))
-        for lo, hi in slices(rows, 2 << 20):
+        for lo, hi in slices(rows, 1 << 20):
             got = _segments(raw[rows[lo] : rows[hi]], rows[lo : hi + 1] - rows[lo], length, True)
             yield got if isinstance(got, np.ndarray) else got[0]
 
@@ -306,7 +311,7 @@ def mark(df: DataFrame, length: int = 400, text_col: str = "text", hot: int = HO
         for batch in batches:
             raw_all, rows = text_bytes(batch.column(0))
             keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), "V16")
-            for lo, hi in slices(rows, 2 << 20):
+            for lo, hi in slices(rows, 1 << 20):
                 raw = raw_all[rows[lo] : rows[hi]]
                 anchor, first, count, place, row, sums = _segments(raw, own := rows[lo : hi + 1] - rows[lo], length)
                 pick = np.flatnonzero(sketch.reaches(levels.value[0], anchor, bits))
@@ -317,7 +322,7 @@ def mark(df: DataFrame, length: int = 400, text_col: str = "text", hot: int = HO
                 other = prefix_sums(raw, 1)
                 have.append((anchor, spans(sums, first, end, 0), spans(other, first, end, 1), first - own[row], count, place - first, keys[lo + row]))
                 n = end - first
-                texts_.append(raw[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))])
+                texts_.append(cut(raw, first, n))
                 heat.append(sketch.reaches(levels.value[1], anchor, bits))
                 size += int(n.sum())
                 if size >= FLUSH_BYTES:
