@@ -19,7 +19,8 @@ import sys
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 # Task code of this module travels by value: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -90,10 +91,13 @@ def _expand(target: str, column: str):
 
 
 def _spread(df: DataFrame, column: str) -> DataFrame:
-    """One file per task: the list is metadata-sized; dealt out row by row from
-    one partition (a hash of the name would put several into one task), with an
-    explicit count, which AQE does not coalesce away."""
-    return df.select(column, *[c for c in df.columns if c != column]).coalesce(1).repartition(max(1, df.count()))
+    """One file per task: a range with one id in each partition, to which the
+    list (metadata-sized) is joined by its row number.  A hash of the name, or a
+    round robin from several partitions, would put several into one task."""
+    listed = df.withColumn("_n", F.row_number().over(Window.orderBy(column)) - 1)
+    n = max(1, df.count())
+    ids = df.sparkSession.range(0, n, 1, n).withColumnRenamed("id", "_n")
+    return ids.join(F.broadcast(listed), "_n").drop("_n").select(*df.columns)
 
 
 def expand_archives(archives: DataFrame, target_dir: str, column: str = "archive") -> DataFrame:

@@ -44,11 +44,12 @@ def test_archive_outcome(spark):
             ("ok.zip", "K.EMPRECSV", True),
             ("ok.zip", "LEIAME.TXT", False),  # unrouted members do not count
             ("bad.zip", "K.SOCIOCSV", False),
+            ("folder.zip", "EMPRESAS/LEIAME.TXT", True),  # a folder's name does not route
         ],
         "archive string, member string, load_ok boolean",
     )
     got = {r["archive"]: r["status"] for r in archive_outcome(members).collect()}
-    assert got == {"docs.zip": "NO_MATCH", "ok.zip": "SUCCESS", "bad.zip": "FAILED"}
+    assert got == {"docs.zip": "NO_MATCH", "ok.zip": "SUCCESS", "bad.zip": "FAILED", "folder.zip": "NO_MATCH"}
 
 
 def test_latest_processed_is_last_recorded(spark):

@@ -4,6 +4,8 @@ import io
 import os
 import zipfile
 
+from pyspark.sql import functions as F
+
 from cadastre.schema import TABLES
 from cadastre.session import scratch_path
 from cadastre.sources.archives import expand_archives, safe_member
@@ -72,6 +74,47 @@ def test_expand_archives(spark):
 def test_safe_member():
     assert safe_member("../x") is None and safe_member("a/../../x") is None
     assert safe_member("a/b.csv") == "a/b.csv" and safe_member("d/") is None
+    assert safe_member("..foo") is None
+
+
+def test_one_archive_a_task(spark):
+    from cadastre.sources.archives import _fs, _spread
+
+    df = spark.createDataFrame([(f"Estabelecimentos{i}.zip",) for i in range(37)], "archive string").repartition(5)
+    rows = _spread(df, "archive").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(rows) == 37 and {r["count"] for r in rows} == {1}
+    assert _fs("file:/tmp/x")[1] == _fs("file:///tmp/x")[1] == _fs("/tmp/x")[1] == "/tmp/x"
+
+
+def test_retried_member_leaves_no_parts(spark):
+    d = scratch_path(spark, "test-retry")
+    with zipfile.ZipFile(os.path.join(d, "A.zip"), "w") as z:
+        z.writestr("K.EMPRECSV", '"1";"A"\n')
+    df = spark.createDataFrame([(os.path.join(d, "A.zip"),)], "archive string")
+    for _ in range(2):
+        assert expand_archives(df, os.path.join(d, "out")).count() == 1
+    assert os.listdir(os.path.join(d, "out", "A")) == ["K.EMPRECSV"]
+
+
+def test_odd_lines_unsplit_their_own_file_only(spark):
+    from cadastre.sources.csv import _unsplit
+
+    d = scratch_path(spark, "test-unsplit")
+    plain, broken, small = (os.path.join(d, n) for n in ("plain.csv", "broken.csv", "small.csv"))
+    for path, rows in ((plain, ['"{i:08d}";"N"']), (broken, ['"{i:08d}";"N\nM"'])):
+        with open(path, "w", encoding="latin-1") as f:
+            f.write("".join(rows[0].format(i=i) + "\n" for i in range(3000)))
+    with open(small, "w", encoding="latin-1") as f:
+        f.write('"99999999";"X"\n')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        whole, split = _unsplit(spark, [plain, broken, small])
+        assert sorted(whole) == sorted([broken, small]) and split == [plain]
+        rows = load_typed(spark, [plain, broken, small], TABLES["empresa"], "auto").select("cnpj_basico", "razao_social").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(rows) == 6001 and sum(r["razao_social"] == "N\nM" for r in rows) == 3000
 
 
 def test_multiline_auto(spark):

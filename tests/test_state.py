@@ -160,3 +160,58 @@ def test_stream_batch_is_idempotent(spark, fx):
     apply(nxt, 1)
     assert store.current_version() == v + 1
     assert store.read("empresa").count() == fx["fx_empresa_prev"].unionByName(fx["fx_empresa_curr"]).select("cnpj_basico").distinct().count()
+
+
+def _stream_root(spark, name, files):
+    import os
+
+    root = scratch_path(spark, name)
+    for path, text in files.items():
+        os.makedirs(os.path.dirname(f"{root}/src/{path}"), exist_ok=True)
+        with open(f"{root}/src/{path}", "w", encoding="latin-1") as f:
+            f.write(text)
+    return root
+
+
+def test_stream_keeps_file_order_and_quoted_newlines(spark):
+    from cadastre.streaming.ingest import ingest_stream, stream_upsert
+
+    # a folder above holds a month, too; the file's own folder counts
+    root = _stream_root(spark, "test-stream-2020-01", {"2026-08/a.csv": '"11111111";"PRIMEIRA\nLINHA"\n"11111111";"SEGUNDA"\n"22222222";"X"\n',
+                                                       "solta.csv": '"33333333";"SEM MES"\n'})
+    store = Store(spark, f"{root}/store")
+    stream_upsert(ingest_stream(spark, f"{root}/src", EMP), store, EMP, DETECTED_AT, f"{root}/ckpt", "q")
+    got = {r["cnpj_basico"]: r["razao_social"] for r in store.read("empresa").collect()}
+    assert got == {"11111111": "PRIMEIRA\nLINHA", "22222222": "X"}
+    rejects = store.read("rejects/empresa").collect()
+    assert [(r["cnpj_basico"], r["reason"]) for r in rejects] == [("33333333", "not in a month folder")]
+
+
+def test_stream_refuses_an_older_month(spark):
+    from cadastre.streaming.ingest import batch_upsert
+
+    store = Store(spark, scratch_path(spark, "test-late"))
+    apply = batch_upsert(store, EMP, DETECTED_AT, "q")
+    rows = lambda name, month: conform(spark.createDataFrame([("11111111", name)], "cnpj_basico string, razao_social string"), EMP).withColumn(
+        "_file", F.lit("f")).withColumn("_month", F.lit(month))
+    apply(rows("NOVA", "2026-09"), 0)
+    apply(rows("VELHA", "2026-08"), 1)
+    apply(rows("MAIS NOVA", "2026-10"), 2)
+    assert [r["razao_social"] for r in store.read("empresa").collect()] == ["MAIS NOVA"]
+    log = read_change_log(store).collect()
+    assert [(r["valor_antigo"], r["valor_novo"]) for r in log] == [("NOVA", "MAIS NOVA")]
+    assert store.read("rejects/empresa").count() == 1
+
+
+def test_stream_retry_in_the_middle_of_a_batch(spark):
+    """Keyless rows of a batch whose first month was committed are not added twice."""
+    from cadastre.streaming.ingest import batch_upsert
+
+    spec = TABLES["socios"]
+    store = Store(spark, scratch_path(spark, "test-mid"))
+    apply = batch_upsert(store, spec, DETECTED_AT, "q")
+    base = conform(spark.createDataFrame([("1", "A")], "cnpj_basico string, nome_socio_razao_social string"), spec).withColumn("_file", F.lit("f"))
+    both = base.withColumn("_month", F.lit("2026-08")).unionAll(base.withColumn("_month", F.lit("2026-09")))
+    apply(base.withColumn("_month", F.lit("2026-08")), 5)  # the first month of batch 5, then the task is lost
+    apply(both, 5)
+    assert store.read("socios").count() == 2
