@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, langid, license_scan, ngram_join, packing, secret_scan, substring_dedup, suffix_dedup, topk
+from . import bpe, embedding_dedup, langid, license_scan, ngram_join, oracles, packing, secret_scan, substring_dedup, suffix_dedup, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,7 +25,7 @@ def register(key: str, oracle: str | None = None):
     return deco
 
 
-@register("op1_embedding_near_dedup")
+@register("op1_embedding_near_dedup", oracles.OP1)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.links(table(spark, sf_dir, "embeddings"))
 
@@ -61,23 +61,23 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=("doc_id", "held_out"))
 
 
-@register("op5_substring_dedup")
+@register("op5_substring_dedup", oracles.OP5)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-@register("op7_exact_top_k")
+@register("op7_exact_top_k", oracles.OP7)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-@register("op8_ngram_jaccard_join")
+@register("op8_ngram_jaccard_join", oracles.OP8)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-@register("op9_suffix_dedup")
+@register("op9_suffix_dedup", oracles.OP9)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
