@@ -1,7 +1,7 @@
 """Headline benchmark: prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPS (default 3).
+BENCH_REPS (default 3), BENCH_DRIVER_MEMORY (default 8g).
 
 What is timed (warm session, median of BENCH_REPS unless noted), like a
 deployment would run it:
@@ -78,7 +78,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "3"))
-    spark = get_spark(f"local[{cpus}]", max(8, cpus * 2), app="cadastre-bench", **{"spark.driver.memory": "16g"})
+    spark = get_spark(f"local[{cpus}]", max(8, cpus * 2), app="cadastre-bench", **{"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
     fx = Fixtures(spark, sf_dir)
     q: dict[str, float] = {}
     extra: dict[str, float] = {}

@@ -9,7 +9,9 @@ requests, so ranking a whole (key, window) group in one task is avoided.
 The group is split into ``salt`` buckets; the global first ``limit`` rows
 of a group are among the per-bucket first ``limit`` rows, so ranking runs
 per bucket and then once more over at most ``salt × limit`` candidates per
-group.  Allowed events are attached back by their unique id.
+group.  Allowed events are attached back by id, key, time and the number of the
+row among those that agree in all three, so a repeated event is one more
+request and never multiplies rows.
 
 Stream form: watermark + tumbling ``window`` counts, append mode, emitting
 the over-quota (key, window) pairs once a window can no longer change; rows
@@ -47,7 +49,9 @@ def quota(
         F.floor(ep / window_s).cast("bigint").alias("window_id"),
         ep.alias("_epoch"),
     )
-    order = [F.col("_ts"), F.col("_id")]
+    row = ["_id", "_key", "_ts"]
+    base = base.withColumn("_dup", F.row_number().over(Window.partitionBy(*row).orderBy(F.lit(0))))
+    order = [F.col("_ts"), F.col("_id"), F.col("_dup")]
     bucket = F.pmod(F.xxhash64("_id"), F.lit(salt))
     stage1 = (
         base.withColumn("_salt", bucket)
@@ -55,8 +59,8 @@ def quota(
         .where(F.col("_r") <= limit)
     )
     stage2 = stage1.withColumn("_n", F.row_number().over(Window.partitionBy("_key", "window_id").orderBy(*order)))
-    allowed = stage2.where(F.col("_n") <= limit).select("_id", F.lit(True).alias("_ok"))
-    j = base.join(allowed, "_id", "left")
+    allowed = stage2.where(F.col("_n") <= limit).select(*row, "_dup", F.lit(True).alias("_ok"))
+    j = base.join(allowed, [*row, "_dup"], "left")
     ok = F.coalesce(F.col("_ok"), F.lit(False))
     return j.select(
         F.col("_id").alias(order_id),

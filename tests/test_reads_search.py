@@ -93,6 +93,13 @@ def test_quota_hot_key(spark):
     assert allowed == [0, 1]
 
 
+def test_quota_of_repeated_events(spark):
+    """The same event row three times is three requests, not nine."""
+    ev = spark.createDataFrame([(1, "2024-01-01 00:00:00", 7)] * 3 + [(2, "2024-01-01 00:00:01", 7)], "event_id long, ts string, user_id long")
+    out = quota(ev.withColumn("ts", F.col("ts").cast("timestamp_ntz")), "user_id", "ts", "event_id", 86400, 2).collect()
+    assert sorted((r["event_id"], r["allowed"]) for r in out) == [(1, False), (1, True), (1, True), (2, False)]
+
+
 def test_ledger_before_after(spark):
     ledger = spark.createDataFrame([], FILE_LEDGER)
     assert is_processed(ledger, "2026-08", "Empresas0.zip").count() == 0
