@@ -20,18 +20,23 @@ def components(links: DataFrame) -> DataFrame:
     a link ``(a, b)`` of different nodes names; null ends link nothing."""
     now = staged(links.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a"))
                  .where("a is not null and b is not null and a <> b").distinct(), "links")
-    last = None
+    last = _mark(now)
     for _ in range(ROUNDS):
         both = now.select("a", "b").union(now.select(F.col("b"), F.col("a"))).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        wide = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        wide = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         low = wide.groupBy("a").agg(F.min("b").alias("m"))
         near = wide.join(low, "a")
         now = staged(near.select("a", F.col("m").alias("b")).union(
             near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct(), "links")
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if tuple(mark) == last:
+        mark = _mark(now)
+        if mark == last:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
                 now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        last = tuple(mark)
+        last = mark
     raise RuntimeError(f"links did not settle in {ROUNDS} rounds")
+
+
+def _mark(links: DataFrame) -> tuple:
+    """How many links there are, and a sum of their hashes."""
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())

@@ -172,7 +172,8 @@ def links(df: DataFrame, vec_col: str = "embedding", id_col: str = "vec_id", lea
     of = one.select("digest", "copies").join(classes, "digest", "left").join(counts, "digest", "left").select(
         "digest", F.coalesce("class", "digest").alias("class"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     known = rows.where("digest is not null").select("id", "digest").join(of, "digest")
-    smallest = known.groupBy("class").agg(F.min("id").alias("component_id"))
+    # written, so that the join below has an exchange of its own, which Spark can split at a hot class
+    smallest = staged(known.groupBy("class").agg(F.min("id").alias("component_id")), "least")
     out = known.join(smallest, "class").select("id", "n_links", "component_id").union(
         rows.where("digest is null").select("id", F.lit(0).cast("bigint"), "id"))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id",
