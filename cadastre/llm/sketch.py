@@ -82,7 +82,7 @@ def merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray
     bits_of = sums.withColumn("step", F.lit(0)).groupBy("block").applyInArrow(levels_of, schema)
     out = [np.zeros(ROWS * width // 8, np.uint8) for _ in levels]
     size = min(BLOCK, width) // 8
-    for row in bits_of.toLocalIterator():
+    for row in bits_of.collect():  # bounded by the width
         data = np.frombuffer(row["cells"], np.uint8)
         for i, level in enumerate(out):
             level[row["block"] * size : (row["block"] + 1) * size] = data[i * size : (i + 1) * size]

@@ -1,7 +1,7 @@
 """Exact top-k by inner product with vector-approximation files.
 
 Vectors become whole numbers, floor(scale * x).  A slice of vectors is scanned
-as quantised cells (4 bits a component): a cell bounds each inner product from
+as quantised cells (6 bits a component): a cell bounds each inner product from
 above and below.  Exact vectors are then read in the order of their upper
 bounds until the k-th score found is above every bound left.  Queries are held
 in blocks and slices stream past them; the k best of each slice are merged.
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from .common import map_batches, ship, staged
 from .vectors import blocks_of, dense
 
-#: Queries held together, vectors of a slice, and cells of a component.
-QUERIES, SLICE, LEVELS = 1024, 32_768, 16
+#: Queries held together, vectors dealt to one task, cells of a component, and exact vectors read at a time.
+QUERIES, SLICE, LEVELS, READ = 1024, 16_384, 64, 64
 _EXACT = 2**53
 _LONG = 2**63 - 1
 
@@ -54,42 +54,47 @@ def bounds(queries: np.ndarray, cell: np.ndarray, low: np.ndarray, high: np.ndar
     return over @ a.T + under @ b.T, over @ b.T + under @ a.T
 
 
-def _scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Exact inner products, beyond doubles with Python's whole numbers."""
-    if not queries.size or not vectors.size or np.abs(queries).max() * np.abs(vectors).max() * queries.shape[-1] < _EXACT:
-        return queries @ vectors.T
-    to_int = lambda m: np.array([[int(x) for x in r] for r in np.atleast_2d(m)], object)
-    out = to_int(queries) @ to_int(vectors).T
-    return out[0] if queries.ndim == 1 else out
+def _merged(scores: np.ndarray, ids: np.ndarray, more: np.ndarray, more_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of both, ties to smaller ids."""
+    scores, ids = np.concatenate([scores, more]), np.concatenate([ids, more_ids])
+    first = np.lexsort((ids, -scores))[:k]
+    return scores[first], ids[first]
 
 
-def search_slice(queries: np.ndarray, query_ids: list, vectors: np.ndarray, ids: list, k: int) -> Iterator[tuple[int, list[tuple[int, int | None]]]]:
-    """For each query, (score, id) of its k best of the slice."""
-    order = np.argsort([(_LONG if i is None else i) for i in ids], kind="stable")  # ties go to smaller ids
-    vectors, ids = vectors[order], [ids[i] for i in order]
-    number = np.array([_LONG if i is None else i for i in ids])
+def _beyond_doubles(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Inner products in whole numbers, saturated at the bounds of long."""
+    q = [int(x) for x in query]
+    out = [sum(a * int(b) for a, b in zip(q, v, strict=True)) for v in vectors]
+    return np.array([max(-_LONG - 1, min(_LONG, s)) for s in out], object)
+
+
+def search_slice(queries: np.ndarray, asked: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, best: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    """Bring each query's (scores, ids) up to date with a slice.  What was found
+    in slices before narrows what has to be read of this one."""
+    if np.abs(queries).max() * np.abs(vectors).max() * vectors.shape[1] >= _EXACT:
+        for q, query in enumerate(queries):
+            other = ids != asked[q]
+            best[q] = _merged(best[q][0].astype(object), best[q][1], _beyond_doubles(query, vectors[other]), ids[other], k)
+        return
     cell, low, high = approximations(vectors)
-    big = np.abs(queries).max() * np.abs(vectors).max() * vectors.shape[1] >= _EXACT
     for q0 in range(0, len(queries), 128):
         least, most = bounds(queries[q0 : q0 + 128], cell, low, high)
-        for q in range(least.shape[0]):
-            asked = query_ids[q0 + q]
-            own = number == asked
-            lo, hi = np.where(own, -np.inf, least[q]), np.where(own, -np.inf, most[q])
-            n = len(ids) - int(own.sum())
-            if n <= 0:
+        own = asked[q0 : q0 + 128, None] == ids[None, :]
+        least[own] = most[own] = -np.inf
+        sure = np.partition(least, -k, axis=1)[:, -k] if len(ids) >= k else np.full(len(least), -np.inf)  # k score at least this
+        for q in range(len(least)):
+            scores, found = best[q0 + q]
+            bar = max(sure[q], scores[k - 1]) if len(scores) == k else sure[q]
+            cand = np.flatnonzero((most[q] >= bar) & ~own[q])
+            if not len(cand):
                 continue
-            sure = np.partition(lo, len(lo) - min(k, n))[len(lo) - min(k, n)]  # so many score at least this
-            cand = np.flatnonzero((hi >= sure) & ~own) if not big else np.flatnonzero(~own)
-            cand = cand[np.argsort(-hi[cand], kind="stable")]
-            best: list[tuple[int, int]] = []  # (-score, place)
-            for at in range(0, len(cand), 64):
-                some = cand[at : at + 64]
-                if len(best) >= k and not big and hi[some[0]] < -best[k - 1][0]:
+            cand = cand[np.argsort(-most[q, cand], kind="stable")]
+            for at in range(0, len(cand), READ):
+                some = cand[at : at + READ]
+                if len(scores) == k and most[q, some[0]] < scores[k - 1]:
                     break  # the k-th result is certain
-                got = _scores(queries[q0 + q], vectors[some])
-                best = sorted(best + [(-int(s), int(p)) for s, p in zip(got, some, strict=True)])[:k]
-            yield q0 + q, [(max(-_LONG - 1, min(_LONG, -s)), ids[p]) for s, p in best]
+                scores, found = _merged(scores, found, vectors[some] @ queries[q0 + q], ids[some], k)
+            best[q0 + q] = (scores, found)
 
 
 def top_k(df: DataFrame, asks: Column, k: int = 20, scale: float = 64.0, vec_col: str = "embedding", id_col: str = "vec_id") -> DataFrame:
@@ -114,14 +119,14 @@ def top_k(df: DataFrame, asks: Column, k: int = 20, scale: float = 64.0, vec_col
         name("q", "s").alias("block"), F.lit(1).alias("role"), "id", "vec")
 
     def search(block: str, held: list[tuple], streamed: Iterator[list[tuple]]) -> Iterator[pa.RecordBatch]:
-        asked_ids = [r[0] for r in held]
+        asked_ids = np.array([r[0] for r in held], np.int64)
         queries = np.array([np.frombuffer(r[1]) for r in held])
-        best: list[list[tuple[int, int | None]]] = [[] for _ in held]
-        key = lambda x: (-x[0], x[1] is None, x[1])
+        best = [(np.empty(0), np.empty(0, np.int64)) for _ in held]
         for part in streamed:
-            for q, got in search_slice(queries, asked_ids, np.array([np.frombuffer(r[1]) for r in part]), [r[0] for r in part], k):
-                best[q] = sorted(best[q] + got, key=key)[:k]
-        out = [(asked_ids[q], held[q][1], s, i) for q, many in enumerate(best) for s, i in many]
+            ids = np.array([_LONG if r[0] is None else r[0] for r in part], np.int64)  # no id loses ties
+            search_slice(queries, asked_ids, np.array([np.frombuffer(r[1]) for r in part]), ids, k, best)
+        out = [(int(asked_ids[q]), held[q][1], int(s), None if i == _LONG else int(i))
+               for q, (scores, ids) in enumerate(best) for s, i in zip(scores, ids, strict=True)]
         yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], kind) for c, kind in enumerate(
             (pa.int64(), pa.binary(), pa.int64(), pa.int64()))], names=["query_id", "asked", "score", "vec_id"])
 
