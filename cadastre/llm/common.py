@@ -59,7 +59,19 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing will read again.  Only for what has been
+    read into another staged table, so that a lost executor needs none of it."""
+    for df in tables:
+        if path := df.__dict__.get("_staged_at"):
+            jvm = df.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def key_type(df: DataFrame, col: str) -> str:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 ROUNDS = 60
 
@@ -27,8 +27,9 @@ def components(links: DataFrame) -> DataFrame:
         wide = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         low = wide.groupBy("a").agg(F.min("b").alias("m"))
         near = wide.join(low, "a")
-        now = staged(near.select("a", F.col("m").alias("b")).union(
+        before, now = now, staged(near.select("a", F.col("m").alias("b")).union(
             near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct(), "links")
+        discard(before)
         mark = _mark(now)
         if mark == last:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(

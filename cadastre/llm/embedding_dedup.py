@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, ship, staged
+from .common import discard, map_batches, ship, staged
 from .components import components
 from .vectors import HELD, blocks_of, dense
 
@@ -168,6 +168,7 @@ def links(df: DataFrame, vec_col: str = "embedding", id_col: str = "vec_id", lea
 
     found = staged(blocks_of(held.union(inner).union(outer), compare, "a binary, b binary, n bigint", ("digest", "copies", "vec")), "links")
     classes = components(found.select("a", "b")).toDF("digest", "class")
+    discard(placed)
     counts = found.groupBy(F.col("a").alias("digest")).agg(F.sum("n").alias("n"))
     of = one.select("digest", "copies").join(classes, "digest", "left").join(counts, "digest", "left").select(
         "digest", F.coalesce("class", "digest").alias("class"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))

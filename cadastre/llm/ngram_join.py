@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import map_batches, ship, slices, staged, text_bytes
+from .common import discard, map_batches, ship, slices, staged, text_bytes
 from .components import components
 from .hashing import LOWER, mix, prefix_sums, spans, word_spans
 
@@ -300,8 +300,10 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
         return {"n_shingles": pa.array(size, pa.int64()), "digest": pa.array(digest, pa.binary()), "key": pa.array(key, pa.int64()),
                 "parts": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int64()))}
 
-    docs = staged(map_batches(shared, ("text",), ("id", "th"), "n_shingles bigint, digest binary, key bigint, parts array<bigint>", sets), "sets")
-    named = components(_signature_links(docs.where("key is not null").select("key", "parts")))
+    full = staged(map_batches(shared, ("text",), ("id", "th"), "n_shingles bigint, digest binary, key bigint, parts array<bigint>", sets), "sets")
+    docs = staged(full.drop("parts"), "documents")
+    named = components(_signature_links(full.where("key is not null").select("key", "parts")))
+    discard(full)
     # one row of each set that may link: its text is fetched by id and text hash, its set made again
     held = docs.where("key is not null").join(named.withColumnRenamed("node", "key"), "key")
     one = staged(held.groupBy("digest", "component").agg(F.min(F.struct("id", "th")).alias("row"), F.max("n_shingles").alias("n")).select(
@@ -332,6 +334,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     if not hot.isEmpty():
         links = _across_blocks(hot, links, percent, block_rows)
     joined = components(links)
+    discard(found, one, named, links)
     of = docs.where("digest is not null").join(joined.withColumnRenamed("node", "digest"), "digest", "left").select(
         "id", "th", "n_shingles", F.coalesce("component", "digest").alias("class"))
     least = staged(of.groupBy("class").agg(F.min("id").alias("component_id")), "least")
@@ -369,9 +372,10 @@ def _across_blocks(hot: DataFrame, links: DataFrame, percent: int, block_rows: i
         "r", F.row_number().over(Window.partitionBy("component", "sub").orderBy("digest"))).where(F.col("r") <= HUBS)
     chunk = F.floor(F.col("sub") / max(1, block_rows // HUBS)).cast("int")
     first = hubs.select(F.concat_ws("/", "component", chunk).alias("block"), "digest", "grams", "label", F.lit(True).alias("asks"))
-    links = staged(links.union(_search(first, percent, True)), "near")
+    before, links = links, staged(links.union(_search(first, percent, True)), "near")
+    discard(before, of)
     # what is still outside the component's largest group asks every block
-    of = grouped(links)
+    of = hot_groups = grouped(links)
     count = of.groupBy("component", "label").agg(F.count("*").alias("members"))
     main = count.groupBy("component").agg(F.max(F.struct("members", "label")).alias("top")).select(
         "component", F.col("top.label").alias("main"))
@@ -383,4 +387,6 @@ def _across_blocks(hot: DataFrame, links: DataFrame, percent: int, block_rows: i
     chunks = asking.select("component", "chunk").distinct()
     against = of.join(chunks, "component").select(
         name("chunk", "sub").alias("block"), "digest", "grams", "label", F.lit(False).alias("asks"))
-    return staged(links.union(_search(queries.union(against), percent, True)), "near")
+    out = staged(links.union(_search(queries.union(against), percent, True)), "near")
+    discard(links, hot_groups)
+    return out
