@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -74,9 +75,12 @@ def discard(*tables: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def key_type(df: DataFrame, col: str) -> str:
-    """DDL type of a column."""
-    return df.schema[col].dataType.simpleString()
+def hash_sample(df: DataFrame, col: str, total: int, most: int) -> DataFrame:
+    """About ``most`` of the ``total`` values of a column, those of the least
+    hashes: the same ones for the same values, whatever the partitions, and no
+    more than that leaves the executors."""
+    share = 2**40 if total <= most else int(2**40 * most / total)
+    return df.where(F.pmod(F.xxhash64(col), F.lit(2**40)) < F.lit(share))
 
 
 def ddl(df: DataFrame, keep: tuple[str, ...], added: str) -> T.StructType:

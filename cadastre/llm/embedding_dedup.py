@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, map_batches, ship, staged
+from .common import discard, hash_sample, map_batches, ship, staged
 from .components import components
 from .vectors import HELD, blocks_of, dense
 
@@ -97,12 +97,13 @@ def links(df: DataFrame, vec_col: str = "embedding", id_col: str = "vec_id", lea
     rows = staged(map_batches(source, ("vector",), ("id",), "digest binary, vec binary", read), "vectors")
     one = staged(rows.where("digest is not null").groupBy("digest").agg(
         F.count("*").alias("copies"), F.first("vec").alias("vec")), "distinct")
-    # the sample: vectors of the least hashes, a bounded number for each length
+    # the sample: vectors of the least hashes, about so many for each length
     n_of = {r["size"]: r["n"] for r in one.groupBy(F.length("vec").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(64).collect()}
     centres: dict[int, np.ndarray] = {}
     for size, n in n_of.items():
         k = int(min(CELLS, max(1, n // CELL_ROWS)))
-        got = one.where(F.length("vec") == size).orderBy("digest").limit(k * SAMPLE).select("vec").collect()
+        got = hash_sample(one.where(F.length("vec") == size), "digest", n, k * SAMPLE).limit(2 * k * SAMPLE).select("digest", "vec").collect()
+        got = sorted(got) or one.where(F.length("vec") == size).limit(1).select("digest", "vec").collect()
         centres[size] = spherical_kmeans(unit(np.array([np.frombuffer(r["vec"]) for r in got])), k)
     shared = spark.sparkContext.broadcast(centres)
 

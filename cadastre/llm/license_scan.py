@@ -3,7 +3,7 @@
 Sparse word n-grams (one and two words, hashed) feed a softmax regression over
 licence families and *unknown*.  It learns from variants of published passages
 and, as unknown, from paragraphs of the corpus (a bounded sample, ``NEGATIVES``
-documents by least hash) and from shuffled passages.  A held-out part sets the
+documents or so, by least hash) and from shuffled passages.  A held-out part sets the
 temperature of its probabilities and the probability below which a paragraph is
 unknown.  A family that is predicted is confirmed if one of its templates
 matches enough three-word runs of the paragraph, close together.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, slices, text_bytes
+from .common import hash_sample, map_batches, slices, text_bytes
 from .hashing import LOWER, mix, prefix_sums, spans, word_spans
 from .license_templates import TEMPLATES
 
@@ -188,7 +188,9 @@ def fit(prose: list[str], steps: int = 120) -> Model:
 
 def learn(df: DataFrame, text_col: str = "text") -> Model:
     """Fit on a bounded sample of the corpus' paragraphs (see ``NEGATIVES``)."""
-    rows = df.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text")).orderBy(F.xxhash64("text"), "text").limit(NEGATIVES).collect()
+    texts = df.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"))
+    rows = hash_sample(texts, "text", texts.count(), NEGATIVES).distinct().limit(2 * NEGATIVES).collect()
+    rows.sort()
     lines = [line.split() for r in rows for line in r["text"].split("\n")]
     parts = [" ".join(w[i : i + WINDOW]) for w in lines for i in range(0, len(w), WINDOW)]
     random.Random(1).shuffle(parts)
