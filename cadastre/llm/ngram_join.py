@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from . import sketch
 from .common import discard, map_batches, ship, slices, staged, text_bytes
 from .components import components
+from .grouping import SCHEMA, blob_batch, by_bucket, pack, text_bytes_in, unpack
 from .hashing import LOWER, mix, prefix_sums, spans, word_spans
 
 #: Width of a size class, as a ratio.
@@ -44,6 +45,8 @@ CLASS_RATIO = 1.5
 BLOCK_ROWS, BLOCK_SHINGLES = 4096, 1000
 #: Members of a block's largest group that are compared with those of other blocks first.
 HUBS = 16
+#: Text bytes for each bucket of parts, and parts a task gathers before it passes them on.
+PART_BYTES, FLUSH = 16 << 20, 4_000_000
 #: Short lists of up to this many entries are merged with a heap, larger ones by counting.
 HEAP_ENTRIES = 512
 
@@ -200,9 +203,9 @@ def t_occurrence(sets: list[np.ndarray], percent: int, labels: np.ndarray | None
     return Groups(groups.of[rank])
 
 
-def _search(frame: DataFrame, percent: int, labelled: bool) -> DataFrame:
-    """``frame``: block, digest, grams, label, asks, sorted and together by
-    block.  Links (a, b) of digests that join the groups found."""
+def _search(frame: DataFrame, n: int, percent: int, labelled: bool) -> DataFrame:
+    """``frame``: block, digest, text, label, asks.  Links (a, b) of digests that
+    join the groups found in each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(rows: list[tuple]) -> pa.RecordBatch | None:
@@ -213,7 +216,7 @@ def _search(frame: DataFrame, percent: int, labelled: bool) -> DataFrame:
             rows = list(seen.values())
             if len(rows) < 2:
                 return None
-            sets = [np.frombuffer(r[1], np.uint64) for r in rows]
+            sets = list(shingle_sets(pa.array([r[1] for r in rows], pa.string()), n))
             label = None
             if labelled:
                 names: dict[bytes, int] = {}
@@ -237,7 +240,7 @@ def _search(frame: DataFrame, percent: int, labelled: bool) -> DataFrame:
         if rows and (made := close(rows)):
             yield made
 
-    return frame.repartition("block").sortWithinPartitions("block").select("block", "digest", "grams", "label", "asks").mapInArrow(
+    return frame.repartition("block").sortWithinPartitions("block").select("block", "digest", "text", "label", "asks").mapInArrow(
         run, "a binary, b binary")
 
 
@@ -245,36 +248,76 @@ def _hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     yield batch.column(0).to_numpy().view(np.uint64)
 
 
-def _signature_links(docs: DataFrame) -> DataFrame:
-    """Links (a, b) of keys that share a part; ``docs``: key, parts.  Each task
-    links its own sets and passes on its least key of each part."""
+def _planes(values: np.ndarray) -> np.ndarray:
+    """The bytes of numbers, all first ones, then all second ones …: in sorted
+    numbers the leading ones repeat and compress."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).ravel()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, parts = [], []
+
+def _from_planes(data: np.ndarray, kind: type, n: int) -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(-1, n).T).view(kind).ravel()
+
+
+def _least_keys(key: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Links (a, b) of each part's other keys to its least one; the parts, and the least keys."""
+    by = np.lexsort((key, part))
+    key, part = key[by], part[by]
+    head = np.concatenate([[True], part[1:] != part[:-1]])
+    least = key[head][np.cumsum(head) - 1]
+    other = key != least
+    pairs = np.unique(np.stack([key[other], least[other]], axis=1), axis=0) if other.any() else np.empty((0, 2), np.int64)
+    return pairs[:, 0], pairs[:, 1], part[head], key[head]
+
+
+def _signature_links(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) of keys that share a part; ``texts``: text, key.  Each task
+    links its own sets and passes on its least key of each part, packed by
+    bucket of the part, so a hot part is one record a task."""
+    buckets = 1 << max(6, int(text_bytes_in(texts, "text") // PART_BYTES).bit_length())
+    shift = np.uint64(64 - (buckets.bit_length() - 1))
+
+    def flush(keys: list[np.ndarray], parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        a, b, part, key = _least_keys(np.concatenate(keys), np.concatenate(parts))
+        out = [(0, 1, pack((a, b)))] if len(a) else []
+        cut = np.searchsorted(part >> shift, np.arange(buckets + 1, dtype=np.uint64))
+        for i, (lo, hi) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+            if hi > lo:
+                names, of = np.unique(key[lo:hi], return_inverse=True)
+                out.append((i, 0, pack((names,), np.concatenate([_planes(part[lo:hi]), _planes(of.astype(np.uint32))]))))
+        for lo in range(0, len(out), 64):
+            yield blob_batch(out[lo : lo + 64])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, parts, have = [], [], 0
         for batch in batches:
-            lists = batch.column(1)
-            size = np.diff(lists.offsets.to_numpy())
-            parts.append(lists.flatten().to_numpy(zero_copy_only=False))
-            keys.append(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), size))
-        if not keys:
-            return
-        key, part = np.concatenate(keys), np.concatenate(parts)
-        by = np.lexsort((key, part))
-        key, part = key[by], part[by]
-        head = np.concatenate([[True], part[1:] != part[:-1]])
-        least = key[np.maximum.accumulate(np.where(head, np.arange(len(key)), 0))]
-        other = np.flatnonzero(key != least)
-        pairs = np.unique(np.stack([key[other], least[other]], axis=1), axis=0) if len(other) else np.empty((0, 2), np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([part[head], pairs[:, 0]]), pa.int64()),
-             pa.array(np.concatenate([key[head], pairs[:, 0]]), pa.int64()),
-             pa.array(np.concatenate([key[head], pairs[:, 1]]), pa.int64())], names=["part", "a", "b"])
-
-    rows = docs.mapInArrow(run, "part bigint, a bigint, b bigint")
-    # a part has one row from each task (a = b), so its window stays small; links found in a task pass through
-    least = F.min(F.when(F.col("a") == F.col("b"), F.col("a"))).over(Window.partitionBy("part"))
-    return rows.withColumn("m", least).select(
-        "a", F.when(F.col("a") == F.col("b"), F.col("m")).otherwise(F.col("b")).alias("b")).where("a <> b").distinct()
+            for k, s in zip(batch.column(1).to_pylist(), shingle_sets(batch.column(0), n), strict=True):
+                if not len(s):
+                    continue
+                own = part_signatures(s, percent)
+                parts.append(own)
+                keys.append(np.full(len(own), k, np.int64))
+                have += len(own)
+                if have >= FLUSH:
+                    yield from flush(keys, parts)
+                    keys, parts, have = [], [], 0
+        if keys:
+            yield from flush(keys, parts)
+
+    def link(bucket: int, blobs: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        out = [tuple(unpack(x, (np.int64, np.int64))) for x in blobs.get(1, [])]
+        if 0 in blobs:
+            keys, parts = [], []
+            for blob in blobs[0]:
+                names, data = unpack(blob, (np.int64,), rest=True)
+                count = len(data) // 12
+                parts.append(_from_planes(data[: 8 * count], np.uint64, count))
+                keys.append(names[_from_planes(data[8 * count :], np.uint32, count)])
+            out.append(_least_keys(np.concatenate(keys), np.concatenate(parts))[:2])
+        for a, b in out:
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return by_bucket(texts.select("text", "key").mapInArrow(gather, SCHEMA), link, "a bigint, b bigint")
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90,
@@ -287,54 +330,45 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     shared = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
 
     def sets(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        size, digest, key, parts, at = [], [], [], [], [0]
+        size, digest, key = [], [], []
         for s in shingle_sets(batch.column(0), n):
             d = hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
             size.append(len(s))
             digest.append(d)
             key.append(int.from_bytes(d[:8], "little", signed=True) if d else None)
-            if d:
-                parts.append(part_signatures(s, percent).view(np.int64))
-            at.append(at[-1] + (len(parts[-1]) if d else 0))
-        flat = np.concatenate(parts) if parts else np.empty(0, np.int64)
-        return {"n_shingles": pa.array(size, pa.int64()), "digest": pa.array(digest, pa.binary()), "key": pa.array(key, pa.int64()),
-                "parts": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int64()))}
-
-    full = staged(map_batches(shared, ("text",), ("id", "th"), "n_shingles bigint, digest binary, key bigint, parts array<bigint>", sets), "sets")
-    docs = staged(full.drop("parts"), "documents")
-    named = components(_signature_links(full.where("key is not null").select("key", "parts")))
-    discard(full)
+        return {"n_shingles": pa.array(size, pa.int64()), "digest": pa.array(digest, pa.binary()), "key": pa.array(key, pa.int64())}
+
+    docs = staged(map_batches(shared, ("text",), ("id", "th"), "n_shingles bigint, digest binary, key bigint", sets), "documents")
+    # in the search for links a set goes by the hash of its text: equal sets of other texts meet as equal parts
+    named = components(_signature_links(shared.where("text is not null").withColumnRenamed("th", "key"), n, percent))
     # one row of each set that may link: its text is fetched by id and text hash, its set made again
-    held = docs.where("key is not null").join(named.withColumnRenamed("node", "key"), "key")
+    held = docs.where("digest is not null").join(named.withColumnRenamed("node", "th"), "th")
     one = staged(held.groupBy("digest", "component").agg(F.min(F.struct("id", "th")).alias("row"), F.max("n_shingles").alias("n")).select(
         "digest", "component", "n", F.col("row.id").alias("id"), F.col("row.th").alias("th")), "asked")
     # a filter of the texts asked for keeps the others from the shuffle; it lets some more pass, never fewer
     bits = sketch.width_bits(one.count())
     asked = spark.sparkContext.broadcast(sketch.merged(one.select("th"), _hashes, bits, (1,))[0])
 
-    def again(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+    def wanted(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         pick = sketch.reaches(asked.value, batch.column(1).to_numpy().view(np.uint64), bits)
-        grams = [None] * len(pick)
-        for i, s in zip(np.flatnonzero(pick).tolist(), shingle_sets(batch.column(0).filter(pa.array(pick)), n), strict=True):
-            grams[i] = s.tobytes()
-        return {"grams": pa.array(grams, pa.binary())}
-
-    left = map_batches(shared, ("text", "th"), ("id", "th"), "grams binary", again).where("grams is not null").alias("l")
-    right = one.hint("merge").alias("r")
-    made = left.join(right, F.col("l.th").eqNullSafe(F.col("r.th")) & F.col("l.id").eqNullSafe(F.col("r.id"))).select(
-        "r.component", "r.digest", "l.grams")
+        return {"text": pa.compute.if_else(pa.array(pick), batch.column(0), pa.scalar(None, batch.column(0).type))}
+
     size = one.groupBy("component").agg(F.greatest(F.count("*"), F.sum("n") / BLOCK_SHINGLES).alias("size"))
     blocks = F.ceil(F.col("size") / block_rows).cast("int")
-    found = staged(made.join(size, "component").withColumn("blocks", blocks).withColumn(
-        "sub", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")), "grams")
-    plain = found.select(F.concat_ws("/", "component", "sub").alias("block"), "digest", "grams",
+    named_rows = staged(one.join(size, "component").withColumn("blocks", blocks).withColumn(
+        "sub", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")), "blocks")
+    left = map_batches(shared, ("text", "th"), ("id", "th"), "text string", wanted).where("text is not null").alias("l")
+    right = named_rows.hint("merge").alias("r")
+    found = staged(left.join(right, F.col("l.th").eqNullSafe(F.col("r.th")) & F.col("l.id").eqNullSafe(F.col("r.id"))).select(
+        "r.component", "r.blocks", "r.sub", "r.digest", "l.text"), "texts")
+    plain = found.select(F.concat_ws("/", "component", "sub").alias("block"), "digest", "text",
                          F.lit(None).cast("binary").alias("label"), F.lit(True).alias("asks"))
-    links = staged(_search(plain, percent, False), "near")
+    links = staged(_search(plain, n, percent, False), "near")
     hot = found.where("blocks > 1")
     if not hot.isEmpty():
-        links = _across_blocks(hot, links, percent, block_rows)
+        links = _across_blocks(hot, links, n, percent, block_rows)
     joined = components(links)
-    discard(found, one, named, links)
+    discard(found, one, named_rows, links)
     of = docs.where("digest is not null").join(joined.withColumnRenamed("node", "digest"), "digest", "left").select(
         "id", "th", "n_shingles", F.coalesce("component", "digest").alias("class"))
     least = staged(of.groupBy("class").agg(F.min("id").alias("component_id")), "least")
@@ -355,13 +389,13 @@ def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return keyed.join(kept, "_row").withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*df.columns)
 
 
-def _across_blocks(hot: DataFrame, links: DataFrame, percent: int, block_rows: int) -> DataFrame:
+def _across_blocks(hot: DataFrame, links: DataFrame, n: int, percent: int, block_rows: int) -> DataFrame:
     """Links between the blocks of large components, added to ``links``."""
 
     def grouped(now: DataFrame) -> DataFrame:
         named = components(now).withColumnRenamed("node", "digest").withColumnRenamed("component", "group")
         return staged(hot.join(named, "digest", "left").withColumn("label", F.coalesce("group", "digest")).select(
-            "component", "blocks", "sub", "digest", "grams", "label"), "hot")
+            "component", "blocks", "sub", "digest", "text", "label"), "hot")
 
     # some members of each block's largest group, together: this joins the groups of one crowd
     of = grouped(links)
@@ -371,8 +405,8 @@ def _across_blocks(hot: DataFrame, links: DataFrame, percent: int, block_rows: i
     hubs = of.join(largest, ["component", "sub", "label"]).withColumn(
         "r", F.row_number().over(Window.partitionBy("component", "sub").orderBy("digest"))).where(F.col("r") <= HUBS)
     chunk = F.floor(F.col("sub") / max(1, block_rows // HUBS)).cast("int")
-    first = hubs.select(F.concat_ws("/", "component", chunk).alias("block"), "digest", "grams", "label", F.lit(True).alias("asks"))
-    before, links = links, staged(links.union(_search(first, percent, True)), "near")
+    first = hubs.select(F.concat_ws("/", "component", chunk).alias("block"), "digest", "text", "label", F.lit(True).alias("asks"))
+    before, links = links, staged(links.union(_search(first, n, percent, True)), "near")
     discard(before, of)
     # what is still outside the component's largest group asks every block
     of = hot_groups = grouped(links)
@@ -383,10 +417,10 @@ def _across_blocks(hot: DataFrame, links: DataFrame, percent: int, block_rows: i
     asking = of.where("label <> main").withColumn("chunk", F.col("sub"))
     asked = asking.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     name = lambda c, t: F.concat_ws("/", "component", c, t)
-    queries = asked.select(name("chunk", "t").alias("block"), "digest", "grams", "label", F.lit(True).alias("asks"))
+    queries = asked.select(name("chunk", "t").alias("block"), "digest", "text", "label", F.lit(True).alias("asks"))
     chunks = asking.select("component", "chunk").distinct()
     against = of.join(chunks, "component").select(
-        name("chunk", "sub").alias("block"), "digest", "grams", "label", F.lit(False).alias("asks"))
-    out = staged(links.union(_search(queries.union(against), percent, True)), "near")
+        name("chunk", "sub").alias("block"), "digest", "text", "label", F.lit(False).alias("asks"))
+    out = staged(links.union(_search(queries.union(against), n, percent, True)), "near")
     discard(links, hot_groups)
     return out
