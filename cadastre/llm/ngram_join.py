@@ -2,8 +2,10 @@
 
 Texts become sets of word n-gram hashes.  Two sets of Jaccard similarity ``t``
 or more differ in at most H elements, H fixed by their sizes; cutting the hash
-range into more than H parts leaves one part in which they are equal, so equal
-parts (of sets in the same or the next size class) name all pairs that can link.
+range into more than H parts leaves the others equal, so equal parts (of sets in
+the same or the next size class) name all pairs that can link.  A set that
+shares fewer parts than any partner would is out first; the others are linked
+to the least set of each part.
 Components of the pairs so named are searched one by one: a component gets an
 inverted index, each document merges its short lists with a heap, probes the
 long ones by binary search (DivideSkip), and links with whatever reaches the
@@ -86,11 +88,12 @@ def _class_of(n: int) -> int:
     return k
 
 
-def part_signatures(grams: np.ndarray, percent: int) -> np.ndarray:
+def part_signatures(grams: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     """Signatures (64-bit) of the set's parts under each size class that a
-    partner of similarity ``percent`` / 100 may share with it."""
+    partner of similarity ``percent`` / 100 may share with it, and how many of
+    them any such partner shares at least."""
     n = len(grams)
-    out = []
+    out, least = [], n + 1
     own = _class_of(n)
     most = n * 100 // percent  # of a partner
     for k in (own, own + 1):
@@ -107,9 +110,12 @@ def part_signatures(grams: np.ndarray, percent: int) -> np.ndarray:
         label = np.arange(parts, dtype=np.uint64) * np.uint64(1 << 20) + np.uint64(k)
         filled = edges[1:] - edges[:-1]
         signed = mix(part + mix(label) + filled.astype(np.uint64))
-        # with more filled parts than differences one of the filled ones is equal; only else do empty parts count
-        out.append(signed[filled > 0] if np.count_nonzero(filled) > apart else signed)
-    return np.concatenate(out)
+        # a difference spoils one part: with more filled parts than differences the rest of them is equal;
+        # only else do empty parts count
+        whole = np.count_nonzero(filled)
+        out.append(signed[filled > 0] if whole > apart else signed)
+        least = min(least, max(1, whole - apart))
+    return np.concatenate(out), least
 
 
 class Groups:
@@ -258,66 +264,126 @@ def _from_planes(data: np.ndarray, kind: type, n: int) -> np.ndarray:
     return np.ascontiguousarray(data.reshape(-1, n).T).view(kind).ravel()
 
 
-def _least_keys(key: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Links (a, b) of each part's other keys to its least one; the parts, and the least keys."""
+def _runs(key: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Different (part, key) pairs in order, where each part begins, and its number of keys for each pair."""
     by = np.lexsort((key, part))
     key, part = key[by], part[by]
+    new = np.concatenate([[True], (part[1:] != part[:-1]) | (key[1:] != key[:-1])])
+    key, part = key[new], part[new]
     head = np.concatenate([[True], part[1:] != part[:-1]])
+    return key, part, head, np.bincount(np.cumsum(head) - 1)[np.cumsum(head) - 1]
+
+
+def _least_keys(key: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Links (a, b) of each part's other keys to its least one; the parts, and the least keys."""
+    key, part, head, _ = _runs(key, part)
     least = key[head][np.cumsum(head) - 1]
     other = key != least
     pairs = np.unique(np.stack([key[other], least[other]], axis=1), axis=0) if other.any() else np.empty((0, 2), np.int64)
     return pairs[:, 0], pairs[:, 1], part[head], key[head]
 
 
-def _signature_links(texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links (a, b) of keys that share a part; ``texts``: text, key.  Each task
-    links its own sets and passes on its least key of each part, packed by
-    bucket of the part, so a hot part is one record a task."""
+#: Kinds of blobs: parts with a key each; counts (phase one) or links (phase two); parts known to be shared.
+_KEYED, _DONE, _SHARED = 0, 1, 2
+
+
+def _deal_parts(texts: DataFrame, n: int, percent: int, link: bool, keep: tuple | None = None) -> DataFrame:
+    """Deals the parts of the sets of ``texts`` (text, key) by bucket, packed.  A
+    task settles what it can: a part is one record a task however many of its
+    sets have it.
+
+    Phase one (``link`` false) gives ``a`` (key), ``b`` (parts that it shares)
+    and ``c`` (how many any partner shares); phase two the links (a, b) of keys
+    that share a part, for the keys that the filter ``keep`` lets through."""
     buckets = 1 << max(6, int(text_bytes_in(texts, "text") // PART_BYTES).bit_length())
     shift = np.uint64(64 - (buckets.bit_length() - 1))
 
-    def flush(keys: list[np.ndarray], parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        a, b, part, key = _least_keys(np.concatenate(keys), np.concatenate(parts))
-        out = [(0, 1, pack((a, b)))] if len(a) else []
+    def keyed(kind: int, key: np.ndarray, part: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
         cut = np.searchsorted(part >> shift, np.arange(buckets + 1, dtype=np.uint64))
         for i, (lo, hi) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
             if hi > lo:
                 names, of = np.unique(key[lo:hi], return_inverse=True)
-                out.append((i, 0, pack((names,), np.concatenate([_planes(part[lo:hi]), _planes(of.astype(np.uint32))]))))
+                yield i, kind, pack((names,), np.concatenate([_planes(part[lo:hi]), _planes(of.astype(np.uint32))]))
+
+    def flush(keys: list[np.ndarray], parts: list[np.ndarray], needs: dict[int, int]) -> Iterator[pa.RecordBatch]:
+        key, part = np.concatenate(keys), np.concatenate(parts)
+        if link:
+            a, b, part, key = _least_keys(key, part)
+            out = [(0, _DONE, pack((a, b, b)))] if len(a) else []
+            out += keyed(_KEYED, key, part)
+        else:
+            key, part, head, size = _runs(key, part)
+            many = size > 1
+            names, shared = np.unique(key[many], return_counts=True)
+            own = np.array(list(needs), np.int64)
+            count = np.zeros(len(own), np.int64)
+            if len(names):
+                at = np.minimum(np.searchsorted(names, own), len(names) - 1)
+                count = np.where(names[at] == own, shared[at], 0)
+            out = [(0, _DONE, pack((own, count, np.array(list(needs.values()), np.int64))))]
+            out += keyed(_KEYED, key[~many], part[~many])
+            out += keyed(_SHARED, np.zeros(int((many & head).sum()), np.int64), part[many & head])
         for lo in range(0, len(out), 64):
             yield blob_batch(out[lo : lo + 64])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, parts, have = [], [], 0
+        keys, parts, needs, have = [], [], {}, 0
         for batch in batches:
-            for k, s in zip(batch.column(1).to_pylist(), shingle_sets(batch.column(0), n), strict=True):
+            column, key = batch.column(0), batch.column(1).to_numpy()
+            if keep:
+                pick = sketch.reaches(keep[0].value, key.view(np.uint64), keep[1])
+                column, key = column.filter(pa.array(pick)), key[pick]
+            for k, s in zip(key.tolist(), shingle_sets(column, n), strict=True):
                 if not len(s):
                     continue
-                own = part_signatures(s, percent)
+                own, needs[k] = part_signatures(s, percent)
                 parts.append(own)
                 keys.append(np.full(len(own), k, np.int64))
                 have += len(own)
                 if have >= FLUSH:
-                    yield from flush(keys, parts)
-                    keys, parts, have = [], [], 0
+                    yield from flush(keys, parts, needs)
+                    keys, parts, needs, have = [], [], {}, 0
         if keys:
-            yield from flush(keys, parts)
-
-    def link(bucket: int, blobs: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
-        out = [tuple(unpack(x, (np.int64, np.int64))) for x in blobs.get(1, [])]
-        if 0 in blobs:
-            keys, parts = [], []
-            for blob in blobs[0]:
-                names, data = unpack(blob, (np.int64,), rest=True)
-                count = len(data) // 12
-                parts.append(_from_planes(data[: 8 * count], np.uint64, count))
-                keys.append(names[_from_planes(data[8 * count :], np.uint32, count)])
-            out.append(_least_keys(np.concatenate(keys), np.concatenate(parts))[:2])
-        for a, b in out:
+            yield from flush(keys, parts, needs)
+
+    def read(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        keys, parts = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+        for blob in blobs:
+            names, data = unpack(blob, (np.int64,), rest=True)
+            count = len(data) // 12
+            parts.append(_from_planes(data[: 8 * count], np.uint64, count))
+            keys.append(names[_from_planes(data[8 * count :], np.uint32, count)])
+        return np.concatenate(keys), np.concatenate(parts)
+
+    def settle(bucket: int, blobs: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        out = [tuple(unpack(x, (np.int64, np.int64, np.int64))) for x in blobs.get(_DONE, [])]
+        if _KEYED in blobs:
+            key, part = read(blobs[_KEYED])
+            if link:
+                a, b = _least_keys(key, part)[:2]
+                out.append((a, b, b))
+            else:
+                known = np.unique(read(blobs.get(_SHARED, []))[1])
+                key, part, _, size = _runs(key, part)
+                shared = (size > 1) | np.isin(part, known)
+                names, count = np.unique(key[shared], return_counts=True)
+                out.append((names, count, np.zeros(len(names), np.int64)))
+        for a, b, c in out:
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, c)], names=["a", "b", "c"])
 
-    return by_bucket(texts.select("text", "key").mapInArrow(gather, SCHEMA), link, "a bigint, b bigint")
+    return by_bucket(texts.select("text", "key").mapInArrow(gather, SCHEMA), settle, "a bigint, b bigint, c bigint")
+
+
+def _signature_links(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) of keys that share a part, among the keys that share as many
+    parts as any partner would (most share none, or a few through a passage)."""
+    spark = texts.sparkSession
+    counts = _deal_parts(texts, n, percent, False).groupBy("a").agg(F.sum("b").alias("shared"), F.max("c").alias("least"))
+    live = staged(counts.where("shared >= least").select("a"), "live")
+    bits = sketch.width_bits(live.count())
+    keep = spark.sparkContext.broadcast(sketch.merged(live, _hashes, bits, (1,))[0])
+    return _deal_parts(texts, n, percent, True, (keep, bits)).select("a", "b")
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90,
