@@ -417,7 +417,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
 
     def wanted(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         pick = sketch.reaches(asked.value, batch.column(1).to_numpy().view(np.uint64), bits)
-        return {"text": pa.compute.if_else(pa.array(pick), batch.column(0), pa.scalar(None, batch.column(0).type))}
+        return {"text": batch.column(0).take(pa.array(np.arange(len(pick)), mask=~pick))}
 
     size = one.groupBy("component").agg(F.greatest(F.count("*"), F.sum("n") / BLOCK_SHINGLES).alias("size"))
     blocks = F.ceil(F.col("size") / block_rows).cast("int")
