@@ -4,8 +4,8 @@ Texts become sets of word n-gram hashes.  Two sets of Jaccard similarity ``t``
 or more differ in at most H elements, H fixed by their sizes; cutting the hash
 range into more than H parts leaves the others equal, so equal parts (of sets in
 the same or the next size class) name all pairs that can link.  A set that
-shares fewer parts than any partner would is out first; the others are linked
-to the least set of each part.
+shares fewer parts than any partner would is out first, then one that shares
+fewer n-grams; the others are linked to the least set of each part.
 Components of the pairs so named are searched one by one: a component gets an
 inverted index, each document merges its short lists with a heap, probes the
 long ones by binary search (DivideSkip), and links with whatever reaches the
@@ -48,7 +48,7 @@ BLOCK_ROWS, BLOCK_SHINGLES = 4096, 1000
 #: Members of a block's largest group that are compared with those of other blocks first.
 HUBS = 16
 #: Text bytes for each bucket of parts, and parts a task gathers before it passes them on.
-PART_BYTES, FLUSH = 16 << 20, 4_000_000
+PART_BYTES, FLUSH = 16 << 20, 1_500_000
 #: Short lists of up to this many entries are merged with a heap, larger ones by counting.
 HEAP_ENTRIES = 512
 
@@ -287,10 +287,10 @@ def _least_keys(key: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarr
 _KEYED, _DONE, _SHARED = 0, 1, 2
 
 
-def _deal_parts(texts: DataFrame, n: int, percent: int, link: bool, keep: tuple | None = None) -> DataFrame:
-    """Deals the parts of the sets of ``texts`` (text, key) by bucket, packed.  A
-    task settles what it can: a part is one record a task however many of its
-    sets have it.
+def _deal_parts(texts: DataFrame, n: int, percent: int, link: bool, keep: tuple | None = None, whole: bool = False) -> DataFrame:
+    """Deals the parts of the sets of ``texts`` (text, key) by bucket, packed;
+    with ``whole`` their n-grams, each as a part.  A task settles what it can: a
+    part is one record a task however many of its sets have it.
 
     Phase one (``link`` false) gives ``a`` (key), ``b`` (parts that it shares)
     and ``c`` (how many any partner shares); phase two the links (a, b) of keys
@@ -336,7 +336,7 @@ def _deal_parts(texts: DataFrame, n: int, percent: int, link: bool, keep: tuple
             for k, s in zip(key.tolist(), shingle_sets(column, n), strict=True):
                 if not len(s):
                     continue
-                own, needs[k] = part_signatures(s, percent)
+                own, needs[k] = (s, -(-len(s) * percent // 100)) if whole else part_signatures(s, percent)
                 parts.append(own)
                 keys.append(np.full(len(own), k, np.int64))
                 have += len(own)
@@ -377,13 +377,16 @@ def _deal_parts(texts: DataFrame, n: int, percent: int, link: bool, keep: tuple
 
 def _signature_links(texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) of keys that share a part, among the keys that share as many
-    parts as any partner would (most share none, or a few through a passage)."""
+    parts, and then as many n-grams, as any partner would (most share none, or
+    those of a passage)."""
     spark = texts.sparkSession
-    counts = _deal_parts(texts, n, percent, False).groupBy("a").agg(F.sum("b").alias("shared"), F.max("c").alias("least"))
-    live = staged(counts.where("shared >= least").select("a"), "live")
-    bits = sketch.width_bits(live.count())
-    keep = spark.sparkContext.broadcast(sketch.merged(live, _hashes, bits, (1,))[0])
-    return _deal_parts(texts, n, percent, True, (keep, bits)).select("a", "b")
+    keep = None
+    for whole in (False, True):
+        counts = _deal_parts(texts, n, percent, False, keep, whole).groupBy("a").agg(F.sum("b").alias("shared"), F.max("c").alias("least"))
+        live = staged(counts.where("shared >= least").select("a"), "live")
+        bits = sketch.width_bits(live.count())
+        keep = (spark.sparkContext.broadcast(sketch.merged(live, _hashes, bits, (1,))[0]), bits)
+    return _deal_parts(texts, n, percent, True, keep).select("a", "b")
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90,
