@@ -44,7 +44,7 @@ from .hashing import LOWER, mix, prefix_sums, spans, word_spans
 #: Width of a size class, as a ratio.
 CLASS_RATIO = 1.5
 #: A block holds about so many sets, or so many times as many n-grams.
-BLOCK_ROWS, BLOCK_SHINGLES = 4096, 1000
+BLOCK_ROWS, BLOCK_SHINGLES = 4096, 400
 #: Members of a block's largest group that are compared with those of other blocks first.
 HUBS = 16
 #: Text bytes for each bucket of parts, and parts a task gathers before it passes them on.
@@ -151,14 +151,14 @@ def t_occurrence(sets: list[np.ndarray], percent: int, labels: np.ndarray | None
     asks = np.ones(len(sets), bool) if asking is None else asking[order]
     groups = Groups(labels)
     grams = np.concatenate([sets[i] for i in order])
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
     by = np.argsort(grams, kind="stable")
     grams, owner = grams[by], owner[by]
     heads = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
     width = np.diff(np.append(heads, len(grams)))
-    listed = np.empty(len(grams), np.int64)
-    listed[by] = np.repeat(np.arange(len(heads)), width)  # of each set's elements, the list
-    keys = np.repeat(np.arange(len(heads)), width) * len(sets) + owner  # all lists as one sorted run
+    listed = np.empty(len(grams), np.int32)
+    listed[by] = np.repeat(np.arange(len(heads), dtype=np.int32), width)  # of each set's elements, the list
+    keys = np.repeat(np.arange(len(heads)) * len(sets), width) + owner  # all lists as one sorted run
     first = np.concatenate([[0], np.cumsum(sizes)])
     for x in range(len(sets)):
         n = int(sizes[x])
@@ -199,7 +199,7 @@ def t_occurrence(sets: list[np.ndarray], percent: int, labels: np.ndarray | None
                 break
             some, got = cand[:64], seen[:64].copy()
             if len(long):  # binary probes of the long lists
-                want = (long[:, None] * len(sets) + some[None, :]).ravel()
+                want = (long[:, None].astype(np.int64) * len(sets) + some[None, :]).ravel()
                 place = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
                 got += (keys[place] == want).reshape(len(long), -1).sum(axis=0)
             linked = some[100 * got >= percent * (n + sizes[some] - got)]
