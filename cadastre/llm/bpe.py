@@ -215,7 +215,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
         return out
 
     added = "ids array<int>" + (", decoded binary" if decoded else "") + (", char_start array<int>, char_end array<int>" if spans else "")
-    return map_batches(df, (text_col,), keep, added, fn)
+    return map_batches(df, (text_col,), keep, added, fn, tokenizes=True)
 
 
 def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -90,7 +92,7 @@ def ddl(df: DataFrame, keep: tuple[str, ...], added: str) -> T.StructType:
 
 def map_batches(
     df: DataFrame, columns: tuple[str, ...], keep: tuple[str, ...], added: str,
-    fn: Callable[[pa.RecordBatch], dict[str, pa.Array]],
+    fn: Callable[[pa.RecordBatch], dict[str, pa.Array]], tokenizes: bool = False,
 ) -> DataFrame:
     """Add columns to each Arrow batch.  ``fn`` gets the batch of ``columns``
     (in order, renamed ``_0``, ``_1`` …) and returns the added arrays; ``keep``
@@ -119,6 +121,13 @@ def map_batches(
     return out.toDF(*[f.name for f in schema]) if keep else out
 
 
+def release() -> None:
+    """Free what tokenizing tasks keep in this worker; Spark uses workers again."""
+    if (bpe := sys.modules.get(f"{__package__}.bpe")) and bpe.coder.cache_info().currsize:
+        bpe.coder.cache_clear()
+        gc.collect()
+
+
 def texts_of(array: pa.Array) -> list[str]:
     """Python strings of a text column; null is empty."""
     return ["" if x is None else x for x in array.to_pylist()]

@@ -64,7 +64,7 @@ def pack(df: DataFrame, vocab_path: str, text_col: str = "text", keep: tuple[str
                 "_pieces": pa.ListArray.from_arrays(pa.array(at, pa.int32()), made)}
 
     kind = "start: bigint, length: bigint, crc: bigint" + (", ids: binary" if with_ids else "")
-    packed = map_batches(df, (text_col,), keep, f"doc_tokens bigint, _pieces array<struct<{kind}>>", fn)
+    packed = map_batches(df, (text_col,), keep, f"doc_tokens bigint, _pieces array<struct<{kind}>>", fn, tokenizes=True)
     p = F.col("_p")
     return packed.select(*[F.col(c) for c in keep], "doc_tokens", F.explode("_pieces").alias("_p")).select(
         *[F.col(c) for c in keep], p["start"].alias("start"), p["length"].alias("length"), p["crc"].alias("ids_crc32"),
