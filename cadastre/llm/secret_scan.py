@@ -1,11 +1,14 @@
 """Secret scan: fixed base patterns, and compression novelty on top.
 
-Novelty: a string in a sensitive context (shortly after a word such as
-``secret`` or ``private key``) is a candidate.  It is compressed with
-zstandard, primed with an identifier dictionary, once after its surrounding
-text and once as that text alone; the difference is what the string adds.  A
-string made of the identifiers around it, or of common ones, adds little; key
-material adds about its entropy and is reported.
+Novelty: a string in a sensitive context is a candidate: a run of 12 or more key
+characters that begins within ``around`` characters after a word such as
+``secret`` or ``private key``, over line ends, or anywhere in a PEM block of a
+private key; of a run that holds such a word, also the 12 or more characters after
+the last one.  A candidate is compressed with zstandard, primed with an identifier dictionary, once after
+its surrounding text and once as that text alone; the difference is what the
+string adds.  A string made of the identifiers around it, or of common ones, adds
+little; key material adds about its entropy and is reported.  So does a long
+ordinary word that is in neither: the added bytes alone decide.
 
 Defined cases: a null or empty text has no spans; spans are in code points, end
 exclusive; overlapping spans of different kinds all stay; rows are scanned one
@@ -32,14 +35,20 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _CONTEXT = re.compile(
-    r"(?:passw|passphrase|secret|token|credential|bearer|api[_ -]?key|private[_ -]?key|access[_ -]?key|signing[_ -]?key)"
-    r"[^\n]{0,24}?(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{12,})", re.ASCII | re.IGNORECASE)
+    r"passw|passphrase|secret|token|credential|bearer|api[_ -]?key|private[_ -]?key|access[_ -]?key|signing[_ -]?key", re.ASCII | re.IGNORECASE)
+_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY[A-Z ]{0,40}-----|(-----END)")
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}")
+_REST = re.compile(r"[A-Za-z0-9+/_=-]*")
+_ALNUM = re.compile(r"[A-Za-z0-9]*")
+#: Between a word and what follows it in its own run, as in ``private_key=...``.
+_JOINT = re.compile(r"(?:[+/_-]*=+|[+/_-]+)(?=[A-Za-z0-9+/])")
 _CONTEXT_WORDS = ("passw", "passphrase", "secret", "token", "credential", "bearer", "key")
-_MIXED = re.compile(r"[0-9]")
 
+#: Characters of a candidate, at least.
+LEAST = 12
 #: Bits that a reported string adds for each of its characters, at least.
 NOVEL_BITS = 3.6
-#: Characters of surrounding text on either side of a candidate.
+#: Characters of surrounding text on either side of a candidate, and from a context word to the last candidate.
 AROUND = 512
 
 
@@ -62,6 +71,40 @@ def added_bits(candidate: str, before: str, after: str, dictionary: bytes) -> fl
     return 8 * max(0, size(after + before + candidate) - size(after + before)) / max(1, len(candidate))
 
 
+def candidates(text: str, around: int) -> list[tuple[int, int]]:
+    """Start and end of each string in a sensitive context, sorted.  Every part of
+    the text is read a bounded number of times, however many words it has."""
+    words = [m.end() for m in _CONTEXT.finditer(text)]
+    tails: dict[int, int] = {}
+    same = end = 0
+    for e in words:
+        if e < same:  # the letters go on to the same joint as those of the word before
+            continue
+        same = _ALNUM.match(text, e).end()
+        if joint := _JOINT.match(text, same):
+            if joint.end() >= end:
+                end = _REST.match(text, joint.end()).end()
+            if end - joint.end() >= LEAST:
+                tails[end] = joint.end()
+    found = {(a, b) for b, a in tails.items()}
+    blocks, begun = [], None
+    for m in _PEM.finditer(text):
+        if not m[1]:
+            begun = m.end() if begun is None else begun
+        elif begun is not None:
+            blocks.append((begun, m.start()))
+            begun = None
+    at = 0
+    for lo, hi in sorted([(e, e + around) for e in words] + blocks):
+        lo = max(lo, at)
+        for m in _RUN.finditer(text, lo, hi + LEAST) if lo <= hi else ():
+            if lo <= m.start() <= hi:
+                lo = _REST.match(text, m.end()).end()
+                found.add((m.start(), lo))
+        at = max(lo, hi)
+    return sorted(found)
+
+
 def scan_text(text: str, dictionary: bytes, novel_bits: float = NOVEL_BITS, around: int = AROUND) -> list[tuple[int, int, int]]:
     """(start, kind, end) of each span, sorted."""
     spans: list[tuple[int, int, int]] = []
@@ -74,11 +117,9 @@ def scan_text(text: str, dictionary: bytes, novel_bits: float = NOVEL_BITS, arou
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text)]
     spans += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
-    if near:
-        for m in _CONTEXT.finditer(text):
-            a, b = m.span(1)
-            if _MIXED.search(m[1]) and added_bits(m[1], text[max(0, a - around) : a], text[b : b + around], dictionary) >= novel_bits:
-                spans.append((a, 3, b))
+    for a, b in candidates(text, around) if near else ():
+        if added_bits(text[a:b], text[max(0, a - around) : a], text[b : b + around], dictionary) >= novel_bits:
+            spans.append((a, 3, b))
     spans.sort()
     return spans
 
