@@ -6,7 +6,10 @@ characters that begins within ``around`` characters after a word such as
 private key; of a run that holds such a word, also the 12 or more characters after
 the last one.  A candidate is compressed with zstandard, primed with an identifier dictionary, once after
 its surrounding text and once as that text alone; the difference is what the
-string adds.  A string made of the identifiers around it, or of common ones, adds
+string adds.  Other occurrences of the candidate in a sensitive context are taken out of
+the surrounding text first, so a secret that is repeated does not vouch for itself;
+occurrences elsewhere are surrounding text.  Of a string found novel, every
+occurrence in the text is reported.  A string made of the identifiers around it, or of common ones, adds
 little; key material adds about its entropy and is reported.  So does a long
 ordinary word that is in neither: the added bytes alone decide.
 
@@ -17,6 +20,7 @@ by one, so repeated rows repeat.
 
 from __future__ import annotations
 
+import bisect
 import builtins
 import functools
 import keyword
@@ -71,9 +75,10 @@ def added_bits(candidate: str, before: str, after: str, dictionary: bytes) -> fl
     return 8 * max(0, size(after + before + candidate) - size(after + before)) / max(1, len(candidate))
 
 
-def candidates(text: str, around: int) -> list[tuple[int, int]]:
-    """Start and end of each string in a sensitive context, sorted.  Every part of
-    the text is read a bounded number of times, however many words it has."""
+def candidates(text: str, around: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Start and end of each string in a sensitive context, and of the stretches of
+    that context, both sorted.  Every part of the text is read a bounded number of
+    times, however many words it has."""
     words = [m.end() for m in _CONTEXT.finditer(text)]
     tails: dict[int, int] = {}
     same = end = 0
@@ -94,15 +99,48 @@ def candidates(text: str, around: int) -> list[tuple[int, int]]:
         elif begun is not None:
             blocks.append((begun, m.start()))
             begun = None
-    at = 0
+    at, stretches = 0, []
     for lo, hi in sorted([(e, e + around) for e in words] + blocks):
+        if stretches and lo <= stretches[-1][1]:
+            stretches[-1] = (stretches[-1][0], max(hi, stretches[-1][1]))
+        else:
+            stretches.append((lo, hi))
         lo = max(lo, at)
         for m in _RUN.finditer(text, lo, hi + LEAST) if lo <= hi else ():
             if lo <= m.start() <= hi:
                 lo = _REST.match(text, m.end()).end()
                 found.add((m.start(), lo))
         at = max(lo, hi)
-    return sorted(found)
+    return sorted(found), stretches
+
+
+def _without(text: str, lo: int, hi: int, string: str, heads: list[int], stretches: list[tuple[int, int]]) -> str:
+    """``text[lo:hi]`` without the occurrences of a string that begin in one of the stretches."""
+    out, size = [], len(string)
+    at = text.find(string, max(0, lo - size + 1), hi + size - 1)
+    while at >= 0:
+        i = bisect.bisect_right(heads, at) - 1
+        if i >= 0 and at <= stretches[i][1]:
+            out.append(text[lo : max(lo, at)])
+            lo = max(lo, at + size)
+            at = text.find(string, at + size, hi + size - 1)
+        else:
+            at = text.find(string, at + 1, hi + size - 1)
+    return "".join([*out, text[lo:hi]])
+
+
+def occurrences(text: str, strings: set[str]) -> list[tuple[int, int]]:
+    """Where the strings, each of ``LEAST`` characters or more, stand in the text's runs."""
+    sizes: dict[str, set[int]] = {}
+    for s in strings:
+        sizes.setdefault(s[:LEAST], set()).add(len(s))
+    found = []
+    for m in _RUN.finditer(text) if strings else ():
+        for i in range(m.start(), m.end() - LEAST + 1):
+            for n in sizes.get(text[i : i + LEAST], ()):
+                if i + n <= m.end() and text[i : i + n] in strings:
+                    found.append((i, i + n))
+    return found
 
 
 def scan_text(text: str, dictionary: bytes, novel_bits: float = NOVEL_BITS, around: int = AROUND) -> list[tuple[int, int, int]]:
@@ -117,9 +155,17 @@ def scan_text(text: str, dictionary: bytes, novel_bits: float = NOVEL_BITS, arou
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text)]
     spans += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
-    for a, b in candidates(text, around) if near else ():
-        if added_bits(text[a:b], text[max(0, a - around) : a], text[b : b + around], dictionary) >= novel_bits:
-            spans.append((a, 3, b))
+    if near:
+        strings, stretches = candidates(text, around)
+        heads, novel = [lo for lo, _ in stretches], set()
+        for a, b in strings:
+            own = text[a:b]
+            if own not in novel:
+                before = _without(text, max(0, a - around), a, own, heads, stretches)
+                after = _without(text, b, min(len(text), b + around), own, heads, stretches)
+                if added_bits(own, before, after, dictionary) >= novel_bits:
+                    novel.add(own)
+        spans += [(a, 3, b) for a, b in occurrences(text, novel)]
     spans.sort()
     return spans
 

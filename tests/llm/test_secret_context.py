@@ -53,7 +53,24 @@ def test_candidates():
     parts = ["token", "secret", " ", "\n", "abcdefghijkl", "x1", "-----BEGIN RSA PRIVATE KEY-----", "-----END", "_", "=", "é", KEY]
     for _ in range(5000):
         text, around = "".join(rng.choices(parts, k=rng.randint(0, 14))), rng.choice([0, 1, 5, 13, 40])
-        got, want = set(secret_scan.candidates(text, around)), _brute(text, around)
+        got, want = set(secret_scan.candidates(text, around)[0]), _brute(text, around)
         assert want <= got, text
         ends = [m.end() for m in secret_scan._CONTEXT.finditer(text)]
         assert all(any(e < a <= b for e in ends) for a, b in got - want), text
+
+
+def test_a_secret_that_stands_twice():
+    text = f"the private key {LETTERS} is used by the job. If the private key {LETTERS} is lost, ask."
+    assert _novel(text) == [LETTERS, LETTERS]
+    assert _novel(f"the private key {KEY} is used by the job, and {KEY} again. " * 3) == [KEY] * 6
+    assert _novel(f"a link to x/{KEY} " + "a b " * 300 + f"secret {KEY}").count(KEY) == 2
+
+
+def test_occurrences():
+    rng = random.Random(2)
+    strings = {"abababababab", "ababababababab", "=" * 13, "babababababab/"}
+    for _ in range(2000):
+        text = "".join(rng.choices(["ab", "ababab", "=====", " ", "/", "é"], k=rng.randint(0, 14)))
+        runs = [m.span() for m in secret_scan._RUN.finditer(text)]
+        want = {(i, i + len(s)) for s in strings for i in range(len(text)) if text.startswith(s, i) and any(a <= i and i + len(s) <= b for a, b in runs)}
+        assert sorted(secret_scan.occurrences(text, strings)) == sorted(want), text
