@@ -140,9 +140,11 @@ def proportions(got: np.ndarray, n: np.ndarray, log_p: np.ndarray) -> np.ndarray
 
 
 def predict(df: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text",
-            keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+            keep: tuple[str, ...] = ("doc_id",), has_letter: str | None = None) -> DataFrame:
     """``keep`` columns, ``lang_pred``, ``score`` (its proportion) and
-    ``languages``: array of (lang, share), largest share first."""
+    ``languages``: array of (lang, share), largest share first.  With
+    ``has_letter``, also a column of that name: whether the text has a letter,
+    whatever was learned."""
     langs, log_p = model
     shared = df.sparkSession.sparkContext.broadcast(log_p.astype(np.float32))
     kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
@@ -151,14 +153,18 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], text_col: str =
         column = batch.column(0)
         raw, rows = text_bytes(column)
         pred, score, sets = [UND] * len(column), [0.0] * len(column), [[] for _ in range(len(column))]
-        for lo, hi in slices(rows, 4 << 20) if langs else ():
+        lettered = np.zeros(len(column), bool)
+        for lo, hi in slices(rows, 4 << 20) if langs or has_letter else ():
             part, own = raw[rows[lo] : rows[hi]], rows[lo : hi + 1] - rows[lo]
-            got, n = grams(part, own)
-            short = [i for i in np.flatnonzero(n == 0) if any(c.isalpha() for c in column[lo + int(i)].as_py() or "")]
-            docs = np.flatnonzero(n)
             # a text whose only letter-like bytes belong to other characters has no letter
-            letters = np.add.reduceat(np.append(_ASCII[part], 0), own[:-1]) if len(part) else np.zeros(hi - lo)
-            docs = np.array([i for i in docs if letters[i] or any(c.isalpha() for c in column[lo + int(i)].as_py())], int)
+            letters = np.add.reduceat(np.append(_ASCII[part], 0), own[:-1])
+            lettered[lo:hi] = [size and (ascii_ or any(c.isalpha() for c in column[lo + i].as_py()))
+                               for i, (size, ascii_) in enumerate(zip(np.diff(own).tolist(), letters.tolist(), strict=True))]
+            if not langs:
+                continue
+            got, n = grams(part, own)
+            short = np.flatnonzero((n == 0) & lettered[lo:hi]).tolist()
+            docs = np.flatnonzero((n > 0) & lettered[lo:hi])
             if len(docs) < np.count_nonzero(n):
                 got = got[np.repeat(np.isin(np.arange(hi - lo), docs), n)]
             todo, count = [docs], [n[docs]]
@@ -175,9 +181,11 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], text_col: str =
                 top = np.argsort(-s, kind="stable")
                 pred[lo + i], score[lo + i] = langs[top[0]], float(min(1.0, s[top[0]]))
                 sets[lo + i] = [{"lang": langs[j], "share": float(s[j])} for j in top if s[j] > 0]
-        return {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(score, pa.float64()), "languages": pa.array(sets, kind)}
+        out = {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(score, pa.float64()), "languages": pa.array(sets, kind)}
+        return out | ({has_letter: pa.array(lettered)} if has_letter else {})
 
-    return map_batches(df, (text_col,), keep, "lang_pred string, score double, languages array<struct<lang: string, share: double>>", fn)
+    added = "lang_pred string, score double, languages array<struct<lang: string, share: double>>" + (f", {has_letter} boolean" if has_letter else "")
+    return map_batches(df, (text_col,), keep, added, fn)
 
 
 _ASCII = np.zeros(256, np.int64)

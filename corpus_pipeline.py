@@ -26,9 +26,10 @@ def _documents(df: DataFrame, text: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: a null text, or no letter in it."""
+    """Drops documents without a language: a null text, or no letter in it.  With no
+    language to learn from, the others stay."""
     model = langid.learn(docs.where(~langid.held_out()))
-    return langid.predict(docs, model, keep=COLUMNS).where(F.col("lang_pred") != langid.UND).select(*COLUMNS)
+    return langid.predict(docs, model, keep=COLUMNS, has_letter="has_letter").where("has_letter").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
