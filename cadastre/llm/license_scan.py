@@ -8,8 +8,10 @@ temperature of its probabilities and the probability below which a paragraph is
 unknown.  A family that is predicted is confirmed if one of its templates
 matches enough three-word runs of the paragraph, close together.
 
-A paragraph is a line; a long one is read in overlapping windows, so that a
-notice inside prose stands out.  Every paragraph of every text is classified.
+A paragraph is a block of lines that have words, so a line of comment marks alone
+ends it as a blank one does.  Each line of it is read in overlapping windows, so
+that a notice inside prose stands out, and so is the paragraph as a whole, so that
+a wrapped notice does.  Every paragraph of every text is classified.
 
 Defined cases: a null or empty text has no paragraphs; nothing is found in an
 empty corpus; ties go to the family first in order; rows repeat as they are.
@@ -17,6 +19,7 @@ empty corpus; ties go to the family first in order; rows repeat as they are.
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
 from dataclasses import dataclass
@@ -44,21 +47,30 @@ _WORDY = LOWER.copy()
 _WORDY[:128][[not chr(b).isalnum() and chr(b) != "\n" for b in range(128)]] = 32
 
 
-def windows(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes; first and last word, document, paragraph of each window, and
-    the byte where each word starts."""
+def _cut(head: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and end of each window of the stretches that begin at ``head``."""
+    size = np.diff(np.append(head, end))
+    n = np.maximum(1, -(-(size - WINDOW) // STRIDE) + 1)
+    inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    first = np.repeat(head, n) + inside * STRIDE
+    return first, np.minimum(first + WINDOW, np.repeat(head + size, n))
+
+
+def windows(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Word hashes; first and last word of each window, the bytes where each word
+    starts and ends, paragraph of each window; how many windows, the first ones,
+    are within a line (the others cross lines of their paragraph)."""
     text = _WORDY[raw]
     start, end, count = word_spans(text, rows)
     words = spans(prefix_sums(text, 0), start, end, 0)
     doc = np.repeat(np.arange(len(count)), count)
     line = np.cumsum(raw == 10)[start] if len(start) else np.empty(0, np.int64)
-    head = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])])) if len(start) else np.empty(0, np.int64)
-    size = np.diff(np.append(head, len(start)))
-    n = np.maximum(1, -(-(size - WINDOW) // STRIDE) + 1)
-    inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    first = np.repeat(head, n) + inside * STRIDE
-    last = np.minimum(first + WINDOW, np.repeat(head + size, n))
-    return words, first, last, np.stack([start, end], axis=1), np.repeat(np.arange(len(head)), n)
+    other = doc[1:] != doc[:-1]
+    begin = [np.flatnonzero(np.concatenate([[True], other | (np.diff(line) > gap)])) if len(start) else np.empty(0, np.int64) for gap in (0, 1)]
+    (first, last), (wide, far) = _cut(begin[0], len(start)), _cut(begin[1], len(start))
+    across = line[wide] != line[far - 1]
+    first, last, lines = np.append(first, wide[across]), np.append(last, far[across]), len(first)
+    return words, first, last, np.stack([start, end], axis=1), np.searchsorted(begin[1], first, "right") - 1, lines
 
 
 def buckets(words: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +108,7 @@ def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets, heads, and the text of each window."""
     data = [t.encode() for t in texts]
     rows = np.concatenate([[0], np.cumsum([len(d) for d in data])])
-    words, first, last, at, _ = windows(np.frombuffer(b"".join(data), np.uint8), rows)
+    words, first, last, at, _, _ = windows(np.frombuffer(b"".join(data), np.uint8), rows)
     flat, heads = buckets(words, first, last)
     return flat, heads, np.searchsorted(rows, at[first, 0], "right") - 1
 
@@ -211,7 +223,7 @@ def scan(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, .
         m = shared.value
         for lo, hi in slices(rows, 1 << 20):
             part, own = raw[rows[lo] : rows[hi]], rows[lo : hi + 1] - rows[lo]
-            words, first, last, at, paragraph = windows(part, own)
+            words, first, last, at, paragraph, lines = windows(part, own)
             if not len(first):
                 continue
             doc = np.searchsorted(own, at[first, 0], "right") - 1
@@ -220,7 +232,7 @@ def scan(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, .
             some = np.flatnonzero((p[np.arange(len(p)), best] >= m.threshold) & (p[np.arange(len(p)), best] > p[:, -1]))
             heads = np.unique(paragraph, return_index=True)[1]
             np.add.at(paragraphs, lo + doc[heads], 1)
-            seen = set()
+            seen, known = set(), {}
             for i in some.tolist():
                 a, b = int(at[first[i], 0]), int(at[last[i] - 1, 1])
                 family, d = m.families[best[i]], int(doc[i])
@@ -229,7 +241,16 @@ def scan(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, .
                     predicted[lo + d] += 1
                 share = overlap(part[a:b].tobytes().decode("utf-8", "replace"), family)
                 if share >= confirmed:
+                    # across lines, what a line of the window has shown already is no other notice
+                    heads_, ends = known.setdefault((d, family), ([], []))
+                    if i < lines:
+                        heads_.append(a)
+                        ends.append(b)
+                    elif (k := bisect.bisect_left(heads_, a)) < len(ends) and ends[k] <= b:
+                        continue
                     found[lo + d].append({"family": family, "probability": float(p[i, best[i]]), "overlap": share, "start": a - int(own[d]), "end": b - int(own[d])})
+        for f in found:
+            f.sort(key=lambda x: (x["start"], x["end"]))
         return {"n_paragraphs": pa.array(paragraphs, pa.int64()), "n_predicted": pa.array(predicted, pa.int64()), "licenses": pa.array(found, kind)}
 
     return map_batches(df, (text_col,), keep, "n_paragraphs bigint, n_predicted bigint, licenses array<struct<family: string, "
