@@ -122,7 +122,8 @@ def proportions(got: np.ndarray, n: np.ndarray, log_p: np.ndarray) -> np.ndarray
     order = np.argsort(-share, axis=1, kind="stable")
     best = np.zeros_like(share)
     best[np.arange(len(n)), order[:, 0]] = 1
-    mixed = np.flatnonzero(share[np.arange(len(n)), order[:, 0]] < 0.98) if share.shape[1] > 1 else []
+    # in a long text, runs of a hundredth outweigh the penalty: only a single run needs no choice
+    mixed = np.flatnonzero((blocks > 1) | (share[np.arange(len(n)), order[:, 0]] < 0.98)) if share.shape[1] > 1 else []
     if len(mixed):
         pick = np.isin(of, mixed)
         sub, count = runs[pick], blocks[mixed]
