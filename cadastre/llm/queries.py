@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, langid, license_scan, ngram_join, oracles, packing, secret_scan, substring_dedup, suffix_dedup, topk
+from . import alignment, bpe, embedding_dedup, langid, license_scan, ngram_join, oracles, packing, secret_scan, substring_dedup, suffix_dedup, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan(docs, license_scan.learn(docs))
     return found.select("doc_id", "n_paragraphs", "n_predicted",
                         F.array_join(F.array_sort(F.array_distinct("licenses.family")), ",").alias("families"), "licenses")
+
+
+@register("op12_cross_tokenizer")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
