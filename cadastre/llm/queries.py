@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, embedding_dedup, langid, license_scan, ngram_join, oracles, packing, secret_scan, substring_dedup, suffix_dedup, topk
+from . import alignment, bpe, embedding_dedup, hard_negatives, langid, license_scan, ngram_join, oracles, packing, secret_scan, substring_dedup, suffix_dedup, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(F.array_sort(F.array_distinct("licenses.family")), ",").alias("families"), "licenses")
 
 
+@register("op11_hard_negatives", oracles.OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
 @register("op12_cross_tokenizer")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
