@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, embedding_dedup, hard_negatives, langid, license_scan, ngram_join, oracles, packing, secret_scan, substring_dedup, suffix_dedup, topk
+from . import alignment, bpe, embedding_dedup, hard_negatives, langid, license_scan, ngram_join, oracles, packing, pii, secret_scan, substring_dedup, suffix_dedup, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,13 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op13_personal_data")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
+    of = lambda k: F.array_sort(F.filter(F.concat("spans", "hidden"), lambda s: s["kind"] == k))
+    both = F.concat(*map(of, pii.KINDS))
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(_span_list(F.col("spans")), 256).alias("base_sha256"),
+                        _span_list(both).alias("spans"), F.size("hidden").cast("bigint").alias("n_hidden"))
