@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 from ..fixtures import CURR_MONTH, Fixtures, duckdb_with
 from ..operators.reads import search_documents
 from ..oracle_sql import FX_COLUMNS, d_bulk
+from ..plans.colocated import colocated_profiles, colocated_view, write_colocated
+from ..plans.places import branches_in, search_place, write_places
 from ..plans.sinks import export_index, export_tsv, layout
 from ..plans.store import Store
 from ..schema import NUMERIC, TABLES, conform
 from ..session import scratch_path
 from ..sources.csv import to_registry_text
-from .base import register
-from .search import DOC_COLS, DOCS_SQL, REG
+from .base import ORACLES, register
+from .reads import REQUESTS_SQL
+from .search import CONTAINS_Q, CONTAINS_UF, DOC_COLS, DOCS_SQL, LIMIT, REG
 from .state import U6_SQL, _pair
 
 KEYS3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
@@ -71,6 +74,38 @@ def k2_layout(fx: Fixtures):
     return fx.spark.read.parquet(path)
 
 
+@register("k2_colocated_view", ORACLES["j1_registry_view"])
+def k2_colocated_view(fx: Fixtures):
+    """K2: J1 over bucketed tables of the company key, without an exchange of them."""
+    t = fx.registry()
+    return colocated_view(write_colocated(t, scratch_path(fx.spark, "k2-colocated")), t)
+
+
+@register("k2_colocated_profiles", ORACLES["j2_profiles"])
+def k2_colocated_profiles(fx: Fixtures):
+    """K2: J2 over bucketed tables; only the requests move."""
+    return colocated_profiles(write_colocated(fx.registry(), scratch_path(fx.spark, "k2-colocated")), fx.sql(REQUESTS_SQL))
+
+
+@register("k2_place_search", ORACLES["q7_search_contains"])
+def k2_place_search(fx: Fixtures):
+    """K2: Q7 in one uf over the copy by place, which reads that uf's folder only."""
+    return search_place(write_places(fx.registry(), scratch_path(fx.spark, "k2-places") + "/branches"), CONTAINS_Q, CONTAINS_UF, LIMIT)
+
+
+@register(
+    "k2_place_counts",
+    duckdb_with("fx_estabelecimento")
+    + """
+SELECT uf, municipio, CAST(count(*) AS BIGINT) AS branches, CAST(count(*) FILTER (WHERE situacao_cadastral = 2) AS BIGINT) AS active
+FROM fx_estabelecimento WHERE uf IN (SELECT substr(upper(r_name), 1, 2) FROM region WHERE r_name LIKE 'A%') GROUP BY uf, municipio""",
+)
+def k2_place_counts(fx: Fixtures):
+    """K2: branches by municipality of some regions' places; folders are pruned at run time."""
+    placed = write_places(fx.registry(), scratch_path(fx.spark, "k2-places") + "/branches")
+    return branches_in(placed, fx.sql("SELECT substr(upper(r_name), 1, 2) AS uf FROM {region} WHERE r_name LIKE 'A%'"))
+
+
 @register("k5_index_export", REG.rstrip() + DOCS_SQL + f"SELECT {DOC_COLS} FROM docs")
 def k5_index_export(fx: Fixtures):
     """K5: search documents exported as JSON lines, read back."""

@@ -56,37 +56,23 @@ def _code_table(df: DataFrame, alias: str, out: str) -> DataFrame:
     return df.select(F.col("codigo").alias(f"_{alias}_codigo"), F.col("descricao").alias(out))
 
 
-def registry_view(tables: dict[str, DataFrame], broadcast_codes: bool = True) -> DataFrame:
-    """One row per branch with company, tax opt-in and code descriptions."""
-    e = tables["estabelecimento"].select(
-        "cnpj_basico", "cnpj_ordem", "cnpj_dv", "nome_fantasia", "situacao_cadastral",
-        "motivo_situacao_cadastral", "uf", "municipio", "cnae_fiscal_principal",
-        "correio_eletronico", "telefone_1",
-    )
-    emp = tables["empresa"].select("cnpj_basico", "razao_social", F.col("natureza_juridica").alias("_nat"))
-    s = tables["simples"].select("cnpj_basico", "opcao_pelo_simples", "opcao_mei")
-    codes = {
+def code_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The four code tables of J1, each as a code and its description."""
+    return {
         "cnae": _code_table(tables["cnae"], "cnae", "cnae_fiscal_principal_descricao"),
         "mun": _code_table(tables["municipio"], "mun", "_mun_desc"),
         "mot": _code_table(tables["motivo_situacao_cadastral"], "mot", "_mot_desc"),
         "nat": _code_table(tables["natureza_juridica"], "nat", "_nat_desc"),
     }
-    if broadcast_codes:
-        codes = small_sides(codes)
-    cnae, mun, mot, nat = codes["cnae"], codes["mun"], codes["mot"], codes["nat"]
 
-    # empresa and simples are both unique per cnpj_basico, so one full outer
-    # join of the two (narrow rows) followed by a single estabelecimento ⟕ join
-    # is the same as two chained left joins — but leaves one sort-merge join
-    # whose children are plain shuffle stages, the shape AQE can split when one
-    # company owns a large share of the branches (chained joins are not split).
-    company = emp.join(s, "cnpj_basico", "full_outer")
+
+def registry_columns(branches: DataFrame, codes: dict[str, DataFrame]) -> DataFrame:
+    """The columns of J1 from branches beside their company and opt-in row."""
     j = (
-        e.join(company, "cnpj_basico", "left")
-        .join(cnae, F.col("cnae_fiscal_principal") == F.col("_cnae_codigo"), "left")
-        .join(mun, F.col("municipio") == F.col("_mun_codigo"), "left")
-        .join(mot, F.col("motivo_situacao_cadastral") == F.col("_mot_codigo"), "left")
-        .join(nat, F.col("_nat") == F.col("_nat_codigo"), "left")
+        branches.join(codes["cnae"], F.col("cnae_fiscal_principal") == F.col("_cnae_codigo"), "left")
+        .join(codes["mun"], F.col("municipio") == F.col("_mun_codigo"), "left")
+        .join(codes["mot"], F.col("motivo_situacao_cadastral") == F.col("_mot_codigo"), "left")
+        .join(codes["nat"], F.col("natureza_juridica") == F.col("_nat_codigo"), "left")
     )
     return j.select(
         cnpj_full().alias("cnpj"),
@@ -106,6 +92,28 @@ def registry_view(tables: dict[str, DataFrame], broadcast_codes: bool = True) ->
     )
 
 
+def registry_view(tables: dict[str, DataFrame], broadcast_codes: bool = True) -> DataFrame:
+    """One row per branch with company, tax opt-in and code descriptions."""
+    e = tables["estabelecimento"].select(
+        "cnpj_basico", "cnpj_ordem", "cnpj_dv", "nome_fantasia", "situacao_cadastral",
+        "motivo_situacao_cadastral", "uf", "municipio", "cnae_fiscal_principal",
+        "correio_eletronico", "telefone_1",
+    )
+    emp = tables["empresa"].select("cnpj_basico", "razao_social", "natureza_juridica")
+    s = tables["simples"].select("cnpj_basico", "opcao_pelo_simples", "opcao_mei")
+    codes = code_tables(tables)
+    if broadcast_codes:
+        codes = small_sides(codes)
+
+    # empresa and simples are both unique per cnpj_basico, so one full outer
+    # join of the two (narrow rows) followed by a single estabelecimento ⟕ join
+    # is the same as two chained left joins — but leaves one sort-merge join
+    # whose children are plain shuffle stages, the shape AQE can split when one
+    # company owns a large share of the branches (chained joins are not split).
+    company = emp.join(s, "cnpj_basico", "full_outer")
+    return registry_columns(e.join(company, "cnpj_basico", "left"), codes)
+
+
 def wanted_keys(requests: DataFrame, column: str = "requested") -> DataFrame:
     """F1/F2 over a frame of requested keys: cleaned key, validity and the three parts."""
     clean = cnpj_clean(column)
