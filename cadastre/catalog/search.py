@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..fixtures import CURR_MONTH, DETECTED_AT, Fixtures, duckdb_with
+from ..fixtures import BASE_TABLES, CURR_MONTH, DETECTED_AT, PREV_MONTH, Fixtures, duckdb_with
 from ..operators.ledger import latest_processed
-from ..operators.reads import change_history, page, search_documents, stats_exact, stats_final, stats_from_commits
+from ..operators.reads import (
+    SKETCH_ERROR,
+    change_history,
+    page,
+    rows_in_footers,
+    search_documents,
+    stats_exact,
+    stats_final,
+    stats_from_commits,
+    stats_from_sketches,
+)
 from ..operators.search import search, search_contains, search_fuzzy, search_prefix
 from ..operators.state import change_log
 from ..plans.indexes import build_index, indexed_contains, indexed_fuzzy, indexed_prefix
 from ..plans.store import Store
+from ..plans.upsert import read_sketches, upsert_tables
 from ..schema import TABLES, conform
 from ..session import scratch_path
 from .base import register
@@ -97,6 +108,39 @@ def q3_stats_final(fx: Fixtures):
     return stats_final(t)
 
 
+@register("q2_footer_estimate", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS tabela, CAST(count(*) AS BIGINT) AS rows FROM {t}" for t in BASE_TABLES) + "\nUNION ALL SELECT 'not there', CAST(0 AS BIGINT)")
+def q2_footer_estimate(fx: Fixtures):
+    """Q2: rows of every given table from the footers of its files; no column is read."""
+    files = {t: f"{fx.sf_dir}/{t}.parquet" for t in BASE_TABLES} | {"not there": f"{fx.sf_dir}/not_there.parquet"}
+    return rows_in_footers(fx.spark, files).select("tabela", "rows")
+
+
+@register(
+    "q3_stats_sketch",
+    duckdb_with("fx_empresa_prev", "fx_empresa_curr", "fx_estabelecimento_prev", "fx_estabelecimento_curr")
+    + """
+SELECT 'empresa' AS tabela, CAST(count(*) AS BIGINT) AS exact, true AS within_bound
+FROM (SELECT cnpj_basico FROM fx_empresa_prev UNION SELECT cnpj_basico FROM fx_empresa_curr)
+UNION ALL SELECT 'estabelecimento', CAST(count(*) AS BIGINT), true
+FROM (SELECT cnpj_basico, cnpj_ordem, cnpj_dv FROM fx_estabelecimento_prev UNION SELECT cnpj_basico, cnpj_ordem, cnpj_dv FROM fx_estabelecimento_curr)""",
+)
+def q3_stats_sketch(fx: Fixtures):
+    """Q3 (approximate): distinct keys of two loads from the sketches stored with each,
+    against the exact counts, and whether the error is within its bound."""
+    store = Store(fx.spark, scratch_path(fx.spark, "q3-sketches"))
+    for suffix, month in (("_prev", PREV_MONTH), ("_curr", CURR_MONTH)):
+        tx, t = store.begin(month), fx.registry(suffix)
+        upsert_tables(tx, {n: t[n] for n in ("empresa", "estabelecimento")}, month, DETECTED_AT, order=None)
+        tx.commit()
+    exact = None
+    for t in ("empresa", "estabelecimento"):
+        one = store.read(t, TABLES[t].struct).select(*TABLES[t].keys).distinct().agg(F.lit(t).alias("tabela"), F.count("*").alias("exact"))
+        exact = one if exact is None else exact.unionByName(one)
+    near = F.abs(F.col("estimate") - F.col("exact")) <= SKETCH_ERROR * F.col("exact")
+    return exact.join(stats_from_sketches(read_sketches(store)), "tabela").select("tabela", "exact", near.alias("within_bound"))
+
+
 # ---- Q4 --------------------------------------------------------------------------------------
 
 Q4_SQL = (

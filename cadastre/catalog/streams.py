@@ -10,7 +10,7 @@ from ..schema import TABLES
 from ..session import scratch_path
 from ..sources.csv import write_registry_csv
 from ..streaming.ingest import ingest_stream, run_available, stream_upsert
-from ..streaming.quota import quota, quota_stream
+from ..streaming.quota import quota, quota_decisions, quota_stream
 from .base import register
 from .state import U6_SQL
 
@@ -85,3 +85,12 @@ def t3_quota_stream(fx: Fixtures):
     over = quota_stream(events, "user_id", "ts", QUOTA_WINDOW, QUOTA_LIMIT, WATERMARK)
     run_available(over, f"{root}/sink", f"{root}/ckpt")
     return fx.spark.read.parquet(f"{root}/sink")
+
+
+@register("t3_quota_decisions", QUOTA_SQL)
+def t3_quota_decisions(fx: Fixtures):
+    """T3 (stream): every request of the event log allowed or denied as it comes, from keyed state."""
+    root = scratch_path(fx.spark, "t3-decisions")
+    events = fx.spark.readStream.schema(fx["events"].schema).option("pathGlobFilter", "events.parquet").parquet(fx.sf_dir)
+    run_available(quota_decisions(events, "user_id", "ts", "event_id", QUOTA_WINDOW, QUOTA_LIMIT, WATERMARK), f"{root}/sink", f"{root}/ckpt")
+    return fx.spark.read.parquet(f"{root}/sink")

@@ -10,6 +10,8 @@ from .search_terms import (
     prefix_terms_py,
     query_words,
     uf_condition,
+    without_accents,
+    without_accents_py,
 )
 from .values import (
     blank_to_null,

@@ -3,6 +3,9 @@ F10 prefix terms, and the name tokeniser shared by Q8/Q10/K4."""
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +29,11 @@ def clamp_limit(limit: int | None) -> int:
     return int(limit)
 
 
+def clamped_limit(c) -> Column:
+    """F7 over a column of limits."""
+    return F.when(_col(c).between(1, MAX_LIMIT), _col(c)).otherwise(F.lit(DEFAULT_LIMIT))
+
+
 def uf_condition(uf: str | None, column: str = "uf") -> Column | None:
     """F8: optional equality on the upper-cased argument (the column is not upper-cased)."""
     if not uf:
@@ -75,3 +83,29 @@ def prefix_terms_py(q: str) -> list[str] | None:
 def name_tokens(c) -> Column:
     """Lower-cased word tokens of a name column (empty tokens removed)."""
     return F.filter(F.split(F.lower(_col(c)), TOKEN_SPLIT), lambda t: t != "")
+
+
+@functools.cache
+def _accents() -> tuple[str, str]:
+    """Every letter that Unicode decomposes into a base letter and marks, and that base."""
+    accented, plain = [], []
+    for code in range(0x80, 0x10000):
+        c = chr(code)
+        parts = unicodedata.normalize("NFD", c)
+        if len(parts) > 1 and c == c.lower() and all(unicodedata.category(m).startswith("M") for m in parts[1:]):
+            accented.append(c)
+            plain.append(parts[0])
+    return "".join(accented), "".join(plain)
+
+
+def without_accents(c) -> Column:
+    """Lower case without accents, whether they are part of a letter or
+    marks of their own, as an accent-insensitive collation compares names."""
+    accented, plain = _accents()
+    return F.regexp_replace(F.translate(F.lower(_col(c)), accented, plain), r"\p{M}+", "")
+
+
+def without_accents_py(q: str) -> str:
+    """:func:`without_accents` of a driver-side query string."""
+    folded = q.lower().translate(str.maketrans(*_accents()))
+    return "".join(ch for ch in folded if not unicodedata.category(ch).startswith("M"))

@@ -3,7 +3,8 @@ documents and Q6 paging."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import cnpj_clean, cnpj_full, zero_int, zero_text
@@ -61,6 +62,50 @@ def stats_from_commits(commits: list[dict], items=("empresa", "estabelecimento",
     return out
 
 
+def rows_in_footers(spark: SparkSession, files: dict[str, str | list[str]]) -> DataFrame:
+    """Q2 of any Parquet files: ``tabela``, ``files`` and ``rows`` as the files'
+    footers tell them, one distributed read of footers in which no column is
+    read.  A table whose path is not there has 0 of both."""
+    out = None
+    for name, paths in files.items():
+        try:
+            found = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            found = spark.createDataFrame([], "x int").select(F.lit("").alias("_f"))
+        else:
+            found = found.select(F.col("_metadata.file_path").alias("_f"))
+        each = found.groupBy("_f").agg(F.count("*").alias("n"))  # combined on the map side: a row a file
+        one = each.agg(F.lit(name).alias("tabela"), F.count("*").alias("files"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+#: Q3's sketches: 2 to this power of registers, and the error that holds but for one case in several hundred (three deviations).
+SKETCH_BITS = 12
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def key_sketch(keys: list[str]) -> Column:
+    """A HyperLogLog sketch of the complete keys, as an aggregate."""
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+    return F.hll_sketch_agg(F.when(complete, F.xxhash64(*keys)), SKETCH_BITS)
+
+
+def stats_from_sketches(sketches: dict[str, DataFrame]) -> DataFrame:
+    """Q3, approximate: distinct keys of several loads from their stored sketches
+    (``sketch``), united; within :data:`SKETCH_ERROR`.  No data row is read."""
+    out = None
+    for name, df in sketches.items():
+        one = df.agg(F.hll_union_agg("sketch").alias("s")).select(
+            F.lit(name).alias("tabela"), F.coalesce(F.hll_sketch_estimate("s"), F.lit(0)).cast("bigint").alias("estimate"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def stats_final(tables: dict[str, DataFrame], keyed=(("empresa", ["cnpj_basico"]), ("estabelecimento", KEYS3))) -> DataFrame:
     """Q3: counts after replacing-merge de-duplication: distinct declared keys for
     keyed tables (two-phase distinct aggregation, no single-task collect); socios

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clamp_limit, cnpj_full, contains_pattern, name_tokens, prefix_terms_py, uf_condition
+from ..functions import clamp_limit, cnpj_full, contains_pattern, name_tokens, prefix_terms_py, uf_condition, without_accents, without_accents_py
 from ..functions import zero_int, zero_text
 
 KEYS3 = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
@@ -97,29 +97,16 @@ def two_branch_search(
     return _doc(_top(u, k))
 
 
-#: Letters with accents, and what an accent-insensitive collation compares them as.
-ACCENTED, PLAIN = "áàâãäåéèêëíìîïóòôõöúùûüçñý", "aaaaaaeeeeiiiiooooouuuucny"
-
-
 def search_contains(
     tables: dict[str, DataFrame], q: str, uf: str | None = None, limit: int = 20, fold_accents: bool = False
 ) -> DataFrame:
     """Q7: case-insensitive LIKE '%q%' on either name (wildcards kept), F8, F7;
-    with ``fold_accents`` accents make no difference either."""
-    pat = contains_pattern(q)
-    fold = (lambda c: F.translate(F.lower(F.col(c)), ACCENTED, PLAIN)) if fold_accents else (lambda c: F.lower(F.col(c)))
-    if fold_accents:
-        pat = pat.translate(str.maketrans(ACCENTED, PLAIN))
-    return two_branch_search(
-        tables,
-        fold("razao_social").like(pat),
-        fold("nome_fantasia").like(pat),
-        uf,
-        limit,
-    )
+    with ``fold_accents`` accents make no difference either (B10)."""
+    text, pattern = (without_accents, contains_pattern(without_accents_py(q))) if fold_accents else (F.lower, contains_pattern(q))
+    return two_branch_search(tables, text("razao_social").like(pattern), text("nome_fantasia").like(pattern), uf, limit)
 
 
-def tokens_match_prefixes(column: str, terms: list[str]) -> Column:
+def tokens_match_prefixes(column, terms: list[str]) -> Column:
     """Every term is a prefix of some token of ``column`` (tokens lower-cased)."""
     toks = name_tokens(column)
     cond = F.lit(True)
@@ -136,15 +123,16 @@ def _distance_to(w: str):
     return lambda x: word_distance(x, w)
 
 
-def search_prefix(tables: dict[str, DataFrame], q: str, uf: str | None = None, limit: int = 20) -> DataFrame | None:
+def search_prefix(tables: dict[str, DataFrame], q: str, uf: str | None = None, limit: int = 20, fold_accents: bool = False) -> DataFrame | None:
     """Q8: F10 terms, every term prefixes a token of the same column; branch A on
     nome_fantasia, branch B on razao_social; distinct union; None if F10 rejects."""
-    terms = prefix_terms_py(q)
+    terms = prefix_terms_py(without_accents_py(q) if fold_accents else q)
     if terms is None:
         return None
     terms = [t.lower() for t in terms]
+    text = without_accents if fold_accents else F.col
     return two_branch_search(
-        tables, tokens_match_prefixes("razao_social", terms), tokens_match_prefixes("nome_fantasia", terms), uf, limit
+        tables, tokens_match_prefixes(text("razao_social"), terms), tokens_match_prefixes(text("nome_fantasia"), terms), uf, limit
     )
 
 
@@ -171,7 +159,7 @@ def word_distance(token: Column, word: str) -> Column:
     return F.when(ok, d)
 
 
-def fuzzy_column_score(column: str, words: list[str]) -> Column:
+def fuzzy_column_score(column, words: list[str]) -> Column:
     """Score of one name column, NULL unless every word matches some token."""
     toks = name_tokens(column)
     return score_from_distances([F.array_min(F.transform(toks, _distance_to(w))) for w in words])
@@ -195,18 +183,19 @@ def fuzzy_words(q: str) -> list[str]:
     return [w.lower() for w in q.split() if w]
 
 
-def search_fuzzy(tables: dict[str, DataFrame], q: str, uf: str | None = None, limit: int = 20) -> DataFrame:
+def search_fuzzy(tables: dict[str, DataFrame], q: str, uf: str | None = None, limit: int = 20, fold_accents: bool = False) -> DataFrame:
     """Q10 (scan form): typo-tolerant name search ranked by score desc, cnpj."""
-    words = fuzzy_words(q)
+    words = fuzzy_words(without_accents_py(q) if fold_accents else q)
+    text = without_accents if fold_accents else F.col
     k = clamp_limit(limit)
     branches = _branches(tables, uf)
     companies = _companies(tables)
     order = [F.desc("score"), *[F.col(c) for c in KEYS3]]
-    b = branches.withColumn("score", fuzzy_column_score("nome_fantasia", words)).where(F.col("score").isNotNull())
+    b = branches.withColumn("score", fuzzy_column_score(text("nome_fantasia"), words)).where(F.col("score").isNotNull())
     b = _with_company_names(_top(b, k, order), companies, k)
-    c = companies.withColumn("_cscore", fuzzy_column_score("razao_social", words)).where(F.col("_cscore").isNotNull())
+    c = companies.withColumn("_cscore", fuzzy_column_score(text("razao_social"), words)).where(F.col("_cscore").isNotNull())
     c = branches.join(c, "cnpj_basico", "inner")
-    c = c.withColumn("score", F.greatest(F.col("_cscore"), F.coalesce(fuzzy_column_score("nome_fantasia", words), F.lit(0.0))))
+    c = c.withColumn("score", F.greatest(F.col("_cscore"), F.coalesce(fuzzy_column_score(text("nome_fantasia"), words), F.lit(0.0))))
     c = _top(c.drop("_cscore"), k, order)
     u = b.unionByName(c.select(*b.columns))
     best = u.groupBy(*KEYS3).agg(F.max_by(F.struct(*[x for x in u.columns if x not in KEYS3]), F.col("score")).alias("r"))
@@ -221,13 +210,14 @@ def search(
     limit: int = 20,
     ranked: bool = False,
     prefix_index: bool = True,
+    fold_accents: bool = False,
 ) -> DataFrame:
     """Q9 cascade: ranked engine if asked → prefix if F10 accepts (and an index
     exists) → contains.  ``source`` names the branch that answered."""
     if ranked:
-        return search_fuzzy(tables, q, uf, limit).drop("score").withColumn("source", F.lit("fuzzy"))
+        return search_fuzzy(tables, q, uf, limit, fold_accents).drop("score").withColumn("source", F.lit("fuzzy"))
     if prefix_index:
-        p = search_prefix(tables, q, uf, limit)
+        p = search_prefix(tables, q, uf, limit, fold_accents)
         if p is not None:
             return p.withColumn("source", F.lit("prefix"))
-    return search_contains(tables, q, uf, limit).withColumn("source", F.lit("contains"))
+    return search_contains(tables, q, uf, limit, fold_accents).withColumn("source", F.lit("contains"))

@@ -1,19 +1,26 @@
 """Search access paths: K3 trigram postings and K4 token postings, and the
 indexed forms of Q7 (contains), Q8 (prefix) and Q10 (typo-tolerant).
 
-A posting is one row per (term, branch): the branch's key and what a search
-needs to decide about it — its uf and both names in lower case.  Files are
-range-partitioned and sorted by (term, key), so a very common term is spread
-over several, and a vocabulary holds the number of documents of each term.  A
-search takes its rarest term, reads only that term's postings (a filter that
-reaches the scan), applies the exact predicate there, and takes the first
-k keys; the k documents are then fetched by literal key.  No name column is
-scanned and no postings are intersected.
-
-Postings are added for the new and changed documents of each run, under the
-run's commit; old ones stay.  What a search returns is checked against the
-documents as they are now, so an outdated posting only costs its check: a
-search reads on until k documents hold or the term's postings end.
+A posting is one row per (term, branch) with all that a search answers: the
+branch's key, its uf, activity and both names.  Files are range-partitioned and
+sorted by (term, key), so a very common term is spread over several, and a
+vocabulary holds the postings of each term.  A search takes its rarest term,
+reads only that term's postings (a filter that reaches the scan), applies the
+exact predicate there and takes the first k keys: one plan with one ordered
+limit.  The tables themselves are not read, and nothing comes to the driver but
+the sizes of the query's terms.
+
+Terms are those of the names as they are and without accents (B10), so that one
+index answers both kinds of search.
+
+Postings follow the data: every run, batch or stream, that makes or changes
+documents adds, in its own commit, the postings of those documents as they are
+now and a *dead* posting for each term that a document lost.  A posting holds
+unless a later run wrote one of the same term and document; an anti-join of the
+term's own postings takes the others out, so no more than the term's range is
+read however many postings are outdated.  If a run changed documents without
+postings, the index is behind the data: searches scan, and the next run that
+indexes writes all postings anew.
 """
 
 from __future__ import annotations
@@ -24,22 +31,29 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import clamp_limit, contains_pattern, name_tokens, prefix_terms_py, uf_condition
+from ..functions import clamp_limit, contains_pattern, name_tokens, prefix_terms_py, uf_condition, without_accents, without_accents_py
 from ..operators.search import (
     DOC_COLUMNS,
     KEYS3,
     _doc,
+    _top,
     fuzzy_column_score,
     fuzzy_words,
     max_distance,
     search_contains,
+    search_fuzzy,
     tokens_match_prefixes,
     word_distance,
 )
 from ..schema import TABLES
+from .store import SNAPSHOT, Store, Transaction
 
 GRAM = 3
 KINDS = ("gram", "token")
+SHOWN = ["uf", "razao_social", "nome_fantasia", "cnae_fiscal_principal"]
+INDEXED = ("empresa", "estabelecimento")
+#: Words near a misspelt one that a search names as literals; more are joined.
+NEAR_WORDS = 500
 
 
 def trigrams(c) -> Column:
@@ -56,9 +70,9 @@ def trigrams_py(q: str) -> list[str]:
 
 
 def documents(tables: dict[str, DataFrame], delta: dict[str, DataFrame | None] | None = None) -> DataFrame:
-    """Key, uf and both names of every branch; with ``delta``, of the branches
+    """Key and shown columns of every branch; with ``delta``, of the branches
     that are new or changed themselves or through their company."""
-    e = tables["estabelecimento"].select(*KEYS3, "uf", "nome_fantasia")
+    e = tables["estabelecimento"].select(*KEYS3, "uf", "nome_fantasia", "cnae_fiscal_principal")
     emp = tables["empresa"].select("cnpj_basico", "razao_social")
     if delta is not None and None not in (delta.get("estabelecimento", 0), delta.get("empresa", 0)):
         own, of = delta.get("estabelecimento"), delta.get("empresa")
@@ -68,17 +82,32 @@ def documents(tables: dict[str, DataFrame], delta: dict[str, DataFrame | None] |
         if of is not None:
             parts.append(e.join(of.select("cnpj_basico"), "cnpj_basico", "left_semi"))
         e = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]).dropDuplicates(KEYS3)
-    return e.join(emp, "cnpj_basico", "left")
-
-
-def postings(docs: DataFrame, kind: str) -> DataFrame:
-    """One row per (term, branch) of both names; a name's terms are distinct, so
-    rows need no further de-duplication."""
-    terms = (lambda c: trigrams(c)) if kind == "gram" else (lambda c: name_tokens(c))
-    both = F.array_union(F.coalesce(terms("razao_social"), F.array().cast("array<string>")), F.coalesce(terms("nome_fantasia"), F.array().cast("array<string>")))
-    return docs.select(
-        F.explode(F.array_distinct(both)).alias("term"), *KEYS3, "uf",
-        F.lower("razao_social").alias("razao_social"), F.lower("nome_fantasia").alias("nome_fantasia")).where(F.col("term") != "")
+    return e.join(emp, "cnpj_basico", "left").select(*KEYS3, *SHOWN)
+
+
+def terms_of(kind: str) -> Column:
+    """The distinct terms of both names, as they are and without accents."""
+    split = trigrams if kind == "gram" else name_tokens
+    none = F.array().cast("array<string>")
+    parts = [F.coalesce(split(text(c)), none) for c in ("razao_social", "nome_fantasia") for text in (F.col, without_accents)]
+    both = F.array_union(F.array_union(parts[0], parts[1]), F.array_union(parts[2], parts[3]))
+    return F.filter(F.array_distinct(both), lambda t: t != "")
+
+
+def postings(docs: DataFrame, kind: str, run: int = 0, before: DataFrame | None = None) -> DataFrame:
+    """One row per (term, branch).  ``before`` holds the same branches as they
+    were: a term that one of them lost gets a dead posting."""
+    now = docs.withColumn("_terms", terms_of(kind))
+    if before is None:
+        each = now.withColumn("_t", F.explode(F.transform("_terms", lambda t: F.struct(t.alias("term"), F.lit(True).alias("alive")))))
+    else:
+        was = before.select(*KEYS3, terms_of(kind).alias("_was"))
+        none = F.array().cast("array<string>")
+        both = now.join(was, KEYS3, "full_outer").withColumns({"_terms": F.coalesce("_terms", none), "_was": F.coalesce("_was", none)})
+        alive = F.transform("_terms", lambda t: F.struct(t.alias("term"), F.lit(True).alias("alive")))
+        dead = F.transform(F.array_except("_was", "_terms"), lambda t: F.struct(t.alias("term"), F.lit(False).alias("alive")))
+        each = both.withColumn("_t", F.explode(F.concat(alive, dead)))
+    return each.select("_t.term", *KEYS3, F.lit(run).cast("bigint").alias("run"), "_t.alive", *SHOWN)
 
 
 def _laid_out(df: DataFrame) -> DataFrame:
@@ -86,7 +115,7 @@ def _laid_out(df: DataFrame) -> DataFrame:
 
 
 def _vocabulary(df: DataFrame) -> DataFrame:
-    """Documents of each term, sorted by (length, term) so a length window skips row groups."""
+    """Postings of each term, sorted by (length, term) so a length window skips row groups."""
     vocab = df.groupBy("term").agg(F.count("*").alias("docs")).withColumn("len", F.char_length("term"))
     return vocab.repartitionByRange("len", "term").sortWithinPartitions("len", "term")
 
@@ -97,10 +126,22 @@ class SearchIndex:
 
     spark: SparkSession
     paths: dict[str, list[str]]
+    first: int = 0  # the run of the oldest postings
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(*self.paths[name])
 
+    def current(self, kind: str, terms: Column, holds: Column) -> DataFrame:
+        """The postings of some terms that hold: alive, and not followed by a
+        later run's of the same term and document."""
+        rows = self.read(kind).where(terms)
+        found = rows.where("alive").where(holds)
+        if len(self.paths[kind]) == 1:
+            return found
+        on = ["term", *KEYS3]
+        later = self.read(kind).where(terms).where(F.col("run") > self.first).select(*[F.col(c).alias(f"_{c}") for c in (*on, "run")])
+        return found.join(later, [*[F.col(c) == F.col(f"_{c}") for c in on], F.col("_run") > F.col("run")], "left_anti")
+
 
 def build_index(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> SearchIndex:
     """K3 + K4 of all documents, outside any store."""
@@ -115,27 +156,41 @@ def build_index(spark: SparkSession, tables: dict[str, DataFrame], base: str) ->
     return idx
 
 
-def index_changes(tx) -> int:
+def index_changes(tx: Transaction) -> int:
     """Postings of the documents that this run made or changed, published with
-    its commit; nothing is written if there are none.  Returns the postings."""
-    if not tx.delta.keys() & {"empresa", "estabelecimento"}:
+    its commit; of all documents, if the index is behind the data.  Nothing is
+    written if there are none.  Returns the postings."""
+    if not tx.delta.keys() & set(INDEXED):
         return 0
-    commits = [c for c in tx.store.commits() if c["item"] not in {i["item"] for i in tx.items if i["kind"] == "snapshot"}]
+    store, base = tx.store, tx.store.commits()
+    kept_up = committed_index(store, base) is not None
+    commits = [c for c in base if c["item"] not in {i["item"] for i in tx.items if i["kind"] == SNAPSHOT}]
     commits += [{"version": tx.version, "competencia": tx.competencia, **i} for i in tx.items]
-    tables = {t: tx.store.read(t, TABLES[t].struct, commits) for t in ("empresa", "estabelecimento")}
-    docs = documents(tables, tx.delta)
+    now = {t: store.read(t, TABLES[t].struct, commits) for t in INDEXED}
+    was = {t: store.read(t, TABLES[t].struct, base) for t in INDEXED}
     n = 0
     for kind in KINDS:
-        n += tx.append(f"index/{kind}", _laid_out(postings(docs, kind)))
-        written = tx.store.spark.read.parquet(tx.path(f"index/{kind}"))
-        tx.append(f"index/{kind}_vocabulary", _vocabulary(written))
+        if kept_up:
+            rows = postings(documents(now, tx.delta), kind, tx.version, documents(was, tx.delta))
+        else:
+            rows = postings(documents(now), kind, tx.version)
+        add = tx.append if kept_up else tx.write_table
+        n += add(f"index/{kind}", _laid_out(rows))
+        add(f"index/{kind}_vocabulary", _vocabulary(store.spark.read.parquet(tx.path(f"index/{kind}"))))
     return n
 
 
-def committed_index(store, commits: list[dict]) -> SearchIndex | None:
-    """The index at one version of the store; None if a part was never published."""
-    paths = {n: [p for c in store.parts(f"index/{n}", commits) for p in c["paths"]] for k in KINDS for n in (k, f"{k}_vocabulary")}
-    return SearchIndex(store.spark, paths) if all(paths.values()) else None
+def committed_index(store: Store, commits: list[dict]) -> SearchIndex | None:
+    """The index at one version of the store; None if there is none, or if it is
+    behind the data."""
+    parts = {n: store.parts(f"index/{n}", commits) for k in KINDS for n in (k, f"{k}_vocabulary")}
+    if not all(parts.values()):
+        return None
+    data = max((c["version"] for t in INDEXED for c in store.parts(t, commits)), default=0)
+    if max(c["version"] for c in parts[KINDS[0]]) < data:
+        return None
+    return SearchIndex(store.spark, {n: [p for c in cs for p in c["paths"]] for n, cs in parts.items()},
+                       min(c["version"] for c in parts[KINDS[0]]))
 
 
 # ---- searches ------------------------------------------------------------------------
@@ -153,76 +208,75 @@ def fetch(tables: dict[str, DataFrame], keys: list[tuple]) -> DataFrame:
 
 
 def _rarest(idx: SearchIndex, kind: str, conditions: list[Column]) -> int | None:
-    """Which condition has the fewest documents; None if one has none."""
-    vocab = idx.read(f"{kind}_vocabulary")
-    row = vocab.agg(*[F.sum(F.when(c, F.col("docs"))).alias(f"n{i}") for i, c in enumerate(conditions)]).first()
+    """Which condition has the fewest postings; None if one has none."""
+    if len(conditions) == 1:
+        return 0
+    any_of = conditions[0]
+    for c in conditions[1:]:
+        any_of = any_of | c
+    row = idx.read(f"{kind}_vocabulary").where(any_of).agg(
+        *[F.sum(F.when(c, F.col("docs"))).alias(f"n{i}") for i, c in enumerate(conditions)]).first()
     counts = [row[f"n{i}"] for i in range(len(conditions))]
     return None if None in counts else min(range(len(counts)), key=counts.__getitem__)
 
 
-def _answer(tables: dict[str, DataFrame], hits: DataFrame, holds: Column, k: int, score: Column | None = None) -> DataFrame:
-    """The first k documents of ``hits`` that still hold, read on in steps while
-    outdated postings take places.  With ``score``, best first; a posting's score
-    never is below what it was when it was written, so order is checked again."""
-    spark = tables["empresa"].sparkSession
-    order = ([F.desc("score")] if score is not None else []) + [F.col(c) for c in KEYS3]
-    keys = hits.groupBy(*KEYS3).agg(F.max("score").alias("score")) if score is not None else hits.select(*KEYS3).distinct()
-    take = k
-    while True:
-        rows = keys.orderBy(*order).limit(take).collect()
-        found = fetch(tables, [tuple(r[c] for c in KEYS3) for r in rows]) if rows else fetch(tables, [("", "", "")])
-        found = found.withColumn("score", score if score is not None else F.lit(0.0)).where(holds)
-        if score is not None:
-            found = found.where(F.col("score").isNotNull())
-        best = found.orderBy(*order).limit(k).collect()
-        # certain: no more postings, or the k-th document stands before every posting not read yet
-        key = lambda r: (-(r["score"]) if score is not None else 0, *[r[c] for c in KEYS3])
-        if len(rows) < take or len(best) == k and key(best[-1]) <= key(rows[-1] if score is not None else {**rows[-1].asDict(), "score": 0.0}):
-            return spark.createDataFrame(best, found.schema)
-        take *= 4
-
-
-def indexed_contains(tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20) -> DataFrame:
-    """K3: Q7 answered through trigram postings (queries under 3 characters or
-    holding wildcards fall back to the scan form)."""
-    if len(q) < GRAM or "%" in q or "_" in q:
-        return search_contains(tables, q, uf, limit)
-    pattern, grams = contains_pattern(q), trigrams_py(q)
-    match = F.lower("razao_social").like(pattern) | F.lower("nome_fantasia").like(pattern)
-    return _search(tables, idx, "gram", [F.col("term") == g for g in grams], match, uf, limit)
+def _located(uf: str | None, match: Column) -> Column:
+    place = uf_condition(uf)
+    return F.coalesce(match if place is None else match & place, F.lit(False))
 
 
-def indexed_prefix(tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20) -> DataFrame | None:
+def indexed_contains(
+    tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20, fold_accents: bool = False
+) -> DataFrame:
+    """K3: Q7 answered through trigram postings (queries under 3 characters or
+    holding wildcards fall back to the scan form)."""
+    own, text = (without_accents_py(q), without_accents) if fold_accents else (q, F.lower)
+    if len(own) < GRAM or "%" in q or "_" in q:
+        return search_contains(tables, q, uf, limit, fold_accents)
+    pattern, terms = contains_pattern(own), [F.col("term") == g for g in trigrams_py(own)]
+    match = text("razao_social").like(pattern) | text("nome_fantasia").like(pattern)
+    rarest = _rarest(idx, "gram", terms)
+    hits = idx.current("gram", F.lit(False) if rarest is None else terms[rarest], _located(uf, match))
+    return _doc(_top(hits, clamp_limit(limit))).select(*DOC_COLUMNS)
+
+
+def indexed_prefix(
+    tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20, fold_accents: bool = False
+) -> DataFrame | None:
     """K4: Q8 answered through token postings (a prefix is a pushed-down
     ``startswith`` range on the sorted term)."""
-    terms = prefix_terms_py(q)
-    if terms is None:
+    words = prefix_terms_py(without_accents_py(q) if fold_accents else q)
+    if words is None:
         return None
-    terms = [t.lower() for t in terms]
-    match = tokens_match_prefixes("razao_social", terms) | tokens_match_prefixes("nome_fantasia", terms)
-    return _search(tables, idx, "token", [F.col("term").startswith(t) for t in terms], match, uf, limit)
-
-
-def _search(tables: dict[str, DataFrame], idx: SearchIndex, kind: str, terms: list[Column], match: Column, uf: str | None, limit: int) -> DataFrame:
-    place = uf_condition(uf)
-    holds = F.coalesce(match if place is None else match & place, F.lit(False))
-    rarest = _rarest(idx, kind, terms)
-    hits = idx.read(kind).where(F.lit(False) if rarest is None else terms[rarest]).where(holds)
-    return _doc(_answer(tables, hits, holds, clamp_limit(limit))).select(*DOC_COLUMNS)
-
-
-def indexed_fuzzy(tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20) -> DataFrame:
+    words, text = [t.lower() for t in words], without_accents if fold_accents else F.col
+    match = tokens_match_prefixes(text("razao_social"), words) | tokens_match_prefixes(text("nome_fantasia"), words)
+    terms = [F.col("term").startswith(t) for t in words]
+    rarest = _rarest(idx, "token", terms)
+    hits = idx.current("token", F.lit(False) if rarest is None else terms[rarest], _located(uf, match))
+    # a document may have several words of one prefix
+    return _doc(_top(hits.dropDuplicates(KEYS3), clamp_limit(limit))).select(*DOC_COLUMNS)
+
+
+def indexed_fuzzy(
+    tables: dict[str, DataFrame], idx: SearchIndex, q: str, uf: str | None = None, limit: int = 20, fold_accents: bool = False
+) -> DataFrame:
     """Q10 through the token postings: same rule and ranking as the scan form.
     Distances are measured over the vocabulary, in a window of lengths; the word
-    that matches the fewest documents names the postings that are scored."""
-    words, k = fuzzy_words(q), clamp_limit(limit)
+    that matches the fewest postings names those that are scored."""
+    words, k = fuzzy_words(without_accents_py(q) if fold_accents else q), clamp_limit(limit)
+    if not words:
+        return search_fuzzy(tables, q, uf, limit, fold_accents)
     near: Callable[[str], Column] = lambda w: F.col("len").between(len(w) - max_distance(len(w)), len(w) + max_distance(len(w))) & (
         word_distance(F.col("term"), w).isNotNull())
-    score = F.greatest(fuzzy_column_score("razao_social", words), fuzzy_column_score("nome_fantasia", words))
-    place = uf_condition(uf)
-    holds = F.lit(True) if place is None else F.coalesce(place, F.lit(False))
-    rarest = _rarest(idx, "token", [near(w) for w in words]) if words else None
+    text = without_accents if fold_accents else F.col
+    score = F.greatest(fuzzy_column_score(text("razao_social"), words), fuzzy_column_score(text("nome_fantasia"), words))
+    rarest = _rarest(idx, "token", [near(w) for w in words])
     vocab = idx.read("token_vocabulary").where(F.lit(False) if rarest is None else near(words[rarest])).select("term").distinct()
-    hits = idx.read("token").join(vocab, "term", "left_semi").where(holds)
-    hits = hits.withColumn("score", score).where(F.col("score").isNotNull())
-    return _doc(_answer(tables, hits, holds, k, score), "score")
+    some = [r["term"] for r in vocab.limit(NEAR_WORDS + 1).collect()]  # words of the vocabulary, not documents
+    if len(some) <= NEAR_WORDS:
+        hits = idx.current("token", F.col("term").isin(some), _located(uf, F.lit(True)))
+    else:
+        hits = idx.current("token", F.lit(True), _located(uf, F.lit(True))).join(vocab, "term", "left_semi")
+    # a document may have several near words, with the same score each
+    scored = hits.withColumn("score", score).where(F.col("score").isNotNull()).dropDuplicates(KEYS3)
+    return _doc(_top(scored, k, [F.desc("score"), *[F.col(c) for c in KEYS3]]), "score")

@@ -22,8 +22,10 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.joins import BROADCAST_MAX_ROWS
+from ..operators.reads import key_sketch
 from ..operators.state import (
     CHANGED,
     NEW,
@@ -40,6 +42,7 @@ from ..schema import CHANGE_LOG, SPARK_TYPES, TableSpec, conform
 from .store import BUCKET, Store, Transaction, bucket_column, bucket_of, buckets_in
 
 ORDER_COLUMNS = ["_file", "_ord"]
+SKETCHES = T.StructType([T.StructField("competencia", T.StringType()), T.StructField("sketch", T.BinaryType())])
 
 
 def _incomplete_key(spec: TableSpec):
@@ -111,7 +114,8 @@ def tracked_upsert(
     store: Store = tx.store
     order = order if order and all(c in incoming.columns for c in order) else None
     raw = Observation(f"raw-{spec.name}-{uuid.uuid4().hex[:8]}")
-    incoming = incoming.observe(raw, F.count(F.lit(1)).alias("rows"))
+    seen = [F.count(F.lit(1)).alias("rows"), *([key_sketch(list(spec.keys)).alias("sketch")] if spec.keys else [])]
+    incoming = incoming.observe(raw, *seen)  # counted and sketched (Q3) on the scan that loads
     if not spec.tracked:
         if not spec.keys:  # U3: the new rows only; readers unite the versions
             n = tx.append(spec.name, conform(incoming, spec))
@@ -127,6 +131,7 @@ def tracked_upsert(
         else:
             new_state = insert_ignore(prev, inc, list(spec.keys), order).select(*spec.column_names)
         n = tx.write_table(spec.name, new_state, sort_by=list(spec.keys[:1]) or None)
+        write_sketch(tx, spec, competencia, raw)
         return {"tabela": spec.name, "rows": n, "rejected": rejected}
 
     commits = store.commits()
@@ -137,7 +142,9 @@ def tracked_upsert(
 
     obs = Observation(f"upsert-{spec.name}-{uuid.uuid4().hex[:8]}")
     if not folders:
-        return first_load(tx, spec, snap, raw, obs, buckets)
+        counts = first_load(tx, spec, snap, raw, obs, buckets)
+        write_sketch(tx, spec, competencia, raw)
+        return counts
     # One pass over both inputs: the delta is written, the counts are observed.
     delta = compare_incoming(prev, snap, spec).observe(obs, *class_count_exprs()).where(F.col("_class").isin(NEW, CHANGED, REJECTED))
     staged = f"{tx.path('delta/' + spec.name)}"
@@ -147,6 +154,7 @@ def tracked_upsert(
     counts["kept_absent"] = store.rows(spec.name, commits) - counts["changed"] - counts["unchanged"]
     counts["duplicates"] = raw.get["rows"] - counts["incoming"]
     counts["rows"] = counts["incoming"] - counts["rejected"] + counts["kept_absent"]
+    write_sketch(tx, spec, competencia, raw)
     if counts["rejected"]:
         _write_rejects(tx, spec, rejected_rows(delta, spec), rows=counts["rejected"])
     # Sorted by company inside each file (no extra exchange): a one-company
@@ -160,6 +168,18 @@ def tracked_upsert(
     return counts
 
 
+def write_sketch(tx: Transaction, spec: TableSpec, competencia: str, raw: Observation) -> None:
+    """Q3: the sketch of the load's keys, a few KB, beside the load."""
+    row = [(competencia, bytes(raw.get["sketch"]))]
+    tx.append(f"sketch/{spec.name}", tx.store.spark.createDataFrame(row, SKETCHES).coalesce(1), rows=1)
+
+
+def read_sketches(store: Store, tables: tuple[str, ...] = ("empresa", "estabelecimento")) -> dict[str, DataFrame]:
+    """The stored sketches of every load, by table."""
+    commits = store.commits()
+    return {t: store.read(f"sketch/{t}", SKETCHES, commits) for t in tables}
+
+
 def first_load(tx: Transaction, spec: TableSpec, snap: DataFrame, raw: Observation, obs: Observation, buckets: int) -> dict:
     """The first state of a table: every complete row is new, nothing is compared."""
     keys = list(spec.keys)

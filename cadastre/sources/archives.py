@@ -9,6 +9,11 @@ its own attempt and then renamed, so a retried or speculative task never
 touches what another attempt writes, and a half-written file is never seen.
 Directories and names that clean to a leading ``..`` are skipped.  Output:
 (archive, member, path, bytes).
+
+An archive is one unit.  With ``errors`` one that cannot be expanded whole (no zip
+file, a cut or damaged member, a wrong checksum, not there) gives a single row
+without a member that says why, and the others' rows stand; without, it fails
+the job.  Faults of the storage itself fail the task, which Spark retries.
 """
 
 from __future__ import annotations
@@ -54,38 +59,55 @@ def safe_member(name: str) -> str | None:
     return clean
 
 
-def _expand(target: str, column: str):
+def _expand(target: str, column: str, errors: bool):
+    def members(archive: str, out_fs, out_root: str):
+        import zipfile
+
+        in_fs, in_path = _fs(archive)
+        stem = posixpath.basename(in_path)
+        stem = stem[:-4] if stem.lower().endswith(".zip") else stem
+        with in_fs.open_input_file(in_path) as fh, zipfile.ZipFile(fh) as zf:
+            for info in zf.infolist():
+                rel = safe_member(info.filename)
+                if rel is None or info.is_dir():
+                    continue
+                dest = f"{out_root.rstrip('/')}/{stem}/{rel}"
+                out_fs.create_dir(posixpath.dirname(dest), recursive=True)
+                n = 0
+                attempt = f"{posixpath.dirname(dest)}/_{uuid.uuid4().hex}"
+                try:
+                    with zf.open(info) as src, out_fs.open_output_stream(attempt) as dst:
+                        while True:
+                            buf = src.read(CHUNK)
+                            if not buf:
+                                break
+                            dst.write(buf)
+                            n += len(buf)
+                except Exception:
+                    out_fs.delete_file(attempt)
+                    raise
+                out_fs.move(attempt, dest)
+                yield archive, rel, f"{target.rstrip('/')}/{stem}/{rel}", n, None
+
     def run(batches):
         import zipfile
+        import zlib
 
         import pandas as pd
 
+        damaged = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, FileNotFoundError)
         out_fs, out_root = _fs(target)
         for pdf in batches:
             rows = []
             for archive in pdf[column]:
-                in_fs, in_path = _fs(archive)
-                stem = posixpath.basename(in_path)
-                stem = stem[:-4] if stem.lower().endswith(".zip") else stem
-                with in_fs.open_input_file(in_path) as fh, zipfile.ZipFile(fh) as zf:
-                    for info in zf.infolist():
-                        rel = safe_member(info.filename)
-                        if rel is None or info.is_dir():
-                            continue
-                        dest = f"{out_root.rstrip('/')}/{stem}/{rel}"
-                        out_fs.create_dir(posixpath.dirname(dest), recursive=True)
-                        n = 0
-                        attempt = f"{posixpath.dirname(dest)}/_{uuid.uuid4().hex}"
-                        with zf.open(info) as src, out_fs.open_output_stream(attempt) as dst:
-                            while True:
-                                buf = src.read(CHUNK)
-                                if not buf:
-                                    break
-                                dst.write(buf)
-                                n += len(buf)
-                        out_fs.move(attempt, dest)
-                        rows.append((archive, rel, f"{target.rstrip('/')}/{stem}/{rel}", n))
-            yield pd.DataFrame(rows, columns=["archive", "member", "path", "bytes"])
+                try:
+                    rows += list(members(archive, out_fs, out_root))
+                except damaged as e:
+                    if not errors:
+                        raise
+                    rows.append((archive, None, None, 0, f"{type(e).__name__}: {e}"))
+            out = pd.DataFrame(rows, columns=["archive", "member", "path", "bytes", "error"])
+            yield out if errors else out.drop(columns="error")
 
     return run
 
@@ -100,9 +122,11 @@ def _spread(df: DataFrame, column: str) -> DataFrame:
     return ids.join(F.broadcast(listed), "_n").drop("_n").select(*df.columns)
 
 
-def expand_archives(archives: DataFrame, target_dir: str, column: str = "archive") -> DataFrame:
-    """One output row per extracted member (one archive per task)."""
-    return _spread(archives.select(column), column).mapInPandas(_expand(target_dir, column), MEMBER_SCHEMA)
+def expand_archives(archives: DataFrame, target_dir: str, column: str = "archive", errors: bool = False) -> DataFrame:
+    """One output row per extracted member (one archive per task); with
+    ``errors`` also one of each archive that cannot be expanded, and why."""
+    schema = MEMBER_SCHEMA + (", error string" if errors else "")
+    return _spread(archives.select(column), column).mapInPandas(_expand(target_dir, column, errors), schema)
 
 
 def list_files(root: str, suffix: str = "") -> list[str]:

@@ -10,7 +10,9 @@ month.  Each month of a batch is one commit that also marks (batch, month), and
 a month whose mark is there is passed over, so a batch that is retried after a
 driver or executor loss applies nothing twice.  A month older than the
 published state is refused as in the batch load (B13): its rows go to
-``rejects/<table>`` with the reason.
+``rejects/<table>`` with the reason.  If the store has postings (K3/K4), a batch
+that makes or changes documents publishes theirs in its own commit, so a
+search finds a renamed company as soon as its batch is there.
 
 The month is the file's own folder (``…/2026-09/file``); a file that is not in
 such a folder is rejected too.
@@ -55,8 +57,10 @@ def run_available(df: DataFrame, sink: str, checkpoint: str, extra: dict | None
     q.awaitTermination()
 
 
-def batch_upsert(store, spec: TableSpec, detected_at: str, query_name: str):
-    """The ``foreachBatch`` function of T2 (idempotent per batch id and month)."""
+def batch_upsert(store, spec: TableSpec, detected_at: str, query_name: str, index: bool | None = None):
+    """The ``foreachBatch`` function of T2 (idempotent per batch id and month).
+    ``index``: write postings; by default if the store's are up with its data."""
+    from ..plans.indexes import committed_index, index_changes
     from ..plans.upsert import tracked_upsert
 
     def reject(tx, rows: DataFrame, reason: str) -> None:
@@ -81,7 +85,10 @@ def batch_upsert(store, spec: TableSpec, detected_at: str, query_name: str):
                 if not month or month < newest:
                     reject(tx, own, LATE if month else NO_MONTH)
                 else:
+                    keeps = committed_index(store, store.commits()) is not None if index is None else index
                     tracked_upsert(tx, spec, own, month, detected_at)
+                    if keeps:
+                        index_changes(tx)
                 tx.mark(marker, batch_id)
                 tx.commit()
         finally:
@@ -90,9 +97,9 @@ def batch_upsert(store, spec: TableSpec, detected_at: str, query_name: str):
     return apply
 
 
-def stream_upsert(stream: DataFrame, store, spec: TableSpec, detected_at: str, checkpoint: str, query_name: str):
+def stream_upsert(stream: DataFrame, store, spec: TableSpec, detected_at: str, checkpoint: str, query_name: str, index: bool | None = None):
     """Every micro-batch goes through the tracked upsert, month by month."""
-    apply = batch_upsert(store, spec, detected_at, query_name)
+    apply = batch_upsert(store, spec, detected_at, query_name, index)
     q = (
         stream.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)

@@ -13,15 +13,25 @@ group.  Allowed events are attached back by id, key, time and the number of the
 row among those that agree in all three, so a repeated event is one more
 request and never multiplies rows.
 
-Stream form: watermark + tumbling ``window`` counts, append mode, emitting
+Stream form of the decisions: state is kept by (key, window), the number of
+requests allowed so far; each request is answered in the micro-batch it comes
+with, those of one batch by time, then id.  Of a batch no more rows than the limit are held;
+what is behind them is denied as it is read.  State goes when the watermark
+passes the window's end, and requests later than that are dropped.
+
+Stream form of the counts: watermark + tumbling ``window`` counts, append mode, emitting
 the over-quota (key, window) pairs once a window can no longer change; rows
 later than the watermark are dropped by Spark.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import Any
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
@@ -90,3 +100,44 @@ def quota_stream(events: DataFrame, key: str, ts: str, window_s: int, limit: int
         "requests",
         (F.col("requests") - limit).alias("denied"),
     )
+
+
+def quota_decisions(events: DataFrame, key: str, ts: str, order_id: str, window_s: int, limit: int, watermark: str) -> DataFrame:
+    """Streaming T3 for each request: window id, allowed flag and retry-after
+    seconds (0 when allowed), emitted in the request's own micro-batch."""
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    out = T.StructType([T.StructField(order_id, events.schema[order_id].dataType), T.StructField(key, events.schema[key].dataType),
+                        *T.StructType.fromDDL("window_id bigint, allowed boolean, retry_after bigint")])
+
+    def decide(group: tuple, chunks: Iterator[Any], state: GroupState) -> Iterator[Any]:
+        import pandas as pd
+
+        if state.hasTimedOut:
+            state.remove()
+            return
+        used = state.get[0] if state.exists else 0
+        left = max(0, limit - used)
+
+        def answer(rows, ok: bool):
+            wait = 0 if ok else window_s - rows["_epoch"] % window_s
+            return pd.DataFrame({order_id: rows["_id"], key: rows["_key"], "window_id": rows["_window"], "allowed": ok, "retry_after": wait})
+
+        first = None  # the earliest rows that may still be allowed
+        for rows in chunks:
+            held = rows if first is None else pd.concat([first, rows])
+            held = held.sort_values(["_ts", "_id"], kind="stable")
+            first = held.iloc[:left]
+            if len(held) > left:
+                yield answer(held.iloc[left:], False)
+        if first is not None and len(first):
+            yield answer(first, True)
+        state.update((used + (0 if first is None else len(first)),))
+        end = 1000 * (int(group[1]) + 1) * window_s
+        state.setTimeoutTimestamp(max(end, int(state.getCurrentWatermarkMs()) + 1))
+
+    t = F.col(ts).cast("timestamp")
+    epoch = epoch_seconds(ts)
+    rows = events.select(t.alias("_ts"), F.col(order_id).alias("_id"), F.col(key).alias("_key"), epoch.cast("bigint").alias("_epoch"),
+                         F.floor(epoch / window_s).cast("bigint").alias("_window")).withWatermark("_ts", watermark)
+    return rows.groupBy("_key", "_window").applyInPandasWithState(decide, out, "used int", "append", GroupStateTimeout.EventTimeTimeout)
