@@ -40,10 +40,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .bpe import byte_chars, tokenizer_of_json
-from .common import binary_array, ddl, ship, staged, text_bytes, texts_of
+from .common import binary_array, ddl, ship, staged, text_bytes, texts_of, tidy
 
-#: Pieces of a bunch of texts; pieces and their characters that a task remembers before it starts afresh.
-BUNCH, REMEMBERED, REMEMBERED_CHARS = 1 << 21, 300_000, 32 << 20
+#: Pieces of a bunch of texts; pieces and their characters that a task remembers before it starts afresh; pieces aligned at once.
+BUNCH, REMEMBERED, REMEMBERED_CHARS, AT_ONCE = 1 << 21, 300_000, 32 << 20, 1 << 13
 #: Which pairs of an A and a B token are linked: their bytes overlap, end together, or lie in one group.
 KINDS = ("overlap", "end", "group")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -191,8 +191,10 @@ class Aligner:
         return a, a_at, b, b_at, good
 
     def learn(self, pieces: list[str], into: dict[str, int]) -> None:
-        if not pieces:
-            return
+        for lo in range(0, len(pieces), AT_ONCE):
+            self._learn(pieces[lo : lo + AT_ONCE], into)
+
+    def _learn(self, pieces: list[str], into: dict[str, int]) -> None:
         a, a_at, b, b_at, good = self.encode(pieces)
         keep_a, keep_b = np.repeat(good, np.diff(a_at)), np.repeat(good, np.diff(b_at))
         n_a, n_b = np.diff(a_at) * good, np.diff(b_at) * good
@@ -258,7 +260,7 @@ class Aligner:
 
 
 @functools.cache
-def _aligner(a_path: str, b_path: str, kind: str) -> Aligner:
+def aligner(a_path: str, b_path: str, kind: str) -> Aligner:
     return Aligner(a_path, b_path, kind)
 
 
@@ -329,7 +331,7 @@ def _bunches(df: DataFrame, a_path: str, b_path: str, text_col: str, keep: tuple
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, now = _aligner(a_path, b_path, kind), _Bunch()
+        own, now = aligner(a_path, b_path, kind), _Bunch()
         serial = TaskContext.get().partitionId() << 32
         for batch in batches:
             step = max(1, (4 << 20) * batch.num_rows // max(1, batch.nbytes))
@@ -344,7 +346,7 @@ def _bunches(df: DataFrame, a_path: str, b_path: str, text_col: str, keep: tuple
         if now.numbers:
             yield from now.rows(serial, own, arrow)
 
-    return staged(source.mapInArrow(run, schema), "aligned")
+    return staged(source.mapInArrow(tidy(run, tokenizes=True), schema), "aligned")
 
 
 def _marked(table: DataFrame) -> DataFrame:
@@ -383,14 +385,14 @@ def links(df: DataFrame, a_path: str, b_path: str, text_col: str = "text", keep:
         return [dict(zip(fields, x, strict=True)) for x in zip(*(v.tolist() for v in (m.a, a[m.a], m.b, b[m.b], m.shared)), strict=True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _aligner(a_path, b_path, kind)
+        own = aligner(a_path, b_path, kind)
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 yield pa.RecordBatch.from_arrays([*row.columns[1:], pa.array([of(texts_of(row.column(0))[0], own)], pa.list_(struct))],
                                                  names=schema.names)
 
-    return df.select(F.col(text_col).cast("string").alias("t"), *[df[c].alias(f"k{i}") for i, c in enumerate(keep)]).mapInArrow(run, schema)
+    return df.select(F.col(text_col).cast("string").alias("t"), *[df[c].alias(f"k{i}") for i, c in enumerate(keep)]).mapInArrow(tidy(run, tokenizes=True), schema)
 
 
 def align(df: DataFrame, a_path: str, b_path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), kind: str = "end") -> DataFrame:
@@ -433,4 +435,4 @@ def align(df: DataFrame, a_path: str, b_path: str, text_col: str = "text", keep:
                         [*[part[k] for k in own], *[part[c] for c in _DOC], pa.array(n_best, pa.int64()),
                          pa.array(count_sum, pa.int64()), part["groups_sha256"]], names=schema.names)
 
-    return rows.repartition("bunch").sortWithinPartitions("bunch", "role").mapInArrow(run, schema)
+    return rows.repartition("bunch").sortWithinPartitions("bunch", "role").mapInArrow(tidy(run), schema)

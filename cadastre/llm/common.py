@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import sys
 import tempfile
@@ -18,7 +20,7 @@ from pyspark.sql import types as T
 
 
 #: About how many bytes of a batch an operator handles at once.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 _SHIPPED: set[str] = set()
 
 
@@ -96,7 +98,7 @@ def map_batches(
 ) -> DataFrame:
     """Add columns to each Arrow batch.  ``fn`` gets the batch of ``columns``
     (in order, renamed ``_0``, ``_1`` …) and returns the added arrays; ``keep``
-    columns pass through unchanged."""
+    columns pass through unchanged.  ``tokenizes``: the worker may keep pieces."""
     ship(df.sparkSession)
     schema = ddl(df, keep, added)
     names = [f.name for f in T.StructType.fromDDL(added)]
@@ -117,15 +119,44 @@ def map_batches(
                     *[df[c].alias(f"c{i}") for i, c in enumerate(columns)])
     inner = T.StructType([T.StructField(f"k{i}", df.schema[c].dataType) for i, c in enumerate(keep)]
                          + list(T.StructType.fromDDL(added)))
-    out = src.mapInArrow(run, inner)
+    out = src.mapInArrow(tidy(run, tokenizes), inner)
     return out.toDF(*[f.name for f in schema]) if keep else out
 
 
 def release() -> None:
     """Free what tokenizing tasks keep in this worker; Spark uses workers again."""
-    if (bpe := sys.modules.get(f"{__package__}.bpe")) and bpe.coder.cache_info().currsize:
-        bpe.coder.cache_clear()
-        gc.collect()
+    for module, name in (("bpe", "coder"), ("alignment", "aligner")):
+        if (own := sys.modules.get(f"{__package__}.{module}")) and getattr(own, name).cache_info().currsize:
+            getattr(own, name).cache_clear()
+            gc.collect()
+
+
+@functools.cache
+def _c_library():
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:  # another C library: its own allocator gives memory back or not
+        return None
+
+
+def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], tokenizes: bool = False):
+    """A task that keeps no tokenizer's pieces unless it ``tokenizes``, and gives
+    freed memory back to the system when it ends: a worker waits for its next
+    task beside others that run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not tokenizes:
+            release()
+        try:
+            yield from task(batches)
+        finally:
+            if hashing := sys.modules.get(f"{__package__}.hashing"):
+                hashing.forget_powers()
+            pa.default_memory_pool().release_unused()
+            if (c := _c_library()) is not None:
+                c.malloc_trim(0)
+
+    return run
 
 
 def texts_of(array: pa.Array) -> list[str]:

@@ -12,6 +12,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 #: Text bytes for each bucket, and the bounds of the number of buckets.
 BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 2 << 20, 64, 1 << 18
 SCHEMA = "bucket int, kind int, blob binary"
@@ -76,7 +78,7 @@ def by_bucket(rows: DataFrame, fn: Callable[[int, dict[int, list[bytes]]], Itera
         if have:
             yield from fn(now, have)
 
-    return rows.repartition("bucket").sortWithinPartitions("bucket").select("bucket", "kind", "blob").mapInArrow(run, schema)
+    return rows.repartition("bucket").sortWithinPartitions("bucket").select("bucket", "kind", "blob").mapInArrow(tidy(run), schema)
 
 
 #: Replies: the text's key (16 bytes), and a run of positions in it.

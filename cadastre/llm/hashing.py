@@ -43,6 +43,12 @@ def powers(which: int, n: int, inverse: bool = False) -> np.ndarray:
     return have[:n]
 
 
+def forget_powers() -> None:
+    """Drop powers for long inputs; they are quickly made again."""
+    for key in [k for k, have in _POWERS.items() if len(have) > 1 << 18]:
+        del _POWERS[key]
+
+
 def prefix_sums(data: np.ndarray, which: int, bytes_: bool = True) -> np.ndarray:
     """Running polynomial sums, one more than ``data``; see :func:`spans`."""
     values = _byte_values(which)[data] if bytes_ else data

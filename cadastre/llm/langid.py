@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, release, ship, slices, text_bytes
+from .common import map_batches, ship, slices, text_bytes, tidy
 
 BUCKETS = 1 << 16
 #: n-grams in a run, and how often n-grams overlap (their log likelihoods are divided by it).
@@ -68,7 +68,6 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tupl
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             raw, rows = text_bytes(batch.column(1))
@@ -84,7 +83,7 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tupl
                 [pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())],
                 names=["lang", "bucket", "n"])
 
-    parts = known.mapInArrow(count, "lang string, bucket int, n bigint")
+    parts = known.mapInArrow(tidy(count), "lang string, bucket int, n bigint")
     model = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(model["lang"]))
     sums = np.zeros((len(langs), BUCKETS))

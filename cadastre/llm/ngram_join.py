@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import discard, map_batches, ship, slices, staged, text_bytes
+from .common import discard, map_batches, ship, slices, staged, text_bytes, tidy
 from .components import components
 from .grouping import SCHEMA, blob_batch, by_bucket, pack, text_bytes_in, unpack
 from .hashing import LOWER, mix, prefix_sums, spans, word_spans
@@ -247,7 +247,7 @@ def _search(frame: DataFrame, n: int, percent: int, labelled: bool) -> DataFrame
             yield made
 
     return frame.repartition("block").sortWithinPartitions("block").select("block", "digest", "text", "label", "asks").mapInArrow(
-        run, "a binary, b binary")
+        tidy(run), "a binary, b binary")
 
 
 def _hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -372,7 +372,7 @@ def _deal_parts(texts: DataFrame, n: int, percent: int, link: bool, keep: tuple
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, c)], names=["a", "b", "c"])
 
-    return by_bucket(texts.select("text", "key").mapInArrow(gather, SCHEMA), settle, "a bigint, b bigint, c bigint")
+    return by_bucket(texts.select("text", "key").mapInArrow(tidy(gather), SCHEMA), settle, "a bigint, b bigint, c bigint")
 
 
 def _signature_links(texts: DataFrame, n: int, percent: int) -> DataFrame:

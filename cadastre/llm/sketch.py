@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, tidy
 
 #: Cells in a block, rows of cells, sketches summed in one step, and the largest width (2 ** 27 cells: 64 MB a level).
 BLOCK, ROWS, FAN, MOST_BITS = 1 << 16, 2, 256, 27
@@ -77,7 +77,7 @@ def merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray
         bits_ = b"".join(np.packbits(sums >= n).tobytes() for n in levels)
         return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "step": pa.array([0], pa.int32()), "cells": pa.array([bits_], pa.binary())})
 
-    parts = df.mapInArrow(count, schema)
+    parts = df.mapInArrow(tidy(count), schema)
     sums = parts.groupBy("block", "step").applyInArrow(add, schema)
     bits_of = sums.withColumn("step", F.lit(0)).groupBy("block").applyInArrow(levels_of, schema)
     out = [np.zeros(ROWS * width // 8, np.uint8) for _ in levels]

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import map_batches, ship, slices, text_bytes
+from .common import map_batches, ship, slices, text_bytes, tidy
 from .grouping import (
     RUNS, SCHEMA, as_runs, blob_batch, bucket_count, by_bucket, dealt, key_buckets, pack, repeats, runs_by_key, text_bytes_in,
     unpack, unpack_all,
@@ -355,7 +355,7 @@ def mark(df: DataFrame, length: int = 400, text_col: str = "text", hot: int = HO
         for lo in range(0, len(out), 64):
             yield blob_batch(out[lo : lo + 64])
 
-    return runs_by_key(by_bucket(texts.mapInArrow(gather, SCHEMA), settle, SCHEMA))
+    return runs_by_key(by_bucket(texts.mapInArrow(tidy(gather), SCHEMA), settle, SCHEMA))
 
 
 def remove(df: DataFrame, length: int = 400, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), hot: int = HOT) -> DataFrame:

@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import tidy
+
 #: Rows of a held block, and streamed rows compared with it at a time.
 HELD, STREAMED = 2048, 2048
 
@@ -64,4 +66,4 @@ def blocks_of(rows: DataFrame, fn: Callable[[str, list[tuple], Iterator[list[tup
             for _ in rest:
                 pass
 
-    return rows.select("block", "role", *columns).repartition("block").sortWithinPartitions("block", "role").mapInArrow(run, schema)
+    return rows.select("block", "role", *columns).repartition("block").sortWithinPartitions("block", "role").mapInArrow(tidy(run), schema)
