@@ -22,9 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import sketch
-from .common import map_batches, ship, slices, text_bytes
+from .common import PIECE_BYTES, ship, slices, staged, text_bytes, tidy
 from .grouping import (
     RUNS, SCHEMA, as_runs, blob_batch, bucket_count, by_bucket, dealt, key_buckets, pack, repeats, runs_by_key, text_bytes_in, unpack_all,
 )
@@ -142,7 +143,7 @@ def mark(df: DataFrame, size: int = 35, gram: int = 12, text_col: str = "text")
         for lo in range(0, len(out), 256):
             yield blob_batch(out[lo : lo + 256])
 
-    return runs_by_key(by_bucket(texts.mapInArrow(gather, SCHEMA), settle, SCHEMA))
+    return runs_by_key(by_bucket(texts.mapInArrow(tidy(gather), SCHEMA), settle, SCHEMA))
 
 
 def covered(runs: bytes | None, n: int, size: int) -> np.ndarray:
@@ -155,24 +156,54 @@ def covered(runs: bytes | None, n: int, size: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def _key_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)[::2]
+
+
 def remove(df: DataFrame, size: int = 35, gram: int = 12, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``n_words``, ``n_removed`` and ``kept_text`` (kept
-    words, one space between): words covered by a repeated window go."""
-    runs = mark(df, size, gram, text_col)
-    keyed = df.select(*keep, F.col(text_col).alias("_text")).withColumn("_key", F.unhex(F.md5("_text")))
-    both = keyed.join(runs.withColumnRenamed("key", "_key").withColumnRenamed("runs", "_runs"), "_key", "left")
+    words, one space between): words covered by a repeated window go.
 
-    def fn(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+    Texts without a repeated window, as far as the merged bits of the keys that
+    have one tell, are finished where they are; only the others are shuffled, to
+    meet their windows."""
+    spark = df.sparkSession
+    runs = staged(mark(df, size, gram, text_col), "windows")
+    bits = sketch.width_bits(runs.count())
+    held = spark.sparkContext.broadcast(sketch.merged(runs.select("key"), _key_hashes, bits, (1,))[0])
+    own = [f"k{i}" for i in range(len(keep))]
+    keyed = df.select(*[df[c].alias(k) for c, k in zip(keep, own, strict=True)], df[text_col].alias("text"), F.unhex(F.md5(df[text_col])).alias("key"))
+    added = "n_words bigint, n_removed bigint, kept_text string"
+    done = T.StructType([*keyed.schema.fields[: len(keep)], *T.StructType.fromDDL(added)])
+
+    def cut(texts: pa.Array, windows: list[bytes | None]) -> list[pa.Array]:
         total, gone, kept = [], [], []
-        for text, own in zip(batch.column(0), batch.column(1), strict=True):
+        for text, own_ in zip(texts, windows, strict=True):
             words = (text.as_py() or "").encode().split()
-            out = covered(own.as_py(), len(words), size)
+            out = covered(own_, len(words), size)
             total.append(len(words))
             gone.append(int(out.sum()))
             kept.append(b" ".join(compress(words, ~out) if gone[-1] else words).decode())
-        return {"n_words": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept_text": pa.array(kept, pa.string())}
+        return [pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
 
-    return map_batches(both, ("_text", "_runs"), keep, "n_words bigint, n_removed bigint, kept_text string", fn)
+    def finished(batches: Iterator[pa.RecordBatch], windows: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, PIECE_BYTES * batch.num_rows // max(1, batch.nbytes))
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
+                made = cut(part.column(len(keep)), part.column(len(keep) + 1).to_pylist() if windows else [None] * part.num_rows)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *made], names=done.names)
+
+    def chosen(batches: Iterator[pa.RecordBatch], with_windows: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(len(keep) + 1).fill_null(bytes(16))
+            may = sketch.reaches(held.value, np.frombuffer(b"".join(keys.to_pylist()), np.uint64)[::2], bits)
+            yield batch.filter(pa.array(may if with_windows else ~may))
+
+    rest = keyed.mapInArrow(tidy(lambda batches: finished(chosen(batches, False), False)), done)
+    again = keyed.mapInArrow(tidy(lambda batches: chosen(batches, True)), keyed.schema).join(runs, "key", "left").select(*own, "text", "runs")
+    both = rest.union(again.mapInArrow(tidy(lambda batches: finished(batches, True)), done))
+    return both.toDF(*keep, *done.names[len(keep) :])
 
 
 __all__ = ["RUNS", "covered", "least_in_windows", "mark", "remove"]
