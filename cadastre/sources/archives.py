@@ -94,8 +94,10 @@ def _expand(target: str, column: str, errors: bool):
         import zlib
 
         import pandas as pd
+        import pyarrow as pa
 
-        damaged = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, FileNotFoundError)
+        # (a seek before a short file's start is ArrowInvalid)
+        damaged = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, FileNotFoundError, pa.ArrowInvalid)
         out_fs, out_root = _fs(target)
         for pdf in batches:
             rows = []
