@@ -9,9 +9,8 @@ requests, so ranking a whole (key, window) group in one task is avoided.
 The group is split into ``salt`` buckets; the global first ``limit`` rows
 of a group are among the per-bucket first ``limit`` rows, so ranking runs
 per bucket and then once more over at most ``salt × limit`` candidates per
-group.  Allowed events are attached back by id, key, time and the number of the
-row among those that agree in all three, so a repeated event is one more
-request and never multiplies rows.
+group.  A repeated event is one more request: equal ones are counted first,
+combined on the map side, and given out again at the end.
 
 Stream form of the decisions: state is kept by (key, window), the number of
 requests allowed so far; each request is answered in the micro-batch it comes
@@ -29,7 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,27 +50,23 @@ def quota(
     salt: int = 32,
 ) -> DataFrame:
     """Per event: window id, allowed flag and retry-after seconds (0 when allowed)."""
-    ep = epoch_seconds(ts)
-    base = events.select(
-        F.col(order_id).alias("_id"),
-        F.col(key).alias("_key"),
-        F.col(ts).alias("_ts"),
-        F.floor(ep / window_s).cast("bigint").alias("window_id"),
-        ep.alias("_epoch"),
-    )
     row = ["_id", "_key", "_ts"]
-    base = base.withColumn("_dup", F.row_number().over(Window.partitionBy(*row).orderBy(F.lit(0))))
-    order = [F.col("_ts"), F.col("_id"), F.col("_dup")]
+    # Equal requests are one row with their number before anything is gathered by key.
+    each = events.select(F.col(order_id).alias("_id"), F.col(key).alias("_key"), F.col(ts).alias("_ts")).groupBy(*row).agg(F.count("*").alias("_n"))
+    ep = epoch_seconds("_ts")
+    base = each.select(*row, "_n", F.floor(ep / window_s).cast("bigint").alias("window_id"), ep.alias("_epoch"))
+    order = [F.col("_ts"), F.col("_id")]
+
+    def before(*group: str) -> Column:
+        """Requests of the group that come before a row's."""
+        return F.sum("_n").over(Window.partitionBy(*group).orderBy(*order)) - F.col("_n")
+
     bucket = F.pmod(F.xxhash64("_id"), F.lit(salt))
-    stage1 = (
-        base.withColumn("_salt", bucket)
-        .withColumn("_r", F.row_number().over(Window.partitionBy("_key", "window_id", "_salt").orderBy(*order)))
-        .where(F.col("_r") <= limit)
-    )
-    stage2 = stage1.withColumn("_n", F.row_number().over(Window.partitionBy("_key", "window_id").orderBy(*order)))
-    allowed = stage2.where(F.col("_n") <= limit).select(*row, "_dup", F.lit(True).alias("_ok"))
-    j = base.join(allowed, [*row, "_dup"], "left")
-    ok = F.coalesce(F.col("_ok"), F.lit(False))
+    stage1 = base.withColumn("_salt", bucket).withColumn("_b", before("_key", "window_id", "_salt")).where(F.col("_b") < limit)
+    stage2 = stage1.withColumn("_b", before("_key", "window_id")).where(F.col("_b") < limit)
+    allowed = stage2.select(*row, F.least("_n", F.lit(limit) - F.col("_b")).alias("_ok"))
+    j = base.join(allowed, row, "left").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
+    ok = F.col("_i") <= F.coalesce(F.col("_ok"), F.lit(0))
     return j.select(
         F.col("_id").alias(order_id),
         F.col("_key").alias(key),
