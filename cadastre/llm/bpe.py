@@ -15,16 +15,18 @@ from __future__ import annotations
 import base64
 import functools
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import binary_array, list_array, map_batches, text_bytes, texts_of
+from .common import binary_array, list_array, map_batches, slices, text_bytes
 
-#: Pieces a worker remembers; when full, it starts afresh.
-CACHE_PIECES = 600_000
-#: Characters whose pieces are a letter run and at most one mark: cut and encoded without the pattern.
+#: Pieces a worker remembers; when full, it keeps those in use.  New pieces encoded as one text.
+CACHE_PIECES, JOINED = 600_000, 1 << 14
+#: Characters whose pieces are a letter run and at most one mark: encoded without the pattern.
 _PLAIN_END = "ɐ"
 _MARKS = frozenset(",.;:?")
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -76,78 +78,100 @@ def tokenizer_of_json(path: str):
 
 
 class PieceCoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, one library call
-    for each piece a worker has not met yet."""
+    """Ids of texts as little-endian unsigned 32-bit bytes, each piece that a
+    worker has not met yet encoded once.  A letter run goes to the library's model
+    as it is; of the others many, a space before each, are one text for the
+    library, in which a token that begins with a space begins the next piece."""
 
     def __init__(self, tokenizer, most: int = CACHE_PIECES):
         self.tok, self.most = tokenizer, most
-        self.first: dict[str, bytes] = {}  # pieces that open a text
-        self.rest: dict[str, bytes] = {}  # pieces after a space, without it
-        chars = byte_chars()
-        self.to_chars = {b: c for b, c in enumerate(chars)}
+        if hasattr(tokenizer.model, "_resize_cache"):
+            tokenizer.model._resize_cache(0)  # pieces are remembered here, so the library meets none twice
+        self.first: dict[str, bytes | None] = {}  # pieces that open a text
+        self.rest: dict[str, bytes | None] = {}  # pieces after a space, without it; None: not to be cut off
+        self.space, self.to_chars = byte_chars()[0x20], dict(enumerate(byte_chars()))
+        self.opens = np.array([(tokenizer.id_to_token(i) or "").startswith(self.space) for i in range(tokenizer.get_vocab_size())])
         self.mark = {m: self._whole([m])[0] for m in _MARKS}
 
-    def _whole(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _model(self, piece: str) -> bytes:
-        tokens = self.tok.model.tokenize(piece.encode().decode("latin-1").translate(self.to_chars))
-        return np.array([t.id for t in tokens], "<u4").tobytes()
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.rest) + len(pieces) > self.most:
-            self.rest.clear()
-        hard = []
-        for p in pieces:
-            word = p[:-1] if p[-1] in _MARKS else p
-            if word.isalpha() and max(word) < _PLAIN_END:  # one letter run, so one match of the pattern
-                ids = self._model(" " + word)
-                self.rest[p] = ids if word is p else ids + self.mark[p[-1]]
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str], used: list[str]) -> None:
+        if len(self.rest) + len(new) > self.most:  # the pieces now in use stay
+            self.rest = {p: self.rest[p] for p in used if p in self.rest}
+        rest, hard = self.rest, []
+        for p in new:
+            word = p[:-1] if p[-1:] in _MARKS else p
+            if word.isalpha() and (word.isascii() or max(word) < _PLAIN_END):  # one letter run, so one match of the pattern
+                ids = rest.get(word) or self._model(word)
+                rest[p] = ids if word is p else ids + self.mark[p[-1]]
+            elif not p or p[0].isspace() or p[-1].isspace():
+                rest[p] = None
             else:
                 hard.append(p)
-        for p, ids in zip(hard, self._whole([" " + p for p in hard]), strict=True):
-            self.rest[p] = ids
+        for lo in range(0, len(hard), JOINED):
+            some = hard[lo : lo + JOINED]
+            ids = np.array(self.tok.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(self.opens[ids])
+            if len(at) == len(some):
+                raw, ends = ids.tobytes(), np.append(at[1:], len(ids))
+                rest.update((p, raw[a:b]) for p, a, b in zip(some, (4 * at).tolist(), (4 * ends).tolist(), strict=True))
+            else:  # a piece holds such a token within
+                rest.update(zip(some, self._whole([" " + p for p in some]), strict=True))
+
+    def _model(self, word: str) -> bytes:
+        """Ids of a letter run after a space."""
+        shown = self.space + (word if word.isascii() else word.encode().decode("latin-1").translate(self.to_chars))
+        return array("I", [t.id for t in self.tok.model.tokenize(shown)]).tobytes()
+
+    def _learn_first(self, used: list[str]) -> None:
+        if len(self.first) + len(used) > self.most // 10:
+            self.first.clear()
+        new = [p for p in dict.fromkeys(used) if p not in self.first]
+        self.first.update(zip(new, self._whole(new), strict=True))
+        self.first.update(dict.fromkeys(p for p in new if not p or p[0].isspace() or p[-1].isspace()))
 
     def _slow(self, text: str) -> bytes:
         cut = [m.start() for m in _SAFE_SPACE.finditer(text)]
         pieces = [text[a:b] for a, b in zip([0, *cut], [*cut, len(text)], strict=True)]
         return b"".join(self._whole(pieces))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) > self.most // 10:
-            self.first.clear()
-        out: list[bytes | None] = [None] * len(texts)
-        wait: list[tuple[int, list[str]]] = []
-        new: dict[str, None] = {}
-        for i, text in enumerate(texts):
-            if not text:
-                out[i] = b""
-                continue
-            parts = text.split(" ")
-            ids = list(map(self.rest.get, parts))
-            ids[0] = self.first.get(parts[0])
-            if None not in ids:
-                out[i] = b"".join(ids)
-                continue
-            missed = [p for p, x in zip(parts, ids, strict=True) if x is None]
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in missed):
-                out[i] = self._slow(text)
-                continue
-            if ids[0] is None:
-                self.first[parts[0]] = self._whole([parts[0]])[0]
-                missed = missed[1:]
-            new.update(dict.fromkeys(missed))
-            wait.append((i, parts))
-        if new:
-            self._learn([p for p in new if p not in self.rest])
-        for i, parts in wait:
-            ids = list(map(self.rest.get, parts))
-            ids[0] = self.first.get(parts[0])
-            if None in ids:  # the cache started afresh meanwhile
-                self._learn(list(dict.fromkeys(p for p, x in zip(parts[1:], ids[1:], strict=True) if x is None)))
-                ids = [self.first.get(parts[0]) or self._whole([parts[0]])[0],
-                       *(self.rest.get(p) or self._whole([" " + p])[0] for p in parts[1:])]
-            out[i] = b"".join(ids)
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Ids of each text of a list, or of a column without nulls.  Arrow cuts the texts and
+        numbers their different pieces, so that only those are looked up; ids are
+        then gathered by number."""
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        n = len(texts)
+        cut = pc.split_pattern(texts, " ")
+        rows = np.asarray(cut.offsets, np.int64) - cut.offsets[0].as_py()
+        numbered = cut.flatten().dictionary_encode()
+        number = np.array(numbered.indices, np.int64)
+        pieces = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        opening = [pieces[i] for i in number[rows[:-1]].tolist()]
+        self._learn_first(opening)
+        known = list(map(self.rest.get, pieces))
+        missed = [i for i, k in enumerate(known) if k is None]  # not met yet, or not to be cut off
+        self._learn([pieces[i] for i in missed], pieces)
+        for i in missed:
+            known[i] = self.rest[pieces[i]]
+        known += [self.first[p] for p in opening]
+        number[rows[:-1]] = np.arange(len(pieces), len(known))
+        odd = np.zeros(len(known), bool)
+        for i in (*missed, *range(len(pieces), len(known))):
+            if known[i] is None:
+                known[i], odd[i] = b"", True
+        flat = np.frombuffer(b"".join(known), "<u4")
+        size = np.array(list(map(len, known)), np.int64) // 4
+        start = np.cumsum(size) - size
+        each = size[number]
+        ends = np.cumsum(each)
+        raw = memoryview(flat[np.arange(int(ends[-1]) if n else 0) + np.repeat(start[number] - (ends - each), each)].tobytes())
+        at = 4 * np.concatenate([[0], ends])[rows]
+        out = [bytes(raw[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        slow = np.add.reduceat(odd[number], rows[:-1]) if n else []
+        for i in np.flatnonzero(slow):
+            text = texts[i].as_py()
+            out[i] = self._slow(text) if text else b""
         return out
 
 
@@ -157,16 +181,12 @@ def coder(kind: str, path: str, pattern: str = "") -> PieceCoder:
     return PieceCoder(tokenizer_of_ranks(path, pattern) if kind == "ranks" else tokenizer_of_json(path))
 
 
-def id_batches(array: pa.Array, kind: str, path: str, pattern: str = "", chars: int = 2_000_000):
-    """Ids of a text column, a few texts at a time: lists of byte strings."""
-    texts, lo = texts_of(array), 0
+def id_batches(array: pa.Array, kind: str, path: str, pattern: str = "", size: int = 2 << 20):
+    """Ids of a text column, some bytes of text at a time: lists of byte strings."""
     own = coder(kind, path, pattern)
-    while lo < len(texts):
-        hi, n = lo, 0
-        while hi < len(texts) and (hi == lo or n + len(texts[hi]) <= chars):
-            n, hi = n + len(texts[hi]), hi + 1
-        yield own.encode(texts[lo:hi])
-        lo = hi
+    array = array.fill_null("") if array.null_count else array
+    for lo, hi in slices(text_bytes(array)[1], size):
+        yield own.encode(array.slice(lo, hi - lo))
 
 
 @functools.cache
