@@ -10,7 +10,9 @@ passage that a third of all texts share is one record a task.
 
 Defined cases: words are runs without blanks, unchanged; a null text has no
 words; copies of a text (rows repeated, too) are repeats of each other; a text
-of fewer words than a window keeps them all.
+of fewer words than a window keeps them all.  A very long text is a slice of its
+own, with memory in proportion to it; kept columns may have any names but those
+added; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import sketch
-from .common import PIECE_BYTES, ship, slices, staged, text_bytes, tidy
+from .common import PIECE_BYTES, ship, slices, text_bytes, tidy
 from .grouping import (
     RUNS, SCHEMA, as_runs, blob_batch, bucket_count, by_bucket, dealt, key_buckets, pack, repeats, runs_by_key, text_bytes_in, unpack_all,
 )
@@ -156,54 +158,32 @@ def covered(runs: bytes | None, n: int, size: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _key_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    yield np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)[::2]
-
-
 def remove(df: DataFrame, size: int = 35, gram: int = 12, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``n_words``, ``n_removed`` and ``kept_text`` (kept
-    words, one space between): words covered by a repeated window go.
-
-    Texts without a repeated window, as far as the merged bits of the keys that
-    have one tell, are finished where they are; only the others are shuffled, to
-    meet their windows."""
-    spark = df.sparkSession
-    runs = staged(mark(df, size, gram, text_col), "windows")
-    bits = sketch.width_bits(runs.count())
-    held = spark.sparkContext.broadcast(sketch.merged(runs.select("key"), _key_hashes, bits, (1,))[0])
-    own = [f"k{i}" for i in range(len(keep))]
-    keyed = df.select(*[df[c].alias(k) for c, k in zip(keep, own, strict=True)], df[text_col].alias("text"), F.unhex(F.md5(df[text_col])).alias("key"))
+    words, one space between): words covered by a repeated window go.  Texts
+    meet their windows once, and travel once, kept or not."""
+    sent = keep if text_col in keep else (*keep, text_col)
+    rows = df.select(*[df[c].alias(f"k{i}") for i, c in enumerate(sent)], F.unhex(F.md5(df[text_col])).alias("key"))
+    both = rows.join(mark(df, size, gram, text_col), "key", "left").select(*[f"k{i}" for i in range(len(sent))], "runs")
+    at, n = sent.index(text_col), len(keep)
     added = "n_words bigint, n_removed bigint, kept_text string"
-    done = T.StructType([*keyed.schema.fields[: len(keep)], *T.StructType.fromDDL(added)])
-
-    def cut(texts: pa.Array, windows: list[bytes | None]) -> list[pa.Array]:
-        total, gone, kept = [], [], []
-        for text, own_ in zip(texts, windows, strict=True):
-            words = (text.as_py() or "").encode().split()
-            out = covered(own_, len(words), size)
-            total.append(len(words))
-            gone.append(int(out.sum()))
-            kept.append(b" ".join(compress(words, ~out) if gone[-1] else words).decode())
-        return [pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
-
-    def finished(batches: Iterator[pa.RecordBatch], windows: bool) -> Iterator[pa.RecordBatch]:
+    done = T.StructType([*both.schema.fields[:n], *T.StructType.fromDDL(added)])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             step = max(1, PIECE_BYTES * batch.num_rows // max(1, batch.nbytes))
             for lo in range(0, batch.num_rows, step):
-                part = batch.slice(lo, step)
-                made = cut(part.column(len(keep)), part.column(len(keep) + 1).to_pylist() if windows else [None] * part.num_rows)
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *made], names=done.names)
-
-    def chosen(batches: Iterator[pa.RecordBatch], with_windows: bool) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(len(keep) + 1).fill_null(bytes(16))
-            may = sketch.reaches(held.value, np.frombuffer(b"".join(keys.to_pylist()), np.uint64)[::2], bits)
-            yield batch.filter(pa.array(may if with_windows else ~may))
-
-    rest = keyed.mapInArrow(tidy(lambda batches: finished(chosen(batches, False), False)), done)
-    again = keyed.mapInArrow(tidy(lambda batches: chosen(batches, True)), keyed.schema).join(runs, "key", "left").select(*own, "text", "runs")
-    both = rest.union(again.mapInArrow(tidy(lambda batches: finished(batches, True)), done))
-    return both.toDF(*keep, *done.names[len(keep) :])
+                part, total, gone, kept = batch.slice(lo, step), [], [], []
+                for text, own in zip(part.column(at), part.column(len(sent)), strict=True):
+                    words = (text.as_py() or "").encode().split()
+                    out = covered(own.as_py(), len(words), size)
+                    total.append(len(words))
+                    gone.append(int(out.sum()))
+                    kept.append(b" ".join(compress(words, ~out) if gone[-1] else words).decode())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:n], pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=done.names)
+
+    return both.mapInArrow(tidy(cut), done).toDF(*keep, *done.names[n:])
 
 
 __all__ = ["RUNS", "covered", "least_in_windows", "mark", "remove"]
