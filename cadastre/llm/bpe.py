@@ -7,7 +7,9 @@ a piece always gets the same ids and is encoded by the tokenizers library once
 per worker; a text with other blank runs is cut only where that is safe.
 
 Defined cases: null and empty text give no ids; special tokens' strings are
-ordinary text; rows repeat as they are; other columns are not touched.
+ordinary text; rows repeat as they are; other columns are not touched.  A very
+long text is one row of pieces like any other (one batch of its own); an empty
+table gives no rows.
 """
 
 from __future__ import annotations

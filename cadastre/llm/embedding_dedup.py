@@ -12,7 +12,9 @@ block gives sums and one link for each row, never its pairs.
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing and stand alone; vectors of different lengths do
 not link; a null id is never a class's smallest id, nor kept; rows repeat as
-they are, copies being linked with each other.
+they are, copies being linked with each other.  Equal cosines need no order, as a
+link has no rank.  Columns besides the id and the vector are not read, whatever
+their names; very long vectors make larger blocks; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -9,7 +9,10 @@ likeliest languages by penalised likelihood.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
 no languages; with nothing learned every document is ``und``; ties go to the
-language first in order; a text too short for one n-gram is padded with blanks.
+language first in order; a text too short for one n-gram is padded with blanks;
+rows repeat as they are.  A very long text is read whole, in memory in proportion
+to its runs; ``keep`` columns pass through and others, also of clashing names, are
+not read; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ that a notice inside prose stands out, and so is the paragraph as a whole, so th
 a wrapped notice does.  Every paragraph of every text is classified.
 
 Defined cases: a null or empty text has no paragraphs; nothing is found in an
-empty corpus; ties go to the family first in order; rows repeat as they are.
+empty corpus; ties go to the family first in order; rows repeat as they are.  A
+very long text is read window by window; ``keep`` columns pass through and others,
+also of clashing names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ its own in the bucket of its length, so no sequence crosses documents and,
 training drawing each batch from one bucket, nothing is padded.
 
 Defined cases: a null or empty text is the end id alone (one piece of length
-1); repeated rows are packed each on its own; an empty table gives no pieces.
+1); repeated rows are packed each on its own; a very long text is many full
+pieces; an empty table gives no pieces.  Other columns are not read, and a kept
+one that has the name of an added one comes out as ``<name>_kept``.
 """
 
 from __future__ import annotations
@@ -64,9 +66,12 @@ def pack(df: DataFrame, vocab_path: str, text_col: str = "text", keep: tuple[str
                 "_pieces": pa.ListArray.from_arrays(pa.array(at, pa.int32()), made)}
 
     kind = "start: bigint, length: bigint, crc: bigint" + (", ids: binary" if with_ids else "")
-    packed = map_batches(df, (text_col,), keep, f"doc_tokens bigint, _pieces array<struct<{kind}>>", fn, tokenizes=True)
+    own = [f"k{i}" for i in range(len(keep))]
+    source = df.select(*[df[c].alias(k) for c, k in zip(keep, own, strict=True)], df[text_col].alias("text"))
+    packed = map_batches(source, ("text",), tuple(own), f"doc_tokens bigint, _pieces array<struct<{kind}>>", fn, tokenizes=True)
     p = F.col("_p")
-    return packed.select(*[F.col(c) for c in keep], "doc_tokens", F.explode("_pieces").alias("_p")).select(
-        *[F.col(c) for c in keep], p["start"].alias("start"), p["length"].alias("length"), p["crc"].alias("ids_crc32"),
+    pieces = packed.select(*own, "doc_tokens", F.explode("_pieces").alias("_p")).select(
+        *own, p["start"].alias("start"), p["length"].alias("length"), p["crc"].alias("ids_crc32"),
         "doc_tokens", p["length"].alias("bucket"), F.monotonically_increasing_id().alias("sequence_id"),
         F.lit(0).cast("bigint").alias("offset"), *([p["ids"].alias("ids")] if with_ids else []))
+    return pieces.toDF(*[f"{c}_kept" if c in pieces.columns else c for c in keep], *pieces.columns[len(keep) :])

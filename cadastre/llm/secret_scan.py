@@ -15,7 +15,9 @@ ordinary word that is in neither: the added bytes alone decide.
 
 Defined cases: a null or empty text has no spans; spans are in code points, end
 exclusive; overlapping spans of different kinds all stay; rows are scanned one
-by one, so repeated rows repeat.
+by one, so repeated rows repeat.  A text is read a bounded number of times,
+however long; ``keep`` columns pass through and others, also of clashing names,
+are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations

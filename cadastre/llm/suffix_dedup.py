@@ -20,7 +20,9 @@ hash.
 
 Defined cases: a null text is empty; texts shorter than the string keep all;
 copies of a text (rows repeated, too) are repeats of each other; removed bytes
-may cut a character, so the kept text is binary.
+may cut a character, so the kept text is binary.  A very long text is cut into
+segments; kept columns may have any names but those added; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -361,9 +363,9 @@ def mark(df: DataFrame, length: int = 400, text_col: str = "text", hot: int = HO
 def remove(df: DataFrame, length: int = 400, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), hot: int = HOT) -> DataFrame:
     """``keep`` columns, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed
     runs) and ``kept`` (binary): bytes covered by a repeated string go."""
-    runs = mark(df, length, text_col, hot)
-    keyed = df.select(*keep, F.col(text_col).alias("_text")).withColumn("_key", F.unhex(F.md5("_text")))
-    both = keyed.join(runs.withColumnRenamed("key", "_key").withColumnRenamed("runs", "_runs"), "_key", "left")
+    own = [f"k{i}" for i in range(len(keep))]
+    keyed = df.select(*[df[c].alias(k) for c, k in zip(keep, own, strict=True)], df[text_col].alias("text"), F.unhex(F.md5(df[text_col])).alias("key"))
+    both = keyed.join(mark(df, length, text_col, hot), "key", "left")
 
     def fn(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         total, gone, cuts, kept = [], [], [], []
@@ -377,7 +379,8 @@ def remove(df: DataFrame, length: int = 400, text_col: str = "text", keep: tuple
         return {"n_bytes": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "n_spans": pa.array(cuts, pa.int64()),
                 "kept": pa.array(kept, pa.binary())}
 
-    return map_batches(both, ("_text", "_runs"), keep, "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary", fn)
+    out = map_batches(both, ("text", "runs"), tuple(own), "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary", fn)
+    return out.toDF(*keep, *out.columns[len(keep) :])
 
 
 __all__ = ["RUNS", "Segments", "equal_strings", "mark", "remove", "sample_ranks"]

@@ -10,6 +10,8 @@ Defined cases: vectors that are null, empty, or hold null or non-finite
 components take no part; only vectors of one length are compared; a row with
 the query's own id is its own row; a null id never asks and loses ties; equal
 rows are candidates each, and ask once; scores saturate at the bounds of long.
+Columns besides the id and the vector are not read, whatever their names; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
