@@ -2,8 +2,10 @@
 and read again as the next one's input.
 
 Every stage but the last returns the columns of documents.  Nulls in other
-columns, repeated rows and clashing names pass through; each stage's operator
-defines what it does with odd texts.
+columns, repeated rows and clashing names pass through, and columns that
+documents has beside its own are dropped by the first stage; an empty table stays
+empty.  Very long texts are worked on whole; each stage's operator defines what it
+does with odd texts.
 """
 
 from __future__ import annotations
@@ -27,13 +29,15 @@ def _documents(df: DataFrame, text: str) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: a null text, or no letter in it.  With no
-    language to learn from, the others stay."""
+    language to learn from, the others stay.  Rows repeat as they are; ties between
+    languages do not matter, as only the absence of letters drops a text."""
     model = langid.learn(docs.where(~langid.held_out()))
     return langid.predict(docs, model, keep=COLUMNS, has_letter="has_letter").where("has_letter").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates, that of the smallest id."""
+    """Keeps one document of each group of near duplicates, that of the smallest id;
+    of rows with one id and text the first by all columns.  Texts without words stay."""
     return ngram_join.representatives(docs.select(*COLUMNS), n=SHINGLE, percent=SIMILAR)
 
 
@@ -45,7 +49,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks what the scan reports; no document goes."""
+    """Masks what the scan reports; no document goes, rows repeat, a null text stays null."""
     return _documents(secret_scan.scan(docs, keep=COLUMNS, redact="[SECRET]"), "redacted")
 
 
