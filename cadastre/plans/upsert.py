@@ -39,7 +39,7 @@ from ..operators.state import (
     rejected_rows,
 )
 from ..schema import CHANGE_LOG, SPARK_TYPES, TableSpec, conform
-from .store import BUCKET, Store, Transaction, bucket_column, bucket_of, buckets_in
+from .store import BUCKET, Store, Transaction, bucket_column, bucket_of, buckets_in, bytes_of
 
 ORDER_COLUMNS = ["_file", "_ord"]
 SKETCHES = T.StructType([T.StructField("competencia", T.StringType()), T.StructField("sketch", T.BinaryType())])
@@ -136,7 +136,7 @@ def tracked_upsert(
 
     commits = store.commits()
     folders = [p for c in store.parts(spec.name, commits) for p in c["paths"]]
-    buckets = buckets_in(folders) or buckets_for(store.spark)
+    buckets = buckets_in(folders) or buckets_for(incoming)
     snap = dedupe_snapshot(incoming, spec, order)
     prev = conform(store.read(spec.name, spec.struct, commits), spec)
 
@@ -164,7 +164,7 @@ def tracked_upsert(
         tx.append(f"change_log/{spec.name}", log, rows=counts["log_rows"], sort_within=["cnpj_basico"])
     if counts["new"] + counts["changed"]:
         tx.delta[spec.name] = delta.where(F.col("_class") != REJECTED)
-        write_touched(tx, spec, tx.delta[spec.name], counts, folders)
+        write_touched(tx, spec, tx.delta[spec.name], counts, folders, buckets)
     return counts
 
 
@@ -199,12 +199,18 @@ def first_load(tx: Transaction, spec: TableSpec, snap: DataFrame, raw: Observati
     return counts
 
 
-def buckets_for(spark) -> int:
-    """Buckets of a new table: as many as the session shuffles into, 16 at least."""
-    return max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+#: Bytes of the files of a table's first load for each bucket.
+BUCKET_BYTES = 128 << 20
 
 
-def write_touched(tx: Transaction, spec: TableSpec, delta: DataFrame, counts: dict, folders: list[str]) -> None:
+def buckets_for(rows: DataFrame) -> int:
+    """Buckets of a new table, by the bytes of the files it is loaded from: four at
+    least, so that small tables are few files, and as many as the load is large."""
+    size = sum(bytes_of(rows.sparkSession, f) for f in rows.inputFiles())
+    return max(4, -(-size // BUCKET_BYTES))
+
+
+def write_touched(tx: Transaction, spec: TableSpec, delta: DataFrame, counts: dict, folders: list[str], buckets: int) -> None:
     """The state's buckets that hold a row of ``delta``, written anew; the others stay."""
     keys = list(spec.keys)
     rows = delta.select(*keys, *[F.col("n_" + c).alias(c) for c in spec.column_names if c not in keys], BUCKET)
@@ -216,7 +222,7 @@ def write_touched(tx: Transaction, spec: TableSpec, delta: DataFrame, counts: di
         gone = delta.where(F.col("_class") == CHANGED).select(*keys)
         base = tx.store.spark.read.schema(spec.struct).parquet(*old)
         kept = base.join(F.broadcast(gone) if small else gone, keys, "left_anti")
-        kept = kept.withColumn(BUCKET, bucket_column(keys[0], buckets_in(folders) or buckets_for(tx.store.spark)))
+        kept = kept.withColumn(BUCKET, bucket_column(keys[0], buckets))
         rows = kept.unionByName(rows.select(*kept.columns))
     # One task a bucket, or a few for a company that holds much of one.
     spread = F.pmod(F.xxhash64(*keys), F.lit(4))
