@@ -74,4 +74,5 @@ def pack(df: DataFrame, vocab_path: str, text_col: str = "text", keep: tuple[str
         *own, p["start"].alias("start"), p["length"].alias("length"), p["crc"].alias("ids_crc32"),
         "doc_tokens", p["length"].alias("bucket"), F.monotonically_increasing_id().alias("sequence_id"),
         F.lit(0).cast("bigint").alias("offset"), *([p["ids"].alias("ids")] if with_ids else []))
-    return pieces.toDF(*[f"{c}_kept" if c in pieces.columns else c for c in keep], *pieces.columns[len(keep) :])
+    added = pieces.columns[len(keep) :]
+    return pieces.toDF(*[f"{c}_kept" if c in added else c for c in keep], *added)

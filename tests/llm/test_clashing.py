@@ -38,7 +38,8 @@ def test_removal_keeps_the_text(clashing):
 
 def test_packing_keeps_them(clashing):
     got = packing.pack(clashing, JSON, keep=KEEP).collect()
-    assert {r["doc_id"] for r in got} == {1, 2, 3, 4, 5} and all(r[c] == f"{c}-{r['doc_id']}" for r in got for c in NAMES)
+    shown = {c: "bucket_kept" if c == "bucket" else c for c in NAMES}  # the pieces have a bucket of their own
+    assert {r["doc_id"] for r in got} == {1, 2, 3, 4, 5} and all(r[shown[c]] == f"{c}-{r['doc_id']}" for r in got for c in NAMES)
 
 
 def test_representatives_pass_them(clashing):
@@ -56,3 +57,8 @@ def test_one_id_and_text_with_other_columns(spark):
     for parts in (1, 3):
         df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(parts)
         assert [tuple(r) for r in ngram_join.representatives(df).collect()] == [(1, "a b c d e f", None)]
+
+
+def test_packing_renames_what_clashes(clashing):
+    got = packing.pack(clashing.withColumn("doc_tokens", F.lit("x")), JSON, keep=("doc_id", "doc_tokens")).collect()
+    assert {r["doc_tokens_kept"] for r in got} == {"x"} and all(r["doc_tokens"] >= 1 for r in got)
