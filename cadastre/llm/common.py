@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import gc
@@ -21,6 +22,8 @@ from pyspark.sql import types as T
 
 #: About how many bytes of a batch an operator handles at once.
 PIECE_BYTES = 2 << 20
+#: Bytes of an Arrow batch while a table is staged.
+BATCH_BYTES = 12 << 20
 _SHIPPED: set[str] = set()
 
 
@@ -58,12 +61,27 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of :data:`BATCH_BYTES` at most while a table is written: a
+    batch is held by the executor and by its Python worker at once, and those of a
+    size class of long texts would else be as large as Spark lets them."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if own is None else spark.conf.set(key, own)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new Parquet table in the shared folder and read it back:
     cuts the lineage, and a lost executor costs no recomputation of it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out

@@ -20,18 +20,22 @@ blocks for what is not yet in the component's largest group.
 Defined cases: words are runs without blanks, A-Z lower-cased; a text with
 fewer words than n is one n-gram of all its words; a text without words, or
 null, has an empty set and links with nothing; rows repeat as they are; the
-class id is the smallest non-null id reachable (null if there is none).
+class id is the smallest non-null id reachable (null if there is none).  A very
+long text is one set, held whole by a task; other columns, also of clashing names,
+are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 from collections.abc import Iterator
 from math import floor, log
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -305,11 +309,11 @@ def _deal_parts(texts: DataFrame, n: int, percent: int, link: bool, keep: tuple
                 names, of = np.unique(key[lo:hi], return_inverse=True)
                 yield i, kind, pack((names,), np.concatenate([_planes(part[lo:hi]), _planes(of.astype(np.uint32))]))
 
-    def flush(keys: list[np.ndarray], parts: list[np.ndarray], needs: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    def flush(keys: list[np.ndarray], parts: list[np.ndarray], needs: dict[int, int], places: Iterator[int]) -> Iterator[pa.RecordBatch]:
         key, part = np.concatenate(keys), np.concatenate(parts)
         if link:
             a, b, part, key = _least_keys(key, part)
-            out = [(0, _DONE, pack((a, b, b)))] if len(a) else []
+            out = [(next(places) % buckets, _DONE, pack((a, b, b)))] if len(a) else []
             out += keyed(_KEYED, key, part)
         else:
             key, part, head, size = _runs(key, part)
@@ -320,7 +324,7 @@ def _deal_parts(texts: DataFrame, n: int, percent: int, link: bool, keep: tuple
             if len(names):
                 at = np.minimum(np.searchsorted(names, own), len(names) - 1)
                 count = np.where(names[at] == own, shared[at], 0)
-            out = [(0, _DONE, pack((own, count, np.array(list(needs.values()), np.int64))))]
+            out = [(next(places) % buckets, _DONE, pack((own, count, np.array(list(needs.values()), np.int64))))]
             out += keyed(_KEYED, key[~many], part[~many])
             out += keyed(_SHARED, np.zeros(int((many & head).sum()), np.int64), part[many & head])
         for lo in range(0, len(out), 64):
@@ -328,6 +332,7 @@ def _deal_parts(texts: DataFrame, n: int, percent: int, link: bool, keep: tuple
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, parts, needs, have = [], [], {}, 0
+        places = itertools.count(7919 * TaskContext.get().partitionId())  # what is settled goes to a bucket of the task's own
         for batch in batches:
             column, key = batch.column(0), batch.column(1).to_numpy()
             if keep:
@@ -341,10 +346,10 @@ def _deal_parts(texts: DataFrame, n: int, percent: int, link: bool, keep: tuple
                 keys.append(np.full(len(own), k, np.int64))
                 have += len(own)
                 if have >= FLUSH:
-                    yield from flush(keys, parts, needs)
+                    yield from flush(keys, parts, needs, places)
                     keys, parts, needs, have = [], [], {}, 0
         if keys:
-            yield from flush(keys, parts, needs)
+            yield from flush(keys, parts, needs, places)
 
     def read(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         keys, parts = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
@@ -448,14 +453,17 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
 
 def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``df`` without near duplicates: of each class the row of its
-    smallest id (once, if that row is repeated).  Rows without words stay; of a
-    class without any id, one row for each different text."""
+    smallest id (once, if that row is repeated; of rows of one id and text the
+    first by all columns).  Rows without words stay; of a class without any id,
+    one row for each different text.  Columns of any names pass through."""
     found = classes(df, id_col, text_col, n, percent)
-    name = lambda c: F.concat_ws("/", F.coalesce(F.col(c).cast("string"), F.lit("-")), "text_hash")
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(name(id_col).alias("_row")).distinct()
-    keyed = df.withColumn("text_hash", F.xxhash64(text_col)).withColumn("_row", name(id_col)).drop("text_hash")
-    first = Window.partitionBy("_row").orderBy(F.lit(0))
-    return keyed.join(kept, "_row").withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*df.columns)
+    name = lambda id_, th: F.concat_ws("/", F.coalesce(id_.cast("string"), F.lit("-")), th)
+    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(name(F.col(id_col), F.col("text_hash")).alias("row")).distinct()
+    own = [f"k{i}" for i in range(len(df.columns))]
+    keyed = df.toDF(*own).withColumn("row", name(F.col(own[df.columns.index(id_col)]), F.xxhash64(own[df.columns.index(text_col)])))
+    first = Window.partitionBy("row").orderBy(*own)
+    alone = keyed.join(kept, "row").withColumn("n", F.row_number().over(first)).where("n = 1")
+    return alone.select(*own).toDF(*df.columns)
 
 
 def _across_blocks(hot: DataFrame, links: DataFrame, n: int, percent: int, block_rows: int) -> DataFrame:
