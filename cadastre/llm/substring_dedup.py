@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import sketch
-from .common import PIECE_BYTES, ship, slices, text_bytes, tidy
+from .common import PIECE_BYTES, ship, slices, staged, text_bytes, tidy
 from .grouping import (
     RUNS, SCHEMA, as_runs, blob_batch, bucket_count, by_bucket, dealt, key_buckets, pack, repeats, runs_by_key, text_bytes_in, unpack_all,
 )
@@ -158,32 +158,57 @@ def covered(runs: bytes | None, n: int, size: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def remove(df: DataFrame, size: int = 35, gram: int = 12, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def _key_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)[::2]
+
+
+def remove(df: DataFrame, size: int = 35, gram: int = 12, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), sift: bool = False) -> DataFrame:
     """``keep`` columns, ``n_words``, ``n_removed`` and ``kept_text`` (kept
     words, one space between): words covered by a repeated window go.  Texts
-    meet their windows once, and travel once, kept or not."""
+    meet their windows in one join, and travel once, kept or not.
+
+    With ``sift``, for tables of which few texts hold a repeat (copies taken out
+    before), texts are finished where they are unless merged bits of the keys
+    that have a window tell of one; only those travel.  The result is the same."""
     sent = keep if text_col in keep else (*keep, text_col)
-    rows = df.select(*[df[c].alias(f"k{i}") for i, c in enumerate(sent)], F.unhex(F.md5(df[text_col])).alias("key"))
-    both = rows.join(mark(df, size, gram, text_col), "key", "left").select(*[f"k{i}" for i in range(len(sent))], "runs")
+    own = [f"k{i}" for i in range(len(sent))]
+    rows = df.select(*[df[c].alias(k) for c, k in zip(sent, own, strict=True)], F.unhex(F.md5(df[text_col])).alias("key"))
     at, n = sent.index(text_col), len(keep)
-    added = "n_words bigint, n_removed bigint, kept_text string"
-    done = T.StructType([*both.schema.fields[:n], *T.StructType.fromDDL(added)])
+    done = T.StructType([*rows.schema.fields[:n], *T.StructType.fromDDL("n_words bigint, n_removed bigint, kept_text string")])
+    runs = mark(df, size, gram, text_col)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch], windows: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             step = max(1, PIECE_BYTES * batch.num_rows // max(1, batch.nbytes))
             for lo in range(0, batch.num_rows, step):
                 part, total, gone, kept = batch.slice(lo, step), [], [], []
-                for text, own in zip(part.column(at), part.column(len(sent)), strict=True):
+                found = part.column(len(sent)).to_pylist() if windows else [None] * part.num_rows
+                for text, own_ in zip(part.column(at), found, strict=True):
                     words = (text.as_py() or "").encode().split()
-                    out = covered(own.as_py(), len(words), size)
+                    out = covered(own_, len(words), size)
                     total.append(len(words))
                     gone.append(int(out.sum()))
                     kept.append(b" ".join(compress(words, ~out) if gone[-1] else words).decode())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:n], pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=done.names)
 
-    return both.mapInArrow(tidy(cut), done).toDF(*keep, *done.names[n:])
+    rest = None
+    if sift:
+        spark = df.sparkSession
+        runs = staged(runs, "windows")
+        bits = sketch.width_bits(runs.count())
+        held = spark.sparkContext.broadcast(sketch.merged(runs.select("key"), _key_hashes, bits, (1,))[0])
+
+        def chosen(batches: Iterator[pa.RecordBatch], with_windows: bool) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keys = batch.column(len(sent)).fill_null(bytes(16))
+                may = sketch.reaches(held.value, np.frombuffer(b"".join(keys.to_pylist()), np.uint64)[::2], bits)
+                yield batch.filter(pa.array(may if with_windows else ~may))
+
+        rest = rows.mapInArrow(tidy(lambda batches: cut(chosen(batches, False), False)), done)
+        rows = rows.mapInArrow(tidy(lambda batches: chosen(batches, True)), rows.schema)
+    both = rows.join(runs, "key", "left").select(*own, "runs").mapInArrow(tidy(lambda batches: cut(batches, True)), done)
+    return (both if rest is None else rest.union(both)).toDF(*keep, *done.names[n:])
 
 
 __all__ = ["RUNS", "covered", "least_in_windows", "mark", "remove"]

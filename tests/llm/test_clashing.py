@@ -36,6 +36,13 @@ def test_removal_keeps_the_text(clashing):
     assert {r["doc_id"]: (r["text"], r["kept_text"]) for r in got}[2] == ("w " * 80, "") and len(got) == 5
 
 
+def test_sifting_changes_nothing(clashing):
+    rows = lambda df: sorted(map(repr, df.collect()))
+    for keep in (("doc_id",), ("text", "doc_id"), KEEP):
+        assert rows(substring_dedup.remove(clashing, keep=keep, sift=True)) == rows(substring_dedup.remove(clashing, keep=keep))
+    assert substring_dedup.remove(clashing.limit(0), sift=True).collect() == []
+
+
 def test_packing_keeps_them(clashing):
     got = packing.pack(clashing, JSON, keep=KEEP).collect()
     shown = {c: "bucket_kept" if c == "bucket" else c for c in NAMES}  # the pieces have a bucket of their own
