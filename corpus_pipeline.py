@@ -43,7 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts words in repeated 35-word windows; a document of which nothing is left goes."""
-    found = substring_dedup.remove(docs, keep=COLUMNS)
+    found = substring_dedup.remove(docs, keep=COLUMNS, sift=True)  # near copies are gone: few texts hold a repeat
     kept = found.where((F.col("n_removed") == 0) | (F.col("kept_text") != ""))
     return _documents(kept.withColumn("new", F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept_text"))), "new")
 
