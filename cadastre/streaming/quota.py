@@ -12,10 +12,11 @@ per bucket and then once more over at most ``salt × limit`` candidates per
 group.  A repeated event is one more request: equal ones are counted first,
 combined on the map side, and given out again at the end.
 
-Stream form of the decisions: state is kept by (key, window), the number of
-requests allowed so far; each request is answered in the micro-batch it comes
-with, those of one batch by time, then id.  Of a batch no more rows than the limit are held;
-what is behind them is denied as it is read.  State goes when the watermark
+Stream form of the decisions: state is kept by window and slot, a hash of the
+key: of each of its keys the number of requests allowed so far, so that Python
+is called once for many keys.  Each request is answered in the micro-batch it comes
+with, those of one batch by time, then id.  Of a batch no more rows of a key than the
+limit are held; what is behind them is denied as it is read.  State goes when the watermark
 passes the window's end, and requests later than that are dropped.
 
 Stream form of the counts: watermark + tumbling ``window`` counts, append mode, emitting
@@ -97,9 +98,12 @@ def quota_stream(events: DataFrame, key: str, ts: str, window_s: int, limit: int
     )
 
 
-def quota_decisions(events: DataFrame, key: str, ts: str, order_id: str, window_s: int, limit: int, watermark: str) -> DataFrame:
+def quota_decisions(
+    events: DataFrame, key: str, ts: str, order_id: str, window_s: int, limit: int, watermark: str, slots: int = 64
+) -> DataFrame:
     """Streaming T3 for each request: window id, allowed flag and retry-after
-    seconds (0 when allowed), emitted in the request's own micro-batch."""
+    seconds (0 when allowed), emitted in the request's own micro-batch.  The
+    keys of a window share ``slots`` groups; more of them make smaller states."""
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
     out = T.StructType([T.StructField(order_id, events.schema[order_id].dataType), T.StructField(key, events.schema[key].dataType),
@@ -111,28 +115,41 @@ def quota_decisions(events: DataFrame, key: str, ts: str, order_id: str, window_
         if state.hasTimedOut:
             state.remove()
             return
-        used = state.get[0] if state.exists else 0
-        left = max(0, limit - used)
+        window, nameless = group[0], group[1] < 0  # requests without a key have a group of their own
+        before = dict(zip(*state.get, strict=True)) if state.exists else {}
+        used = {0: n for n in before.values()} if nameless else before
+
+        def keys(rows):
+            return pd.Series(0, index=rows.index) if nameless else rows["_key"]
 
         def answer(rows, ok: bool):
             wait = 0 if ok else window_s - rows["_epoch"] % window_s
             return pd.DataFrame({order_id: rows["_id"], key: rows["_key"], "window_id": rows["_window"], "allowed": ok, "retry_after": wait})
 
-        first = None  # the earliest rows that may still be allowed
+        first = None  # each key's earliest rows that may still be allowed
         for rows in chunks:
             held = rows if first is None else pd.concat([first, rows])
-            held = held.sort_values(["_ts", "_id"], kind="stable")
-            first = held.iloc[:left]
-            if len(held) > left:
-                yield answer(held.iloc[left:], False)
+            held = held.sort_values(["_ts", "_id"], kind="stable", ignore_index=True)
+            name = keys(held)
+            left = limit - name.map(used).fillna(0) if used else limit
+            may = held.groupby(name, sort=False).cumcount() < left
+            first = held[may]
+            if len(first) < len(held):
+                yield answer(held[~may], False)
         if first is not None and len(first):
             yield answer(first, True)
-        state.update((used + (0 if first is None else len(first)),))
-        end = 1000 * (int(group[1]) + 1) * window_s
-        state.setTimeoutTimestamp(max(end, int(state.getCurrentWatermarkMs()) + 1))
+            now = keys(first).value_counts(sort=False)
+            for name, n in zip(now.index.tolist(), now.tolist(), strict=True):  # as Python's own values, for the state
+                used[name] = used.get(name, 0) + n
+        state.update(([None], [used.get(0, 0)]) if nameless else ([*used], [*used.values()]))
+        if not pd.isna(window):
+            end = 1000 * (int(window) + 1) * window_s
+            state.setTimeoutTimestamp(max(end, int(state.getCurrentWatermarkMs()) + 1))
 
     t = F.col(ts).cast("timestamp")
     epoch = epoch_seconds(ts)
+    slot = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(key), F.lit(slots)))
     rows = events.select(t.alias("_ts"), F.col(order_id).alias("_id"), F.col(key).alias("_key"), epoch.cast("bigint").alias("_epoch"),
-                         F.floor(epoch / window_s).cast("bigint").alias("_window")).withWatermark("_ts", watermark)
-    return rows.groupBy("_key", "_window").applyInPandasWithState(decide, out, "used int", "append", GroupStateTimeout.EventTimeTimeout)
+                         F.floor(epoch / window_s).cast("bigint").alias("_window"), slot.cast("int").alias("_slot")).withWatermark("_ts", watermark)
+    held = T.StructType([T.StructField("keys", T.ArrayType(events.schema[key].dataType)), *T.StructType.fromDDL("used array<int>")])
+    return rows.groupBy("_window", "_slot").applyInPandasWithState(decide, out, held, "append", GroupStateTimeout.EventTimeTimeout)

@@ -134,3 +134,22 @@ def test_layouts_answer_until_the_data_changes(spark, fx):
     changed = reg.view()
     assert "Bucketed: true" not in plan_of(changed) and {r["razao_social"] for r in changed.collect()} <= {"OUTRA", None}
     assert len(laid) == 1 and reg.search_in("am", "outra", 5).count() == 5
+
+
+def test_decisions_call_python_for_many_keys_at_once(spark):
+    """Keys of a window share a few groups of state; nulls among them are a key of their own."""
+    d = scratch_path(spark, "slots")
+    ts = dt.datetime(2026, 1, 1)
+    rows = [(i, None if i % 50 == 0 else 2**60 + i % 400, ts + dt.timedelta(seconds=i)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "event_id bigint, user_id bigint, ts timestamp_ntz")
+    df.coalesce(1).write.parquet(f"{d}/src")
+    decide = lambda n: run_available(quota_decisions(
+        spark.readStream.schema(df.schema).parquet(f"{d}/src"), "user_id", "ts", "event_id", 86_400, 3, "1 hour", slots=n), f"{d}/sink{n}", f"{d}/ckpt{n}")
+    for n in (1, 8):
+        decide(n)
+        got = spark.read.parquet(f"{d}/sink{n}")
+        named = "user_id IS NOT NULL"
+        assert decisions(got.where(named)) == decisions(quota(df.where(named), "user_id", "ts", "event_id", 86_400, 3))
+        assert sorted(r["event_id"] for r in got.where("user_id IS NULL AND allowed").collect()) == [0, 50, 100] and got.count() == 2000
+        state = spark.read.format("statestore").load(f"{d}/ckpt{n}")
+        assert 0 < state.count() <= n + 1  # one for all keys of a slot, and that of nulls
