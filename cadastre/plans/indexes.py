@@ -1,26 +1,28 @@
 """Search access paths: K3 trigram postings and K4 token postings, and the
 indexed forms of Q7 (contains), Q8 (prefix) and Q10 (typo-tolerant).
 
-A posting is one row per (term, branch) with all that a search answers: the
-branch's key, its uf, activity and both names.  Files are range-partitioned and
-sorted by (term, key), so a very common term is spread over several, and a
-vocabulary holds the postings of each term.  A search takes its rarest term,
-reads only that term's postings (a filter that reaches the scan), applies the
-exact predicate there and takes the first k keys: one plan with one ordered
-limit.  The tables themselves are not read, and nothing comes to the driver but
-the sizes of the query's terms.
+Every run writes the documents that it made or changed once, numbered and in
+folders of 131,072 (a *block*), with all that a search answers: the branch's key,
+its uf, activity and both names.  A posting is one row per (term, block) with the
+places of the documents that have the term, so that it holds four bytes a
+document; files are sorted by term, a very common term is spread over several,
+and a vocabulary holds the postings of each term.  A search takes its rarest term,
+reads only that term's postings (a filter that reaches the scan) and the blocks
+they name, applies the exact predicate there and takes the first k keys: one
+plan with one ordered limit.  The tables themselves are not read, and nothing
+comes to the driver but the sizes of the query's terms.
 
 Terms are those of the names as they are and without accents (B10), so that one
 index answers both kinds of search.
 
 Postings follow the data: every run, batch or stream, that makes or changes
-documents adds, in its own commit, the postings of those documents as they are
-now and a *dead* posting for each term that a document lost.  A posting holds
-unless a later run wrote one of the same term and document; an anti-join of the
-term's own postings takes the others out, so no more than the term's range is
-read however many postings are outdated.  If a run changed documents without
-postings, the index is behind the data: searches scan, and the next run that
-indexes writes all postings anew.
+documents adds, in its own commit, those documents as they are now with their
+postings, and a *dead* posting for each term of a document as it was before.  A
+posting holds unless there is a dead one of the same term and numbered document;
+an anti-join of the term's own postings takes the others out, so no more than the
+term's range is read however many postings are outdated.  If a run changed
+documents without postings, the index is behind the data: searches scan, and the
+next run that indexes writes all postings anew.
 """
 
 from __future__ import annotations
@@ -30,8 +32,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import clamp_limit, contains_pattern, name_tokens, prefix_terms_py, uf_condition, without_accents, without_accents_py
+from ..functions.posting_lists import BLOCK_BITS, GRAM, LISTS, lists_of
 from ..operators.search import (
     DOC_COLUMNS,
     KEYS3,
@@ -48,20 +52,17 @@ from ..operators.search import (
 from ..schema import TABLES
 from .store import SNAPSHOT, Store, Transaction
 
-GRAM = 3
 KINDS = ("gram", "token")
 SHOWN = ["uf", "razao_social", "nome_fantasia", "cnae_fiscal_principal"]
 INDEXED = ("empresa", "estabelecimento")
 #: Words near a misspelt one that a search names as literals; more are joined.
 NEAR_WORDS = 500
-
-
-def trigrams(c) -> Column:
-    """Distinct lower-cased 3-grams of a string (empty for shorter strings)."""
-    low = F.lower(F.col(c) if isinstance(c, str) else c)
-    n = F.char_length(low)
-    grams = F.transform(F.sequence(F.lit(1), n - (GRAM - 1)), lambda i: F.substring(low, i, GRAM))
-    return F.when(n >= GRAM, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+#: Postings of a term that are sent to every task, so that only their blocks are read.
+FEW = 200_000
+#: Numbered documents: the run that wrote them, their number in it, and its block.
+_SHOWN_OF = {**dict.fromkeys([*KEYS3, "uf", "nome_fantasia", "cnae_fiscal_principal"], "estabelecimento"), "razao_social": "empresa"}
+DOCUMENT = T.StructType([T.StructField(c, TABLES[_SHOWN_OF[c]].struct[c].dataType if c in _SHOWN_OF else T.LongType())
+                         for c in ("run", "doc", *KEYS3, *SHOWN, "block")])
 
 
 def trigrams_py(q: str) -> list[str]:
@@ -85,38 +86,39 @@ def documents(tables: dict[str, DataFrame], delta: dict[str, DataFrame | None] |
     return e.join(emp, "cnpj_basico", "left").select(*KEYS3, *SHOWN)
 
 
-def terms_of(kind: str) -> Column:
-    """The distinct terms of both names, as they are and without accents."""
-    split = trigrams if kind == "gram" else name_tokens
+def _texts(kind: str) -> list[Column]:
+    """What the terms of both names are made of, as they are and without accents;
+    names of ASCII letters have none."""
+    names = [F.col(c) for c in ("razao_social", "nome_fantasia")]
+    folded = [F.when(F.octet_length(c) != F.char_length(c), without_accents(c)) for c in names]
+    if kind == "gram":
+        return [F.lower(c).alias(f"_t{i}") for i, c in enumerate([*names, *folded])]
     none = F.array().cast("array<string>")
-    parts = [F.coalesce(split(text(c)), none) for c in ("razao_social", "nome_fantasia") for text in (F.col, without_accents)]
-    both = F.array_union(F.array_union(parts[0], parts[1]), F.array_union(parts[2], parts[3]))
-    return F.filter(F.array_distinct(both), lambda t: t != "")
+    return [F.concat(*[F.coalesce(name_tokens(c), none) for c in (*names, *folded)]).alias("_words")]
 
 
-def postings(docs: DataFrame, kind: str, run: int = 0, before: DataFrame | None = None) -> DataFrame:
-    """One row per (term, branch).  ``before`` holds the same branches as they
-    were: a term that one of them lost gets a dead posting."""
-    now = docs.withColumn("_terms", terms_of(kind))
-    if before is None:
-        each = now.withColumn("_t", F.explode(F.transform("_terms", lambda t: F.struct(t.alias("term"), F.lit(True).alias("alive")))))
-    else:
-        was = before.select(*KEYS3, terms_of(kind).alias("_was"))
-        none = F.array().cast("array<string>")
-        both = now.join(was, KEYS3, "full_outer").withColumns({"_terms": F.coalesce("_terms", none), "_was": F.coalesce("_was", none)})
-        alive = F.transform("_terms", lambda t: F.struct(t.alias("term"), F.lit(True).alias("alive")))
-        dead = F.transform(F.array_except("_was", "_terms"), lambda t: F.struct(t.alias("term"), F.lit(False).alias("alive")))
-        each = both.withColumn("_t", F.explode(F.concat(alive, dead)))
-    return each.select("_t.term", *KEYS3, F.lit(run).cast("bigint").alias("run"), "_t.alive", *SHOWN)
+def numbered(docs: DataFrame, run: int = 0) -> DataFrame:
+    """Documents with their number in this run; to be written before it is used."""
+    docs = docs.select(F.lit(run).cast("bigint").alias("run"), F.monotonically_increasing_id().alias("doc"), *KEYS3, *SHOWN)
+    return docs.withColumn("block", F.shiftright("doc", BLOCK_BITS)).select(*DOCUMENT.names)
+
+
+def postings(docs: DataFrame, kind: str, before: DataFrame | None = None) -> DataFrame:
+    """One row per (term, block) of numbered documents.  ``before`` holds those
+    which they replace: all of their postings are dead."""
+    rows = docs.withColumn("alive", F.lit(True))
+    if before is not None:
+        rows = rows.unionByName(before.withColumn("alive", F.lit(False)))
+    return rows.select("run", "doc", "alive", *_texts(kind)).mapInArrow(lists_of(kind), LISTS)
 
 
 def _laid_out(df: DataFrame) -> DataFrame:
-    return df.repartitionByRange("term", *KEYS3).sortWithinPartitions("term", *KEYS3)
+    return df.repartition("term", F.pmod("block", F.lit(16))).sortWithinPartitions("term", "run", "block")
 
 
 def _vocabulary(df: DataFrame) -> DataFrame:
     """Postings of each term, sorted by (length, term) so a length window skips row groups."""
-    vocab = df.groupBy("term").agg(F.count("*").alias("docs")).withColumn("len", F.char_length("term"))
+    vocab = df.groupBy("term").agg(F.sum(F.size("docs")).alias("docs")).withColumn("len", F.char_length("term"))
     return vocab.repartitionByRange("len", "term").sortWithinPartitions("len", "term")
 
 
@@ -126,71 +128,94 @@ class SearchIndex:
 
     spark: SparkSession
     paths: dict[str, list[str]]
-    first: int = 0  # the run of the oldest postings
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(*self.paths[name])
-
-    def current(self, kind: str, terms: Column, holds: Column) -> DataFrame:
-        """The postings of some terms that hold: alive, and not followed by a
-        later run's of the same term and document."""
-        rows = self.read(kind).where(terms)
-        found = rows.where("alive").where(holds)
-        if len(self.paths[kind]) == 1:
-            return found
-        on = ["term", *KEYS3]
-        later = self.read(kind).where(terms).where(F.col("run") > self.first).select(*[F.col(c).alias(f"_{c}") for c in (*on, "run")])
-        return found.join(later, [*[F.col(c) == F.col(f"_{c}") for c in on], F.col("_run") > F.col("run")], "left_anti")
+        paths = self.paths[name]
+        if name != "document":
+            return self.spark.read.parquet(*paths)
+        # (the runs' folders lie beside each other)
+        return self.spark.read.schema(DOCUMENT).option("basePath", paths[0].rsplit("/", 1)[0]).parquet(*paths).select(*DOCUMENT.names)
+
+    def current(self, kind: str, terms: Column, size: int, holds: Column, words: DataFrame | None = None) -> DataFrame:
+        """The documents that some terms' postings name (of ``words`` only, if
+        given) and a condition holds for, without those whose posting is dead.
+        ``size``: how many postings the terms have."""
+        lists = self.read(kind).where(terms)
+        if words is not None:
+            lists = lists.join(words, "term", "left_semi")
+
+        def named(alive: bool) -> DataFrame:
+            each = lists.where(F.col("alive") == alive).select("run", "block", F.explode("docs").alias("_at"))
+            return each.select("run", "block", (F.shiftleft("block", BLOCK_BITS) + F.col("_at")).alias("doc"))
+
+        found, on = named(True), ["run", "block", "doc"]
+        if len(self.paths[kind]) > 1:
+            found = found.join(named(False), on, "left_anti")
+        docs = self.read("document").join(F.broadcast(found) if size <= FEW else found, on, "left_semi")
+        return docs.where(holds)
 
 
 def build_index(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> SearchIndex:
     """K3 + K4 of all documents, outside any store."""
-    idx = SearchIndex(spark, {})
-    docs = documents(tables)
+    idx = SearchIndex(spark, {"document": [f"{base.rstrip('/')}/document"]})
+    numbered(documents(tables)).write.mode("overwrite").partitionBy("block").parquet(*idx.paths["document"])
     for kind in KINDS:
         path = f"{base.rstrip('/')}/{kind}"
-        _laid_out(postings(docs, kind)).write.mode("overwrite").parquet(path)
+        _laid_out(postings(idx.read("document"), kind)).write.mode("overwrite").parquet(path)
         idx.paths[kind] = [path]
         _vocabulary(idx.read(kind)).write.mode("overwrite").parquet(f"{path}_vocabulary")
         idx.paths[f"{kind}_vocabulary"] = [f"{path}_vocabulary"]
     return idx
 
 
+def _replaced(idx: SearchIndex, docs: DataFrame) -> DataFrame:
+    """The newest numbered document before ``docs`` of each of their keys."""
+    before = idx.read("document").join(docs.select(*KEYS3), KEYS3, "left_semi")
+    if len(idx.paths["document"]) > 1:
+        rest = [c for c in before.columns if c not in KEYS3]
+        before = before.groupBy(*KEYS3).agg(F.max_by(F.struct(*rest), "run").alias("_row")).select(*KEYS3, "_row.*")
+    return before.select(*DOCUMENT.names)
+
+
 def index_changes(tx: Transaction) -> int:
-    """Postings of the documents that this run made or changed, published with
-    its commit; of all documents, if the index is behind the data.  Nothing is
+    """Documents that this run made or changed and their postings, published with
+    its commit; all documents, if the index is behind the data.  Nothing is
     written if there are none.  Returns the postings."""
     if not tx.delta.keys() & set(INDEXED):
         return 0
     store, base = tx.store, tx.store.commits()
-    kept_up = committed_index(store, base) is not None
+    idx = committed_index(store, base)
     commits = [c for c in base if c["item"] not in {i["item"] for i in tx.items if i["kind"] == SNAPSHOT}]
     commits += [{"version": tx.version, "competencia": tx.competencia, **i} for i in tx.items]
     now = {t: store.read(t, TABLES[t].struct, commits) for t in INDEXED}
-    was = {t: store.read(t, TABLES[t].struct, base) for t in INDEXED}
-    n = 0
+    add = tx.write_table if idx is None else tx.append
+    add("index/document", numbered(documents(now, tx.delta if idx else None), tx.version), partition_by="block")
+    docs = SearchIndex(store.spark, {"document": [tx.path("index/document")]}).read("document")
+    before, n = None, 0
+    if idx:  # looked up once for both kinds
+        _replaced(idx, docs).write.mode("overwrite").parquet(tx.path("delta/index"))
+        before = store.spark.read.schema(DOCUMENT).parquet(tx.path("delta/index"))
     for kind in KINDS:
-        if kept_up:
-            rows = postings(documents(now, tx.delta), kind, tx.version, documents(was, tx.delta))
-        else:
-            rows = postings(documents(now), kind, tx.version)
-        add = tx.append if kept_up else tx.write_table
-        n += add(f"index/{kind}", _laid_out(rows))
-        add(f"index/{kind}_vocabulary", _vocabulary(store.spark.read.parquet(tx.path(f"index/{kind}"))))
+        rows = postings(docs, kind, before)
+        add(f"index/{kind}", _laid_out(rows), rows=-1)
+        written = store.spark.read.parquet(tx.path(f"index/{kind}"))
+        add(f"index/{kind}_vocabulary", _vocabulary(written))
+        size = store.spark.read.parquet(tx.path(f"index/{kind}_vocabulary")).agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
+        tx.set_rows(f"index/{kind}", size)
+        n += size
     return n
 
 
 def committed_index(store: Store, commits: list[dict]) -> SearchIndex | None:
     """The index at one version of the store; None if there is none, or if it is
     behind the data."""
-    parts = {n: store.parts(f"index/{n}", commits) for k in KINDS for n in (k, f"{k}_vocabulary")}
+    parts = {n: store.parts(f"index/{n}", commits) for n in ("document", *KINDS, *(f"{k}_vocabulary" for k in KINDS))}
     if not all(parts.values()):
         return None
     data = max((c["version"] for t in INDEXED for c in store.parts(t, commits)), default=0)
     if max(c["version"] for c in parts[KINDS[0]]) < data:
         return None
-    return SearchIndex(store.spark, {n: [p for c in cs for p in c["paths"]] for n, cs in parts.items()},
-                       min(c["version"] for c in parts[KINDS[0]]))
+    return SearchIndex(store.spark, {n: [p for c in cs for p in c["paths"]] for n, cs in parts.items()})
 
 
 # ---- searches ------------------------------------------------------------------------
@@ -207,17 +232,18 @@ def fetch(tables: dict[str, DataFrame], keys: list[tuple]) -> DataFrame:
     return e.join(F.broadcast(wanted), KEYS3, "left_semi").join(F.broadcast(emp), "cnpj_basico", "left")
 
 
-def _rarest(idx: SearchIndex, kind: str, conditions: list[Column]) -> int | None:
-    """Which condition has the fewest postings; None if one has none."""
-    if len(conditions) == 1:
-        return 0
+def _rarest(idx: SearchIndex, kind: str, conditions: list[Column]) -> tuple[Column, int]:
+    """The condition with the fewest postings, and their number; none at all if
+    a condition has none."""
     any_of = conditions[0]
     for c in conditions[1:]:
         any_of = any_of | c
     row = idx.read(f"{kind}_vocabulary").where(any_of).agg(
         *[F.sum(F.when(c, F.col("docs"))).alias(f"n{i}") for i, c in enumerate(conditions)]).first()
-    counts = [row[f"n{i}"] for i in range(len(conditions))]
-    return None if None in counts else min(range(len(counts)), key=counts.__getitem__)
+    if None in tuple(row):
+        return F.lit(False), 0
+    least = min(range(len(row)), key=row.__getitem__)
+    return conditions[least], row[least]
 
 
 def _located(uf: str | None, match: Column) -> Column:
@@ -235,8 +261,7 @@ def indexed_contains(
         return search_contains(tables, q, uf, limit, fold_accents)
     pattern, terms = contains_pattern(own), [F.col("term") == g for g in trigrams_py(own)]
     match = text("razao_social").like(pattern) | text("nome_fantasia").like(pattern)
-    rarest = _rarest(idx, "gram", terms)
-    hits = idx.current("gram", F.lit(False) if rarest is None else terms[rarest], _located(uf, match))
+    hits = idx.current("gram", *_rarest(idx, "gram", terms), _located(uf, match))
     return _doc(_top(hits, clamp_limit(limit))).select(*DOC_COLUMNS)
 
 
@@ -250,10 +275,7 @@ def indexed_prefix(
         return None
     words, text = [t.lower() for t in words], without_accents if fold_accents else F.col
     match = tokens_match_prefixes(text("razao_social"), words) | tokens_match_prefixes(text("nome_fantasia"), words)
-    terms = [F.col("term").startswith(t) for t in words]
-    rarest = _rarest(idx, "token", terms)
-    hits = idx.current("token", F.lit(False) if rarest is None else terms[rarest], _located(uf, match))
-    # a document may have several words of one prefix
+    hits = idx.current("token", *_rarest(idx, "token", [F.col("term").startswith(t) for t in words]), _located(uf, match))
     return _doc(_top(hits.dropDuplicates(KEYS3), clamp_limit(limit))).select(*DOC_COLUMNS)
 
 
@@ -270,13 +292,12 @@ def indexed_fuzzy(
         word_distance(F.col("term"), w).isNotNull())
     text = without_accents if fold_accents else F.col
     score = F.greatest(fuzzy_column_score(text("razao_social"), words), fuzzy_column_score(text("nome_fantasia"), words))
-    rarest = _rarest(idx, "token", [near(w) for w in words])
-    vocab = idx.read("token_vocabulary").where(F.lit(False) if rarest is None else near(words[rarest])).select("term").distinct()
+    rarest, size = _rarest(idx, "token", [near(w) for w in words])
+    vocab = idx.read("token_vocabulary").where(rarest).select("term").distinct()
     some = [r["term"] for r in vocab.limit(NEAR_WORDS + 1).collect()]  # words of the vocabulary, not documents
     if len(some) <= NEAR_WORDS:
-        hits = idx.current("token", F.col("term").isin(some), _located(uf, F.lit(True)))
+        hits = idx.current("token", F.col("term").isin(some), size, _located(uf, F.lit(True)))
     else:
-        hits = idx.current("token", F.lit(True), _located(uf, F.lit(True))).join(vocab, "term", "left_semi")
-    # a document may have several near words, with the same score each
+        hits = idx.current("token", F.lit(True), size, _located(uf, F.lit(True)), vocab)
     scored = hits.withColumn("score", score).where(F.col("score").isNotNull()).dropDuplicates(KEYS3)
     return _doc(_top(scored, k, [F.desc("score"), *[F.col(c) for c in KEYS3]]), "score")
