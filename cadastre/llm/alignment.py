@@ -33,6 +33,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +43,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .bpe import byte_chars, tokenizer_of_json
 from .common import binary_array, ddl, ship, staged, text_bytes, texts_of, tidy
 
-#: Pieces of a bunch of texts; pieces and their characters that a task remembers before it starts afresh; pieces aligned at once.
-BUNCH, REMEMBERED, REMEMBERED_CHARS, AT_ONCE = 1 << 21, 300_000, 32 << 20, 1 << 13
+#: Pieces of a bunch of texts; pieces and their characters that a task remembers before it starts afresh; pieces aligned at once, and encoded as one text.
+BUNCH, REMEMBERED, REMEMBERED_CHARS, AT_ONCE, JOINED = 1 << 21, 300_000, 32 << 20, 1 << 13, 1 << 8
 #: Which pairs of an A and a B token are linked: their bytes overlap, end together, or lie in one group.
 KINDS = ("overlap", "end", "group")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -160,42 +161,65 @@ class Aligner:
         self.b_words = Vocabulary.of([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                                       for i, p in enumerate(pieces)])
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)  # no piece of B spans a space between words
-        self.names = [str(i) for i in range(max(len(names), len(pieces)))]
+        # the ids as text after each of the three separators
+        self.width = max(len(names), len(pieces))
+        self.shown = Vocabulary.of([mark + str(i).encode() for mark in (b",", b"|", b";") for i in range(self.width)])
+        self.a_opens = np.array([t.startswith(byte_chars()[0x20]) for t in names])
+        self.b_opens = np.array([p.startswith("▁") for p in pieces])
         self.forget()
 
     def forget(self) -> None:
         self.plain: dict[str, int] = {}  # pieces of texts that are cut at every space
         self.odd: dict[str, int] = {}
         self.chars = 0
-        self.groups: list[str] = []  # the groups' ids as text
+        self.groups: list[bytes] = []  # the groups' ids as text, a ";" before each
         self.good, self.stats = np.empty(0, bool), np.empty((0, 4), np.int64)
         self.at, self.pairs = np.zeros(1, np.int64), np.empty(0, np.int64)
 
-    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """A's and B's ids with each piece's offsets, and which pieces both spell."""
-        raw = [(" " + p).encode() for p in pieces]
-        a, a_at = _flat([e.ids for e in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)])
-        b, b_at = _flat(self.b.encode(pieces, num_threads=1))
-        size = np.array([len(r) for r in raw], np.int64)
-        good = np.ones(len(pieces), bool)
+    def encode(self, pieces: list[str], joined: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A's and B's ids with each piece's offsets, and which pieces both spell.
+        ``joined``: no piece holds or borders on a blank that could be taken for
+        the one before it, so many go to the libraries as one text, in which a
+        token that begins with a space begins the next piece."""
+        raw = np.frombuffer("".join([" " + p for p in pieces]).encode(), np.uint8)
+        if joined:
+            size = np.diff(np.append(np.flatnonzero(raw == 0x20), len(raw)))
+            rows = [" ".join(pieces[lo : lo + JOINED]) for lo in range(0, len(pieces), JOINED)]
+            a = np.concatenate([np.array(self.a.encode_batch_fast([" " + r], add_special_tokens=False)[0].ids, np.int64) for r in rows])
+            b = _flat(self.b.encode(rows, num_threads=1))[0]
+            a_at, b_at = (np.append(np.flatnonzero(opens[ids]), len(ids)) for ids, opens in ((a, self.a_opens), (b, self.b_opens)))
+        if not joined or not len(size) == len(a_at) - 1 == len(b_at) - 1 == len(pieces):
+            size = np.array([1 + len(p.encode()) for p in pieces], np.int64)
+            a, a_at = _flat([e.ids for e in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)])
+            b, b_at = _flat(self.b.encode(pieces, num_threads=1))
+        good, start = np.ones(len(pieces), bool), np.cumsum(size) - size
         for ids, at, words in ((a, a_at, self.a_words), (b, b_at, self.b_words)):
             long = np.concatenate([[0], np.cumsum(words.size[ids])])[at]
             good &= np.diff(long) == size
             spelt = words.spell(ids)
-            if len(spelt) == size.sum() and good.all():
-                wrong = np.flatnonzero(spelt != np.frombuffer(b"".join(raw), np.uint8))
+            if len(spelt) == len(raw) and good.all():
+                wrong = np.flatnonzero(spelt != raw)
                 good[np.searchsorted(long, wrong, "right") - 1] = False
             else:
                 for i in np.flatnonzero(good):
-                    good[i] = spelt[long[i] : long[i + 1]].tobytes() == raw[i]
+                    good[i] = (spelt[long[i] : long[i + 1]] == raw[start[i] : start[i] + size[i]]).all()
         return a, a_at, b, b_at, good
 
-    def learn(self, pieces: list[str], into: dict[str, int]) -> None:
-        for lo in range(0, len(pieces), AT_ONCE):
-            self._learn(pieces[lo : lo + AT_ONCE], into)
-
-    def _learn(self, pieces: list[str], into: dict[str, int]) -> None:
-        a, a_at, b, b_at, good = self.encode(pieces)
+    def learn(self, pieces: list[str], into: dict[str, int], joined: bool = False) -> None:
+        """Align new pieces, and number them."""
+        first = len(self.groups)
+        made = [self._learned(pieces[lo : lo + AT_ONCE], joined) for lo in range(0, len(pieces), AT_ONCE)]
+        if made:
+            good, stats, pairs = (np.concatenate(x) for x in zip(*made, strict=True))
+            into.update(zip(pieces, range(first, len(self.groups)), strict=True))
+            self.chars += sum(map(len, pieces))
+            self.good = np.concatenate([self.good, good])
+            self.stats = np.concatenate([self.stats, stats])
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(stats[:, 3])])
+            self.pairs = np.concatenate([self.pairs, pairs])
+
+    def _learned(self, pieces: list[str], joined: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        a, a_at, b, b_at, good = self.encode(pieces, joined)
         keep_a, keep_b = np.repeat(good, np.diff(a_at)), np.repeat(good, np.diff(b_at))
         n_a, n_b = np.diff(a_at) * good, np.diff(b_at) * good
         a, b = a[keep_a], b[keep_b]
@@ -205,49 +229,52 @@ class Aligner:
         n_links = np.bincount(of_a[made.a], minlength=len(pieces))
         last = np.concatenate([[0], np.cumsum(n_a)])
         group_end = np.concatenate([[0], made.a_group + 1])[last]
-        names_a, names_b = [self.names[i] for i in a.tolist()], [self.names[i] for i in b.tolist()]
-        cut_a = np.searchsorted(made.a_group, np.arange(made.n_groups + 1)).tolist()
-        cut_b = np.searchsorted(made.b_group, np.arange(made.n_groups + 1)).tolist()
-        groups = [",".join(names_a[i:j]) + "|" + ",".join(names_b[k:m])
-                  for i, j, k, m in zip(cut_a[:-1], cut_a[1:], cut_b[:-1], cut_b[1:], strict=True)]
-        ends = group_end.tolist()
-        first = len(self.groups)
-        self.groups += [";".join(groups[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)]
-        into.update((p, first + i) for i, p in enumerate(pieces))
-        self.chars += sum(map(len, pieces))
-        self.good = np.concatenate([self.good, good])
-        self.stats = np.concatenate([self.stats, np.stack([n_a, n_b, np.diff(group_end), n_links], axis=1)])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(n_links)])
-        self.pairs = np.concatenate([self.pairs, a[made.a] << 32 | b[made.b]])
-
-    def numbers(self, texts: list[str]) -> list[np.ndarray]:
-        """The pieces of each text, by number; an empty text has none."""
-        found: list[np.ndarray | None] = [None] * len(texts)
-        plain: list[tuple[int, list[str]]] = []
-        odd: list[tuple[int, list[str]]] = []
-        new: dict[str, None] = {}
-        for i, text in enumerate(texts):
-            if not text:
-                found[i] = np.empty(0, np.int64)
-                continue
-            parts = text.split(" ") if self.cuts else [""]
-            at = list(map(self.plain.get, parts))
-            if None not in at:
-                found[i] = np.array(at, np.int64)
-                continue
-            missed = [p for p, n in zip(parts, at, strict=True) if n is None]
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in missed):
-                odd.append((i, list(self._cut(text))))
-            else:
-                new.update(dict.fromkeys(missed))
-                plain.append((i, parts))
-        self.learn([p for p in new if p not in self.plain], self.plain)
-        self.learn(list(dict.fromkeys(p for _, parts in odd for p in parts if p not in self.odd)), self.odd)
-        for known, some in ((self.plain, plain), (self.odd, odd)):
-            for i, parts in some:
-                found[i] = np.array(list(map(known.get, parts)), np.int64)
+        # the ids in the order of their groups, A's before B's, each after its separator
+        cut_a, cut_b = (np.searchsorted(group, np.arange(made.n_groups + 1)) for group in (made.a_group, made.b_group))
+        shown = np.empty(len(a) + len(b), np.int64)
+        shown[np.arange(len(a)) + cut_b[made.a_group]] = a
+        shown[np.arange(len(b)) + cut_a[made.b_group + 1]] = b
+        shown[cut_a[:-1] + cut_b[:-1]] += 2 * self.width
+        shown[cut_a[1:] + cut_b[:-1]] += self.width
+        text = self.shown.spell(shown).tobytes()
+        at = np.concatenate([[0], np.cumsum(self.shown.size[shown])])[(cut_a + cut_b)[group_end]].tolist()
+        self.groups += [text[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+        return good, np.stack([n_a, n_b, np.diff(group_end), n_links], axis=1), a[made.a] << 32 | b[made.b]
+
+    def numbers(self, texts: pa.Array) -> list[np.ndarray]:
+        """The pieces of each text, by number; an empty text has none.  Arrow cuts the
+        texts and numbers their different pieces, so that only those are looked up."""
+        texts = texts.fill_null("") if texts.null_count else texts
+        if not self.cuts:
+            return self._odd_numbers(texts.to_pylist())
+        cut = pc.split_pattern(texts, " ")
+        rows = np.asarray(cut.offsets, np.int64) - cut.offsets[0].as_py()
+        numbered = cut.flatten().dictionary_encode()
+        number = np.asarray(numbered.indices, np.int64)
+        pieces = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self.plain.get, pieces))
+        missed = [i for i, n in enumerate(known) if n is None]
+        odd = np.zeros(len(pieces), bool)
+        odd[[i for i in missed if not (p := pieces[i]) or p[0].isspace() or p[-1].isspace()]] = True
+        new = [pieces[i] for i in missed if not odd[i]]
+        self.learn([p for p in new if "▁" not in p], self.plain, joined=True)
+        self.learn([p for p in new if "▁" in p], self.plain)
+        for i in missed:
+            known[i] = self.plain.get(pieces[i], -1)
+        flat = np.array(known, np.int64)[number]
+        found = np.split(flat, rows[1:-1])
+        some = np.flatnonzero(np.logical_or.reduceat(odd[number], rows[:-1])) if len(texts) else []
+        for i, n in zip(some, self._odd_numbers([texts[i].as_py() for i in some]), strict=True):
+            found[i] = n
         return found
 
+    def _odd_numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """The same of texts that are not to be cut at every space."""
+        cut = [list(self._cut(t)) if t else [] for t in texts]
+        self.learn([p for p in dict.fromkeys(p for parts in cut for p in parts) if p not in self.plain and p not in self.odd], self.odd)
+        number = lambda p: self.odd[p] if (n := self.plain.get(p)) is None else n
+        return [np.array(list(map(number, parts)), np.int64) for parts in cut]
+
     def _cut(self, text: str) -> Iterator[str]:
         lo = 0
         for m in _CUT.finditer(text) if self.cuts else ():
@@ -276,8 +303,8 @@ class _Bunch:
     def add(self, kept: list[pa.Array], numbers: list[np.ndarray], own: Aligner) -> None:
         for n in numbers:
             if len(n) and own.good[n].all():
-                text = ";".join(map(own.groups.__getitem__, n.tolist()))
-                self.digests.append(hashlib.sha256(text.encode()).hexdigest())
+                text = memoryview(b"".join(map(own.groups.__getitem__, n.tolist())))
+                self.digests.append(hashlib.sha256(text[1:]).hexdigest())
             else:
                 n = n[:0]
                 self.digests.append("")
@@ -337,7 +364,7 @@ def _bunches(df: DataFrame, a_path: str, b_path: str, text_col: str, keep: tuple
             step = max(1, (4 << 20) * batch.num_rows // max(1, batch.nbytes))
             for lo in range(0, batch.num_rows, step):
                 part = batch.slice(lo, step)
-                now.add(part.columns[1:], own.numbers(texts_of(part.column(0))), own)
+                now.add(part.columns[1:], own.numbers(part.column(0)), own)
                 if now.pieces >= BUNCH or own.full():
                     yield from now.rows(serial, own, arrow)
                     now, serial = _Bunch(), serial + 1
