@@ -14,8 +14,9 @@ candidates of a document's own group are passed over.
 
 Bounded work for hot groups: equal sets are one row from the start; each map
 task passes on one row for a part however many of its sets have it; a component
-over ``block_rows`` sets is searched in blocks of that size, then between the
-blocks for what is not yet in the component's largest group.
+over ``block_rows`` sets is searched in blocks of that size, then each two blocks
+for links of what is not yet in the component's largest group; tasks read the two from
+a table, so what is written grows with the sets, not with their pairs.
 
 Defined cases: words are runs without blanks, A-Z lower-cased; a text with
 fewer words than n is one n-gram of all its words; a text without words, or
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import discard, map_batches, ship, slices, staged, text_bytes, tidy
+from .common import LARGE_ROWS, discard, map_batches, ship, slices, staged, text_bytes, tidy
 from .components import components
 from .grouping import SCHEMA, blob_batch, by_bucket, pack, text_bytes_in, unpack
 from .hashing import LOWER, mix, prefix_sums, spans, word_spans
@@ -142,10 +143,12 @@ class Groups:
         self.members[x] += gone
 
 
-def t_occurrence(sets: list[np.ndarray], percent: int, labels: np.ndarray | None = None, asking: np.ndarray | None = None) -> Groups:
+def t_occurrence(sets: list[np.ndarray], percent: int, labels: np.ndarray | None = None, asking: np.ndarray | None = None,
+                 sides: np.ndarray | None = None) -> Groups:
     """Groups of ``sets`` (non-empty, distinct) linked at similarity ``percent``
     / 100, joined to the groups that ``labels`` gives; with ``asking``, only
-    links of at least one set for which it is true are looked for."""
+    links of at least one set for which it is true are looked for, with
+    ``sides`` only those of sets on different sides."""
     sizes = np.array([len(s) for s in sets])
     order = np.argsort(sizes, kind="stable")  # a set looks for partners of its size or less, which stand before it
     rank = np.empty(len(sets), np.int64)
@@ -153,6 +156,7 @@ def t_occurrence(sets: list[np.ndarray], percent: int, labels: np.ndarray | None
     sizes = sizes[order]
     labels = np.arange(len(sets)) if labels is None else labels[order]
     asks = np.ones(len(sets), bool) if asking is None else asking[order]
+    side = None if sides is None else sides[order]
     groups = Groups(labels)
     grams = np.concatenate([sets[i] for i in order])
     owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
@@ -194,6 +198,9 @@ def t_occurrence(sets: list[np.ndarray], percent: int, labels: np.ndarray | None
         if ok is not None and len(cand):
             keep = ok[cand]
             cand, seen = cand[keep], seen[keep]
+        if side is not None and len(cand):
+            keep = side[cand] != side[x]
+            cand, seen = cand[keep], seen[keep]
         best = np.argsort(-seen, kind="stable")
         cand, seen = cand[best], seen[best]
         while len(cand):
@@ -491,13 +498,72 @@ def _across_blocks(hot: DataFrame, links: DataFrame, n: int, percent: int, block
     main = count.groupBy("component").agg(F.max(F.struct("members", "label")).alias("top")).select(
         "component", F.col("top.label").alias("main"))
     of = of.join(main, "component")
-    asking = of.where("label <> main").withColumn("chunk", F.col("sub"))
-    asked = asking.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    name = lambda c, t: F.concat_ws("/", "component", c, t)
-    queries = asked.select(name("chunk", "t").alias("block"), "digest", "text", "label", F.lit(True).alias("asks"))
-    chunks = asking.select("component", "chunk").distinct()
-    against = of.join(chunks, "component").select(
-        name("chunk", "sub").alias("block"), "digest", "text", "label", F.lit(False).alias("asks"))
-    out = staged(links.union(_search(queries.union(against), n, percent, True)), "near")
-    discard(links, hot_groups)
+    packed = staged(_packed(of.withColumn("asks", F.col("label") != F.col("main"))), "packed", **LARGE_ROWS)
+    # Pairs of blocks are read from the table as they are searched, not dealt out: nothing of quadratic size is written.
+    h, s = packed.hint("shuffle_replicate_nl").alias("h"), packed.alias("s")
+    pairs = h.join(s, (F.col("h.component") == F.col("s.component")) & (F.col("s.sub") < F.col("h.sub")) & (F.col("h.asks") | F.col("s.asks")))
+    between = pairs.select("h.component", "h.sub", "h.body", "s.body").toDF("component", "sub", "body", "other").mapInArrow(
+        tidy(_between(n, percent)), "a binary, b binary")
+    out = staged(links.union(between), "near")
+    discard(links, hot_groups, packed)
     return out
+
+
+#: A block's sets, as they are packed.
+_BODY = pa.schema([("digest", pa.binary()), ("text", pa.string()), ("label", pa.binary()), ("asks", pa.bool_())])
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """One row of each block: its sets, compressed, and whether any of them asks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def close(at: tuple, sets: list[tuple]) -> pa.RecordBatch:
+            out, columns = pa.BufferOutputStream(), zip(*sets, strict=True)
+            with pa.ipc.new_stream(out, _BODY, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BODY, strict=True)], schema=_BODY))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([at[0]], pa.int64()), pa.array([at[1]], pa.int32()), pa.array([any(r[3] for r in sets)], pa.bool_()),
+                 pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["component", "sub", "asks", "body"])
+
+        now, have = None, []
+        for batch in batches:
+            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if r[:2] != now:
+                    if have:
+                        yield close(now, have)
+                    now, have = r[:2], []
+                have.append(r[2:])
+        if have:
+            yield close(now, have)
+
+    return rows.repartition("component", "sub").sortWithinPartitions("component", "sub").select(
+        "component", "sub", "digest", "text", "label", "asks").mapInArrow(tidy(run), "component bigint, sub int, asks boolean, body binary")
+
+
+def _between(n: int, percent: int):
+    """For pairs of packed blocks, the links of the labels whose groups some link
+    between the two blocks joins; links of two sets that do not ask are not looked for."""
+
+    def opened(body: bytes) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
+        sets = pa.ipc.open_stream(body).read_next_batch()
+        return sets["label"].to_pylist(), sets["asks"].to_numpy(zero_copy_only=False), list(shingle_sets(sets["text"], n))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held = None, None
+        for batch in batches:
+            for component, sub, body, other in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (component, sub) != name:  # the blocks that one is searched with come one after another
+                    name, held = (component, sub), opened(body)
+                labels, asks, sets = (x + y if isinstance(x, list) else np.concatenate([x, y]) for x, y in zip(held, opened(other), strict=True))
+                names: dict[bytes, int] = {}
+                own = np.array([names.setdefault(x, len(names)) for x in labels])
+                groups = t_occurrence(sets, percent, own, asks, np.arange(len(sets)) < len(held[0]))
+                a, b = [], []
+                for members in groups.members.values():
+                    least, *rest = sorted({labels[i] for i in members})
+                    a += rest
+                    b += [least] * len(rest)
+                if a:
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    return run

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastre.llm import langid, ngram_join, packing, secret_scan, substring_dedup
-from cadastre.llm.common import staged, table
+from cadastre.llm.common import discard, staged, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near duplicates share this many in a hundred of their five-word shingles.
@@ -74,5 +74,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces that packing gives, from the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(before)  # nothing reads it again
     return docs
