@@ -5,9 +5,10 @@ sample (``CELLS`` at most, ``SAMPLE`` vectors for each); every vector has its
 home in the cell of the nearest centre.  A vector also visits each later cell
 that can hold a linked one: two unit vectors of cosine t are sqrt(2 - 2t) apart
 at most, so a vector farther than that from the plane between two centres has
-no link across it.  No link is lost, whatever the sample.  A cell is held in
-blocks of bounded size; what is compared with a block streams past it, and a
-block gives sums and one link for each row, never its pairs.
+no link across it.  No link is lost, whatever the sample.  A cell is cut into
+blocks of bounded size, a row each in a table; tasks read the pairs of blocks to be
+compared from it, so what is written grows with the vectors, not with their pairs.
+A block gives sums and one link for each row, never its pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing and stand alone; vectors of different lengths do
@@ -24,15 +25,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import discard, hash_sample, map_batches, ship, staged
+from .common import discard, hash_sample, map_batches, ship, staged, tidy
 from .components import components
-from .vectors import HELD, blocks_of, dense
+from .vectors import HELD, dense
 
 #: Most cells, vectors a cell aims at, sampled vectors for each cell, and steps of the fit.
 CELLS, CELL_ROWS, SAMPLE, STEPS = 1024, 4096, 48, 8
+#: Bytes of a block's vectors at most, and rows that are compared with it at a time.
+BLOCK_BYTES, STREAMED = 4 << 20, 512
 _SLACK = 1e-4  # of single-precision products; what lies inside is decided in double precision
 
 
@@ -83,22 +87,55 @@ def join_labels(labels: np.ndarray, linked: np.ndarray) -> np.ndarray:
         labels = to[labels]
 
 
+_BLOCK = "block string, size int, home int, part int, several boolean, visited array<int>, digests binary, copies binary, vecs binary, away binary"
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """One row of each block: its vectors end to end, the bits of the cells that each
+    visits, and which cells any of them does."""
+    names = T.StructType.fromDDL(_BLOCK).names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def close(at: tuple, digests: list[bytes], copies: list[int], vecs: list[bytes], away: list[bytes]) -> pa.RecordBatch:
+            bits = np.bitwise_or.reduce(np.frombuffer(b"".join(away), np.uint8).reshape(len(away), -1), axis=0)
+            row = (*at, np.flatnonzero(np.unpackbits(bits)).tolist(), b"".join(digests), np.array(copies, np.int64).tobytes(), b"".join(vecs), b"".join(away))
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int32()), *[pa.binary()] * 4)
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=names)
+
+        now, have = None, []
+        for batch in batches:
+            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if r[:5] != now:
+                    if have:
+                        yield close(now, *zip(*have, strict=True))
+                    now, have = r[:5], []
+                have.append(r[5:])
+        if have:
+            yield close(now, *zip(*have, strict=True))
+
+    dealt = rows.withColumn("block", F.concat_ws("/", "size", "home", "part")).repartition("block").sortWithinPartitions("block")
+    return dealt.select("block", "size", "home", "part", "several", "digest", "copies", "vec", "away").mapInArrow(tidy(run), _BLOCK)
+
+
 def links(df: DataFrame, vec_col: str = "embedding", id_col: str = "vec_id", least: float = 0.95) -> DataFrame:
     """One row per row: the id, ``n_links`` (other rows of cosine ``least`` or
     more), ``component_id`` (smallest id reachable) and ``kept``."""
     spark = df.sparkSession
     ship(spark)
+    # as the table has them: single-precision vectors take half the room
+    kind = np.float32 if isinstance(df.schema[vec_col].dataType.elementType, T.FloatType) else np.float64
 
     def read(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         found = [v if v is not None and v.any() else None for v in dense(batch.column(0))]
-        data = [None if v is None else v.tobytes() for v in found]
-        return {"digest": pa.array([None if d is None else hashlib.blake2b(d, digest_size=16).digest() for d in data], pa.binary()),
-                "vec": pa.array(data, pa.binary())}
-
-    source = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vector"))
-    rows = staged(map_batches(source, ("vector",), ("id",), "digest binary, vec binary", read), "vectors")
-    one = staged(rows.where("digest is not null").groupBy("digest").agg(
-        F.count("*").alias("copies"), F.first("vec").alias("vec")), "distinct")
+        return {"digest": pa.array([None if v is None else hashlib.blake2b(v.tobytes(), digest_size=16).digest() for v in found], pa.binary()),
+                "vec": pa.array([None if v is None else v.astype(kind).tobytes() for v in found], pa.binary())}
+
+    def units(data: list[bytes]) -> np.ndarray:
+        return unit(np.frombuffer(b"".join(data), kind).reshape(len(data), -1).astype(np.float64))
+
+    source = map_batches(df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vector")), ("vector",), ("id",), "digest binary, vec binary", read)
+    rows = staged(source.select("id", "digest"), "vectors")
+    one = staged(source.where("digest is not null").groupBy("digest").agg(F.count("*").alias("copies"), F.first("vec").alias("vec")), "distinct")
     # the sample: vectors of the least hashes, about so many for each length
     n_of = {r["size"]: r["n"] for r in one.groupBy(F.length("vec").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(64).collect()}
     centres: dict[int, np.ndarray] = {}
@@ -106,74 +143,116 @@ def links(df: DataFrame, vec_col: str = "embedding", id_col: str = "vec_id", lea
         k = int(min(CELLS, max(1, n // CELL_ROWS)))
         got = hash_sample(one.where(F.length("vec") == size), "digest", n, k * SAMPLE).limit(2 * k * SAMPLE).select("digest", "vec").collect()
         got = sorted(got) or one.where(F.length("vec") == size).limit(1).select("digest", "vec").collect()
-        centres[size] = spherical_kmeans(unit(np.array([np.frombuffer(r["vec"]) for r in got])), k)
+        centres[size] = spherical_kmeans(units([r["vec"] for r in got]), k)
     shared = spark.sparkContext.broadcast(centres)
 
     def place(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         data = batch.column(0).to_pylist()
-        homes, away = np.zeros(len(data), np.int64), [[] for _ in data]
+        homes, away = np.zeros(len(data), np.int64), [b""] * len(data)
         size = np.array([len(d) for d in data])
         for s in set(size.tolist()) & set(shared.value):
             at = np.flatnonzero(size == s)
-            home, may = visits(unit(np.array([np.frombuffer(data[i]) for i in at])), shared.value[s], least)
+            home, may = visits(units([data[i] for i in at]), shared.value[s], least)
             homes[at] = home
-            for i, m in zip(at, may, strict=True):
-                away[i] = np.flatnonzero(m).tolist()
-        return {"size": pa.array(size, pa.int32()), "home": pa.array(homes, pa.int32()), "away": pa.array(away, pa.list_(pa.int32()))}
-
-    placed = staged(map_batches(one, ("vec",), ("digest", "copies", "vec"), "size int, home int, away array<int>", place), "cells")
-    parts = placed.groupBy("size", "home").agg(F.ceil(F.count("*") / HELD).cast("int").alias("parts"))
-    name = lambda cell, part: F.concat_ws("/", "size", cell, part)
-    own = placed.join(parts, ["size", "home"]).withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
-    held = own.select(name("home", "part").alias("block"), F.lit(0).alias("role"), "digest", "copies", "vec")
-    inner = own.where("part > 0").withColumn("to", F.explode(F.sequence(F.lit(0), F.col("part") - 1))).select(
-        name("home", "to").alias("block"), F.lit(1).alias("role"), "digest", "copies", "vec")
-    outer = placed.select("size", F.explode("away").alias("home"), "digest", "copies", "vec").join(parts, ["size", "home"]).withColumn(
-        "to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        name("home", "to").alias("block"), F.lit(1).alias("role"), "digest", "copies", "vec")
-
-    def compare(block: str, held: list[tuple], streamed: Iterator[list[tuple]]) -> Iterator[pa.RecordBatch]:
-        keys = [r[0] for r in held]
-        copies = np.array([r[1] for r in held], np.int64)
-        exact = unit(np.array([np.frombuffer(r[2]) for r in held]))
-        single = exact.astype(np.float32)
-        labels, sums = np.arange(len(held)), np.zeros(len(held), np.int64)
-
-        def linked(other: np.ndarray) -> np.ndarray:
-            close = other.astype(np.float32) @ single.T
-            out = close >= least + _SLACK
-            i, j = np.nonzero((close >= least - _SLACK) & ~out)
-            if len(i):
-                out[i, j] = np.einsum("ij,ij->i", other[i], exact[j]) >= least
+            for i, m in zip(at, np.packbits(may, axis=1), strict=True):
+                away[i] = m.tobytes()
+        return {"size": pa.array(size, pa.int32()), "home": pa.array(homes, pa.int32()), "away": pa.array(away, pa.binary())}
+
+    placed = map_batches(one, ("vec",), ("digest", "copies", "vec"), "size int, home int, away binary", place)
+    most = F.greatest(F.lit(1), F.least(F.lit(HELD), F.floor(F.lit(BLOCK_BYTES) / F.col("size"))))  # rows of a block
+    parts = placed.groupBy("size", "home").agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))
+    parts = staged(parts.withColumn("several", F.sum("parts").over(Window.partitionBy("size")) > 1), "cells")  # a row a cell
+    blocks = staged(_blocks(placed.join(F.broadcast(parts), ["size", "home"]).withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))), "blocks")
+    discard(one)
+
+    def links_of(keys: list[bytes], to: list[bytes], n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(to, pa.binary()), pa.array(n, pa.int64())], names=["a", "b", "n"])
+
+    class Block:
+        """A block's vectors, and what is known of them so far."""
+
+        def __init__(self, digests: bytes, copies: bytes, vecs: bytes):
+            self.keys = [digests[i : i + 16] for i in range(0, len(digests), 16)]
+            self.copies = np.frombuffer(copies, np.int64)
+            self.exact = unit(np.frombuffer(vecs, kind).reshape(len(self.keys), -1).astype(np.float64))
+            self.single = self.exact.astype(np.float32)
+            self.labels, self.sums = np.arange(len(self.keys)), np.zeros(len(self.keys), np.int64)
+
+        def linked(self, other: np.ndarray) -> np.ndarray | None:
+            """Which vectors link with each of some others; None if none does."""
+            out = None
+            for lo in range(0, len(other), STREAMED):
+                some = other[lo : lo + STREAMED]
+                close = some.astype(np.float32) @ self.single.T
+                if not len(close) or close.max() < least - _SLACK:
+                    continue
+                if out is None:
+                    out = np.zeros((len(other), len(self.keys)), bool)
+                sure = close >= least + _SLACK
+                i, j = np.nonzero((close >= least - _SLACK) & ~sure)
+                if len(i):
+                    sure[i, j] = np.einsum("ij,ij->i", some[i], self.exact[j]) >= least
+                out[lo : lo + STREAMED] = sure
             return out
 
-        def batch(a: list[bytes], b: list[bytes | None], n: list[int]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int64())], names=["a", "b", "n"])
-
-        for lo in range(0, len(held), HELD):
-            own = linked(exact[lo : lo + HELD])
-            own[np.arange(len(own)), lo + np.arange(len(own))] = False
-            sums += own.T @ copies[lo : lo + HELD]
-            own[np.arange(len(own)), lo + np.arange(len(own))] = own.any(axis=1)  # a row is with those that it links
-            labels = join_labels(labels, own)
-        for rows_ in streamed:
-            got = linked(unit(np.array([np.frombuffer(r[2]) for r in rows_])))
-            some = np.flatnonzero(got.any(axis=1))
-            if not len(some):
-                continue
-            sums += got.T @ np.array([r[1] for r in rows_], np.int64)
-            labels = join_labels(labels, got)
-            counts, first = got[some] @ copies, got[some].argmax(axis=1)
-            yield batch([rows_[i][0] for i in some], [keys[j] for j in first], counts.tolist())
-        some = np.flatnonzero(sums)
-        if len(some):
-            yield batch([keys[i] for i in some], [keys[labels[i]] for i in some], sums[some].tolist())
-
-    found = staged(blocks_of(held.union(inner).union(outer), compare, "a binary, b binary, n bigint", ("digest", "copies", "vec")), "links")
+        def found(self) -> Iterator[pa.RecordBatch]:
+            some = np.flatnonzero(self.sums)
+            if len(some):
+                yield links_of([self.keys[i] for i in some], [self.keys[self.labels[i]] for i in some], self.sums[some])
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                block = Block(*own)
+                got = block.linked(block.exact)
+                if got is None:
+                    continue
+                np.fill_diagonal(got, False)
+                block.sums += got.T @ block.copies
+                np.fill_diagonal(got, got.any(axis=1))  # a row is with those that it links
+                block.labels = join_labels(block.labels, got)
+                yield from block.found()
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held = None, None
+        for batch in batches:
+            for at, home, *own, from_, away, digests, copies, vecs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (at, home) != name:  # the blocks that one is compared with come one after another
+                    if held:
+                        yield from held.found()
+                    name, held = (at, home), Block(*own)
+                other = Block(digests, copies, vecs)
+                rows_ = np.arange(len(other.keys))
+                if from_ != home:
+                    bits = np.frombuffer(away, np.uint8).reshape(len(rows_), -1)
+                    rows_ = np.flatnonzero(bits[:, home >> 3] >> (7 - (home & 7)) & 1)
+                got = held.linked(other.exact[rows_])
+                if got is None:
+                    continue
+                held.sums += got.T @ other.copies[rows_]
+                held.labels = join_labels(held.labels, got)
+                some = np.flatnonzero(got.any(axis=1))
+                if len(some):
+                    yield links_of([other.keys[i] for i in rows_[some]], [held.keys[j] for j in got[some].argmax(axis=1)], got[some] @ held.copies)
+        if held:
+            yield from held.found()
+
+    schema, vectors = "a binary, b binary, n bigint", ("digests", "copies", "vecs")
+    alone = blocks.select(*vectors).mapInArrow(tidy(inside), schema)
+    # Pairs of blocks are read from the table as they are compared, not dealt out: nothing of quadratic size is written.
+    several = blocks.where("several")
+    h, s = several.hint("shuffle_replicate_nl").alias("h"), several.alias("s")
+    same = (F.col("s.home") == F.col("h.home")) & (F.col("s.part") < F.col("h.part"))
+    later = (F.col("s.home") < F.col("h.home")) & F.array_contains("s.visited", F.col("h.home"))
+    pairs = h.join(s, (F.col("h.size") == F.col("s.size")) & (same | later))
+    across = pairs.select("h.block", "h.home", *[f"h.{c}" for c in vectors], "s.home", "s.away", *[f"s.{c}" for c in vectors]).toDF(
+        "block", "home", *vectors, "from", "away", *[f"s_{c}" for c in vectors]).mapInArrow(tidy(between), schema)
+    found = staged(alone.union(across), "links")
+    discard(blocks)
     classes = components(found.select("a", "b")).toDF("digest", "class")
-    discard(placed)
     counts = found.groupBy(F.col("a").alias("digest")).agg(F.sum("n").alias("n"))
-    of = one.select("digest", "copies").join(classes, "digest", "left").join(counts, "digest", "left").select(
+    copies = rows.where("digest is not null").groupBy("digest").agg(F.count("*").alias("copies"))
+    of = copies.join(classes, "digest", "left").join(counts, "digest", "left").select(
         "digest", F.coalesce("class", "digest").alias("class"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     known = rows.where("digest is not null").select("id", "digest").join(of, "digest")
     # written, so that the join below has an exchange of its own, which Spark can split at a hot class
