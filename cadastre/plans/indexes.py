@@ -59,6 +59,8 @@ INDEXED = ("empresa", "estabelecimento")
 NEAR_WORDS = 500
 #: Postings of a term that are sent to every task, so that only their blocks are read.
 FEW = 200_000
+#: Places in a list ascend: their differences are kept, in the few bits that each takes.
+LIST_FILES = {"parquet.writer.version": "v2", "parquet.enable.dictionary#docs.list.element": "false", "compression": "zstd"}
 #: Numbered documents: the run that wrote them, their number in it, and its block.
 _SHOWN_OF = {**dict.fromkeys([*KEYS3, "uf", "nome_fantasia", "cnae_fiscal_principal"], "estabelecimento"), "razao_social": "empresa"}
 DOCUMENT = T.StructType([T.StructField(c, TABLES[_SHOWN_OF[c]].struct[c].dataType if c in _SHOWN_OF else T.LongType())
@@ -161,7 +163,7 @@ def build_index(spark: SparkSession, tables: dict[str, DataFrame], base: str) ->
     numbered(documents(tables)).write.mode("overwrite").partitionBy("block").parquet(*idx.paths["document"])
     for kind in KINDS:
         path = f"{base.rstrip('/')}/{kind}"
-        _laid_out(postings(idx.read("document"), kind)).write.mode("overwrite").parquet(path)
+        _laid_out(postings(idx.read("document"), kind)).write.mode("overwrite").options(**LIST_FILES).parquet(path)
         idx.paths[kind] = [path]
         _vocabulary(idx.read(kind)).write.mode("overwrite").parquet(f"{path}_vocabulary")
         idx.paths[f"{kind}_vocabulary"] = [f"{path}_vocabulary"]
@@ -193,11 +195,11 @@ def index_changes(tx: Transaction) -> int:
     docs = SearchIndex(store.spark, {"document": [tx.path("index/document")]}).read("document")
     before, n = None, 0
     if idx:  # looked up once for both kinds
-        _replaced(idx, docs).write.mode("overwrite").parquet(tx.path("delta/index"))
-        before = store.spark.read.schema(DOCUMENT).parquet(tx.path("delta/index"))
+        _replaced(idx, docs).write.mode("overwrite").parquet(path := tx.draft("index"))
+        before = store.spark.read.schema(DOCUMENT).parquet(path)
     for kind in KINDS:
         rows = postings(docs, kind, before)
-        add(f"index/{kind}", _laid_out(rows), rows=-1)
+        add(f"index/{kind}", _laid_out(rows), rows=-1, options=LIST_FILES)
         written = store.spark.read.parquet(tx.path(f"index/{kind}"))
         add(f"index/{kind}_vocabulary", _vocabulary(written))
         size = store.spark.read.parquet(tx.path(f"index/{kind}_vocabulary")).agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]

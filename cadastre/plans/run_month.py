@@ -17,6 +17,8 @@ table's key (or it has no rows): a page of HTML under a table's name, or another
 layout, has none.  This is observed on the load's own scan.  If a member fails, the
 run starts anew without its archive; nothing of the first attempt is visible.
 Driver-side work is limited to the member list (metadata: one row per file).
+What was expanded is deleted when the run has ended, as in the reference; a run that
+fails leaves it.  The export is gzip-compressed JSON lines.
 """
 
 from __future__ import annotations
@@ -32,16 +34,21 @@ from pyspark.sql import functions as F
 from ..operators.ledger import FAILED, NO_MATCH, SUCCESS, append_files, archive_outcome
 from ..operators.reads import search_documents
 from ..schema import FILE_LEDGER, MONTH_LEDGER, TABLES, TableSpec
-from ..sources.archives import expand_archives
+from ..session import SHUFFLES_GO, settings
+from ..sources.archives import expand_archives, stem_of
 from ..sources.csv import load_typed
 from ..sources.listing import pending_files
 from ..sources.routing import base_name, route_column
 from .indexes import index_changes
 from .sinks import export_index
-from .store import Store
+from .store import Store, remove_folders
 from .upsert import ORDER_COLUMNS, upsert_tables
 
 
+#: Members of up to so many bytes are expanded with gzip: each is read by one task.
+COMPRESSED_BYTES = 256 << 20
+
+
 class StaleMonthError(ValueError):
     """Loading a month older than the published state."""
 
@@ -69,72 +76,74 @@ def run_month(
     summary has, besides each table's counts (rejected and duplicate keys, too),
     the archives that failed and why, those in which no member belongs to a
     table, and the export's path."""
-    current = store.latest_competencia()
-    if current is not None and month < current and not force:
-        raise StaleMonthError(f"state is at {current}; refusing {month} without force=True")
-    processed_at = _dt.datetime.fromisoformat(detected_at)
-    ledger = store.read("file_ledger", FILE_LEDGER)
-
-    listed = spark.createDataFrame(
-        [(month, p.rsplit("/", 1)[-1], p) for p in archives], "data_month string, filename string, path string"
-    )
-    pending = pending_files(listed, ledger, month).select("path", "filename")
-    target = f"{staging_dir.rstrip('/')}/{month}"
-    found = expand_archives(pending.withColumnRenamed("path", "archive"), target, errors=True)
-    members = found.withColumn("table", route_column("member")).collect()
-    failed: dict[str, str] = {m["archive"]: m["error"] for m in members if m["error"] is not None}
-
-    while True:
-        good = [m for m in members if m["archive"] not in failed]
-        tx = store.begin(month)
-        # Tables are independent: their jobs are submitted concurrently (Spark runs
-        # jobs from several driver threads side by side), so the small code tables
-        # do not wait behind the big ones.
-        paths = {n: [m["path"] for m in good if m["table"] == n] for n in TABLES}
-        frames, seen = {}, {}
-        for n in (n for n in TABLES if paths[n]):
-            seen[n] = Observation(f"files-{n}-{uuid.uuid4().hex[:8]}")
-            frames[n] = watched(load_typed(spark, paths[n], TABLES[n], multi_line, nulls), TABLES[n], seen[n])
-        try:
-            tables = upsert_tables(
-                tx, frames, month, detected_at, order=ORDER_COLUMNS, untracked_mode=untracked_mode, parallel=parallel_tables)
-            bad = {f: "no row has the table's key" for o in seen.values() for f in without_key(o.get)}
-        except Exception:
-            bad = unreadable(spark, good, multi_line)
+    with settings(spark, SHUFFLES_GO):
+        current = store.latest_competencia()
+        if current is not None and month < current and not force:
+            raise StaleMonthError(f"state is at {current}; refusing {month} without force=True")
+        processed_at = _dt.datetime.fromisoformat(detected_at)
+        ledger = store.read("file_ledger", FILE_LEDGER)
+
+        listed = spark.createDataFrame(
+            [(month, p.rsplit("/", 1)[-1], p) for p in archives], "data_month string, filename string, path string"
+        )
+        pending = pending_files(listed, ledger, month).select("path", "filename")
+        target = f"{staging_dir.rstrip('/')}/{month}"
+        found = expand_archives(pending.withColumnRenamed("path", "archive"), target, errors=True, compress=COMPRESSED_BYTES)
+        members = found.withColumn("table", route_column("member")).collect()
+        failed: dict[str, str] = {m["archive"]: m["error"] for m in members if m["error"] is not None}
+
+        while True:
+            good = [m for m in members if m["archive"] not in failed]
+            tx = store.begin(month)
+            # Tables are independent: their jobs are submitted concurrently (Spark runs
+            # jobs from several driver threads side by side), so the small code tables
+            # do not wait behind the big ones.
+            paths = {n: [m["path"] for m in good if m["table"] == n] for n in TABLES}
+            frames, seen = {}, {}
+            for n in (n for n in TABLES if paths[n]):
+                seen[n] = Observation(f"files-{n}-{uuid.uuid4().hex[:8]}")
+                frames[n] = watched(load_typed(spark, paths[n], TABLES[n], multi_line, nulls), TABLES[n], seen[n])
+            try:
+                tables = upsert_tables(
+                    tx, frames, month, detected_at, order=ORDER_COLUMNS, untracked_mode=untracked_mode, parallel=parallel_tables)
+                bad = {f: "no row has the table's key" for o in seen.values() for f in without_key(o.get)}
+            except Exception:
+                bad = unreadable(spark, good, multi_line)
+                if not bad:
+                    raise  # no member is at fault
+            bad = {m["archive"]: f"{m['member']}: {bad[plain_path(m['path'])]}" for m in good if plain_path(m["path"]) in bad}
             if not bad:
-                raise  # no member is at fault
-        bad = {m["archive"]: f"{m['member']}: {bad[plain_path(m['path'])]}" for m in good if plain_path(m["path"]) in bad}
-        if not bad:
-            break
-        failed.update(bad)
-
-    summary: dict = {"month": month, "version": tx.version, "tables": tables, "archives": len({m["archive"] for m in members}),
-                     "failed": {a.rsplit("/", 1)[-1]: why for a, why in sorted(failed.items())}, "no_match": []}
-    # U10 from what was loaded; an archive that could not be expanded has no members to route.
-    outcome_rows = [(m["archive"], m["member"], m["archive"] not in failed) for m in members if m["member"] is not None]
-    outcomes = [(a, FAILED) for a in failed]
-    if outcome_rows:
-        outcome = archive_outcome(spark.createDataFrame(outcome_rows, "archive string, member string, load_ok boolean"))
-        outcomes += [(r["archive"], r["status"]) for r in outcome.collect() if r["archive"] not in failed]
-    summary["no_match"] = sorted(a.rsplit("/", 1)[-1] for a, status in outcomes if status == NO_MATCH)
-    done = [(a, status) for a, status in outcomes if status in (SUCCESS, FAILED)]
-    if done:
-        rows = spark.createDataFrame(done, "archive string, status string").select(
-            F.lit(month).alias("data_month"), base_name("archive").alias("filename"), "status", F.lit(processed_at).cast("timestamp_ntz").alias("processed_at"))
-        # Rows are added to the ledger, never written again.
-        tx.append("file_ledger", append_files(spark.createDataFrame([], FILE_LEDGER), rows))
-    if not failed:
-        # The month is recorded even when nothing was pending (rows may repeat).
-        tx.append("month_ledger", spark.createDataFrame([(month, processed_at, tx.version)], MONTH_LEDGER))
-    summary["indexed"] = index_changes(tx) if index else 0
-    tx.commit(processed_at)
-    # K5: the documents as they are now, for an outside search engine; only if they changed.
-    if export and tx.delta.keys() & {"empresa", "estabelecimento"}:
-        commits = store.commits()
-        now = {t: store.read(t, TABLES[t].struct, commits) for t in ("empresa", "estabelecimento")}
-        summary["export"] = f"{store.base}/export/v={tx.tag}"
-        export_index(search_documents(now, ordered=False), summary["export"])
-    return summary
+                break
+            failed.update(bad)
+
+        summary: dict = {"month": month, "version": tx.version, "tables": tables, "archives": len({m["archive"] for m in members}),
+                         "failed": {a.rsplit("/", 1)[-1]: why for a, why in sorted(failed.items())}, "no_match": []}
+        # U10 from what was loaded; an archive that could not be expanded has no members to route.
+        outcome_rows = [(m["archive"], m["member"], m["archive"] not in failed) for m in members if m["member"] is not None]
+        outcomes = [(a, FAILED) for a in failed]
+        if outcome_rows:
+            outcome = archive_outcome(spark.createDataFrame(outcome_rows, "archive string, member string, load_ok boolean"))
+            outcomes += [(r["archive"], r["status"]) for r in outcome.collect() if r["archive"] not in failed]
+        summary["no_match"] = sorted(a.rsplit("/", 1)[-1] for a, status in outcomes if status == NO_MATCH)
+        done = [(a, status) for a, status in outcomes if status in (SUCCESS, FAILED)]
+        if done:
+            rows = spark.createDataFrame(done, "archive string, status string").select(
+                F.lit(month).alias("data_month"), base_name("archive").alias("filename"), "status", F.lit(processed_at).cast("timestamp_ntz").alias("processed_at"))
+            # Rows are added to the ledger, never written again.
+            tx.append("file_ledger", append_files(spark.createDataFrame([], FILE_LEDGER), rows))
+        if not failed:
+            # The month is recorded even when nothing was pending (rows may repeat).
+            tx.append("month_ledger", spark.createDataFrame([(month, processed_at, tx.version)], MONTH_LEDGER))
+        summary["indexed"] = index_changes(tx) if index else 0
+        tx.commit(processed_at)
+        # K5: the documents as they are now, for an outside search engine; only if they changed.
+        if export and tx.delta.keys() & {"empresa", "estabelecimento"}:
+            commits = store.commits()
+            now = {t: store.read(t, TABLES[t].struct, commits) for t in ("empresa", "estabelecimento")}
+            summary["export"] = f"{store.base}/export/v={tx.tag}"
+            export_index(search_documents(now, ordered=False), summary["export"], compression="gzip")
+        remove_folders(spark, [f"{target}/{stem}" for stem in sorted({stem_of(m["archive"]) for m in members}) if stem])  # what was expanded is loaded, or will be anew
+        return summary
 
 
 def plain_path(path: str) -> str:

@@ -45,13 +45,13 @@ def file_ranges(spark, path: str, key: str) -> DataFrame:
     )
 
 
-def export_index(docs: DataFrame, path: str, batch: int = EXPORT_BATCH) -> None:
+def export_index(docs: DataFrame, path: str, batch: int = EXPORT_BATCH, compression: str = "none") -> None:
     """K5: full re-export of the search documents as JSON lines, one document
     per ``cnpj`` (the key of the state they come from, so already unique).
     Files are as large as Spark's partitions, whatever the batch; the settings
     name the number of lines that a client sends at a time."""
     spark = docs.sparkSession
-    docs.write.mode("overwrite").json(f"{path}/documents")
+    docs.write.mode("overwrite").option("compression", compression).json(f"{path}/documents")
     settings = spark.createDataFrame(
         [(INDEX_SETTINGS["primary_key"], INDEX_SETTINGS["searchable"], INDEX_SETTINGS["filterable"], batch)],
         "primary_key string, searchable array<string>, filterable array<string>, batch int",

@@ -147,7 +147,7 @@ def tracked_upsert(
         return counts
     # One pass over both inputs: the delta is written, the counts are observed.
     delta = compare_incoming(prev, snap, spec).observe(obs, *class_count_exprs()).where(F.col("_class").isin(NEW, CHANGED, REJECTED))
-    staged = f"{tx.path('delta/' + spec.name)}"
+    staged = tx.draft(spec.name)
     delta.withColumn(BUCKET, bucket_column(spec.keys[0], buckets)).write.mode("overwrite").parquet(staged)
     delta = store.spark.read.parquet(staged)
     counts = {"tabela": spec.name, **obs.get}

@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK = 8 * 1024 * 1024
+#: Names of files that readers decompress as they are.
+COMPRESSED = (".gz", ".gzip", ".bz2", ".deflate", ".lz4", ".snappy", ".zst", ".zstd", ".lzo", ".xz")
 MEMBER_SCHEMA = "archive string, member string, path string, bytes bigint"
 
 
@@ -49,6 +51,12 @@ def _fs(uri: str):
     return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
 
 
+def stem_of(archive: str) -> str:
+    """The name of the folder that an archive is expanded into."""
+    stem = posixpath.basename(archive)
+    return stem[:-4] if stem.lower().endswith(".zip") else stem
+
+
 def safe_member(name: str) -> str | None:
     """Cleaned relative member path, or None for directories and escapes."""
     if name.endswith("/"):
@@ -59,35 +67,40 @@ def safe_member(name: str) -> str | None:
     return clean
 
 
-def _expand(target: str, column: str, errors: bool):
+def _expand(target: str, column: str, errors: bool, compress: int):
     def members(archive: str, out_fs, out_root: str):
         import zipfile
+        import zlib
 
         in_fs, in_path = _fs(archive)
-        stem = posixpath.basename(in_path)
-        stem = stem[:-4] if stem.lower().endswith(".zip") else stem
+        stem = stem_of(in_path)
         with in_fs.open_input_file(in_path) as fh, zipfile.ZipFile(fh) as zf:
             for info in zf.infolist():
                 rel = safe_member(info.filename)
                 if rel is None or info.is_dir():
                     continue
-                dest = f"{out_root.rstrip('/')}/{stem}/{rel}"
+                pressed = info.file_size <= compress and not rel.lower().endswith(COMPRESSED)
+                name = f"{rel}.gz" if pressed else rel
+                dest = f"{out_root.rstrip('/')}/{stem}/{name}"
                 out_fs.create_dir(posixpath.dirname(dest), recursive=True)
                 n = 0
                 attempt = f"{posixpath.dirname(dest)}/_{uuid.uuid4().hex}"
                 try:
                     with zf.open(info) as src, out_fs.open_output_stream(attempt) as dst:
+                        gzip = zlib.compressobj(1, zlib.DEFLATED, 31) if pressed else None
                         while True:
                             buf = src.read(CHUNK)
                             if not buf:
                                 break
-                            dst.write(buf)
+                            dst.write(gzip.compress(buf) if gzip else buf)
                             n += len(buf)
+                        if gzip:
+                            dst.write(gzip.flush())
                 except Exception:
                     out_fs.delete_file(attempt)
                     raise
                 out_fs.move(attempt, dest)
-                yield archive, rel, f"{target.rstrip('/')}/{stem}/{rel}", n, None
+                yield archive, rel, f"{target.rstrip('/')}/{stem}/{name}", n, None
 
     def run(batches):
         import zipfile
@@ -124,11 +137,13 @@ def _spread(df: DataFrame, column: str) -> DataFrame:
     return ids.join(F.broadcast(listed), "_n").drop("_n").select(*df.columns)
 
 
-def expand_archives(archives: DataFrame, target_dir: str, column: str = "archive", errors: bool = False) -> DataFrame:
+def expand_archives(archives: DataFrame, target_dir: str, column: str = "archive", errors: bool = False, compress: int = -1) -> DataFrame:
     """One output row per extracted member (one archive per task); with
-    ``errors`` also one of each archive that cannot be expanded, and why."""
+    ``errors`` also one of each archive that cannot be expanded, and why.  A member
+    of up to ``compress`` bytes is written with gzip, as ``<member>.gz``: for files that
+    one task reads whole anyway."""
     schema = MEMBER_SCHEMA + (", error string" if errors else "")
-    return _spread(archives.select(column), column).mapInPandas(_expand(target_dir, column, errors), schema)
+    return _spread(archives.select(column), column).mapInPandas(_expand(target_dir, column, errors, compress), schema)
 
 
 def list_files(root: str, suffix: str = "") -> list[str]:
@@ -161,7 +176,7 @@ def _pack(column_src: str, column_archive: str, column_member: str):
                 out_fs.create_dir(posixpath.dirname(out_path), recursive=True)
                 n = 0
                 with out_fs.open_output_stream(out_path) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as zf:
-                    with in_fs.open_input_stream(in_path) as fh, zf.open(mem, "w", force_zip64=True) as dst:
+                    with in_fs.open_input_stream(in_path, compression="detect") as fh, zf.open(mem, "w", force_zip64=True) as dst:
                         while True:
                             buf = fh.read(CHUNK)
                             if not buf:
@@ -175,6 +190,6 @@ def _pack(column_src: str, column_archive: str, column_member: str):
 
 
 def pack_archives(files: DataFrame, src: str = "src", archive: str = "archive", member: str = "member") -> DataFrame:
-    """Inverse of S7 (used to stage test months): zip each source file into its
-    own archive under the given member name, one file per task."""
+    """Inverse of S7 (used to stage test months): zip each source file (of a ``.gz`` what
+    it holds) into its own archive under the given member name, one file per task."""
     return _spread(files.select(src, archive, member), archive).select(src, archive, member).mapInPandas(_pack(src, archive, member), PACK_SCHEMA)

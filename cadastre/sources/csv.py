@@ -107,7 +107,7 @@ def to_registry_text(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*out)
 
 
-def write_registry_csv(df: DataFrame, spec: TableSpec, path: str, files: int | None = None) -> None:
+def write_registry_csv(df: DataFrame, spec: TableSpec, path: str, files: int | None = None, compression: str = "none") -> None:
     """Write typed rows as registry text files (Latin-1, ``;``, all fields quoted)."""
     text = to_registry_text(df, spec)
     if files:
@@ -120,5 +120,6 @@ def write_registry_csv(df: DataFrame, spec: TableSpec, path: str, files: int | N
         .option("quoteAll", "true")
         .option("encoding", "ISO-8859-1")
         .option("header", "false")
+        .option("compression", compression)
         .csv(path)
     )
