@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 from ..fixtures import CURR_MONTH, DETECTED_AT, PREV_MONTH, Fixtures, duckdb_with
 from ..plans.store import Store
 from ..schema import TABLES
-from ..session import scratch_path
+from ..session import SHUFFLES_GO, scratch_path, settings
 from ..sources.csv import write_registry_csv
 from ..streaming.ingest import ingest_stream, run_available, stream_upsert
 from ..streaming.quota import quota, quota_decisions, quota_stream
 from .base import register
+from .ingest import files_for
 from .state import U6_SQL
 
 QUOTA_WINDOW, QUOTA_LIMIT = 86_400, 2
 WATERMARK = "1 hour"
+#: Bytes of the tables from which one file of a streamed month is made: each is read by one task.
+STREAMED_BYTES = 4 << 20
 
 
 @register(
@@ -43,7 +46,9 @@ def t2_stream_upsert(fx: Fixtures):
     root = scratch_path(fx.spark, "t2")
     store = Store(fx.spark, f"{root}/store")
     for suffix, month in (("_prev", PREV_MONTH), ("_curr", CURR_MONTH)):
-        write_registry_csv(fx.registry(suffix)["estabelecimento"], spec, f"{root}/src/{month}", files=2)
+        rows = fx.registry(suffix)["estabelecimento"]
+        with settings(fx.spark, SHUFFLES_GO):
+            write_registry_csv(rows, spec, f"{root}/src/{month}", files=files_for(fx, rows, STREAMED_BYTES))
         stream = ingest_stream(fx.spark, f"{root}/src", spec)
         stream_upsert(stream, store, spec, DETECTED_AT, f"{root}/ckpt", "t2")
     return store.read("estabelecimento")

@@ -76,8 +76,9 @@ def _sides(state: DataFrame, incoming: DataFrame, spec: TableSpec) -> tuple[Data
     o = state.select(*keys, *[F.col(c).alias("o_" + c) for c in other], F.lit(True).alias("_old"))
     if row_id:
         # Stored rows carry _rid = 0 like every complete incoming key, so this is the
-        # keyed join, and the partitioning from de-duplication is used as it is.
-        o = o.withColumn("_rid", F.lit(0).cast("bigint"))
+        # keyed join, and the partitioning from de-duplication is used as it is.  (A
+        # literal would be taken out of the join's keys, and the snapshot be shuffled again.)
+        o = o.withColumn("_rid", F.pmod(F.hash(*keys), F.lit(1)).cast("bigint"))
     n = incoming.select(*keys, *row_id, *[F.col(c).alias("n_" + c) for c in other], F.lit(True).alias("_new"))
     return o, n, keys + row_id
 

@@ -20,11 +20,14 @@ such a folder is rejected too.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import sanitize
 from ..schema import TableSpec
+from ..session import SHUFFLES_GO, settings
 from ..sources.csv import CSV_OPTIONS
 
 #: The month folder that holds the file.
@@ -61,6 +64,7 @@ def batch_upsert(store, spec: TableSpec, detected_at: str, query_name: str, inde
     """The ``foreachBatch`` function of T2 (idempotent per batch id and month).
     ``index``: write postings; by default if the store's are up with its data."""
     from ..plans.indexes import committed_index, index_changes
+    from ..plans.store import remove_folders
     from ..plans.upsert import tracked_upsert
 
     def reject(tx, rows: DataFrame, reason: str) -> None:
@@ -73,7 +77,12 @@ def batch_upsert(store, spec: TableSpec, detected_at: str, query_name: str, inde
         done = {c["competencia"] for c in commits if c["item"] == marker and c["rows"] == batch_id}
         block = F.col("_block") if "_block" in batch.columns else F.lit(0)
         # the row's place in its file, as the batch reader numbers it (before any shuffle)
-        rows = batch.withColumn("_ord", F.struct(block.alias("block"), F.monotonically_increasing_id().alias("row"))).persist()
+        rows = batch.select(*[F.col(c).cast(spec.struct[c].dataType).alias(c) for c in spec.column_names], "_file", "_month",
+                            F.struct(block.alias("block"), F.monotonically_increasing_id().alias("row")).alias("_ord"))
+        # Read once and kept as a table: a cached batch would fill the executors' memory, and then their disks.
+        path = f"{store.base}/data/delta/batch-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        rows = store.spark.read.schema(rows.schema).parquet(path)
         try:
             # Month folders present in this batch: a handful of values.
             for month in sorted(r["_month"] for r in rows.select("_month").distinct().collect()):
@@ -92,9 +101,13 @@ def batch_upsert(store, spec: TableSpec, detected_at: str, query_name: str, inde
                 tx.mark(marker, batch_id)
                 tx.commit()
         finally:
-            rows.unpersist()
+            remove_folders(store.spark, [path])
+
+    def apply_tidily(batch: DataFrame, batch_id: int) -> None:
+        with settings(store.spark, SHUFFLES_GO):
+            apply(batch, batch_id)
 
-    return apply
+    return apply_tidily
 
 
 def stream_upsert(stream: DataFrame, store, spec: TableSpec, detected_at: str, checkpoint: str, query_name: str, index: bool | None = None):
